@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tabprep.catalog.registry import Tables, u_sql
 from tabprep.functions.seeded import u
+from tabprep.functions.vectors import argmax, class_matrix
+from tabprep.operators.vectors import class_probabilities
+from tabprep.session import cut
 
 FEATURES = ["quantity", "extendedprice", "discount", "tax"]
 
@@ -119,3 +122,64 @@ def metric_log(t: Tables) -> DataFrame:
 METRIC_LOG = """metric_log AS (SELECT event_type AS run,
   CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS epoch,
   round(avg(value), 6) AS metric FROM events GROUP BY ALL)"""
+
+
+def class_vec(t: Tables) -> DataFrame:
+    """Mean vector per class, long ``(class, pos, w)``."""
+    long = vec(t).select(F.col("label").alias("class"), F.posexplode("v").alias("pos", "x"))
+    return long.groupBy("class", "pos").agg(F.round(F.avg("x"), 6).alias("w"))
+
+
+CVEC = "cvec AS (SELECT label AS class, pos, round(avg(x), 6) AS w FROM vlong GROUP BY ALL)"
+
+
+def probs(t: Tables) -> DataFrame:
+    """``(vec_id, label, v, probs)``: softmax(30 * cosine) against the class means."""
+    return class_probabilities(vec(t), F.col("v"), class_matrix(class_vec(t)))
+
+
+COS = """cos AS (SELECT vec_id, l.label, class,
+  sum(x * w) / (greatest(sqrt(sum(x * x)), 1e-12) * greatest(sqrt(sum(w * w)), 1e-12)) AS c
+  FROM vlong l JOIN cvec USING (pos) GROUP BY ALL)"""
+PROBS = """ex AS (SELECT *, exp(30 * c - max(30 * c) OVER (PARTITION BY vec_id)) AS e FROM cos),
+probs AS (SELECT vec_id, label, class, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM ex)"""
+PROBS_ALL = ",\n".join([VEC, VLONG, CVEC, COS, PROBS])
+
+# fixed values: first position and length of the vector part each view looks at
+VIEWS_AT = [(0, 0, 64), (1, 0, 32), (2, 32, 32)]
+
+
+def views(t: Tables) -> DataFrame:
+    """``(vec_id, label, view, probs)`` from three parts of each vector."""
+    weights, out = class_vec(t), vec(t).select("vec_id", "label", "v")
+    for view, start, length in VIEWS_AT:
+        part = weights.filter(F.col("pos").between(start, start + length - 1))
+        out = class_probabilities(out, F.slice("v", start + 1, length), class_matrix(part), out=f"p{view}")
+    rows = F.array(*[F.struct(F.lit(v).alias("view"), F.col(f"p{v}").alias("probs")) for v, _, _ in VIEWS_AT])
+    return out.select("vec_id", "label", F.inline(rows))
+
+
+VIEWS = ",\n".join([VEC, VLONG, CVEC]) + """,
+vw AS (SELECT * FROM (VALUES (0, 0, 63), (1, 0, 31), (2, 32, 63)) t(view, lo, hi)),
+vcos AS (SELECT vec_id, l.label, view, class,
+  sum(x * w) / (greatest(sqrt(sum(x * x)), 1e-12) * greatest(sqrt(sum(w * w)), 1e-12)) AS c
+  FROM vlong l JOIN cvec USING (pos) JOIN vw ON pos BETWEEN lo AND hi GROUP BY ALL),
+vex AS (SELECT *, exp(30 * c - max(30 * c) OVER (PARTITION BY vec_id, view)) AS e FROM vcos),
+views AS (SELECT vec_id, label, view, class, e / sum(e) OVER (PARTITION BY vec_id, view) AS p FROM vex)"""
+
+
+def pred3(t: Tables) -> dict[str, DataFrame]:
+    """Three result tables ``(vec_id, label, prediction)`` of the same samples."""
+    v = cut(views(t))  # read three times below
+    return {
+        f"p{i}": v.filter(F.col("view") == i).select("vec_id", "label", argmax(F.col("probs")).alias("prediction"))
+        for i, _, _ in VIEWS_AT
+    }
+
+
+PRED3 = VIEWS + """,
+best AS (SELECT vec_id, label, view, class AS prediction FROM views
+  QUALIFY row_number() OVER (PARTITION BY vec_id, view ORDER BY p DESC, class) = 1),
+p0 AS (SELECT vec_id, label, prediction FROM best WHERE view = 0),
+p1 AS (SELECT vec_id, label, prediction FROM best WHERE view = 1),
+p2 AS (SELECT vec_id, label, prediction FROM best WHERE view = 2)"""

@@ -28,8 +28,9 @@ SCAN = ",\n".join([FEAT4, FEAT4_LONG, _COUNTED, _RAN, _SCAN])
 _OUT = "feature, threshold, round(gain, 9) AS gain, n, n_left"
 
 
-def _shape(df):
-    return df.select("feature", "threshold", F.round("gain", 9).alias("gain"), "n", "n_left")
+def _shape(df, places=9):
+    gain = F.round("gain", places) + F.lit(0.0)
+    return df.select("feature", "threshold", gain.alias("gain"), "n", "n_left")
 
 
 @query("entropy", with_(FEAT4) + """SELECT round(-sum(p * log2(p)), 9) AS entropy
@@ -42,7 +43,7 @@ def entropy(t: Tables):
 def split_scan(t: Tables):
     df = feat4(t)
     out = splits.split_scan(df, FEATURES, "label", splits.class_list(df))
-    return _shape(out).withColumn("gain", F.round("gain", 6) + F.lit(0.0))
+    return _shape(out, 6)
 
 
 @query("best_split", with_(SCAN) + f"""SELECT {_OUT} FROM scan WHERE feature = 'extendedprice'

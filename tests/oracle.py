@@ -21,9 +21,7 @@ TABLES = (
 
 def kind(t: str) -> str:
     t = t.lower()
-    if t.startswith(("tinyint", "smallint", "int", "bigint", "hugeint", "long", "short")):
-        return "bigint" if t in ("bigint", "long") else t
-    return {"varchar": "string", "float": "real"}.get(t, t)
+    return {"varchar": "string", "float": "real", "integer": "int"}.get(t, t)
 
 
 def rows_of(cols, rows):
