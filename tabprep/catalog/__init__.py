@@ -1,3 +1,3 @@
 """Registered queries, one module per section of the inventory."""
 
-from tabprep.catalog import cleaning, profiling, ranking, splits, vectors  # noqa: F401
+from tabprep.catalog import cleaning, profiling, ranking, sampling, splits, text, vectors  # noqa: F401

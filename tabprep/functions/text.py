@@ -1,4 +1,11 @@
-"""Column functions on text and word arrays."""
+"""Column functions on text: words, and seeded edits of words.
+
+Every edit is one expression over (text, key): it needs no shuffle, and the same key, seed
+and salt give the same text again. ``let`` keeps the word list from being split twice.
+
+A dictionary is an ``ARRAY<MAP<word, ...>>`` column of hash buckets (see
+``operators.augment.with_dictionary``), because a lookup in one large map is a linear scan.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tabprep.functions.seeded import pick, u
+from tabprep.functions.vectors import let
 
 # Unicode white space plus the four separator controls, as str.split() sees it
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
@@ -18,3 +26,116 @@ def words(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.when(text.isNotNull(), F.size(words(text)))
+
+
+def look_up(dictionary: Column, word: Column) -> Column:
+    """The dictionary's entry for a word, or NULL."""
+    bucket = F.pmod(F.xxhash64(word), F.size(dictionary)).cast("int")
+    return F.get(dictionary, bucket)[word]
+
+
+def choose(options: Column, draw: Column) -> Column:
+    """One element by a draw in [0, 1); NULL from an empty or missing array."""
+    return F.get(options, pick(F.size(options), draw))
+
+
+def replace_one(
+    text: Column, key: Column, dictionary: Column, seed: int, salt: str, every: bool = False
+) -> Column:
+    """Replace one random word by a synonym: its first occurrence as a substring, or every one."""
+
+    def edit(ws: Column) -> Column:
+        word = choose(ws, u(seed, key, salt, "word"))
+        pair = let(
+            word,
+            lambda w: F.struct(
+                w.alias("w"), choose(look_up(dictionary, w), u(seed, key, salt, "synonym")).alias("s")
+            ),
+        )
+
+        def put(p: Column) -> Column:
+            if every:
+                new = F.replace(text, p["w"], p["s"])
+            else:
+                new = F.overlay(text, p["s"], F.position(p["w"], text), F.length(p["w"]))
+            return F.coalesce(new, text)
+
+        return let(pair, put)
+
+    return let(words(text), edit)
+
+
+def replace_each(
+    text: Column, key: Column, dictionary: Column, seed: int, salt: str, p: float = 0.18
+) -> Column:
+    """Each word, with chance ``p``, becomes one of its synonyms other than itself; ``_`` reads as a space."""
+
+    def edit(w: Column, i: Column) -> Column:
+        others = F.filter(look_up(dictionary, w), lambda s: F.lower(s) != F.lower(w))
+        new = choose(others, u(seed, key, salt, "synonym", i))
+        swap = F.when(u(seed, key, salt, "word", i) < p, F.replace(new, F.lit("_"), F.lit(" ")))
+        return F.coalesce(swap, w)
+
+    return F.array_join(F.transform(words(text), edit), " ")
+
+
+def delete_words(
+    text: Column, key: Column, seed: int, salt: str, p: float = 0.1, min_words: int = 5
+) -> Column:
+    """Drop each word with chance ``p``; texts under ``min_words`` words stay."""
+
+    def edit(ws: Column) -> Column:
+        kept = F.filter(ws, lambda w, i: u(seed, key, salt, i) > p)
+        return F.when(F.size(ws) < min_words, text).otherwise(F.array_join(kept, " "))
+
+    return let(words(text), edit)
+
+
+def insert_synonym(
+    text: Column, key: Column, dictionary: Column, seed: int, salt: str, min_words: int = 5
+) -> Column:
+    """Insert a synonym of a random word at a random place; texts under ``min_words`` words stay."""
+
+    def edit(ws: Column) -> Column:
+        word = choose(ws, u(seed, key, salt, "word"))
+        new = choose(look_up(dictionary, word), u(seed, key, salt, "synonym"))
+        place = pick(F.size(ws) + 1, u(seed, key, salt, "place"))
+        longer = F.concat(F.slice(ws, F.lit(1), place), F.array(new), F.slice(ws, place + 1, F.size(ws)))
+        return F.when(F.size(ws) < min_words, text).otherwise(
+            F.array_join(F.when(new.isNull(), ws).otherwise(longer), " ")
+        )
+
+    return let(words(text), edit)
+
+
+def swap_words(text: Column, key: Column, seed: int, salt: str, p: float = 0.1) -> Column:
+    """With chance ``p`` two random words change places; texts under two words stay."""
+
+    def edit(ws: Column) -> Column:
+        a = pick(F.size(ws), u(seed, key, salt, "a"))
+        b = pick(F.size(ws) - 1, u(seed, key, salt, "b"))
+        places = F.struct(a.alias("a"), F.when(b >= a, b + 1).otherwise(b).alias("b"))
+
+        def swapped(at: Column) -> Column:
+            return F.transform(
+                ws,
+                lambda w, i: F.when(i == at["a"], F.get(ws, at["b"]))
+                .when(i == at["b"], F.get(ws, at["a"]))
+                .otherwise(w),
+            )
+
+        changed = F.when(u(seed, key, salt, "gate") < p, let(places, swapped)).otherwise(ws)
+        return F.when(F.size(ws) < 2, text).otherwise(F.array_join(changed, " "))
+
+    return let(words(text), edit)
+
+
+def letter_words(text: Column) -> Column:
+    """Lower-case runs of letters."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
+
+
+def trigrams(word: Column) -> Column:
+    """Character trigrams of a word with a blank on both sides."""
+    padded = F.concat(F.lit(" "), word, F.lit(" "))
+    return F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.substr(padded, i, F.lit(3)))

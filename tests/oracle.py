@@ -43,10 +43,10 @@ def compare(spark, con, name, fn, sql, sf_dir) -> tuple[str, str]:
         return "COLUMNS", f"{took} spark={df.columns} sql={cols}"
     a, b = rows_of(df.columns, got), rows_of(cols, want)
     if len(a) != len(b):
-        return "COUNT", f"{took} spark={len(a)} sql={len(b)} {a[:2]} {b[:2]}"
+        return "COUNT", f"{took} spark={len(a)} sql={len(b)} {str(a[:2])[:300]} {str(b[:2])[:300]}"
     bad = [(x, y) for x, y in zip(a, b) if x != y]
     if bad:
-        return "VALUES", f"{took} {len(bad)} differ, e.g.\n   spark {bad[0][0]}\n   sql   {bad[0][1]}"
+        return "VALUES", f"{took} {len(bad)} differ, e.g.\n   spark {str(bad[0][0])[:700]}\n   sql   {str(bad[0][1])[:700]}"
     st = {f.name: kind(f.dataType.simpleString()) for f in df.schema}
     dt = {c: kind(str(x)) for c, x in zip(cols, rel.types)}
     off = {c: (st[c], dt[c]) for c in st if st[c] != dt[c]}
@@ -69,7 +69,7 @@ def main(argv):
         sf, argv = argv[1], argv[2:]
     sf_dir = f"/root/testdata/sf{sf}"
     spark = get_session("oracle", 8)
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = connect(sf_dir)
     qs, sql = e.queries(), e.oracle_sql()
     names = [n for n in qs if not argv or any(n == a or (a.endswith("*") and n.startswith(a[:-1])) for a in argv)]
@@ -78,7 +78,7 @@ def main(argv):
         try:
             status, note = compare(spark, con, n, qs[n], sql.get(n), sf_dir)
         except Exception as ex:  # report and go on with the next query
-            status, note = "ERROR", str(ex)[:1500]
+            status, note = "ERROR", str(ex).split("\n")[0][:400]
         tally[status] = tally.get(status, 0) + 1
         print(f"{status:8} {n:26} {note}", flush=True)
     print(tally)
