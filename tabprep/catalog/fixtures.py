@@ -74,7 +74,7 @@ def pairs(t: Tables) -> DataFrame:
     0: the true reply; 1: the reply after that one; 2: the premise again. Equi-joins on
     (conv_id, turn), so one long conversation spreads over all tasks.
     """
-    c = t.conversations
+    c = t.spread("conversations", "conv_id")
     first = c.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("premise"))
     replies = c.filter("role = 'assistant'")
     reply = replies.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))

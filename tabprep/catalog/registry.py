@@ -20,6 +20,16 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """A table for work that is heavy per row, over at least as many tasks as there are cores.
+
+        A small file is one row group and so one task. A table with enough input
+        partitions is read as it is, without a shuffle.
+        """
+        df = getattr(self, name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
 
 def query(name: str, sql: str | None = None):
     """Register ``f(tables) -> DataFrame`` under ``name``."""

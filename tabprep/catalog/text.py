@@ -14,7 +14,7 @@ _WS = r"list_filter(regexp_split_to_array({}, '\s+'), lambda w: w <> '')"
 
 def synonyms(t: Tables):
     """The 200 most frequent words, each with the next word and the next two joined by ``_``."""
-    top = augment.top_words(t.documents, ["text"], 202)
+    top = augment.top_words(t.spread("documents", "doc_id"), ["text"], 202)
     shifted = {d: top.select(F.col("word").alias(f"w{d}"), (F.col("rank") - d).alias("rank")) for d in (1, 2)}
     joined = top.join(shifted[1], "rank").join(shifted[2], "rank")
     return joined.select("word", F.array("w1", F.concat_ws("_", "w1", "w2")).alias("synonyms"))
@@ -97,17 +97,17 @@ def swap_sql(src: str, key: str, text: str, salt: str, p: float = 0.1) -> str:
 
 
 def _edit(t: Tables, f):
-    return t.documents.select("doc_id", f(F.col("text"), F.col("doc_id")).alias("text"))
+    return t.spread("documents", "doc_id").select("doc_id", f(F.col("text"), F.col("doc_id")).alias("text"))
 
 
 def _edit_with(t: Tables, f):
-    docs = augment.with_dictionary(t.documents.select("doc_id", "text"), synonyms(t), "doc_id", ["text"])
+    docs = augment.with_dictionary(t.spread("documents", "doc_id").select("doc_id", "text"), synonyms(t), "doc_id", ["text"])
     return docs.select("doc_id", f(F.col("text"), F.col("doc_id"), F.col("_dict")).alias("text"))
 
 
 @query("word_count", f"SELECT doc_id, CAST(len({_WS.format('text')}) AS INTEGER) AS words FROM documents")
 def word_count(t: Tables):
-    return t.documents.select("doc_id", X.word_count(F.col("text")).alias("words"))
+    return t.spread("documents", "doc_id").select("doc_id", X.word_count(F.col("text")).alias("words"))
 
 
 # --- language -------------------------------------------------------------------------------
@@ -133,12 +133,12 @@ def detect_sql(src: str, key: str, text: str, out: str) -> str:
 
 
 def _profile(t: Tables):
-    return augment.language_profile(t.documents, "text", "lang")
+    return augment.language_profile(t.spread("documents", "doc_id"), "text", "lang")
 
 
 @query("detect_language", with_(PROFILE, detect_sql("documents", "doc_id", "text", "det")) + "SELECT * FROM det")
 def detect_language(t: Tables):
-    return augment.detect_language(t.documents, "doc_id", "text", _profile(t))
+    return augment.detect_language(t.spread("documents", "doc_id"), "doc_id", "text", _profile(t))
 
 
 @query("language_counts", with_(PROFILE, detect_sql("documents", "doc_id", "text", "det")) + """
@@ -190,7 +190,7 @@ def synonym_replace_each(t: Tables):
   SELECT doc_id, text, source FROM documents
   UNION ALL SELECT doc_id, coalesce(new, '') AS text, source FROM en LEFT JOIN each USING (doc_id)""")
 def synonym_rows(t: Tables):
-    docs = t.documents.select("doc_id", "text", "lang", "source")
+    docs = t.spread("documents", "doc_id").select("doc_id", "text", "lang", "source")
     return augment.synonym_rows(docs, synonyms(t), "doc_id", "text", F.col("lang") == "en", ["lang"], SEED)
 
 
@@ -218,7 +218,7 @@ def random_swap(t: Tables):
   THEN coalesce(rewritten, text) ELSE text END AS text FROM documents LEFT JOIN rw ON text_md5 = md5(text)""")
 def rewrite_lookup(t: Tables):
     gate = (F.col("lang") == "en") & (u(SEED, F.col("doc_id"), "rewrite") < augment.REWRITE)
-    return augment.rewrite_lookup(t.documents, rewrites(t), "doc_id", "text", gate).select("doc_id", "text")
+    return augment.rewrite_lookup(t.spread("documents", "doc_id"), rewrites(t), "doc_id", "text", gate).select("doc_id", "text")
 
 
 def _step(no: int, name: str, chance: float, sql) -> str:

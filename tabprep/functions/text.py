@@ -133,9 +133,3 @@ def swap_words(text: Column, key: Column, seed: int, salt: str, p: float = 0.1)
 def letter_words(text: Column) -> Column:
     """Lower-case runs of letters."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
-
-
-def trigrams(word: Column) -> Column:
-    """Character trigrams of a word with a blank on both sides."""
-    padded = F.concat(F.lit(" "), word, F.lit(" "))
-    return F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.substr(padded, i, F.lit(3)))

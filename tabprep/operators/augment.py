@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabprep.functions import text as X
 from tabprep.functions.seeded import u
 from tabprep.operators.joins import lookup_join
+from tabprep.session import cut
 
 # A dictionary of up to this many words travels as one value, in buckets of about eight words.
 DICTIONARY_WORDS = 300_000
@@ -160,20 +161,25 @@ def tta_long(wide: DataFrame, key: str, prefixes: Sequence[str], views: int) ->
     return wide.select(key, F.inline(F.array(*rows)))
 
 
+def _trigrams(df: DataFrame, word: str) -> DataFrame:
+    """One row per character trigram ``gram`` of each word with a blank on both sides."""
+    at = df.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length(word))))
+    padded = F.concat(F.lit(" "), word, F.lit(" "))
+    return at.withColumn("gram", F.substr(padded, F.col("_at"), F.lit(3))).drop("_at")
+
+
 def language_profile(df: DataFrame, text: str, lang: str) -> tuple[DataFrame, list[str], list[float]]:
     """Trigram log-probabilities per language with add-one smoothing.
 
     Returns ``(gram, p0..pk)``, the languages in order, and the log-probability of a trigram
     never seen in a language. Words are counted before they are cut into trigrams.
     """
-    counted = (
+    words = (
         df.select(lang, F.explode(X.letter_words(F.col(text))).alias("word"))
         .groupBy(lang, "word")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(lang, "n", F.explode(X.trigrams(F.col("word"))).alias("gram"))
-        .groupBy(lang, "gram")
-        .agg(F.sum("n").alias("n"))
     )
+    counted = cut(_trigrams(words, "word").groupBy(lang, "gram").agg(F.sum("n").alias("n")))
     totals = counted.groupBy(lang).agg(F.sum("n").alias("n")).orderBy(lang).collect()  # one row per language
     grams = counted.agg(F.count_distinct("gram")).first()[0]
     langs = [r[0] for r in totals]
@@ -183,7 +189,7 @@ def language_profile(df: DataFrame, text: str, lang: str) -> tuple[DataFrame, li
         seen = F.coalesce(F.sum(F.when(F.col(lang) == langs[i], F.col("n"))), F.lit(0))
         return F.log((seen + 1) / F.lit(room[i])).alias(f"p{i}")
 
-    model = counted.groupBy("gram").agg(*[logp(i) for i in range(len(langs))])
+    model = cut(counted.groupBy("gram").agg(*[logp(i) for i in range(len(langs))]))
     unseen = df.sparkSession.range(1).select(*[F.log(1 / F.lit(r)) for r in room]).first()
     return model, langs, list(unseen)
 
@@ -193,9 +199,8 @@ def detect_language(
 ) -> DataFrame:
     """``(key, language)``: the language that makes the trigrams most likely; no letters: ``unknown``."""
     model, langs, unseen = profile
-    grams = df.select(key, F.explode(X.letter_words(F.col(text))).alias("_w")).select(
-        key, F.explode(X.trigrams(F.col("_w"))).alias("gram")
-    )
+    words = df.select(key, F.explode(X.letter_words(F.col(text))).alias("word"))
+    grams = _trigrams(words, "word").drop("word")
     scored = lookup_join(grams, model, "gram", "left", F.struct(key, "gram"))
     sums = scored.groupBy(key).agg(
         *[F.sum(F.coalesce(f"p{i}", F.lit(miss))).alias(f"s{i}") for i, miss in enumerate(unseen)]
