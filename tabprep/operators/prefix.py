@@ -48,6 +48,10 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+def _largest(df: DataFrame, group: Sequence[str]) -> int:
+    return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+
+
 def running_sums(
     df: DataFrame,
     group: Sequence[str],
@@ -61,8 +65,7 @@ def running_sums(
     """
     group = list(group)
     df = cut(df)
-    biggest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    if biggest <= small_group:
+    if df.count() <= small_group or _largest(df, group) <= small_group:
         whole = Window.partitionBy(*group)
         ordered = whole.orderBy(order)
         upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
