@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.catalog.registry import Tables, u_sql
+from tabprep.functions.arrays import elements
 from tabprep.functions.seeded import u
 from tabprep.functions.vectors import argmax, class_matrix
 from tabprep.operators.vectors import class_probabilities
@@ -126,7 +127,7 @@ METRIC_LOG = """metric_log AS (SELECT event_type AS run,
 
 def class_vec(t: Tables) -> DataFrame:
     """Mean vector per class, long ``(class, pos, w)``."""
-    long = vec(t).select(F.col("label").alias("class"), F.posexplode("v").alias("pos", "x"))
+    long = elements(vec(t).withColumnRenamed("label", "class"), ["class"], "v", "x", "pos")
     return long.groupBy("class", "pos").agg(F.round(F.avg("x"), 6).alias("w"))
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tabprep.catalog.registry import Tables, query, u_sql, with_
 from tabprep.catalog.vectors import MEAN, STD
 from tabprep.functions import pixels as P
+from tabprep.functions import vectors as V
+from tabprep.functions.arrays import elements
 from tabprep.functions.seeded import u
 from tabprep.operators import profile
 from tabprep.operators.sampling import sample_n
@@ -24,11 +26,13 @@ from tabprep.sources import images as scans
 
 def gray(t: Tables):
     """``(image_id, label, h, w, c, pixels)``, 8 x 8 x 1."""
-    v = F.col("embedding").cast("array<double>")
-    lo, hi = F.array_min("v"), F.array_max("v")
-    ends = t.spread("embeddings", "vec_id").select("vec_id", "label", v.alias("v")).withColumns({"lo": lo, "hi": hi})
-    scaled = F.transform("v", lambda x: F.floor(255 * (x - F.col("lo")) / (F.col("hi") - F.col("lo"))).cast("int"))
-    return ends.select(
+
+    def scale(v):
+        ends = F.struct(F.array_min(v).alias("lo"), F.array_max(v).alias("hi"))
+        return V.let(ends, lambda e: F.transform(v, lambda x: F.floor(255 * (x - e["lo"]) / (e["hi"] - e["lo"])).cast("int")))
+
+    scaled = V.let(F.col("embedding").cast("array<double>"), scale)
+    return t.spread("embeddings", "vec_id").select(
         F.col("vec_id").alias("image_id"), "label", F.lit(8).alias("h"), F.lit(8).alias("w"), F.lit(1).alias("c"),
         scaled.alias("pixels"),
     )
@@ -37,8 +41,11 @@ def gray(t: Tables):
 def color(t: Tables):
     """``(image_id, label, h, w, c, pixels)``, 8 x 8 x 3."""
     at = F.sequence(F.lit(0), F.lit(191))
-    channels = F.transform(at, lambda i: F.get("pixels", ((F.floor(i / 3) + 21 * (i % 3)) % 64).cast("int")))
-    return gray(t).withColumns({"pixels": channels, "c": F.lit(3)})
+
+    def channels(p):
+        return F.transform(at, lambda i: F.get(p, ((F.floor(i / 3) + 21 * (i % 3)) % 64).cast("int")))
+
+    return gray(t).withColumns({"pixels": V.let(F.col("pixels"), channels), "c": F.lit(3)})
 
 
 _E = "(SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
@@ -50,13 +57,13 @@ _OUT = "image_id, CAST({} AS INTEGER) AS pos, CAST(px AS INTEGER) AS px"
 
 
 def _long(df, array="pixels", keep=("image_id",)):
-    return df.select(*keep, F.posexplode(array).alias("pos", "px"))
+    return elements(df, keep, array, "px", "pos")
 
 
 
 @query("resize_nearest", with_(GRAY, COLOR) + """SELECT g.image_id, CAST((y * 5 + x) * 3 + ch AS INTEGER) AS pos, px
   FROM (SELECT unnest(range(6)) AS y) a, (SELECT unnest(range(5)) AS x) b, (SELECT unnest(range(3)) AS ch) c
-  JOIN color g ON g.pos = ((y * 8 // 6) * 8 + x * 8 // 5) * 3 + ch""")
+  JOIN color g ON g.pos = (((y * 8) // 6) * 8 + ((x * 8) // 5)) * 3 + ch""")
 def resize_nearest(t: Tables):
     return _long(jobs.resize(color(t), 6, 5))
 
@@ -123,7 +130,7 @@ back AS (SELECT image_id, pos, CAST(floor([v, q, p, p, t, v][k + 1] + 0.5) AS IN
 
 @query("rgb_hsv", with_(GRAY, COLOR, _RGB, _BACK.format(src="hsv")) + "SELECT image_id, CAST(pos AS INTEGER) AS pos, h, s, v, r, g, b FROM back")
 def rgb_hsv(t: Tables):
-    long = color(t).select("image_id", F.posexplode(P.pixel_structs(F.col("pixels"))).alias("pos", "p"))
+    long = elements(color(t), ["image_id"], P.pixel_structs(F.col("pixels")), "p", "pos")
     hsv = long.withColumn("q", P.rgb_to_hsv(F.col("p.r"), F.col("p.g"), F.col("p.b")))
     back = hsv.withColumn("b", P.hsv_to_rgb(F.col("q.h"), F.col("q.s"), F.col("q.v")))
     return back.select("image_id", "pos", "q.*", "b.*")
@@ -142,8 +149,8 @@ def _equalize_sql(src: str, clip: float, out: str) -> str:
     limit = max(1, int(clip * 16 / 256))
     return f"""hist AS (SELECT image_id, ch, y // 4 AS ty, x // 4 AS tx, px, count(*) AS n FROM {src} GROUP BY ALL),
     exc AS (SELECT image_id, ch, ty, tx, CAST(sum(greatest(n - {limit}, 0)) AS BIGINT) AS e FROM hist GROUP BY ALL),
-    clipped AS (SELECT e.*, val, least(coalesce(n, 0), {limit}) + e // 256
-      + CASE WHEN e % 256 > 0 AND val % greatest(256 // (e % 256), 1) = 0 AND val // greatest(256 // (e % 256), 1) < e % 256 THEN 1 ELSE 0 END AS n
+    clipped AS (SELECT e.*, val, least(coalesce(n, 0), {limit}) + (e // 256)
+      + CASE WHEN e % 256 > 0 AND val % greatest((256 // (e % 256)), 1) = 0 AND (val // greatest((256 // (e % 256)), 1)) < e % 256 THEN 1 ELSE 0 END AS n
       FROM exc e CROSS JOIN (SELECT unnest(range(256)) AS val) LEFT JOIN hist h
       ON h.image_id = e.image_id AND h.ch = e.ch AND h.ty = e.ty AND h.tx = e.tx AND h.px = val),
     lut AS (SELECT image_id, ch, ty, tx, val, least(round_even(CAST(sum(n) OVER (PARTITION BY image_id, ch, ty, tx ORDER BY val) AS DOUBLE) * (CAST(255 AS DOUBLE) / 16), 0), 255) AS m FROM clipped),

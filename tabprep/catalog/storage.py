@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tabprep.catalog.fixtures import PRED3, PROBS_ALL, pred3, probs, vec4
 from tabprep.catalog.registry import Tables, query, with_
+from tabprep.functions.arrays import elements
 from tabprep.functions.text import words
 from tabprep.operators import clean, ranking
 from tabprep.session import scratch_path
@@ -72,7 +73,7 @@ def _stored(t: Tables):
 @query("scan_prob_matrix", _PROBS)
 def scan_prob_matrix(t: Tables):
     stored = readers.read_probabilities(t.spark, _stored(t))
-    return stored.select("vec_id", F.posexplode("probs").alias("class", "p")).withColumn("p", F.round("p", 6))
+    return elements(stored, ["vec_id"], "probs", "p", "class").withColumn("p", F.round("p", 6))
 
 
 @query("sink_prob_matrix", with_(PROBS_ALL) + """SELECT vec_id, CAST(count(*) AS INTEGER) AS classes,

@@ -9,6 +9,7 @@ from tabprep.catalog.fixtures import (
 )
 from tabprep.catalog.registry import Tables, query, u_sql, with_
 from tabprep.functions import vectors as V
+from tabprep.functions.arrays import elements
 from tabprep.functions.seeded import u
 from tabprep.operators import vectors as vector_ops
 
@@ -17,7 +18,7 @@ _COSINES = ",\n".join([VEC, VLONG, CVEC, COS])
 
 def long(df, array, value="value", places=6, keep=("vec_id",), pos="pos"):
     """One row per array element, rounded; -0.0 becomes 0.0."""
-    out = df.select(*keep, F.posexplode(array).alias(pos, value))
+    out = elements(df, keep, array, value, pos)
     return out.withColumn(value, F.round(value, places) + F.lit(0.0))
 
 

@@ -13,10 +13,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabprep.functions.vectors import let
 
-def _remap(pixels: Column, size: Column | int, source) -> Column:
-    n = F.lit(size) if isinstance(size, int) else size
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(pixels, source(i).cast("int")))
+
+def _remap(pixels: Column, size: Column, source) -> Column:
+    # `let`: an array built by an earlier step is evaluated once, not once per pixel
+    at = F.sequence(F.lit(0), size - 1)
+    return let(pixels, lambda p: F.transform(at, lambda i: F.get(p, source(i).cast("int"))))
 
 
 def _div(a: Column, b: Column | int) -> Column:
@@ -125,11 +128,13 @@ def hsv_to_rgb(h: Column, s: Column, v: Column) -> Column:
 
 def pixel_structs(pixels: Column) -> Column:
     """Three-channel pixels as ``ARRAY<STRUCT<r, g, b>>``."""
-    n = _div(F.size(pixels), 3)
-    at = lambda i, k: F.get(pixels, i * 3 + k)
-    return F.transform(
-        F.sequence(F.lit(0), n - 1), lambda i: F.struct(at(i, 0).alias("r"), at(i, 1).alias("g"), at(i, 2).alias("b"))
-    )
+
+    def triples(p: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(p) - 3, F.lit(3))
+        channel = [(0, "r"), (1, "g"), (2, "b")]
+        return F.transform(starts, lambda i: F.struct(*[F.get(p, i + k).alias(name) for k, name in channel]))
+
+    return let(pixels, triples)
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))

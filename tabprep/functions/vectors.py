@@ -118,7 +118,8 @@ def matrix(rows: Sequence[Sequence[float]]) -> Column:
 
 def affine(a: Column, weight_rows: Column, bias: Column) -> Column:
     """Row vector times matrix plus bias; ``weight_rows`` has one array per output."""
-    return F.zip_with(F.transform(weight_rows, lambda w: dot(w, a)), bias, lambda x, b: x + b)
+    products = let(a, lambda v: F.transform(weight_rows, lambda w: dot(w, v)))
+    return F.zip_with(products, bias, lambda x, b: x + b)
 
 
 def class_matrix(weights: DataFrame, cls: str = "class", pos: str = "pos", w: str = "w") -> Column:
@@ -135,7 +136,7 @@ def class_matrix(weights: DataFrame, cls: str = "class", pos: str = "pos", w: st
 
 def cosine_scores(a: Column, unit_rows: Column) -> Column:
     """Cosine of a vector to each unit class vector."""
-    return divide(F.transform(unit_rows, lambda w: dot(w, a)), norm(a))
+    return let(a, lambda v: divide(F.transform(unit_rows, lambda w: dot(w, v)), norm(v)))
 
 
 def arc_margin(

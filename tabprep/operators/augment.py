@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.functions import text as X
+from tabprep.functions.arrays import elements
 from tabprep.functions.seeded import u
 from tabprep.operators.joins import lookup_join
 from tabprep.session import cut
@@ -48,7 +49,7 @@ def with_dictionary(
     if n <= most:
         return df.withColumn(out, as_buckets(dictionary, value, n))
     own = F.array_distinct(F.flatten(F.array(*[F.coalesce(X.words(F.col(t)), F.array()) for t in texts])))
-    found = lookup_join(df.select(key, F.explode(own).alias("word")), dictionary, "word", "inner", F.col(key))
+    found = lookup_join(elements(df, [key], own, "word"), dictionary, "word", "inner", F.col(key))
     entries = F.map_from_entries(F.collect_list(F.struct("word", value)))  # the words of one row
     per_row = found.groupBy(key).agg(F.array(entries).alias(out))
     return df.join(per_row, key, "left")
@@ -57,7 +58,7 @@ def with_dictionary(
 def corpus_words(df: DataFrame, texts: Sequence[str]) -> DataFrame:
     """``(word, n)`` over one or more text columns."""
     tokens = F.flatten(F.array(*[F.coalesce(X.words(F.col(t)), F.array()) for t in texts]))
-    return df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return elements(df, [], tokens, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_words(df: DataFrame, texts: Sequence[str], size: int) -> DataFrame:
@@ -175,7 +176,7 @@ def language_profile(df: DataFrame, text: str, lang: str) -> tuple[DataFrame, li
     never seen in a language. Words are counted before they are cut into trigrams.
     """
     words = (
-        df.select(lang, F.explode(X.letter_words(F.col(text))).alias("word"))
+        elements(df, [lang], X.letter_words(F.col(text)), "word")
         .groupBy(lang, "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -199,7 +200,7 @@ def detect_language(
 ) -> DataFrame:
     """``(key, language)``: the language that makes the trigrams most likely; no letters: ``unknown``."""
     model, langs, unseen = profile
-    words = df.select(key, F.explode(X.letter_words(F.col(text))).alias("word"))
+    words = elements(df, [key], X.letter_words(F.col(text)), "word")
     grams = _trigrams(words, "word").drop("word")
     scored = lookup_join(grams, model, "gram", "left", F.struct(key, "gram"))
     sums = scored.groupBy(key).agg(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabprep.functions.arrays import elements
 from tabprep.operators.joins import not_in
 from tabprep.operators.prefix import exact_quantiles, unpivot
 
@@ -144,7 +145,7 @@ def density(df: DataFrame, column: str, points: int = 200, reach: float = 0.0) -
 def channel_counts(df: DataFrame, pixels: Column, channels: int) -> DataFrame:
     """``(channel, value, n)`` over interleaved pixel arrays; raw pixels are never gathered."""
     return (
-        df.select(F.posexplode(pixels).alias("i", "value"))
+        elements(df, [], pixels, "value", "i")
         .groupBy((F.col("i") % channels).alias("channel"), "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

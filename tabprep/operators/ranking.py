@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.functions import vectors as V
+from tabprep.functions.arrays import elements
 from tabprep.operators.prefix import with_ordinal
 
 
 def rank_scores(df: DataFrame, scores: str) -> DataFrame:
     """Per sample one row per class: ``rank`` from 1, ``class`` and ``score``, highest first."""
     keep = [c for c in df.columns if c != scores]
-    exploded = df.select(*keep, F.posexplode(V.ranked(F.col(scores))).alias("rank", "_s"))
+    exploded = elements(df, keep, V.ranked(F.col(scores)), "_s", "rank")
     return exploded.select(
         *keep, (F.col("rank") + 1).alias("rank"), F.col("_s.index").alias("class"), F.col("_s.score").alias("score")
     )

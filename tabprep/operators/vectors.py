@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.functions import vectors as V
+from tabprep.functions.arrays import elements
 
 
 def cosine_scores(df: DataFrame, vector: Column, unit_rows: Column, out: str = "cosines") -> DataFrame:
@@ -29,7 +30,7 @@ def class_probabilities(
 def view_average(df: DataFrame, key: str, probs: str = "probs") -> DataFrame:
     """``(key, probs, prediction)``: mean class probabilities over the views of a sample."""
     mean = (
-        df.select(key, F.posexplode(probs).alias("pos", "p"))
+        elements(df, [key], probs, "p", "pos")
         .groupBy(key, "pos")
         .agg(F.avg("p").alias("p"))
         .groupBy(key)
@@ -43,7 +44,7 @@ def view_average(df: DataFrame, key: str, probs: str = "probs") -> DataFrame:
 def pool_long(df: DataFrame, group: str, vector: str) -> DataFrame:
     """``(group, pos, mean, max)`` over the vectors of a group, combined on the map side."""
     return (
-        df.select(group, F.posexplode(vector).alias("pos", "x"))
+        elements(df, [group], vector, "x", "pos")
         .groupBy(group, "pos")
         .agg(F.avg("x").alias("mean"), F.max("x").alias("max"))
     )

@@ -25,7 +25,9 @@ def shape():
 
 def equalize(df: DataFrame, clip: float = 6.0, rows: int = 8, cols: int = 8) -> DataFrame:
     """Contrast-limited adaptive equalisation of every channel."""
-    return df.withColumn("pixels", P.equalize(clip, rows, cols)("pixels", *SHAPE))
+    even = P.equalize(clip, rows, cols)("pixels", *SHAPE)
+    # the second use of `pixels` keeps a computed array out of the call, where Spark cannot run it
+    return df.withColumn("pixels", F.when(F.col("pixels").isNotNull(), even))
 
 
 def equalize_value(df: DataFrame, clip: float = 40.0, rows: int = 10, cols: int = 10) -> DataFrame:
@@ -40,7 +42,8 @@ def equalize_value(df: DataFrame, clip: float = 40.0, rows: int = 10, cols: int
 
 def resize(df: DataFrame, to_h: int, to_w: int) -> DataFrame:
     new = P.resize_nearest(F.col("pixels"), *shape(), F.lit(to_h), F.lit(to_w))
-    return df.withColumns({"pixels": new, "h": F.lit(to_h), "w": F.lit(to_w)})
+    # one after the other: inside a lambda, `withColumns` would read the new height and width
+    return df.withColumn("pixels", new).withColumns({"h": F.lit(to_h), "w": F.lit(to_w)})
 
 
 def image_prepare(

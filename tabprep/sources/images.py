@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabprep.functions.arrays import elements
 from tabprep.functions.pixels import bytes_to_pixels
+from tabprep.functions.vectors import let
 
 # fixed values: suffixes of a folder listing, case-sensitive
 FOLDER_GLOB = "*.{png,jpg,jpeg,bmp}"
@@ -64,10 +66,13 @@ def read_headered_set(spark: SparkSession, images: str, labels: str, pixels: int
     def parts(path: str, header: int, length: int) -> DataFrame:
         file = spark.read.format("binaryFile").load(path).select("content")
         n = F.conv(F.hex(F.substr("content", F.lit(5), F.lit(4))), 16, 10).cast("int")
-        cut = F.transform(
-            F.sequence(F.lit(0), n - 1), lambda i: F.substr("content", i * length + header + 1, F.lit(length))
+        at = F.sequence(F.lit(0), n - 1)
+        # `let` reads the bytes of the file once, not once per record
+        cut = let(
+            F.col("content"),
+            lambda all_: F.transform(at, lambda i: F.substr(all_, i * length + header + 1, F.lit(length))),
         )
-        return file.select(F.posexplode(cut).alias("position", "data"))
+        return elements(file, [], cut, "data", "position")
 
     named = parts(labels, _LABEL_HEADER, 1).select("position", byte_at("data", F.lit(1)).alias("label"))
     pictures = parts(images, _IMAGE_HEADER, pixels)
