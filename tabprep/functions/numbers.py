@@ -14,7 +14,7 @@ def round2_exact(x: Column) -> Column:
     Here ``x`` is scaled by a power of two to an integer and rounded in integer arithmetic.
     """
     a = F.abs(x)
-    bits = F.least(F.lit(53) - F.floor(F.log2(a)), F.lit(56)).cast("int")
+    bits = F.least(F.lit(53) - F.floor(F.log2(a)), F.lit(62)).cast("int")
     scaled = F.floor(a * F.pow(F.lit(2.0), bits)).cast("bigint") * 100
     q = F.call_function("shiftright", scaled, bits)
     rest = scaled - F.call_function("shiftleft", q, bits)
