@@ -17,7 +17,7 @@ FEATURES = ["quantity", "extendedprice", "discount", "tax"]
 
 def feat4(t: Tables) -> DataFrame:
     flag = F.col("l_returnflag")
-    return t.lineitem.select(
+    return t.spread("lineitem", "l_orderkey").select(
         *[F.col(f"l_{f}").alias(f) for f in FEATURES],
         F.when(flag == "A", 0).when(flag == "N", 1).when(flag == "R", 2).alias("label"),
     )

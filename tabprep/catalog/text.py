@@ -7,6 +7,7 @@ from tabprep.catalog.registry import Tables, query, u_sql, with_
 from tabprep.functions import text as X
 from tabprep.functions.seeded import u
 from tabprep.operators import augment, profile
+from tabprep.session import cut
 
 SEED = 42
 _WS = r"list_filter(regexp_split_to_array({}, '\s+'), lambda w: w <> '')"
@@ -14,7 +15,7 @@ _WS = r"list_filter(regexp_split_to_array({}, '\s+'), lambda w: w <> '')"
 
 def synonyms(t: Tables):
     """The 200 most frequent words, each with the next word and the next two joined by ``_``."""
-    top = augment.top_words(t.spread("documents", "doc_id"), ["text"], 202)
+    top = cut(augment.top_words(t.spread("documents", "doc_id"), ["text"], 202))
     shifted = {d: top.select(F.col("word").alias(f"w{d}"), (F.col("rank") - d).alias("rank")) for d in (1, 2)}
     joined = top.join(shifted[1], "rank").join(shifted[2], "rank")
     return joined.select("word", F.array("w1", F.concat_ws("_", "w1", "w2")).alias("synonyms"))
@@ -29,10 +30,9 @@ syn AS (SELECT a.w AS word, [b.w, concat(b.w, '_', c.w)] AS synonyms FROM rk a J
 def rewrites(t: Tables):
     """English texts of documents and conversations with their words in reverse order."""
     english = t.documents.filter("lang = 'en'").select("text").unionByName(t.conversations.select("text"))
-    distinct = english.distinct()
-    return distinct.select(
-        F.md5("text").alias("text_md5"), F.array_join(F.reverse(X.words(F.col("text"))), " ").alias("rewritten")
-    )
+    reverse = F.array_join(F.reverse(X.words(F.col("text"))), " ")
+    # read by the size check and by a join per side
+    return cut(english.distinct().select(F.md5("text").alias("text_md5"), reverse.alias("rewritten")))
 
 
 REWRITES = f"""rw AS (SELECT md5(text) AS text_md5, array_to_string(list_reverse({_WS.format('text')}), ' ') AS rewritten
@@ -153,12 +153,11 @@ _BOTH = with_(PAIRS, PROFILE, detect_sql("pairs", "id", "premise", "dp"), detect
 
 def _with_english(t: Tables, df):
     """The pairs with ``english``: both sides are."""
-    model = _profile(t)
-    for side in ("premise", "hypothesis"):
-        found = augment.detect_language(df, "id", side, model)
-        df = df.join(found.withColumnRenamed("language", f"{side}_lang"), "id")
-    english = (F.col("premise_lang") == "en") & (F.col("hypothesis_lang") == "en")
-    return df.withColumn("english", english).drop("premise_lang", "hypothesis_lang")
+    sides = [F.struct(F.col("id"), F.lit(s).alias("side"), F.col(s).alias("text")) for s in ("premise", "hypothesis")]
+    long = df.select(F.inline(F.array(*sides))).withColumn("part", F.struct("id", "side"))
+    found = augment.detect_language(long, "part", "text", _profile(t))
+    both = found.groupBy("part.id").agg(F.bool_and(F.col("language") == "en").alias("english"))
+    return df.join(both, "id")
 
 
 @query("english_gate", _BOTH + "SELECT id, label FROM pairs JOIN gate USING (id)")

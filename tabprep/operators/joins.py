@@ -20,15 +20,18 @@ def lookup_join(
     how: str = "left",
     salt_by: Column | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    dim_rows: int | None = None,
 ) -> DataFrame:
     """Join rows to a table that is unique on ``on``.
 
     The size of ``dim`` is checked. Small: broadcast. Large: both sides shuffle, the
     rows carry a salt so that a hot key spreads over ``SALTS`` tasks, and each row of
-    ``dim`` is repeated once per salt.
+    ``dim`` is repeated once per salt. ``dim_rows`` is its size if the caller knows it.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if dim.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if dim_rows is None:
+        dim_rows = dim.limit(broadcast_rows + 1).count()
+    if dim_rows <= broadcast_rows:
         return df.join(F.broadcast(dim), keys, how)
     spread = salt_by if salt_by is not None else F.struct(*df.columns)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))

@@ -1,21 +1,22 @@
 """Global order without a single-partition window: ordinals, running sums, exact quantiles.
 
-All three range-partition the data, work inside each range and add the totals of the
+All three cut the data into value ranges, work inside each range and add the totals of the
 ranges before it. Only one row per range and group travels to the offset window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabprep.operators.joins import lookup_join
 from tabprep.session import cut
 
-# Groups up to this many rows are summed by one ordinary window.
-SMALL_GROUP = 2_000_000
+# A group is cut into value ranges of about this many rows, at most MOST_BUCKETS of them.
+BUCKET_ROWS = 100_000
+MOST_BUCKETS = 4096
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
@@ -44,12 +45,12 @@ def with_ordinal(df: DataFrame, *order: Column | str, name: str = "ordinal") ->
     )
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
-def _largest(df: DataFrame, group: Sequence[str]) -> int:
-    return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+def _bounds(df: DataFrame, order: str, buckets: int, bucket_rows: int) -> DataFrame:
+    """``(_g, _bounds)``: values that cut each large group into even buckets; none for a small group."""
+    cuts = F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10_000)
+    sizes = df.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), cuts.alias("c"))
+    none = F.array().cast(sizes.schema["c"].dataType)
+    return sizes.select("_g", F.when(F.col("n") > bucket_rows, F.col("c")).otherwise(none).alias("_bounds"))
 
 
 def running_sums(
@@ -57,15 +58,24 @@ def running_sums(
     group: Sequence[str],
     order: str,
     sums: Sequence[str],
-    small_group: int = SMALL_GROUP,
+    bucket_rows: int = BUCKET_ROWS,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Per group, in order: ``<s>_run`` (inclusive), ``<s>_all`` and ``_next`` (following order value).
 
-    Rows must be unique on group and order, i.e. already aggregated.
+    Rows must be unique on group and a numeric order, i.e. already aggregated. A group of
+    more than ``bucket_rows`` rows is cut into value ranges that are summed side by side;
+    the sums of the ranges before are added afterwards. Where the ranges lie only decides
+    how even the tasks are, so approximate quantiles serve. ``at_most`` is a known bound
+    on the rows of ``df`` and saves counting them.
     """
     group = list(group)
-    df = cut(df)
-    if df.count() <= small_group or _largest(df, group) <= small_group:
+    if at_most is None or at_most > bucket_rows:
+        df = cut(df)
+        rows = df.count()
+    else:
+        rows = at_most
+    if rows <= bucket_rows:
         whole = Window.partitionBy(*group)
         ordered = whole.orderBy(order)
         upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -76,31 +86,37 @@ def running_sums(
             F.lead(order).over(ordered).alias("_next"),
         )
 
-    ranged = cut(df.repartitionByRange(*group, order).withColumn("_part", F.spark_partition_id()))
-    local = Window.partitionBy("_part", *group).orderBy(order)
+    # a struct key also matches groups whose name is NULL
+    keyed = df.withColumn("_g", F.struct(*group, F.lit(0).alias("_")))
+    buckets = min(MOST_BUCKETS, -(-rows // bucket_rows))
+    bounded = lookup_join(keyed, _bounds(keyed, order, buckets, bucket_rows), "_g", "inner", F.col(order))
+    below = F.filter("_bounds", lambda b: b < F.col(order))
+    bucketed = bounded.withColumn("_part", F.size(below)).drop("_bounds")
+
+    local = Window.partitionBy("_g", "_part").orderBy(order)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = ranged.select(
+    inside = bucketed.select(
         "*",
         *[F.sum(s).over(upto).alias(f"{s}_in") for s in sums],
         F.lead(order).over(local).alias("_next_in"),
     )
-    by_part = Window.partitionBy(*group).orderBy("_part")
+    # at most MOST_BUCKETS rows per group from here on
+    by_part = Window.partitionBy("_g").orderBy("_part")
     before = by_part.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
+    whole = Window.partitionBy("_g")
     offsets = (
-        ranged.groupBy("_part", *group)
+        bucketed.groupBy("_g", "_part")
         .agg(*[F.sum(s).alias(f"{s}_p") for s in sums], F.min(order).alias("_first"))
         .select(
+            "_g",
             "_part",
-            *group,
             *[F.coalesce(F.sum(f"{s}_p").over(before), F.lit(0)).alias(f"{s}_off") for s in sums],
             *[F.sum(f"{s}_p").over(whole).alias(f"{s}_all") for s in sums],
             F.lead("_first").over(by_part).alias("_next_part"),
         )
     )
-    keep = [inside[c] for c in df.columns]
-    return inside.join(offsets, _same(inside, offsets, ["_part", *group])).select(
-        *keep,
+    return inside.join(offsets, ["_g", "_part"]).select(
+        *df.columns,
         *[(F.col(f"{s}_in") + F.col(f"{s}_off")).alias(f"{s}_run") for s in sums],
         *[F.col(f"{s}_all") for s in sums],
         F.coalesce("_next_in", "_next_part").alias("_next"),
@@ -118,7 +134,7 @@ def exact_quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    small_group: int = SMALL_GROUP,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """``(*by, column, n, q0..qk)``: exact quantiles with linear interpolation, NULLs left out.
 
@@ -131,7 +147,7 @@ def exact_quantiles(
         .groupBy(*keys, "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_sums(counted, keys, "value", ["n"], small_group)
+    ranked = running_sums(counted, keys, "value", ["n"], bucket_rows)
     first, last = F.col("n_run") - F.col("n"), F.col("n_run") - 1
 
     def at(rank: Column) -> Column:

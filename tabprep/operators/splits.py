@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.operators.prefix import SMALL_GROUP, running_sums
+from tabprep.operators.prefix import BUCKET_ROWS, running_sums
 
 GAIN_PLACES = 12  # gains are compared after rounding, so equal splits tie
 
@@ -43,13 +43,15 @@ def split_scan(
     label: str,
     classes: Sequence[int],
     by: Sequence[str] = (),
-    small_group: int = SMALL_GROUP,
+    bucket_rows: int = BUCKET_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Every candidate split: ``(*by, feature_no, feature, threshold, gain, n, n_left)``.
 
     A candidate lies at the midpoint of two neighbouring distinct values. Rows are
     reduced to class counts per distinct value before anything is ordered; class counts
-    left of a boundary are running sums, so a boundary costs one row, not a rescan.
+    left of a boundary are running sums, so a boundary costs one row, not a rescan. ``rows``
+    is a known bound on the rows of ``df``.
     """
     pairs = F.array(
         *[
@@ -63,7 +65,7 @@ def split_scan(
         .agg(*[F.count_if(F.col("_y") == F.lit(c)).alias(f"c{i}") for i, c in enumerate(classes)])
     )
     sums = [f"c{i}" for i in range(len(classes))]
-    ran = running_sums(counted, [*by, "feature_no"], "value", sums, small_group)
+    ran = running_sums(counted, [*by, "feature_no"], "value", sums, bucket_rows, None if rows is None else rows * len(features))
 
     left = [F.col(f"{s}_run") for s in sums]
     both = [F.col(f"{s}_all") for s in sums]

@@ -32,6 +32,7 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
         F.col(label).alias("_y"),
         F.lit(1).cast("bigint").alias("node_id"),
     )
+    rows = cut(rows)
     levels = []
     for depth in range(max_depth + 1):
         per_class = [F.count_if(F.col("_y") == F.lit(c)) for c in classes]
@@ -45,7 +46,8 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
             (-majority["c"]).alias("label"),
         )
         if depth < max_depth:
-            found = best_of(split_scan(rows, features, "_y", classes, by=["node_id"]), by=["node_id"])
+            scan = split_scan(rows, features, "_y", classes, by=["node_id"], rows=rows.count())
+            found = best_of(scan, by=["node_id"])
             level = counts.join(found.select("node_id", *_SPLIT), "node_id", "left")
         else:
             empty = [F.lit(None).cast("int"), F.lit(None).cast("string"), F.lit(None).cast("double")]
@@ -58,9 +60,10 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
         )
         levels.append(level)
         split = level.filter(F.col("feature").isNotNull()).select("node_id", "feature_no", "threshold")
-        if depth == max_depth or split.isEmpty():
+        open_nodes = split.count()
+        if depth == max_depth or open_nodes == 0:
             break
-        rows = cut(_descend(rows, split, features))
+        rows = cut(_descend(rows, split, features, "inner", open_nodes))
     nodes = reduce(DataFrame.unionByName, levels)
     inner = F.col("feature").isNotNull()
     return nodes.select(
@@ -75,13 +78,15 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
     )
 
 
-def _descend(rows: DataFrame, split: DataFrame, features: Sequence[str], how: str = "inner") -> DataFrame:
+def _descend(
+    rows: DataFrame, split: DataFrame, features: Sequence[str], how: str, splits: int
+) -> DataFrame:
     """Move rows to the child their value points to; rows of leaves drop out of an inner join.
 
     Near the root one node holds most rows, so the join broadcasts the splits or salts the rows.
     """
     columns = [c for c in rows.columns if c != "node_id"]
-    joined = lookup_join(rows, split, "node_id", how, F.struct(*features))
+    joined = lookup_join(rows, split, "node_id", how, F.struct(*features), dim_rows=splits)
     value = F.get(F.array(*features), F.col("feature_no"))
     child = F.col("node_id") * 2 + (value > F.col("threshold")).cast("int")
     return joined.select(*columns, F.coalesce(child, F.col("node_id")).alias("node_id"))
@@ -99,10 +104,10 @@ def id3_predict(
     inner = nodes.filter(F.col("feature").isNotNull()).select(
         "node_id", "depth", "feature_no", bound.alias("threshold")
     )
-    depth = inner.agg(F.max("depth")).first()[0]
+    per_depth = inner.groupBy("depth").count().orderBy("depth").collect()  # one row per level
     rows = df.withColumn("node_id", F.lit(1).cast("bigint"))
-    for d in range(0 if depth is None else depth + 1):
-        rows = _descend(rows, inner.filter(F.col("depth") == d).drop("depth"), features, how="left")
+    for d, n in per_depth:
+        rows = _descend(rows, inner.filter(F.col("depth") == d).drop("depth"), features, "left", n)
     leaves = nodes.select("node_id", F.col("label").alias("prediction"))
     return lookup_join(rows, leaves, "node_id", "left", F.struct(*features)).drop("node_id")
 

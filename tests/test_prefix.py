@@ -29,7 +29,7 @@ def test_running_sums_both_ways(spark, group):
     rows = [(0 if rng.random() < 0.7 else rng.randrange(1, 4), v, rng.randrange(5)) for v in range(3000)]
     df = spark.createDataFrame(rows, "g INT, v INT, n BIGINT")
     small = prefix.running_sums(df, group, "v", ["n"])
-    large = prefix.running_sums(df, group, "v", ["n"], small_group=10)
+    large = prefix.running_sums(df, group, "v", ["n"], bucket_rows=10)
     assert sorted(small.collect()) == sorted(large.select(small.columns).collect())
 
 
@@ -39,14 +39,14 @@ def test_running_sums_null_group(spark):
     assert got == {(None, 1): (2, 5, 2), (None, 2): (5, 5, None), ("a", 1): (5, 5, None)}
 
 
-@pytest.mark.parametrize("small", [prefix.SMALL_GROUP, 5])
-def test_exact_quantiles(spark, small):
+@pytest.mark.parametrize("rows", [prefix.BUCKET_ROWS, 5])
+def test_exact_quantiles(spark, rows):
     rng = np.random.default_rng(3)
     a = rng.integers(0, 50, 997).astype(float)
     b = rng.normal(size=997)
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)] + [(None, None)], "a DOUBLE, b DOUBLE")
     probs = [0, 0.05, 0.25, 0.35, 0.5, 0.95, 1]
-    got = {r["column"]: r for r in prefix.exact_quantiles(df, ["a", "b"], probs, small_group=small).collect()}
+    got = {r["column"]: r for r in prefix.exact_quantiles(df, ["a", "b"], probs, bucket_rows=rows).collect()}
     for name, values in (("a", a), ("b", b)):
         assert got[name]["n"] == 997
         want = np.quantile(values, probs)

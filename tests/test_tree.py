@@ -88,7 +88,7 @@ def test_large_group_way_gives_the_same_candidates(spark):
     rows = [(rng.random(), rng.randrange(50) * 1.0, 0.0, rng.randrange(3)) for _ in range(400)]
     df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, c DOUBLE, label INT")
     small = splits.split_scan(df, NAMES, "label", [0, 1, 2])
-    large = splits.split_scan(df, NAMES, "label", [0, 1, 2], small_group=7)
+    large = splits.split_scan(df, NAMES, "label", [0, 1, 2], bucket_rows=7)
     assert sorted(small.collect()) == sorted(large.collect())
 
 
