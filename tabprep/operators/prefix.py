@@ -89,7 +89,8 @@ def running_sums(
     # a struct key also matches groups whose name is NULL
     keyed = df.withColumn("_g", F.struct(*group, F.lit(0).alias("_")))
     buckets = min(MOST_BUCKETS, -(-rows // bucket_rows))
-    bounded = lookup_join(keyed, _bounds(keyed, order, buckets, bucket_rows), "_g", "inner", F.col(order))
+    bounds = cut(_bounds(keyed, order, buckets, bucket_rows))
+    bounded = lookup_join(keyed, bounds, "_g", "inner", F.col(order))
     below = F.filter("_bounds", lambda b: b < F.col(order))
     bucketed = bounded.withColumn("_part", F.size(below)).drop("_bounds")
 
