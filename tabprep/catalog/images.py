@@ -9,6 +9,7 @@ import zlib
 
 import pandas as pd
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tabprep.catalog.registry import Tables, query, u_sql, with_
@@ -217,12 +218,18 @@ def _png(rgb: bytes, h: int, w: int) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
 
 
+def _folder(path: str):
+    """The file system and the folder of a path, made if missing; runs in the tasks."""
+    system, root = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+    system.create_dir(root, recursive=True)
+    return system, root
+
+
 def _write_files(df, path: str, encode) -> None:
     """Write one file per row ``(name, ...)`` in the tasks; a retried task writes the same files again."""
 
     def write(batches):
-        system, root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-        system.create_dir(root, recursive=True)
+        system, root = _folder(path)
         for batch in batches:
             for row in batch.itertuples():
                 with system.open_output_stream(f"{root}/{row.name}") as out:
@@ -232,6 +239,20 @@ def _write_files(df, path: str, encode) -> None:
     df.mapInPandas(write, "n BIGINT").agg(F.sum("n")).first()
 
 
+def _write_records(df, path: str, encode) -> None:
+    """Write one file of records per task."""
+
+    def write(batches):
+        system, root = _folder(path)
+        with system.open_output_stream(f"{root}/part-{TaskContext.get().partitionId()}.bin") as out:
+            for batch in batches:
+                for row in batch.itertuples():
+                    out.write(encode(row))
+                yield pd.DataFrame({"n": [len(batch)]})
+
+    df.mapInPandas(write, "n BIGINT").agg(F.sum("n")).first()
+
+
 def _image_files(t: Tables) -> str:
     """One PNG per embedding, image i being 8 + i % 5 wide rows of itself repeated; some broken, some other files."""
     path = scratch_path(t.spark, "images")
@@ -300,8 +321,8 @@ def class_image_sample(t: Tables):
   CAST(max(px) FILTER (pos = 0) AS INTEGER) AS first, CAST(max(px) FILTER (pos = 191) AS INTEGER) AS last FROM color GROUP BY image_id""")
 def scan_fixed_records(t: Tables):
     path = scratch_path(t.spark, "records")
-    files = color(t).select(F.concat(F.lit("r"), "image_id", F.lit(".bin")).alias("name"), "label", "pixels")
-    _write_files(files, path, lambda row: bytes([int(row.label), *(int(x) for x in row.pixels)]))
+    rows = color(t).select("label", "pixels")
+    _write_records(rows, path, lambda row: bytes([int(row.label), *(int(x) for x in row.pixels)]))
     records = scans.read_fixed_records(t.spark, path, 192)
     total = F.aggregate("pixels", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return records.select("label", total.alias("total"), F.get("pixels", F.lit(0)).alias("first"), F.get("pixels", F.lit(191)).alias("last"))

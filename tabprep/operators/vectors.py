@@ -28,9 +28,12 @@ def class_probabilities(
 
 
 def view_average(df: DataFrame, key: str, probs: str = "probs") -> DataFrame:
-    """``(key, probs, prediction)``: mean class probabilities over the views of a sample."""
+    """``(key, probs, prediction)``: mean class probabilities over the views of a sample.
+
+    The rows move once: both groupings keep to the partitioning by ``key``.
+    """
     mean = (
-        elements(df, [key], probs, "p", "pos")
+        elements(df.select(key, probs).repartition(key), [key], probs, "p", "pos")
         .groupBy(key, "pos")
         .agg(F.avg("p").alias("p"))
         .groupBy(key)
