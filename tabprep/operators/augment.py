@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from tabprep.functions import text as X
 from tabprep.functions.arrays import elements
 from tabprep.functions.seeded import u
-from tabprep.operators.joins import lookup_join
+from tabprep.operators.joins import lookup_join, measure
 from tabprep.session import cut
 
-# A dictionary of up to this many words travels as one value, in buckets of about eight words.
+# A dictionary up to this size travels as one value, in buckets of about eight words.
 DICTIONARY_WORDS = 300_000
+DICTIONARY_BYTES = 50_000_000
 _BUCKET_WORDS = 8
 
 
@@ -42,11 +43,11 @@ def with_dictionary(
 ) -> DataFrame:
     """Add a dictionary column that ``functions.text.look_up`` reads; ``dictionary`` is unique on ``word``.
 
-    Up to ``most`` words the whole dictionary is one value and the rows do not move. Beyond
+    Up to ``most`` words (and ``DICTIONARY_BYTES``) the whole dictionary is one value and the rows do not move. Beyond
     that each row gets a small dictionary of its own words by a salted join.
     """
-    n = dictionary.limit(most + 1).count()
-    if n <= most:
+    n, size = measure(dictionary)
+    if n <= most and size <= DICTIONARY_BYTES:
         return df.withColumn(out, as_buckets(dictionary, value, n))
     own = F.array_distinct(F.flatten(F.array(*[F.coalesce(X.words(F.col(t)), F.array()) for t in texts])))
     found = lookup_join(elements(df, [key], own, "word"), dictionary, "word", "inner", F.col(key))

@@ -8,11 +8,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dictionary side is broadcast only up to this many rows.
+# A dictionary side is broadcast only up to this many rows and bytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 200_000_000
 SALTS = 32
 
 
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows and the bytes of their text form, in one distributed pass."""
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return rows, size or 0
+
+
 def lookup_join(
     df: DataFrame,
     dim: DataFrame,
@@ -24,14 +32,14 @@ def lookup_join(
 ) -> DataFrame:
     """Join rows to a table that is unique on ``on``.
 
-    The size of ``dim`` is checked. Small: broadcast. Large: both sides shuffle, the
+    The size of ``dim`` is measured first. Small: broadcast. Large: both sides shuffle, the
     rows carry a salt so that a hot key spreads over ``SALTS`` tasks, and each row of
-    ``dim`` is repeated once per salt. ``dim_rows`` is its size if the caller knows it.
+    ``dim`` is repeated once per salt. A caller that knows a table of a few numbers per row
+    gives its ``dim_rows`` instead.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if dim_rows is None:
-        dim_rows = dim.limit(broadcast_rows + 1).count()
-    if dim_rows <= broadcast_rows:
+    rows, size = measure(dim) if dim_rows is None else (dim_rows, 0)
+    if rows <= broadcast_rows and size <= BROADCAST_BYTES:
         return df.join(F.broadcast(dim), keys, how)
     spread = salt_by if salt_by is not None else F.struct(*df.columns)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
