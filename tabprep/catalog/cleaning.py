@@ -177,7 +177,7 @@ def join_align(t: Tables):
   (SELECT 1 FROM documents o WHERE o.source = 'src0' AND o.text = d.text)""")
 def anti_join(t: Tables):
     seen = t.documents.filter("source = 'src0'")
-    return joins.not_in(t.documents, seen, "text").select("doc_id", "lang")
+    return joins.not_in(t.documents, seen, "text", "doc_id").select("doc_id", "lang")
 
 
 @query("lookup_join", """SELECT c_custkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")

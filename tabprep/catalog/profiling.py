@@ -153,8 +153,8 @@ _AUG = f"""aug AS (SELECT doc_id, CASE WHEN {u_sql(7, 'doc_id', "'aug'")} < 0.3
   (SELECT count(*) FROM aug a WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.text = a.text)) AS new_rows""")
 def augmentation_delta(t: Tables):
     longer = F.when(u(7, F.col("doc_id"), "aug") < 0.3, F.concat("text", F.lit(" and so on"))).otherwise(F.col("text"))
-    augmented = t.documents.filter("lang = 'en'").select(longer.alias("text"))
-    return profile.augmentation_delta(t.documents, augmented, "text")
+    augmented = t.documents.filter("lang = 'en'").select("doc_id", longer.alias("text"))
+    return profile.augmentation_delta(t.documents, augmented, "text", "doc_id")
 
 
 _WORDS = r"len(list_filter(regexp_split_to_array({}, '\s+'), lambda w: w <> ''))"

@@ -87,15 +87,15 @@ def map_categories(column: Column, mapping: Mapping) -> Column:
 
 def label_dictionary(df: DataFrame, label: str, row_key: str) -> DataFrame:
     """``(label, label_index)``: labels numbered from 0 in order of first appearance by ``row_key``."""
-    first = df.groupBy(label).agg(F.min(row_key).alias("_first"))
+    first = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.min(row_key).alias("_first"))
     numbered = with_ordinal(first, "_first", label)
     return numbered.select(label, (F.col("ordinal") - 1).cast("int").alias("label_index"))
 
 
 def label_index(df: DataFrame, label: str, row_key: str) -> tuple[DataFrame, DataFrame]:
-    """The table with ``label_index`` added, and the dictionary."""
+    """The table with ``label_index`` added (NULL where the label is), and the dictionary."""
     dictionary = label_dictionary(df, label, row_key)
-    return lookup_join(df, dictionary, label, "inner", F.col(row_key)), dictionary
+    return lookup_join(df, dictionary, label, "left", F.col(row_key)), dictionary
 
 
 def label_decode(df: DataFrame, dictionary: DataFrame, salt_by: Column | None = None) -> DataFrame:

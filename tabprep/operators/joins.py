@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabprep.session import cut
+
 # A dictionary side is broadcast only up to this many rows and bytes.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 200_000_000
@@ -53,9 +55,18 @@ def align(tables: dict[str, DataFrame], key: str, value: str) -> DataFrame:
     return reduce(lambda a, b: a.join(b, key), named)
 
 
-def not_in(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
-    """Rows whose value does not occur in ``other``; a NULL value is kept."""
-    return df.join(other.select(on).distinct(), on, "left_anti")
+def not_in(df: DataFrame, other: DataFrame, on: str, key: str | None = None) -> DataFrame:
+    """Rows whose value does not occur in ``other``; a NULL value is kept.
+
+    Values are compared by their SHA-256, so long texts of ``other`` shuffle as digests.
+    ``key`` is a row key of ``df`` by which the rows of a frequent value are spread.
+    """
+    digest = F.sha2(F.col(on).cast("string"), 256)
+    values = other.filter(F.col(on).isNotNull()).select(digest.alias("_digest")).distinct()
+    seen = cut(values).withColumn("_seen", F.lit(True))
+    salt = F.col(key) if key else None
+    marked = lookup_join(df.withColumn("_digest", digest), seen, "_digest", "left", salt)
+    return marked.filter(F.col("_seen").isNull()).drop("_digest", "_seen")
 
 
 def strip_suffix(c: Column | str, suffix: str) -> Column:

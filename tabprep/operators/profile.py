@@ -66,9 +66,14 @@ def language_counts(df: DataFrame, lang: str, unknown: str = "unknown") -> DataF
     return counts.withColumn("failed", F.col("language") == unknown).orderBy(F.desc("n"), "language")
 
 
-def augmentation_delta(original: DataFrame, augmented: DataFrame, column: str) -> DataFrame:
-    """One row: original rows, augmented rows, augmented rows whose text is new."""
-    new = not_in(augmented.select(column), original, column)
+def augmentation_delta(
+    original: DataFrame, augmented: DataFrame, column: str, key: str | None = None
+) -> DataFrame:
+    """One row: original rows, augmented rows, augmented rows whose text is new.
+
+    ``key`` is a row key of the augmented table, see :func:`tabprep.operators.joins.not_in`.
+    """
+    new = not_in(augmented, original, column, key)
     return original.agg(F.count(F.lit(1)).alias("original_rows")).select(
         "original_rows",
         augmented.agg(F.count(F.lit(1))).scalar().alias("augmented_rows"),

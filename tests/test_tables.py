@@ -61,6 +61,19 @@ def test_not_in_keeps_null(spark):
     assert {r.t for r in joins.not_in(a, b, "t").collect()} == {"y", None}
 
 
+def test_not_in_with_a_hot_value_and_no_broadcast(spark, monkeypatch):
+    a = spark.range(300).select(F.col("id").alias("k"), F.when(F.col("id") < 200, "hot").otherwise(F.col("id").cast("string")).alias("t"))
+    b = spark.createDataFrame([("hot",), ("250",), ("250",)], "t STRING")
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    assert sorted(r.k for r in joins.not_in(a, b, "t", "k").collect()) == [k for k in range(200, 300) if k != 250]
+
+
+def test_label_index_keeps_rows_without_label(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k INT, c STRING")
+    indexed, _ = clean.label_index(df, "c", "k")
+    assert sorted((r.k, r.label_index) for r in indexed.collect()) == [(1, 0), (2, None)]
+
+
 def test_stored_prediction_numbers(spark):
     """75 samples, 25 per class, three errors: 2 -> 3 once, 3 -> 2 twice."""
     pairs = [(1, 1)] * 25 + [(2, 2)] * 24 + [(2, 3)] + [(3, 3)] * 23 + [(3, 2)] * 2
