@@ -13,6 +13,9 @@ from tabprep.session import cut
 # A dictionary side is broadcast only up to this many rows and bytes.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 200_000_000
+# A key is hot above this many rows and above one in MOST_HOT of all rows, so at most MOST_HOT keys are.
+HOT_ROWS = 100_000
+MOST_HOT = 10_000
 SALTS = 32
 
 
@@ -34,18 +37,26 @@ def lookup_join(
 ) -> DataFrame:
     """Join rows to a table that is unique on ``on``.
 
-    The size of ``dim`` is measured first. Small: broadcast. Large: both sides shuffle, the
-    rows carry a salt so that a hot key spreads over ``SALTS`` tasks, and each row of
-    ``dim`` is repeated once per salt. A caller that knows a table of a few numbers per row
-    gives its ``dim_rows`` instead.
+    The size of ``dim`` is measured first. Small: broadcast. Large: both sides shuffle; rows
+    of a hot key carry a salt, so that they spread over ``SALTS`` tasks, and only the hot
+    rows of ``dim`` are repeated, once per salt. ``salt_by`` should differ from row to row.
+    A caller that knows a table of a few numbers per row gives its ``dim_rows`` instead.
     """
     keys = [on] if isinstance(on, str) else list(on)
     rows, size = measure(dim) if dim_rows is None else (dim_rows, 0)
     if rows <= broadcast_rows and size <= BROADCAST_BYTES:
         return df.join(F.broadcast(dim), keys, how)
     spread = salt_by if salt_by is not None else F.struct(*df.columns)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    counts = cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.filter(F.col("_n") > max(HOT_ROWS, total // MOST_HOT)).select(*keys, F.lit(SALTS).alias("_salts"))
+    unmatched = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    # at most MOST_HOT rows are broadcast
+    ways = F.when(unmatched, F.lit(SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    marked = df.join(F.broadcast(hot), keys, "left")
+    salted = marked.withColumn("_salt", F.pmod(F.xxhash64(spread), ways).cast("int")).drop("_salts")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    copies = dim.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(every)).drop("_salts")
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -45,14 +45,19 @@ def test_label_index_by_first_appearance(spark):
     assert clean.label_map_check(broken, "label_index", "c").first().one_to_one is False
 
 
-def test_lookup_join_broadcast_and_salted_agree(spark):
+@pytest.mark.parametrize("hot_rows", [50, 10**6])
+def test_lookup_join_broadcast_and_salted_agree(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
     # one key holds two thirds of the rows
     df = spark.range(900).select(F.col("id").alias("k"), F.when(F.col("id") < 600, 0).otherwise(F.col("id") % 7).alias("c"))
+    nothing = F.when(F.col("id") < 90, F.lit(None).cast("bigint"))
+    df = df.unionByName(spark.range(90).select((F.col("id") + 900).alias("k"), nothing.alias("c")))
     dim = spark.createDataFrame([(i, f"n{i}") for i in range(6)], "c BIGINT, name STRING")
     small = joins.lookup_join(df, dim, "c", salt_by=F.col("k"))
     salted = joins.lookup_join(df, dim, "c", salt_by=F.col("k"), broadcast_rows=2)
-    assert rows(small, "k", "c", F.coalesce("name", F.lit("-"))) == rows(salted, "k", "c", F.coalesce("name", F.lit("-")))
-    assert salted.count() == 900
+    columns = ["k", F.coalesce("c", F.lit(-1)), F.coalesce("name", F.lit("-"))]
+    assert rows(small, *columns) == rows(salted, *columns)
+    assert salted.count() == 990
 
 
 def test_not_in_keeps_null(spark):
@@ -65,6 +70,7 @@ def test_not_in_with_a_hot_value_and_no_broadcast(spark, monkeypatch):
     a = spark.range(300).select(F.col("id").alias("k"), F.when(F.col("id") < 200, "hot").otherwise(F.col("id").cast("string")).alias("t"))
     b = spark.createDataFrame([("hot",), ("250",), ("250",)], "t STRING")
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins, "HOT_ROWS", 10)
     assert sorted(r.k for r in joins.not_in(a, b, "t", "k").collect()) == [k for k in range(200, 300) if k != 250]
 
 
