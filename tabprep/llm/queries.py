@@ -77,3 +77,62 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
+
+
+@query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source is the owner; its part in one language is a repository."""
+    from tabprep.llm import secrets
+
+    repository = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
+    found = secrets.scan(table(spark, sf_dir, "documents"), "doc_id", "text", repository, F.col("source"))
+    base = F.filter("spans", lambda s: s["at"] < len(secrets.BASE))
+
+    def listed(spans: F.Column) -> F.Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ",")
+
+    def count(name: str) -> F.Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == name)).cast("long").alias(f"n_{name}")
+
+    def judged(verdict: str) -> F.Column:
+        return F.size(F.filter("spans", lambda s: s["verdict"] == verdict)).cast("long").alias(f"n_{verdict}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"), judged("live"), judged("example"),
+    )
+
+
+def _secrets_sql() -> str:
+    from tabprep.llm import secrets
+
+    kinds = [*secrets.BASE, secrets.OPAQUE]
+    cuts = []
+    for i, k in enumerate(kinds):
+        pattern = k.pattern.replace("'", "''")
+        keeps = f"length(v) >= {k.least}"
+        if k is secrets.OPAQUE:
+            keeps += " AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')"
+        cuts.append(
+            f"""SELECT doc_id, repository, owner, {i} AS k, '{k.name}' AS kind, e - length(w) AS b, e, v FROM (
+  SELECT *, CAST(sum(length(g) + length(w)) OVER (PARTITION BY doc_id ORDER BY n) AS BIGINT) AS e FROM (
+    SELECT doc_id, repository, owner, unnest(range(1, len(ws) + 1)) AS n, unnest(ws) AS w, unnest(vs) AS v, unnest(list_slice(gs, 1, len(ws))) AS g FROM (
+      SELECT doc_id, repository, owner, regexp_extract_all(text, '{pattern}', 0) AS ws, regexp_extract_all(text, '{pattern}', {k.group}) AS vs,
+        string_split_regex(text, '{pattern}') AS gs FROM doc WHERE regexp_matches(text, '{pattern}')))) WHERE {keeps}"""
+        )
+    return f"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner, coalesce(source, '') || '/' || coalesce(lang, '') AS repository FROM documents),
+found AS ({' UNION ALL '.join(cuts)}),
+held AS (SELECT v, count(DISTINCT owner) AS owners FROM found GROUP BY v),
+span AS (SELECT f.*, h.owners FROM found f JOIN held h USING (v) WHERE k < 3 OR (h.owners = 1 AND NOT EXISTS (
+  SELECT 1 FROM found x WHERE x.k < 3 AND x.doc_id = f.doc_id AND x.b < f.e AND x.e > f.b))),
+per AS (SELECT doc_id, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS c, count(*) FILTER (k = 2) AS h,
+  string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, k) FILTER (k < 3) AS base, string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, k) AS al,
+  count(*) FILTER (owners = 1) AS live, count(*) FILTER (owners >= {secrets.EXAMPLE_OWNERS}) AS example FROM span GROUP BY doc_id)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(al, '') AS spans, coalesce(live, 0) AS n_live, coalesce(example, 0) AS n_example
+FROM doc LEFT JOIN per USING (doc_id)
+"""
+
+
+ORACLES["op8_secrets"] = _secrets_sql()
