@@ -136,3 +136,23 @@ FROM doc LEFT JOIN per USING (doc_id)
 
 
 ORACLES["op8_secrets"] = _secrets_sql()
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabprep.llm import warc
+
+    index = warc.write_archives(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).cast("long")
+    return warc.resolve(warc.read_archives(index)).select(
+        page("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), page("refers_to").alias("refers_to")
+    )
+
+
+ORACLES["op3_warc"] = """
+WITH page AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+told AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS least FROM page)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN n < 100 OR page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> least THEN least END AS refers_to
+FROM told
+"""
