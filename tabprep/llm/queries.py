@@ -156,3 +156,15 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN n < 100 OR pa
   CASE WHEN n >= 100 AND page_id <> least THEN least END AS refers_to
 FROM told
 """
+
+
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tabprep.llm import token_files
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens = token_files.tokenize(table(spark, sf_dir, "documents"), "doc_id", "text", path, end=0)
+    manifest = token_files.write_files(tokens, "doc_id", "ids", token_files.id_width(path, 0))
+    return token_files.read_files(manifest, "doc_id", tokens.schema["doc_id"].dataType.simpleString())
