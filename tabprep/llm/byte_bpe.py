@@ -1,8 +1,8 @@
 """Byte-level BPE by ranks, with a hierarchical-bitmap rank queue.
 
 A pre-token is a linked list of symbols. Every adjacent pair that can merge stands in the
-bucket of its rank; bitmaps over the ranks, 64 to a word and word upon word, give the lowest
-rank in use by find-first-set. A merge changes two pairs at most, so a pre-token of n bytes
+bucket of its rank; a hierarchy of bitmaps over the ranks gives the lowest rank in use by
+find-first-set. A merge changes two pairs at most, so a pre-token of n bytes
 takes about n steps however long it is. Entries whose pair has since changed are stale and
 skipped when they come up.
 """
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tabprep.llm.common import map_arrow, text_of
 
-#: Pieces of a text that a worker remembers, and the longest of them in characters.
-REMEMBERED, LONGEST = 400_000, 48
+#: Strings that a worker's memo holds in each generation, and the longest of them in characters.
+REMEMBERED, LONGEST = 300_000, 48
 
 
 def default_path() -> str:
@@ -53,16 +53,17 @@ class Vocabulary:
 
 
 class RankQueue:
-    """Positions by rank; the lowest rank, and in it the leftmost position, comes first."""
+    """Positions by rank; the lowest rank, and in it the leftmost position, comes first.
+
+    Two levels of bitmaps: words over the ranks, and one word over the words. Both widths
+    are about the root of the number of ranks. An emptied queue is as good as new.
+    """
 
     def __init__(self, ranks: int):
-        self.levels: list[list[int]] = []
-        while True:
-            ranks = (ranks + 63) // 64
-            self.levels.append([0] * ranks)
-            if ranks <= 1:
-                break
-        self.down = self.levels[::-1]
+        self.shift = max(1, (ranks.bit_length() + 1) // 2)
+        self.bits = [1 << i for i in range(1 << self.shift)]
+        self.words = [0] * ((ranks >> self.shift) + 1)
+        self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
     def push(self, rank: int, position: int) -> None:
@@ -71,34 +72,28 @@ class RankQueue:
             heappush(bucket, position)
             return
         self.buckets[rank] = [position]
-        for level in self.levels:
-            word, bit = rank >> 6, 1 << (rank & 63)
-            old = level[word]
-            level[word] = old | bit
-            if old:
-                return
-            rank = word
+        word = rank >> self.shift
+        if not self.words[word]:
+            self.top |= 1 << word
+        self.words[word] |= self.bits[rank & len(self.bits) - 1]
 
     def pop(self) -> tuple[int, int]:
         """(rank, position), or (-1, -1) when nothing is left."""
-        rank = 0
-        for level in self.down:
-            bits = level[rank]
-            if not bits:
-                return -1, -1
-            rank = rank << 6 | (bits & -bits).bit_length() - 1
+        top = self.top
+        if not top:
+            return -1, -1
+        word = (top & -top).bit_length() - 1
+        bits = self.words[word]
+        lowest = bits & -bits
+        rank = (word << self.shift) + lowest.bit_length() - 1
         bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            at = rank
-            for level in self.levels:
-                word = at >> 6
-                level[word] &= ~(1 << (at & 63))
-                if level[word]:
-                    break
-                at = word
-        return rank, position
+        if len(bucket) > 1:
+            return rank, heappop(bucket)
+        del self.buckets[rank]
+        self.words[word] = bits ^ lowest
+        if bits == lowest:
+            self.top = top & (top - 1)
+        return rank, bucket[0]
 
 
 class Encoder:
@@ -113,6 +108,7 @@ class Encoder:
         self.queue = RankQueue(max(self.ranks.values()) + 1)
         self.split = regex.compile(vocabulary.pattern).findall
         self.blank = regex.compile(r"\s").match
+        self.known = Memo(lambda piece: np.array(self.pretoken(piece.encode()), "<u4").tobytes())
         self.first = Pieces(self.text, "", self.blank)
         self.later = Pieces(self.text, " ", self.blank)
 
@@ -162,16 +158,35 @@ class Encoder:
 
     def text(self, text: str) -> bytes:
         """The ids of a text as little-endian 32-bit integers."""
-        ids: list[int] = []
-        for piece in self.split(text):
-            ids += self.pretoken(piece.encode())
-        return np.array(ids, "<u4").tobytes()
+        return b"".join(map(self.known.__getitem__, self.split(text)))
 
     def __call__(self, text: str) -> bytes:
         return by_pieces(text, self.first, self.later, self.text)
 
 
-class Pieces(dict):
+class Memo(dict):
+    """What a function gave for short strings, in two generations of bounded size.
+
+    When the younger is full it replaces the older, so what is met again and again stays.
+    """
+
+    def __init__(self, make: Callable[[str], bytes | None]):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes | None:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
+class Pieces(Memo):
     """Ids of the pieces between the spaces of a text.
 
     A pre-token reaches over a space only if other blanks stand beside it. So where pieces
@@ -180,18 +195,7 @@ class Pieces(dict):
     """
 
     def __init__(self, encode: Callable[[str], bytes], before: str, blank: Callable):
-        super().__init__()
-        self.encode, self.before, self.blank = encode, before, blank
-
-    def __missing__(self, piece: str) -> bytes | None:
-        if not piece or self.blank(piece[0]) or self.blank(piece[-1]):
-            return None
-        ids = self.encode(self.before + piece)
-        if len(piece) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = ids
-        return ids
+        super().__init__(lambda piece: encode(before + piece) if piece and not blank(piece[0]) and not blank(piece[-1]) else None)
 
 
 def by_pieces(text: str, first: Pieces, later: Pieces, whole: Callable[[str], bytes]) -> bytes:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tabprep.session import scratch_path
 
 #: Bytes of text a task works on at once.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
