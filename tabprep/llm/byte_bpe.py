@@ -10,6 +10,7 @@ skipped when they come up.
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Callable
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -53,47 +54,73 @@ class Vocabulary:
 
 
 class RankQueue:
-    """Positions by rank; the lowest rank, and in it the leftmost position, comes first.
+    """Merges pre-tokens: a queue of pairs, lowest rank first and leftmost first within a rank.
 
-    Two levels of bitmaps: words over the ranks, and one word over the words. Both widths
-    are about the root of the number of ranks. An emptied queue is as good as new.
+    Positions stand in buckets by rank. Two levels of bitmaps tell which buckets are in use:
+    words over the ranks and one word over the words, both about as wide as the root of the
+    number of ranks. The queue is empty again after each pre-token.
     """
 
-    def __init__(self, ranks: int):
-        self.shift = max(1, (ranks.bit_length() + 1) // 2)
-        self.bits = [1 << i for i in range(1 << self.shift)]
-        self.words = [0] * ((ranks >> self.shift) + 1)
-        self.top = 0
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.longest = max(map(len, ranks))
+        most = max(ranks.values())
+        self.shift = max(1, (most.bit_length() + 1) // 2)
+        self.words = [0] * ((most >> self.shift) + 1)
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        word = rank >> self.shift
-        if not self.words[word]:
-            self.top |= 1 << word
-        self.words[word] |= self.bits[rank & len(self.bits) - 1]
-
-    def pop(self) -> tuple[int, int]:
-        """(rank, position), or (-1, -1) when nothing is left."""
-        top = self.top
-        if not top:
-            return -1, -1
-        word = (top & -top).bit_length() - 1
-        bits = self.words[word]
-        lowest = bits & -bits
-        rank = (word << self.shift) + lowest.bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        del self.buckets[rank]
-        self.words[word] = bits ^ lowest
-        if bits == lowest:
-            self.top = top & (top - 1)
-        return rank, bucket[0]
+    def merge(self, piece: bytes) -> list[int]:
+        """The ids of one pre-token."""
+        get, longest = self.ranks.get, self.longest
+        words, buckets, shift, mask = self.words, self.buckets, self.shift, (1 << self.shift) - 1
+        n, top = len(piece), 0
+        # symbol i stands for piece[i:following[i]]; rank[i] is that of its merge with the next one
+        following, preceding, rank = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
+        changed = [(i, i + 2) for i in range(n - 1)]
+        while True:
+            for i, end in changed:
+                r = get(piece[i:end], -1) if end - i <= longest else -1
+                rank[i] = r
+                if r >= 0:
+                    if r in buckets:
+                        heappush(buckets[r], i)
+                    else:
+                        buckets[r] = [i]
+                        word = r >> shift
+                        if not words[word]:
+                            top |= 1 << word
+                        words[word] |= 1 << (r & mask)
+            while top:
+                word = (top & -top).bit_length() - 1
+                bits = words[word]
+                lowest = bits & -bits
+                r = (word << shift) + lowest.bit_length() - 1
+                bucket = buckets[r]
+                i = heappop(bucket)
+                if not bucket:
+                    del buckets[r]
+                    words[word] = bits ^ lowest
+                    if bits == lowest:
+                        top &= top - 1
+                if rank[i] == r:
+                    break
+            else:
+                break
+            gone = following[i]
+            after = following[gone]
+            following[i] = after
+            rank[gone] = rank[i] = -1
+            changed = []
+            if after < n:
+                preceding[after] = i
+                changed.append((i, following[after]))
+            if preceding[i] >= 0:
+                changed.append((preceding[i], after))
+        out, i = [], 0
+        while i < n:
+            out.append(get(piece[i : following[i]]))
+            i = following[i]
+        return out
 
 
 class Encoder:
@@ -104,57 +131,19 @@ class Encoder:
 
         self.ranks = vocabulary.ranks()
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.longest = max(map(len, self.ranks))
-        self.queue = RankQueue(max(self.ranks.values()) + 1)
+        self.queue = RankQueue(self.ranks)
         self.split = regex.compile(vocabulary.pattern).findall
         self.blank = regex.compile(r"\s").match
-        self.known = Memo(lambda piece: np.array(self.pretoken(piece.encode()), "<u4").tobytes())
+        self.known = Memo(self.pretoken)
         self.first = Pieces(self.text, "", self.blank)
         self.later = Pieces(self.text, " ", self.blank)
 
-    def pretoken(self, piece: bytes) -> list[int]:
-        """The ids of one pre-token."""
-        ranks, longest, queue = self.ranks, self.longest, self.queue
-        if piece in ranks:
-            return [ranks[piece]]
-        n = len(piece)
-        # symbol i stands for piece[i:following[i]]; rank[i] is that of its merge with the next one
-        following, preceding, rank = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
-        for i in range(n - 1):
-            r = ranks.get(piece[i : i + 2], -1)
-            if r >= 0:
-                rank[i] = r
-                queue.push(r, i)
-        while True:
-            r, i = queue.pop()
-            if r < 0:
-                break
-            if rank[i] != r:
-                continue  # stale
-            gone = following[i]
-            after = following[gone]
-            following[i] = after
-            rank[gone] = -1
-            r = -1
-            if after < n:
-                preceding[after] = i
-                end = following[after]
-                if end - i <= longest:
-                    r = ranks.get(piece[i:end], -1)
-                    if r >= 0:
-                        queue.push(r, i)
-            rank[i] = r
-            before = preceding[i]
-            if before >= 0:
-                r = ranks.get(piece[before:after], -1) if after - before <= longest else -1
-                rank[before] = r
-                if r >= 0:
-                    queue.push(r, before)
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i : following[i]]])
-            i = following[i]
-        return out
+    def pretoken(self, piece: str) -> bytes:
+        """The ids of one pre-token as little-endian 32-bit integers."""
+        raw = piece.encode()
+        whole = self.ranks.get(raw)
+        ids = self.queue.merge(raw) if whole is None else (whole,)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def text(self, text: str) -> bytes:
         """The ids of a text as little-endian 32-bit integers."""
