@@ -6,102 +6,32 @@ is a sufficient prefix, and the rarest in the corpus is taken. Document shingles
 these; where one does, its position in the window fixes where the window would begin, the
 document's length bounds it, and its words are compared.
 
-Texts are read as bytes in numpy: a word's hash is a difference of running sums. What a
-task carries is a bitmap of fixed size over the wanted shingles; it lets through some others,
+Texts are read as bytes in numpy. What a task carries is a bitmap of fixed size over the wanted shingles; it lets through some others,
 which the joins drop.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import flat, slices, stored, text_of
+from tabprep.llm.common import slices, stored, text_of
+from tabprep.llm.words import HASHED, LETTERS, Words
 
 #: Words of a shingle.
 SHINGLE = 3
 #: Bits of the bitmap: 2 to this power at least and at most, 32 per wanted shingle between.
 LEAST_BITS, MOST_BITS = 12, 24
-#: Bytes of text hashed at once; a longer text is hashed by itself.
-HASHED = 1 << 20
-
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_WORD = np.zeros(256, bool)
-_WORD[0x30:0x3A] = _WORD[0x61:0x7B] = _WORD[0x80:] = True
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
-
-
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64, and of its inverse."""
-    base = 0x5851F42D4C957F2D
-    up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
-class Words:
-    """The words of some texts: lowered bytes, where words begin and end, the texts' first words, hashes."""
-
-    def __init__(self, column: pa.Array):
-        raw, borders = flat(column)
-        self.data = _LOWER[raw]
-        inside = np.zeros(len(raw) + 1, bool)
-        inside[:-1] = _WORD[self.data]
-        before = np.zeros(len(raw) + 1, bool)
-        before[1:] = inside[:-1]
-        before[borders] = False
-        self.starts = np.flatnonzero(inside & ~before)
-        after = np.zeros(len(raw) + 1, bool)
-        after[:-1] = inside[1:]
-        cut = borders[borders > 0] - 1
-        after[cut] = False
-        self.ends = np.flatnonzero(inside & ~after) + 1
-        self.first = np.searchsorted(self.starts, borders)
-        up, down = _powers(1 << max(20, int(len(raw)).bit_length()))
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * up[: len(raw)], out=sums[1:])
-        self.hashes = _mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
-
-    def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the runs of ``size`` words from each word on, and whether the run ends in its text."""
-        n = len(self.hashes) - size + 1
-        if n <= 0:
-            return np.zeros(0, np.uint64), np.zeros(0, bool)
-        out = np.full(n, size, np.uint64)
-        for k in range(size):
-            out = _mix(out * _STEP + self.hashes[k : k + n])
-        last = np.repeat(self.first[1:], np.diff(self.first))[:n]
-        return out, np.arange(n) + size <= last
-
-    def text(self, a: int, b: int) -> str:
-        """Words a to b, joined by spaces."""
-        own = self.data[self.starts[a] : self.ends[b - 1]].tobytes()
-        at = int(self.starts[a])
-        return " ".join(own[s - at : e - at].decode() for s, e in zip(self.starts[a:b].tolist(), self.ends[a:b].tolist(), strict=True))
-
-
 def _windows(items: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """``item, window, len, shingles``: the windows of every item; an item with fewer words is one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1, HASHED):
-            words = Words(part.column(1))
+            words = Words(part.column(1), LETTERS)
             hashes = {s: words.shingles(s)[0] for s in range(1, SHINGLE + 1)}
             at, item, window, lens, parts = words.first.tolist(), [], [], [], []
             for i, name in enumerate(part.column(0).to_pylist()):
@@ -149,7 +79,7 @@ def _counts(docs: DataFrame, wanted: Bitmap) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 0, HASHED):
-            words = Words(part.column(0))
+            words = Words(part.column(0), LETTERS)
             found = []
             for size in range(1, SHINGLE + 1):
                 hashes, whole = words.shingles(size)
@@ -166,7 +96,7 @@ def _hits(docs: DataFrame, prefixes: Bitmap, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1, HASHED):
-            words = Words(part.column(1))
+            words = Words(part.column(1), LETTERS)
             hits: list[list[dict]] = [[] for _ in range(part.num_rows)]
             for short in range(1, SHINGLE + 1):
                 hashes, whole = words.shingles(short)

@@ -168,3 +168,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = token_files.tokenize(table(spark, sf_dir, "documents"), "doc_id", "text", path, end=0)
     manifest = token_files.write_files(tokens, "doc_id", "ids", token_files.id_width(path, 0))
     return token_files.read_files(manifest, "doc_id", tokens.schema["doc_id"].dataType.simpleString())
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample: one row per document that is kept."""
+    from tabprep.llm import importance
+
+    rows, _ = importance.resample(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "labels"))
+    return rows.filter("kept").select("doc_id", "log_ratio", "score", "kept")
