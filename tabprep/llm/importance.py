@@ -28,7 +28,7 @@ GRAM = 4
 #: Target documents that the target model is fitted on, at most; those with the lowest hashes.
 SAMPLE = 50_000
 #: Added to every count.
-PRIOR = 0.1
+PRIOR = 1.0
 #: What a mean log ratio of one nat weighs against the noise.
 SHARPNESS = 1000.0
 #: Scores are compared in steps of one over this.
@@ -61,8 +61,10 @@ class Ratio:
 
     @classmethod
     def of(cls, target: np.ndarray, raw: np.ndarray) -> Ratio:
-        share = lambda n: np.log((n + PRIOR) / (n.sum() + PRIOR * len(n)))
-        return cls((share(target) - share(raw)).astype(np.float32))
+        # the raw counts as they would be in as much text as the target's, so that a rare
+        # n-gram, absent from the target by chance, says little
+        expected = raw * (target.sum() / max(1.0, raw.sum()))
+        return cls(np.log((target + PRIOR) / (expected + PRIOR)).astype(np.float32))
 
     def mean(self, column: pa.Array) -> np.ndarray:
         bucket, text = grams(column)
