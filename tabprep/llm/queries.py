@@ -177,3 +177,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows, _ = importance.resample(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "labels"))
     return rows.filter("kept").select("doc_id", "log_ratio", "score", "kept")
+
+
+@query
+def op9_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabprep.llm import log_bilinear
+
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return log_bilinear.score(table(spark, sf_dir, "documents"), "doc_id", "text", held_out)
