@@ -185,3 +185,23 @@ def op9_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
     return log_bilinear.score(table(spark, sf_dir, "documents"), "doc_id", "text", held_out)
+
+
+@query
+def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabprep.llm import cross_polytope
+
+    found = cross_polytope.neighbours(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", cosine=0.9)
+    return found.select("vec_id", "n_links", F.col("component").alias("component_id"), F.col("vec_id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+ORACLES["op4_cross_polytope"] = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS n FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(e, e) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id WHERE list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, c AS component_id, vec_id = c AS kept FROM v JOIN least ON vec_id = least.a LEFT JOIN n ON vec_id = n.a
+"""
