@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tabprep.llm.common import map_arrow, text_of
 
 #: Strings that a worker's memo holds in each generation, and the longest of them in characters.
-REMEMBERED, LONGEST = 300_000, 48
+REMEMBERED, LONGEST = 200_000, 48
 
 
 def default_path() -> str:
@@ -152,6 +152,10 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         return by_pieces(text, self.first, self.later, self.text)
 
+    def decode(self, ids: bytes) -> bytes:
+        """The bytes that little-endian 32-bit ids stand for."""
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
 
 class Memo(dict):
     """What a function gave for short strings, in two generations of bounded size.
@@ -207,24 +211,27 @@ def encoder_of(content: bytes, pattern: str) -> Encoder:
     return Encoder(Vocabulary(content, pattern))
 
 
-def encode(df: DataFrame, key: str, text: str, vocabulary: Vocabulary) -> DataFrame:
-    """The token ids of every whole text: ``key, n_tokens, ids``.
+def encode(df: DataFrame, key: str, text: str, vocabulary: Vocabulary, decoded: bool = False) -> DataFrame:
+    """The token ids of every whole text: ``key, n_tokens, ids``, and on request ``decoded``.
 
-    ``ids`` are little-endian unsigned 32-bit integers in one binary value. Null and empty
-    texts have no tokens; keys may be null or repeat, each row stands for itself; an empty
-    table gives an empty result; other columns are not read. Special tokens are not looked for.
+    ``ids`` are little-endian unsigned 32-bit integers in one binary value; ``decoded`` are the
+    bytes that they decode to, made by the same task. Null and empty texts have no tokens;
+    keys may be null or repeat, each row stands for itself; an empty table gives an empty
+    result; other columns are not read. Special tokens are not looked for.
 
     A map over Arrow batches: rows do not move, and a task holds one slice of texts.
     """
     content, pattern = vocabulary.content, vocabulary.pattern
 
     def run(batch: pa.RecordBatch) -> dict:
-        ids = list(map(encoder_of(content, pattern), batch.column(1).to_pylist()))
-        return {"key": batch.column(0), "n_tokens": [len(x) // 4 for x in ids], "ids": ids}
+        encoder = encoder_of(content, pattern)
+        ids = list(map(encoder, batch.column(1).to_pylist()))
+        out = {"key": batch.column(0), "n_tokens": [len(x) // 4 for x in ids], "ids": ids}
+        return out | {"decoded": list(map(encoder.decode, ids))} if decoded else out
 
     kind = df.schema[key].dataType.simpleString()
-    out = map_arrow(df.select(F.col(key).alias("key"), text_of(text).alias("text")), run, f"key {kind}, n_tokens bigint, ids binary")
-    return out.withColumnRenamed("key", key)
+    schema = f"key {kind}, n_tokens bigint, ids binary" + ", decoded binary" * decoded
+    return map_arrow(df.select(F.col(key).alias("key"), text_of(text).alias("text")), run, schema).withColumnRenamed("key", key)
 
 
 def decode(df: DataFrame, ids: str, vocabulary: Vocabulary, out: str = "decoded") -> DataFrame:
@@ -237,7 +244,6 @@ def decode(df: DataFrame, ids: str, vocabulary: Vocabulary, out: str = "decoded"
 
     @F.pandas_udf("binary")
     def run(column: pd.Series) -> pd.Series:
-        token = encoder_of(content, pattern).tokens.__getitem__
-        return column.map(lambda x: None if x is None else b"".join(map(token, np.frombuffer(x, "<u4").tolist())))
+        return column.map(encoder_of(content, pattern).decode, na_action="ignore")
 
     return df.withColumn(out, run(F.col(ids)))

@@ -30,6 +30,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows, stored with a number of their own in a new column, and the column's name.
+
+    Numbers tell rows apart whose keys are null or repeat, and stay the same in later reads.
+    """
+    column = "row"
+    while column.lower() in {c.lower() for c in df.columns}:
+        column += "_"
+    return stored(df.withColumn(column, F.monotonically_increasing_id()), name), column
+
+
 def text_of(column: str) -> F.Column:
     """The text; a null reads as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import slices, stored, text_of
+from tabprep.llm.common import numbered, slices, stored, text_of
 from tabprep.llm.words import HASHED, LETTERS, Words
 
 #: Words of a shingle.
@@ -160,6 +160,13 @@ def contamination(df: DataFrame, key: str, text: str, items: DataFrame, item_key
     named = windows.filter("item is not null").select(F.col("item").cast("string").alias("item"), "window").distinct()
     of = matches.select("row", "window").distinct().join(named, "window").groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
     none = F.array().cast("array<string>")
-    return rows.select("row", F.col("key").alias(key), "n_words").join(hit, "row", "left").join(of, "row", "left").select(
-        key, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items")
+    return rows.select("row", "key", "n_words").join(hit, "row", "left").join(of, "row", "left").select(
+        F.col("key").alias(key), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items")
     )
+
+
+def clean(df: DataFrame, text: str, items: DataFrame, item_key: str, item_text: str, size: int = 10) -> DataFrame:
+    """The rows of ``df`` that hold no window of an item, with all columns."""
+    docs, row = numbered(df, "documents")
+    found = contamination(docs, row, text, items, item_key, item_text, size).filter("n_hit > 0").select(row)
+    return docs.join(found, row, "left_anti").select(*(F.col(f"`{c}`") for c in df.columns))

@@ -23,8 +23,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabprep.llm import byte_bpe
 
     vocabulary = byte_bpe.Vocabulary.of_file(byte_bpe.default_path())
-    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary)
-    return byte_bpe.decode(ids, "ids", vocabulary).select(
+    return byte_bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary, decoded=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

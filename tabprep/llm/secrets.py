@@ -134,7 +134,7 @@ def scan(df: DataFrame, key: str, text: str, repository: F.Column, owner: F.Colu
         F.array_sort(F.collect_list(F.struct("begin", "at", "kind", "end", "digest", "owners", "repositories", "verdict"))).alias("spans")
     )
     none = F.array().cast(listed.schema["spans"].dataType)
-    return rows.select("row", F.col("key").alias(key)).join(listed, "row", "left").select(key, F.coalesce("spans", none).alias("spans"))
+    return rows.select("row", "key").join(listed, "row", "left").select(F.col("key").alias(key), F.coalesce("spans", none).alias("spans"))
 
 
 def redact(df: DataFrame, text: str, repository: F.Column, owner: F.Column, mark: str = "[SECRET]") -> DataFrame:

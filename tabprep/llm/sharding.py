@@ -62,13 +62,13 @@ def assign(df: DataFrame, key: str, text: str, shards: int) -> DataFrame:
     of (shard, key), so no task grows with a shard. Offsets are sums of counts per range.
     """
     narrow = df.select(
-        F.col(key),
+        F.col(key).alias("key"),
         (F.octet_length(text_of(text)) + F.lit(8)).cast("long").alias("size"),
         F.crc32(text_of(text)).alias("text_crc32"),
         shard_of(F.col(key), shards).alias("shard"),
         shard_of(F.col(key), shards + 1).alias("grown_shard"),
     )
-    order = ["shard", key, "text_crc32", "size"]
+    order = ["shard", "key", "text_crc32", "size"]
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(shards, np.int64)
@@ -89,7 +89,7 @@ def assign(df: DataFrame, key: str, text: str, shards: int) -> DataFrame:
         .select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     )
     return rows.join(offsets, ["shard", "part"]).select(
-        key, "size", "text_crc32", F.lit("key").alias("law"), "shard",
+        F.col("key").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard",
         (F.col("offset") + F.col("local")).alias("slot"), "grown_shard",
     )
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import map_arrow, stored, text_of
+from tabprep.llm.common import map_arrow, numbered, stored, text_of
 from tabprep.llm.components import components
 
 #: Seed of the shingle hash.
@@ -153,10 +153,22 @@ def groups(df: DataFrame, key: str, text: str, length: int = 3, bits: int = 2) -
     Documents with one fingerprint are one class: only distinct fingerprints are searched,
     so thousands of copies cost one row.
     """
-    rows = stored(fingerprints(df, key, text, length), "fingerprints")
-    prints = rows.groupBy("fp").agg(F.min(key).alias("least"))
+    rows = stored(fingerprints(df.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", "text", length), "fingerprints")
+    prints = rows.groupBy("fp").agg(F.min("key").alias("least"))
     tied = components(links(prints, bits), "a", "b").withColumnRenamed("node", "fp")
     classes = prints.join(tied, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     named = classes.groupBy("component").agg(F.min("least").alias("name"))
     found = classes.join(named, "component").select("fp", F.col("name").alias("component"))
-    return rows.join(found, "fp").select(key, "fp", "component")
+    return rows.join(found, "fp").select(F.col("key").alias(key), "fp", "component")
+
+
+def keep_one(df: DataFrame, key: str, text: str, length: int = 3, bits: int = 2) -> DataFrame:
+    """The rows of ``df``, one of each near-duplicate group: that with the smallest key.
+
+    Null keys come last; of repeated keys one row stays. All columns are kept.
+    """
+    docs, row = numbered(df, "documents")
+    found = groups(docs, row, text, length, bits).select(F.col(row).alias("row"), F.col("component").alias("group"))
+    keys = docs.select(F.col(row).alias("row"), F.col(key).alias("key"))
+    first = keys.join(found, "row").groupBy("group").agg(F.min(F.struct(F.col("key").isNull(), "key", "row")).alias("first"))
+    return docs.join(first.select(F.col("first.row").alias(row)), row, "left_semi").select(*(F.col(f"`{c}`") for c in df.columns))

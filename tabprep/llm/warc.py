@@ -248,6 +248,6 @@ def fetch(index: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.binary())], names=["key", "record"])
 
     kind = index.schema[key].dataType.simpleString()
-    found = index.join(wanted.select(key).distinct(), key).withColumnRenamed(key, "key")
+    found = index.join(wanted.select(key).distinct(), key).select(F.col(key).alias("key"), "file", "frame", "offset", "length")
     ordered = found.repartition("file", "frame").sortWithinPartitions("file", "frame", "offset")
     return ordered.mapInArrow(run, f"key {kind}, record binary").withColumnRenamed("key", key)
