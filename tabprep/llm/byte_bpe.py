@@ -172,12 +172,15 @@ class Memo(dict):
         if value is None:
             value = self.make(key)
         if len(key) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
+            self.make_room(1)
             self[key] = value
         return value
 
+    def make_room(self, n: int) -> None:
+        if len(self) + n > REMEMBERED and self:
+            self.older = dict(self)
+            self.clear()
+
 
 class Pieces(Memo):
     """Ids of the pieces between the spaces of a text.

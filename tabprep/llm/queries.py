@@ -163,10 +163,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from tabprep.llm import token_files
 
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    tokens = token_files.tokenize(table(spark, sf_dir, "documents"), "doc_id", "text", path, end=0)
-    manifest = token_files.write_files(tokens, "doc_id", "ids", token_files.id_width(path, 0))
-    return token_files.read_files(manifest, "doc_id", tokens.schema["doc_id"].dataType.simpleString())
+    docs = table(spark, sf_dir, "documents")
+    tokenizer = token_files.Tokenizer.of_file(public_tokenizers.path("byte_bpe_50k.json"), end=0)
+    manifest = token_files.write_files(docs, "doc_id", "text", tokenizer)
+    return token_files.read_files(manifest, "doc_id", docs.schema["doc_id"].dataType.simpleString())
 
 
 @query

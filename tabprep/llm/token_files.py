@@ -12,9 +12,11 @@ bits, samples, ids.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -23,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.byte_bpe import Pieces, by_pieces
+from tabprep.llm.byte_bpe import LONGEST, Pieces, by_pieces
 from tabprep.llm.common import map_arrow, slices, stored, text_of
 from tabprep.llm.files import new_folder, new_name, reader, write
 
@@ -32,7 +34,7 @@ HEAD = struct.Struct("<4sBBBxQQ5Q")
 #: Ones between two samples.
 EVERY = 512
 #: Bytes of ids after which a file is closed.
-FILE = 32 << 20
+FILE = 16 << 20
 
 
 class EliasFano:
@@ -120,32 +122,80 @@ class TokenFile:
         self.file.close()
 
 
-class _Tokenizer:
-    """A tokenizer of the tokenizers library with the ids of short pieces kept."""
+@dataclass(frozen=True)
+class Tokenizer:
+    """A byte-level BPE tokenizer file, the id that ends each document, and the bytes per id."""
 
-    def __init__(self, model: str, width: int):
-        from tokenizers import Tokenizer
+    model: str
+    end: int
+    width: int
 
-        self.width = width
-        self.model = Tokenizer.from_str(model)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
+    @classmethod
+    def of_file(cls, path: str, end: int) -> Tokenizer:
+        import tokenizers
+
+        with open(path, encoding="utf-8") as f:
+            model = f.read()
+        if not splits_at_spaces(model):
+            raise ValueError("only byte-level BPE without a normaliser is supported")
+        ids = max(tokenizers.Tokenizer.from_str(model).get_vocab_size(), end + 1)
+        return cls(model, end, 2 if ids <= 1 << 16 else 4)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids and the end id, little endian. Special tokens' strings are ordinary text."""
+        last = self.end.to_bytes(self.width, "little")
+        return [ids + last for ids in _worker(self)(texts)]
+
+
+class _Worker:
+    """A loaded tokenizer, with the ids of short pieces kept."""
+
+    def __init__(self, told: Tokenizer):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
+        import tokenizers
+
+        self.kind = f"<u{told.width}"
+        self.model = tokenizers.Tokenizer.from_str(told.model)
+        self.model.encode_special_tokens = True
+        tokens = self.model.get_vocab(with_added_tokens=False)
+        self.after_space = np.zeros(max(tokens.values()) + 1, bool)
+        self.after_space[[i for token, i in tokens.items() if token.startswith("Ġ")]] = True  # how a space is written
         self.first, self.later = Pieces(self.text, "", _blank), Pieces(self.text, " ", _blank)
 
-    def text(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def __call__(self, text: str) -> bytes:
-        return by_pieces(text, self.first, self.later, self.text)
+    def text(self, text: str) -> bytes:
+        return self.ids(text).tobytes()
+
+    def learn(self, texts: list[str]) -> None:
+        """Encode the unknown pieces of some texts in one go; a token that starts with a space starts a piece."""
+        new: set[str] = set()
+        for text in texts:
+            new.update(text.split(" ")[1:])
+        later = self.later
+        unknown = [p for p in new if p not in later and p not in later.older and 0 < len(p) <= LONGEST and not _blank(p[0]) and not _blank(p[-1])]
+        later.make_room(len(unknown))
+        for at in range(0, len(unknown), 4096):
+            part = unknown[at : at + 4096]
+            ids = self.ids(" " + " ".join(part))
+            raw, size = ids.tobytes(), ids.itemsize
+            borders = [*(np.flatnonzero(self.after_space[ids]) * size).tolist(), len(raw)]
+            later.update(zip(part, (raw[a:b] for a, b in zip(borders[:-1], borders[1:], strict=True)), strict=True))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        self.learn(texts)
+        return [by_pieces(t, self.first, self.later, self.text) for t in texts]
 
 
 def _blank(character: str) -> bool:
     return character.isspace()
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(model: str, width: int) -> _Tokenizer:
+@lru_cache(maxsize=1)
+def _worker(told: Tokenizer) -> _Worker:
     """A Python worker's tokenizer, which outlives its tasks."""
-    return _Tokenizer(model, width)
+    return _Worker(told)
 
 
 def splits_at_spaces(model: str) -> bool:
@@ -157,40 +207,27 @@ def splits_at_spaces(model: str) -> bool:
     return told.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
 
 
-def tokenize(df: DataFrame, key: str, text: str, path: str, end: int) -> DataFrame:
-    """``key, ids``: every whole text's ids by a byte-level BPE tokenizer file, the end id appended.
-
-    Ids are little-endian integers of 2 bytes if the vocabulary allows, else 4. Null and empty
-    texts hold the end id alone. Special tokens' strings are ordinary text.
-    """
-    with open(path, encoding="utf-8") as f:
-        model = f.read()
-    if not splits_at_spaces(model):
-        raise ValueError("only byte-level BPE without a normaliser is supported")
-    width = id_width(path, end)
-    last = int(end).to_bytes(width, "little")
+def tokenize(df: DataFrame, key: str, text: str, tokenizer: Tokenizer) -> DataFrame:
+    """``key, ids``: every whole text's ids, the end id appended. Null and empty texts hold the end id alone."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        encode = _tokenizer(model, width)
-        return {"key": batch.column(0), "ids": [encode(t) + last for t in batch.column(1).to_pylist()]}
+        return {"key": batch.column(0), "ids": tokenizer(batch.column(1).to_pylist())}
 
     kind = df.schema[key].dataType.simpleString()
     return map_arrow(df.select(F.col(key).alias("key"), text_of(text).alias("text")), run, f"key {kind}, ids binary").withColumnRenamed("key", key)
 
 
-def id_width(path: str, end: int) -> int:
-    from tokenizers import Tokenizer
-
-    return 2 if max(Tokenizer.from_file(path).get_vocab_size(), end + 1) <= 1 << 16 else 4
-
-
-def write_files(tokens: DataFrame, key: str, ids: str, width: int) -> DataFrame:
-    """Write documents in ascending key order; returns the manifest ``file, documents, start``.
+def write_files(docs: DataFrame, key: str, text: str, tokenizer: Tokenizer) -> DataFrame:
+    """Write the documents' ids in ascending key order; returns the manifest ``file, documents, start``.
 
     Null keys come first; equal keys stand side by side. ``start`` is the number of ids in
-    all files before. Ranges of keys are files' contents, so a task holds one file at a time.
+    all files before. Null and empty texts hold the end id alone; an empty table gives no file.
+
+    Texts are dealt by ranges of the key and encoded where their file is written, so that
+    finding the ranges does not encode them. A task holds one file at a time.
     """
-    where = new_folder(tokens.sparkSession, "tokens")
+    where = new_folder(docs.sparkSession, "tokens")
+    width = tokenizer.width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
@@ -202,8 +239,8 @@ def write_files(tokens: DataFrame, key: str, ids: str, width: int) -> DataFrame:
             row = {"part": part, "seq": seq, "file": address, "documents": len(held), "ids": size // width}
             return pa.RecordBatch.from_pylist([row], schema=MANIFEST)
 
-        for batch in slices(batches, 1, FILE):
-            more = batch.column(1).to_pylist()
+        for batch in slices(batches, 1):
+            more = tokenizer(batch.column(1).to_pylist())
             if held and size + sum(map(len, more)) > FILE:
                 yield close()
                 keys, held, size, seq = [], [], 0, seq + 1
@@ -213,7 +250,7 @@ def write_files(tokens: DataFrame, key: str, ids: str, width: int) -> DataFrame:
         if held:
             yield close()
 
-    ordered = tokens.select(F.col(key).alias("key"), F.col(ids).alias("ids")).repartitionByRange("key").sortWithinPartitions("key")
+    ordered = docs.select(F.col(key).alias("key"), text_of(text).alias("text")).repartitionByRange("key").sortWithinPartitions("key")
     files = stored(ordered.mapInArrow(run, "part int, seq int, file string, documents bigint, ids bigint"), "manifest")
     # one row per task here, one row per file of a task below
     parts = files.groupBy("part").agg(F.sum("ids").alias("n"))
