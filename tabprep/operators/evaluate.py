@@ -11,8 +11,14 @@ from tabprep.functions import vectors as V
 from tabprep.operators.ranking import with_batch
 
 
+def hit(label: str, prediction: str) -> Column:
+    """1 where the prediction is the label, else 0; a missing one of either is no hit."""
+    return F.coalesce((F.col(label) == F.col(prediction)).cast("int"), F.lit(0))
+
+
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return df.agg(F.avg((F.col(label) == F.col(prediction)).cast("int")).alias("accuracy"))
+    """Share of hits among all rows."""
+    return df.agg(F.avg(hit(label, prediction)).alias("accuracy"))
 
 
 def _cells(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -90,16 +96,16 @@ def cross_entropy(df: DataFrame, key: str, logits: str, label: str, batch: int)
 
 def repeat_run_stats(df: DataFrame, run: str, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """One row: mean and population deviation of the accuracy over runs."""
-    runs = df.groupBy(run).agg(F.avg((F.col(label) == F.col(prediction)).cast("int")).alias("a"))
+    runs = df.groupBy(run).agg(F.avg(hit(label, prediction)).alias("a"))
     return runs.agg(F.avg("a").alias("mean_accuracy"), F.stddev_pop("a").alias("std_accuracy"))
 
 
 def agreement_counts(aligned: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row: rows where all predictions agree, and the rest."""
+    """One row: rows where all predictions agree, and the rest; missing ones agree with each other."""
     first, *others = [F.col(c) for c in cols]
     same = F.lit(True)
     for c in others:
-        same = same & (c == first)
+        same = same & c.eqNullSafe(first)
     return aligned.agg(F.count_if(same).alias("agree"), F.count_if(~same).alias("differ"))
 
 

@@ -11,12 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.operators.joins import lookup_join
 from tabprep.session import cut
 
-# A group is cut into value ranges of about this many rows, at most MOST_BUCKETS of them.
-BUCKET_ROWS = 100_000
-MOST_BUCKETS = 4096
+# Rows of a range, which one task orders.
+BUCKET_ROWS = 1_000_000
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
@@ -45,14 +43,6 @@ def with_ordinal(df: DataFrame, *order: Column | str, name: str = "ordinal") ->
     )
 
 
-def _bounds(df: DataFrame, order: str, buckets: int, bucket_rows: int) -> DataFrame:
-    """``(_g, _bounds)``: values that cut each large group into even buckets; none for a small group."""
-    cuts = F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10_000)
-    sizes = df.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), cuts.alias("c"))
-    none = F.array().cast(sizes.schema["c"].dataType)
-    return sizes.select("_g", F.when(F.col("n") > bucket_rows, F.col("c")).otherwise(none).alias("_bounds"))
-
-
 def running_sums(
     df: DataFrame,
     group: Sequence[str],
@@ -63,11 +53,11 @@ def running_sums(
 ) -> DataFrame:
     """Per group, in order: ``<s>_run`` (inclusive), ``<s>_all`` and ``_next`` (following order value).
 
-    Rows must be unique on group and a numeric order, i.e. already aggregated. A group of
-    more than ``bucket_rows`` rows is cut into value ranges that are summed side by side;
-    the sums of the ranges before are added afterwards. Where the ranges lie only decides
-    how even the tasks are, so approximate quantiles serve. ``at_most`` is a known bound
-    on the rows of ``df`` and saves counting them.
+    Rows must be unique on group and a numeric order, i.e. already aggregated. More than
+    ``bucket_rows`` rows are dealt into ranges of (group, order) of about that many, however
+    many ranges that makes; they are summed side by side, and the sums of a group's ranges
+    before are added afterwards. Where the borders lie does not change the result. ``at_most``
+    is a known bound on the rows of ``df`` and saves counting them.
     """
     group = list(group)
     if at_most is None or at_most > bucket_rows:
@@ -88,25 +78,22 @@ def running_sums(
 
     # a struct key also matches groups whose name is NULL
     keyed = df.withColumn("_g", F.struct(*group, F.lit(0).alias("_")))
-    buckets = min(MOST_BUCKETS, -(-rows // bucket_rows))
-    bounds = cut(_bounds(keyed, order, buckets, bucket_rows))
-    bounded = lookup_join(keyed, bounds, "_g", "inner", F.col(order))
-    below = F.filter("_bounds", lambda b: b < F.col(order))
-    bucketed = bounded.withColumn("_part", F.size(below)).drop("_bounds")
+    ranged = keyed.repartitionByRange(-(-rows // bucket_rows), "_g", order)
+    dealt = cut(ranged.withColumn("_part", F.spark_partition_id()))
 
     local = Window.partitionBy("_g", "_part").orderBy(order)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = bucketed.select(
+    inside = dealt.select(
         "*",
         *[F.sum(s).over(upto).alias(f"{s}_in") for s in sums],
         F.lead(order).over(local).alias("_next_in"),
     )
-    # at most MOST_BUCKETS rows per group from here on
+    # one row per group and range from here on
     by_part = Window.partitionBy("_g").orderBy("_part")
     before = by_part.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("_g")
     offsets = (
-        bucketed.groupBy("_g", "_part")
+        dealt.groupBy("_g", "_part")
         .agg(*[F.sum(s).alias(f"{s}_p") for s in sums], F.min(order).alias("_first"))
         .select(
             "_g",

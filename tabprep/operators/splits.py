@@ -9,12 +9,19 @@ from pyspark.sql import functions as F
 
 from tabprep.operators.prefix import BUCKET_ROWS, running_sums
 
+MOST_CLASSES = 1000
 GAIN_PLACES = 12  # gains are compared after rounding, so equal splits tie
 
 
 def class_list(df: DataFrame, label: str = "label") -> list[int]:
-    """The distinct labels, ascending: one driver value per class."""
-    return [r[0] for r in df.select(label).distinct().orderBy(label).collect()]
+    """The distinct labels that are not NULL, ascending: one driver value per class.
+
+    Split search makes expressions per class, so more than ``MOST_CLASSES`` are refused.
+    """
+    found = df.select(label).filter(F.col(label).isNotNull()).distinct().orderBy(label).limit(MOST_CLASSES + 1).collect()
+    if len(found) > MOST_CLASSES:
+        raise ValueError(f"{label} has more than {MOST_CLASSES} classes")
+    return [r[0] for r in found]
 
 
 def entropy_of(counts: Sequence[Column]) -> Column:
@@ -51,7 +58,8 @@ def split_scan(
     A candidate lies at the midpoint of two neighbouring distinct values. Rows are
     reduced to class counts per distinct value before anything is ordered; class counts
     left of a boundary are running sums, so a boundary costs one row, not a rescan. ``rows``
-    is a known bound on the rows of ``df``.
+    is a known bound on the rows of ``df``. A missing (NULL or NaN) value of a feature counts
+    for none of its splits; a row without a label counts nowhere.
     """
     pairs = F.array(
         *[
@@ -60,7 +68,9 @@ def split_scan(
         ]
     )
     counted = (
-        df.select(*by, F.col(label).alias("_y"), F.inline(pairs))
+        df.filter(F.col(label).isNotNull())
+        .select(*by, F.col(label).alias("_y"), F.inline(pairs))
+        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy(*by, "feature_no", "value")
         .agg(*[F.count_if(F.col("_y") == F.lit(c)).alias(f"c{i}") for i, c in enumerate(classes)])
     )

@@ -14,6 +14,7 @@ from tabprep.operators.splits import best_of, class_list, split_scan
 from tabprep.session import cut
 
 _SPLIT = ["feature_no", "feature", "threshold"]
+REWRITE = 3
 
 
 def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 10) -> DataFrame:
@@ -23,16 +24,20 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
     node ids are heap ids (children 2i and 2i + 1), leaves have no feature, and ``label`` is
     the majority class of the node (the smallest one on ties). A node stays a leaf when it
     is pure, at ``max_depth``, or no column has two distinct values; a split without gain
-    is taken. A level needs one count per node, one split search and one relabelling of
-    the rows that are still open.
+    is taken. A missing (NULL or NaN) feature goes right, as in prediction; rows without a
+    label are left out. A level is one split search and one action that stores it; its rows
+    are relabelled in place, and written again only every ``REWRITE`` levels.
     """
     classes = class_list(df, label)
-    rows = df.select(
+    if not classes:
+        raise ValueError(f"no row has a {label}")
+    rows = df.filter(F.col(label).isNotNull()).select(
         *[F.col(f).cast("double").alias(f) for f in features],
         F.col(label).alias("_y"),
         F.lit(1).cast("bigint").alias("node_id"),
     )
     rows = cut(rows)
+    most = rows.count()
     levels = []
     for depth in range(max_depth + 1):
         per_class = [F.count_if(F.col("_y") == F.lit(c)) for c in classes]
@@ -46,7 +51,7 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
             (-majority["c"]).alias("label"),
         )
         if depth < max_depth:
-            scan = split_scan(rows, features, "_y", classes, by=["node_id"], rows=rows.count())
+            scan = split_scan(rows, features, "_y", classes, by=["node_id"], rows=most)
             found = best_of(scan, by=["node_id"])
             level = counts.join(found.select("node_id", *_SPLIT), "node_id", "left")
         else:
@@ -60,10 +65,13 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
         )
         levels.append(level)
         split = level.filter(F.col("feature").isNotNull()).select("node_id", "feature_no", "threshold")
-        open_nodes = split.count()
+        found = level.agg(F.count("feature"), F.sum(F.when(F.col("feature").isNotNull(), F.col("n")))).first()
+        open_nodes, most = found[0], found[1] or 0
         if depth == max_depth or open_nodes == 0:
             break
-        rows = cut(_descend(rows, split, features, "inner", open_nodes))
+        rows = _descend(rows, split, features, "inner", open_nodes)
+        if depth % REWRITE == REWRITE - 1:
+            rows = cut(rows)
     nodes = reduce(DataFrame.unionByName, levels)
     inner = F.col("feature").isNotNull()
     return nodes.select(
@@ -88,7 +96,9 @@ def _descend(
     columns = [c for c in rows.columns if c != "node_id"]
     joined = lookup_join(rows, split, "node_id", how, F.struct(*features), dim_rows=splits)
     value = F.get(F.array(*features), F.col("feature_no"))
-    child = F.col("node_id") * 2 + (value > F.col("threshold")).cast("int")
+    # NaN is above any number; NULL goes the same way
+    right = F.coalesce(value > F.col("threshold"), F.col("threshold").isNotNull())
+    child = F.col("node_id") * 2 + right.cast("int")
     return joined.select(*columns, F.coalesce(child, F.col("node_id")).alias("node_id"))
 
 
