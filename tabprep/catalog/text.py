@@ -100,9 +100,9 @@ def _edit(t: Tables, f):
     return t.spread("documents", "doc_id").select("doc_id", f(F.col("text"), F.col("doc_id")).alias("text"))
 
 
-def _edit_with(t: Tables, f):
-    docs = augment.with_dictionary(t.spread("documents", "doc_id").select("doc_id", "text"), synonyms(t), "doc_id", ["text"])
-    return docs.select("doc_id", f(F.col("text"), F.col("doc_id"), F.col("_dict")).alias("text"))
+def _edit_drawn(t: Tables, salt: str, f):
+    docs = augment.with_drawn(t.spread("documents", "doc_id").select("doc_id", "text"), synonyms(t), "doc_id", "text", SEED, salt)
+    return docs.select("doc_id", f(F.col("text"), F.col("doc_id"), F.col("_word"), F.col("_synonyms")).alias("text"))
 
 
 @query("word_count", f"SELECT doc_id, CAST(len({_WS.format('text')}) AS INTEGER) AS words FROM documents")
@@ -170,18 +170,19 @@ def english_gate(t: Tables):
 
 @query("synonym_replace_one", with_(SYNONYMS) + replace_one_sql("documents", "doc_id", "text", "one"))
 def synonym_replace_one(t: Tables):
-    return _edit_with(t, lambda c, k, d: X.replace_one(c, k, d, SEED, "one"))
+    return _edit_drawn(t, "one", lambda c, k, w, s: X.replace_one(c, k, w, s, SEED, "one"))
 
 
 @query("synonym_replace_all", with_(SYNONYMS) + replace_one_sql("documents", "doc_id", "text", "all", every=True))
 def synonym_replace_all(t: Tables):
-    return _edit_with(t, lambda c, k, d: X.replace_one(c, k, d, SEED, "all", every=True))
+    return _edit_drawn(t, "all", lambda c, k, w, s: X.replace_one(c, k, w, s, SEED, "all", every=True))
 
 
 @query("synonym_replace_each", with_(SYNONYMS, "each AS (" + replace_each_sql("documents", "doc_id", "text", "each", 0.18, "new") + ")")
        + "SELECT doc_id, coalesce(new, '') AS text FROM documents LEFT JOIN each USING (doc_id)")
 def synonym_replace_each(t: Tables):
-    return _edit_with(t, lambda c, k, d: X.replace_each(c, k, d, SEED, "each"))
+    docs = t.spread("documents", "doc_id").select("doc_id", "text")
+    return augment.replace_each(docs, synonyms(t), "doc_id", [("text", "text", "each", 0.18)], SEED)
 
 
 @query("synonym_rows", with_(SYNONYMS, "en AS (SELECT * FROM documents WHERE lang = 'en')",
@@ -205,12 +206,12 @@ def random_delete_short(t: Tables):
 
 @query("random_insert", with_(SYNONYMS) + insert_sql("documents", "doc_id", "text", "insert"))
 def random_insert(t: Tables):
-    return _edit_with(t, lambda c, k, d: X.insert_synonym(c, k, d, SEED, "insert"))
+    return _edit_drawn(t, "insert", lambda c, k, w, s: X.insert_synonym(c, k, s, SEED, "insert"))
 
 
-@query("random_swap", swap_sql("documents", "doc_id", "text", "swap", 0.5))
+@query("random_swap", swap_sql("documents", "doc_id", "text", "swap"))
 def random_swap(t: Tables):
-    return _edit(t, lambda c, k: X.swap_words(c, k, SEED, "swap", p=0.5))
+    return _edit(t, lambda c, k: X.swap_words(c, k, SEED, "swap"))
 
 
 @query("rewrite_lookup", with_(REWRITES) + f"""SELECT doc_id, CASE WHEN lang = 'en' AND {draw("rewrite", key="doc_id")} < 0.7

@@ -1,10 +1,8 @@
 """Column functions on text: words, and seeded edits of words.
 
-Every edit is one expression over (text, key): it needs no shuffle, and the same key, seed
-and salt give the same text again. ``let`` keeps the word list from being split twice.
-
-A dictionary is an ``ARRAY<MAP<word, ...>>`` column of hash buckets (see
-``operators.augment.with_dictionary``), because a lookup in one large map is a linear scan.
+Every edit is one expression over (text, key): the same key, seed and salt give the same text
+again. ``let`` keeps the word list from being split twice. What an edit needs from a dictionary
+it takes from a column that a join has added (see ``operators.augment``).
 """
 
 from __future__ import annotations
@@ -28,55 +26,53 @@ def word_count(text: Column) -> Column:
     return F.when(text.isNotNull(), F.size(words(text)))
 
 
-def look_up(dictionary: Column, word: Column) -> Column:
-    """The dictionary's entry for a word, or NULL."""
-    bucket = F.pmod(F.xxhash64(word), F.size(dictionary)).cast("int")
-    return F.get(dictionary, bucket)[word]
-
-
 def choose(options: Column, draw: Column) -> Column:
     """One element by a draw in [0, 1); NULL from an empty or missing array."""
     return F.get(options, pick(F.size(options), draw))
 
 
+def drawn_word(text: Column, key: Column, seed: int, salt: str) -> Column:
+    """The random word of a text that ``replace_one`` or ``insert_synonym`` looks up."""
+    return choose(words(text), u(seed, key, salt, "word"))
+
+
 def replace_one(
-    text: Column, key: Column, dictionary: Column, seed: int, salt: str, every: bool = False
+    text: Column, key: Column, word: Column, synonyms: Column, seed: int, salt: str, every: bool = False
 ) -> Column:
-    """Replace one random word by a synonym: its first occurrence as a substring, or every one."""
+    """Replace ``word``, as drawn, by one of its synonyms: its first occurrence as a substring, or every one."""
+    new = choose(synonyms, u(seed, key, salt, "synonym"))
+    if every:
+        return F.coalesce(F.replace(text, word, new), text)
+    return F.coalesce(F.overlay(text, new, F.position(word, text), F.length(word)), text)
 
-    def edit(ws: Column) -> Column:
-        word = choose(ws, u(seed, key, salt, "word"))
-        pair = let(
-            word,
-            lambda w: F.struct(
-                w.alias("w"), choose(look_up(dictionary, w), u(seed, key, salt, "synonym")).alias("s")
-            ),
-        )
 
-        def put(p: Column) -> Column:
-            if every:
-                new = F.replace(text, p["w"], p["s"])
-            else:
-                new = F.overlay(text, p["s"], F.position(p["w"], text), F.length(p["w"]))
-            return F.coalesce(new, text)
+def is_drawn(key: Column, at: Column, seed: int, salt: str, p: float) -> Column:
+    """Whether ``replace_each`` may replace the word at a position."""
+    return u(seed, key, salt, "word", at) < p
 
-        return let(pair, put)
 
-    return let(words(text), edit)
+def other_synonym(word: Column, synonyms: Column, key: Column, at: Column, seed: int, salt: str) -> Column:
+    """One of a word's synonyms other than itself, ``_`` read as a space; NULL without any."""
+    others = F.filter(synonyms, lambda s: F.lower(s) != F.lower(word))
+    return F.replace(choose(others, u(seed, key, salt, "synonym", at)), F.lit("_"), F.lit(" "))
 
 
-def replace_each(
-    text: Column, key: Column, dictionary: Column, seed: int, salt: str, p: float = 0.18
-) -> Column:
-    """Each word, with chance ``p``, becomes one of its synonyms other than itself; ``_`` reads as a space."""
+def put_words(text: Column, new: Column) -> Column:
+    """The text with the words at some positions replaced; ``new`` is an ordered array of (pos, word).
+
+    The words between two positions are copied as one slice, so the work is linear in the text.
+    """
+
+    def edit(ws: Column) -> Column:
+        def upto(r: Column, k: Column) -> Column:
+            done = F.when(k == 0, 0).otherwise(F.get(new, k - 1)["pos"] + 1)
+            return F.concat(F.slice(ws, done + 1, r["pos"] - done), F.array(r["word"]))
 
-    def edit(w: Column, i: Column) -> Column:
-        others = F.filter(look_up(dictionary, w), lambda s: F.lower(s) != F.lower(w))
-        new = choose(others, u(seed, key, salt, "synonym", i))
-        swap = F.when(u(seed, key, salt, "word", i) < p, F.replace(new, F.lit("_"), F.lit(" ")))
-        return F.coalesce(swap, w)
+        done = F.coalesce(F.get(new, F.size(new) - 1)["pos"] + 1, F.lit(0))
+        rest = F.slice(ws, done + 1, F.size(ws))
+        return F.array_join(F.concat(F.flatten(F.transform(new, upto)), rest), " ")
 
-    return F.array_join(F.transform(words(text), edit), " ")
+    return F.when(text.isNotNull(), let(words(text), edit))
 
 
 def delete_words(
@@ -92,13 +88,12 @@ def delete_words(
 
 
 def insert_synonym(
-    text: Column, key: Column, dictionary: Column, seed: int, salt: str, min_words: int = 5
+    text: Column, key: Column, synonyms: Column, seed: int, salt: str, min_words: int = 5
 ) -> Column:
-    """Insert a synonym of a random word at a random place; texts under ``min_words`` words stay."""
+    """Insert one of the drawn word's synonyms at a random place; texts under ``min_words`` words stay."""
 
     def edit(ws: Column) -> Column:
-        word = choose(ws, u(seed, key, salt, "word"))
-        new = choose(look_up(dictionary, word), u(seed, key, salt, "synonym"))
+        new = choose(synonyms, u(seed, key, salt, "synonym"))
         place = pick(F.size(ws) + 1, u(seed, key, salt, "place"))
         longer = F.concat(F.slice(ws, F.lit(1), place), F.array(new), F.slice(ws, place + 1, F.size(ws)))
         return F.when(F.size(ws) < min_words, text).otherwise(

@@ -10,50 +10,47 @@ from pyspark.sql import functions as F
 from tabprep.functions import text as X
 from tabprep.functions.arrays import elements
 from tabprep.functions.seeded import u
-from tabprep.operators.joins import lookup_join, measure
+from tabprep.operators.joins import lookup_join
 from tabprep.session import cut
 
-# A dictionary up to this size travels as one value, in buckets of about eight words.
-DICTIONARY_WORDS = 300_000
-DICTIONARY_BYTES = 50_000_000
-_BUCKET_WORDS = 8
-
+def with_drawn(
+    df: DataFrame, dictionary: DataFrame, key: str, text: str, seed: int, salt: str, word: str = "_word", out: str = "_synonyms"
+) -> DataFrame:
+    """Add the word that an edit of ``text`` draws and its synonyms, by a join on that one word.
 
-def as_buckets(dictionary: DataFrame, value: str, n: int) -> Column:
-    """A table unique on ``word`` as one ``ARRAY<MAP<word, value>>`` scalar."""
-    buckets = max(1, n // _BUCKET_WORDS)
-    entries = F.collect_list(F.struct("word", value))  # about eight words per bucket
-    filled = (
-        dictionary.groupBy(F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("b"))
-        .agg(entries.alias("m"))
-    )
-    numbered = dictionary.sparkSession.range(buckets).withColumnRenamed("id", "b").join(filled, "b", "left")
-    in_order = F.array_sort(F.collect_list(F.struct("b", "m")))
-    return numbered.agg(F.transform(in_order, lambda s: F.map_from_entries(s["m"])).alias("d")).scalar()
+    ``dictionary`` is (word, synonyms), unique on ``word``.
+    """
+    drawn = df.withColumn(word, X.drawn_word(F.col(text), F.col(key), seed, salt))
+    named = dictionary.select(F.col("word").alias(word), F.col("synonyms").alias(out))
+    return lookup_join(drawn, named, word, "left", F.col(key))
 
 
-def with_dictionary(
-    df: DataFrame,
-    dictionary: DataFrame,
-    key: str,
-    texts: Sequence[str],
-    value: str = "synonyms",
-    out: str = "_dict",
-    most: int = DICTIONARY_WORDS,
+def replace_each(
+    df: DataFrame, dictionary: DataFrame, key: str, edits: Sequence[tuple[str, str, str, float]], seed: int
 ) -> DataFrame:
-    """Add a dictionary column that ``functions.text.look_up`` reads; ``dictionary`` is unique on ``word``.
+    """Columns in which each word of a text, with some chance, became one of its synonyms other than itself.
 
-    Up to ``most`` words (and ``DICTIONARY_BYTES``) the whole dictionary is one value and the rows do not move. Beyond
-    that each row gets a small dictionary of its own words by a salted join.
+    ``edits`` are (text column, new column, salt, chance); all are looked up in one join, and
+    only the words that were drawn. ``key`` is unique. A new column may replace its text.
     """
-    n, size = measure(dictionary)
-    if n <= most and size <= DICTIONARY_BYTES:
-        return df.withColumn(out, as_buckets(dictionary, value, n))
-    own = F.array_distinct(F.flatten(F.array(*[F.coalesce(X.words(F.col(t)), F.array()) for t in texts])))
-    found = lookup_join(elements(df, [key], own, "word"), dictionary, "word", "inner", F.col(key))
-    entries = F.map_from_entries(F.collect_list(F.struct("word", value)))  # the words of one row
-    per_row = found.groupBy(key).agg(F.array(entries).alias(out))
-    return df.join(per_row, key, "left")
+    def drawn_words(n: int, text: str, salt: str, p: float) -> Column:
+        placed = F.transform(X.words(F.col(text)), lambda w, i: F.struct(F.lit(n).alias("edit"), i.alias("pos"), w.alias("word")))
+        return F.filter(placed, lambda s: X.is_drawn(F.col(key), s["pos"], seed, salt, p))
+
+    drawn = F.array(*[drawn_words(n, text, salt, p) for n, (text, _, salt, p) in enumerate(edits)])
+    k = F.col(key)
+    each = elements(df, [key], F.flatten(F.array_compact(drawn)), "_w").select(key, "_w.*")
+    found = lookup_join(each, dictionary.select("word", "synonyms"), "word", "inner", F.struct(key, "edit", "pos"))
+    new = F.lit(None).cast("string")
+    for n, (_, _, salt, _) in enumerate(edits):
+        new = F.when(F.col("edit") == n, X.other_synonym(F.col("word"), F.col("synonyms"), k, F.col("pos"), seed, salt)).otherwise(new)
+    put = found.select(key, "edit", "pos", new.alias("new")).filter("new is not null")
+    # the replaced words of one row
+    rows = put.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("edit", "pos", F.col("new").alias("word")))).alias("_put"))
+    joined = df.join(rows, key, "left")
+    none = F.array().cast(rows.schema["_put"].dataType)
+    own = lambda n: F.filter(F.coalesce("_put", none), lambda s: s["edit"] == n)
+    return joined.withColumns({out: X.put_words(F.col(text), own(n)) for n, (text, out, _, _) in enumerate(edits)}).drop("_put")
 
 
 def corpus_words(df: DataFrame, texts: Sequence[str]) -> DataFrame:
@@ -84,6 +81,8 @@ def rewrite_lookup(
     return joined.withColumn(out or text, new).drop("text_md5", "rewritten")
 
 
+# fixed value: chance of a word to be replaced in a view
+VIEW_CHANCE = 0.18
 # fixed values: chance of each step, in order
 REWRITE, SYNONYM, DELETE, INSERT, SWAP = 0.7, 0.5, 0.2, 0.2, 0.15
 
@@ -109,31 +108,26 @@ def augment_pairs(
     out = df
     for side in sides:
         out = rewrite_lookup(out, rewrites, key, side, english & gate("rewrite", REWRITE))
-    out = with_dictionary(out, synonyms, key, sides)
-    d = F.col("_dict")
+    word, found = F.col("_word"), F.col("_synonyms")
     steps = [
-        ("synonym", SYNONYM, lambda c, salt: X.replace_one(c, k, d, seed, salt)),
-        ("delete", DELETE, lambda c, salt: X.delete_words(c, k, seed, salt)),
-        ("insert", INSERT, lambda c, salt: X.insert_synonym(c, k, d, seed, salt)),
-        ("swap", SWAP, lambda c, salt: X.swap_words(c, k, seed, salt)),
+        ("synonym", SYNONYM, True, lambda c, salt: X.replace_one(c, k, word, found, seed, salt)),
+        ("delete", DELETE, False, lambda c, salt: X.delete_words(c, k, seed, salt)),
+        ("insert", INSERT, True, lambda c, salt: X.insert_synonym(c, k, found, seed, salt)),
+        ("swap", SWAP, False, lambda c, salt: X.swap_words(c, k, seed, salt)),
     ]
-    for name, chance, edit in steps:
-        out = out.withColumns(
-            {
-                s: F.when(gate(name, chance), edit(F.col(s), f"{name}-{s}")).otherwise(F.col(s))
-                for s in sides
-            }
-        )
-    return out.drop("_dict")
+    for name, chance, looks_up, edit in steps:
+        for s in sides:
+            if looks_up:
+                out = with_drawn(out, synonyms, key, s, seed, f"{name}-{s}")
+            out = out.withColumn(s, F.when(gate(name, chance), edit(F.col(s), f"{name}-{s}")).otherwise(F.col(s))).drop("_word", "_synonyms")
+    return out
 
 
 def synonym_rows(
     df: DataFrame, synonyms: DataFrame, key: str, text: str, english: Column, drop: Sequence[str], seed: int
 ) -> DataFrame:
     """The rows, plus for each English row a copy with synonyms in ``text``; language columns dropped."""
-    chosen = with_dictionary(df.filter(english), synonyms, key, [text])
-    new = X.replace_each(F.col(text), F.col(key), F.col("_dict"), seed, "rows", p=0.3)
-    copies = chosen.withColumn(text, new).drop("_dict")
+    copies = replace_each(df.filter(english), synonyms, key, [(text, text, "rows", 0.3)], seed)
     return df.unionByName(copies).drop(*drop)
 
 
@@ -144,15 +138,9 @@ def tta_wide(
 
     ``sides`` maps a text column to its output prefix.
     """
-    out = with_dictionary(df, synonyms, key, list(sides))
-    cols = []
-    for v in range(views):
-        for column, prefix in sides.items():
-            text = F.col(column)
-            if v:
-                text = X.replace_each(text, F.col(key), F.col("_dict"), seed, f"{prefix}{v}")
-            cols.append(text.alias(f"{prefix}_tta{v}"))
-    return out.select(*cols, key)
+    edits = [(c, f"{prefix}_tta{v}", f"{prefix}{v}", VIEW_CHANCE) for v in range(1, views) for c, prefix in sides.items()]
+    out = replace_each(df.select(key, *sides), synonyms, key, edits, seed).withColumns({f"{p}_tta0": F.col(c) for c, p in sides.items()})
+    return out.select(*[f"{p}_tta{v}" for v in range(views) for p in sides.values()], key)
 
 
 def tta_long(wide: DataFrame, key: str, prefixes: Sequence[str], views: int) -> DataFrame:
@@ -201,12 +189,13 @@ def detect_language(
 ) -> DataFrame:
     """``(key, language)``: the language that makes the trigrams most likely; no letters: ``unknown``."""
     model, langs, unseen = profile
-    words = elements(df, [key], X.letter_words(F.col(text)), "word")
-    grams = _trigrams(words, "word").drop("word")
-    scored = lookup_join(grams, model, "gram", "left", F.struct(key, "gram"))
-    sums = scored.groupBy(key).agg(
-        *[F.sum(F.coalesce(f"p{i}", F.lit(miss))).alias(f"s{i}") for i, miss in enumerate(unseen)]
-    )
+    words = elements(df, [key], X.letter_words(F.col(text)), "word").groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
+    # a word's trigrams are scored once, however often and wherever it stands
+    each = _trigrams(words.select("word").distinct(), "word")
+    scored = lookup_join(each, model, "gram", "left", F.struct("word", "gram"))
+    score = [F.sum(F.coalesce(f"p{i}", F.lit(miss))).alias(f"p{i}") for i, miss in enumerate(unseen)]
+    of_word = scored.groupBy("word").agg(*score)
+    sums = words.join(of_word, "word").groupBy(key).agg(*[F.sum(F.col("n") * F.col(f"p{i}")).alias(f"s{i}") for i in range(len(langs))])
     best = F.array_max(F.array(*[F.struct(F.col(f"s{i}").alias("s"), F.lit(-i).alias("i")) for i in range(len(langs))]))
     names = F.array(*[F.lit(x) for x in langs])
     found = sums.select(key, F.get(names, -best["i"]).alias("language"))
@@ -227,26 +216,33 @@ def encode_pair(
     ``(word, rank)``, bounded by the size it was built with.
     """
     room = length - 4
-    split = with_dictionary(df, vocabulary, key, [premise, hypothesis], value="rank").withColumns(
-        {"_a": X.words(F.col(premise)), "_b": X.words(F.col(hypothesis))}
-    )
+    split = df.withColumns({"_a": X.words(F.col(premise)), "_b": X.words(F.col(hypothesis))})
     a, b = F.size("_a"), F.size("_b")
     keep_a = F.least(a, F.greatest(room - b, F.lit(room - room // 2)))
     keep_b = F.least(b, F.greatest(room - a, F.lit(room // 2)))
+    sides = {"_a": F.slice("_a", F.lit(1), keep_a), "_b": F.slice("_b", F.lit(1), keep_b)}
+    kept = split.withColumns(sides)
 
-    def ids(tokens: Column, keep: Column) -> Column:
-        rank = lambda w: X.look_up(F.col("_dict"), w) + (FIRST_WORD - 1)
-        return F.transform(F.slice(tokens, F.lit(1), keep), lambda w: F.coalesce(rank(w), F.lit(UNKNOWN)))
+    def placed(n: int, side: str) -> Column:
+        return F.transform(side, lambda w, i: F.struct(F.lit(n).alias("side"), i.alias("pos"), w.alias("word")))
+
+    # at most `room` words of a pair
+    each = elements(kept, [key], F.concat(placed(0, "_a"), placed(1, "_b")), "_w").select(key, "_w.*")
+    found = lookup_join(each, vocabulary.select("word", "rank"), "word", "left", F.struct(key, "side", "pos"))
+    code = F.coalesce(F.col("rank") + (FIRST_WORD - 1), F.lit(UNKNOWN)).alias("id")
+    codes = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("side", "pos", code))).alias("_c"))
+    joined = kept.join(codes, key, "left")
+
+    def ids(n: int) -> Column:
+        none = F.array().cast(codes.schema["_c"].dataType)
+        return F.transform(F.filter(F.coalesce("_c", none), lambda s: s["side"] == n), lambda s: s["id"])
 
     end = F.array(F.lit(END))
-    real = F.concat(
-        F.array(F.lit(START)), ids(F.col("_a"), keep_a), end, end, ids(F.col("_b"), keep_b), end
-    )
-    coded = split.withColumn("_ids", real)
+    coded = joined.withColumn("_ids", F.concat(F.array(F.lit(START)), ids(0), end, end, ids(1), end))
     n = F.size("_ids")
     return coded.withColumns(
         {
             "input_ids": F.concat("_ids", F.array_repeat(F.lit(PAD), length - n)),
             "attention_mask": F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), length - n)),
         }
-    ).drop("_dict", "_a", "_b", "_ids")
+    ).drop("_a", "_b", "_ids", "_c")

@@ -13,17 +13,19 @@ from tabprep.session import cut
 # A dictionary side is broadcast only up to this many rows and bytes.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 200_000_000
-# A key is hot above this many rows and above one in MOST_HOT of all rows, so at most MOST_HOT keys are.
+# A key is hot above this many rows and above one in MOST_HOT of all rows, so at most MOST_HOT keys
+# are. Its rows spread over as many tasks as that makes pieces of HOT_ROWS.
 HOT_ROWS = 100_000
 MOST_HOT = 10_000
-SALTS = 32
+# Rows without a key match nothing and need no copies, so they spread freely.
+FREE = 1 << 20
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Rows and the bytes of their text form, in one distributed pass."""
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
-    return rows, size or 0
+def fits(dim: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table has at most so many rows and bytes of text form; reads one row more than that at most."""
+    width = F.octet_length(F.to_json(F.struct(*dim.columns)))
+    n, total = dim.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return n <= rows and (total or 0) <= size
 
 
 def lookup_join(
@@ -37,22 +39,24 @@ def lookup_join(
 ) -> DataFrame:
     """Join rows to a table that is unique on ``on``.
 
-    The size of ``dim`` is measured first. Small: broadcast. Large: both sides shuffle; rows
-    of a hot key carry a salt, so that they spread over ``SALTS`` tasks, and only the hot
-    rows of ``dim`` are repeated, once per salt. ``salt_by`` should differ from row to row.
-    A caller that knows a table of a few numbers per row gives its ``dim_rows`` instead.
+    A ``dim`` that ``fits`` is broadcast. Otherwise both sides shuffle: ``df`` is stored once,
+    its keys are counted, rows of a hot key carry one of as many salts as their number asks
+    for, and only the hot rows of ``dim`` are repeated, once per salt. ``salt_by`` should
+    differ from row to row. A caller that knows a table of a few numbers per row gives its
+    ``dim_rows`` instead.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    rows, size = measure(dim) if dim_rows is None else (dim_rows, 0)
-    if rows <= broadcast_rows and size <= BROADCAST_BYTES:
+    if fits(dim, broadcast_rows) if dim_rows is None else dim_rows <= broadcast_rows:
         return df.join(F.broadcast(dim), keys, how)
-    spread = salt_by if salt_by is not None else F.struct(*df.columns)
+    df = cut(df)
+    spread = salt_by if salt_by is not None else F.monotonically_increasing_id()
     counts = cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
     total = counts.agg(F.sum("_n")).first()[0] or 0
-    hot = counts.filter(F.col("_n") > max(HOT_ROWS, total // MOST_HOT)).select(*keys, F.lit(SALTS).alias("_salts"))
+    salts = F.ceil(F.col("_n") / HOT_ROWS).cast("int").alias("_salts")
+    hot = counts.filter(F.col("_n") > max(HOT_ROWS, total // MOST_HOT)).select(*keys, salts)
     unmatched = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     # at most MOST_HOT rows are broadcast
-    ways = F.when(unmatched, F.lit(SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    ways = F.when(unmatched, F.lit(FREE)).otherwise(F.coalesce("_salts", F.lit(1)))
     marked = df.join(F.broadcast(hot), keys, "left")
     salted = marked.withColumn("_salt", F.pmod(F.xxhash64(spread), ways).cast("int")).drop("_salts")
     every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)

@@ -26,36 +26,42 @@ def test_words_split_like_python(docs):
     assert docs.select(X.word_count(F.lit(None).cast("string"))).first()[0] is None
 
 
-def test_dictionary_ways_agree(docs, synonyms):
-    small = augment.with_dictionary(docs, synonyms, "k", ["text"])
-    large = augment.with_dictionary(docs, synonyms, "k", ["text"], most=2)
-    edits = lambda df: sorted(
-        tuple(r)
-        for r in df.select(
-            "k",
-            X.replace_each(F.col("text"), F.col("k"), F.col("_dict"), 3, "e", p=0.9),
-            X.replace_one(F.col("text"), F.col("k"), F.col("_dict"), 3, "o"),
-            X.insert_synonym(F.col("text"), F.col("k"), F.col("_dict"), 3, "i"),
-        ).collect()
-    )
-    assert edits(small) == edits(large)
+def each(df, synonyms, seed, salt, p, key="k", text="text"):
+    return augment.replace_each(df, synonyms, key, [(text, "new", salt, p)], seed).select(key, "new")
+
+
+def test_join_ways_agree(docs, synonyms, monkeypatch):
+    def edits():
+        one = augment.with_drawn(docs, synonyms, "k", "text", 3, "o").select("k", X.replace_one(F.col("text"), F.col("k"), F.col("_word"), F.col("_synonyms"), 3, "o"))
+        put = augment.with_drawn(docs, synonyms, "k", "text", 3, "i").select("k", X.insert_synonym(F.col("text"), F.col("k"), F.col("_synonyms"), 3, "i"))
+        return [sorted(map(tuple, df.collect())) for df in (one, put, each(docs, synonyms, 3, "e", 0.9))]
+
+    small = edits()
+    original = augment.lookup_join
+    monkeypatch.setattr(augment, "lookup_join", lambda *a, **kw: original(*a, **kw, broadcast_rows=1))
+    assert edits() == small
 
 
 def test_replace_each_never_gives_the_word_itself(docs, synonyms):
-    d = augment.with_dictionary(docs, synonyms, "k", ["text"])
-    got = d.filter("k = 5").select(X.replace_each(F.col("text"), F.col("k"), F.col("_dict"), 3, "e", p=1.1)).first()[0]
+    got = each(docs, synonyms, 3, "e", 1.1).filter("k = 5").first()[1]
     assert got.startswith("a b feline sat on a b ") and got.endswith(" by a b door")
 
 
+def test_replace_each_keeps_every_other_word(spark, synonyms):
+    texts = {1: "the", 2: "x the", 3: "the x", 4: "x", 5: "", 6: None, 7: "x the the y cat z", 8: "none the none"}
+    df = spark.createDataFrame(list(texts.items()), "k INT, text STRING")
+    got = {r.k: r.new for r in each(df, synonyms.filter("word != 'mat'"), 3, "e", 1.1).collect()}
+    assert got == {1: "a b", 2: "x a b", 3: "a b x", 4: "x", 5: "", 6: None, 7: "x a b a b y feline z", 8: "none a b none"}
+
+
 def test_replace_one_hits_the_first_substring(spark):
     df = spark.createDataFrame([(1, "other the")], "k INT, t STRING")
     words = spark.createDataFrame([("the", ["X"]), ("other", ["Y"])], "word STRING, synonyms ARRAY<STRING>")
-    d = augment.with_dictionary(df, words, "k", ["t"])
     seen = set()
     for seed in range(12):
-        first = X.replace_one(F.col("t"), F.col("k"), F.col("_dict"), seed, "s")
-        every = X.replace_one(F.col("t"), F.col("k"), F.col("_dict"), seed, "s", every=True)
-        seen.add(tuple(d.select(first, every).first()))
+        d = augment.with_drawn(df, words, "k", "t", seed, "s")
+        args = F.col("t"), F.col("k"), F.col("_word"), F.col("_synonyms"), seed, "s"
+        seen.add(tuple(d.select(X.replace_one(*args), X.replace_one(*args, every=True)).first()))
     assert seen == {("oXr the", "oXr X"), ("Y the", "Y the")}
 
 
@@ -74,18 +80,17 @@ def test_swap_moves_exactly_two_words(docs):
 
 
 def test_insert_adds_one_synonym(docs, synonyms):
-    d = augment.with_dictionary(docs, synonyms, "k", ["text"]).filter("k = 5")
     lengths = set()
     for seed in range(10):
-        new = d.select(X.insert_synonym(F.col("text"), F.col("k"), F.col("_dict"), seed, "i")).first()[0].split()
+        d = augment.with_drawn(docs, synonyms, "k", "text", seed, "i").filter("k = 5")
+        new = d.select(X.insert_synonym(F.col("text"), F.col("k"), F.col("_synonyms"), seed, "i")).first()[0].split()
         lengths.add(len(new))
     assert lengths == {9, 10}  # words without synonyms add nothing
 
 
 def test_edits_do_not_depend_on_partitions(docs, synonyms):
-    d = augment.with_dictionary(docs, synonyms, "k", ["text"])
-    edit = X.replace_each(F.col("text"), F.col("k"), F.col("_dict"), 3, "e", p=0.5)
-    assert sorted(d.coalesce(1).select("k", edit).collect()) == sorted(d.repartition(8).select("k", edit).collect())
+    run = lambda df: sorted(each(df, synonyms, 3, "e", 0.5).collect())
+    assert run(docs.coalesce(1)) == run(docs.repartition(8))
 
 
 def test_rewrite_by_join_of_either_kind(spark, monkeypatch):
