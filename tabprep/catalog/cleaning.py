@@ -43,17 +43,9 @@ def filter_equal(t: Tables):
     return t.documents.filter(F.col("lang") == "en").select("doc_id", "source")
 
 
-_FILE = """concat('img', page_id, CASE page_id % 4 WHEN 0 THEN '.JPG' WHEN 1 THEN '.tiff'
-  WHEN 2 THEN '.html' ELSE '.Png' END)"""
-
-
-@query("filter_extension", rf"""SELECT page_id, path FROM (SELECT page_id, {_FILE} AS path FROM pages)
-  WHERE regexp_matches(lower(path), '\.(png|jpg|jpeg|bmp|gif|tiff)$')""")
+@query("filter_extension", r"SELECT page_id, url FROM pages WHERE regexp_matches(lower(url), '\.(html|htm)$')")
 def filter_extension(t: Tables):
-    kinds = F.array(*[F.lit(s) for s in (".JPG", ".tiff", ".html", ".Png")])
-    path = F.concat(F.lit("img"), "page_id", F.get(kinds, (F.col("page_id") % 4).cast("int")))
-    files = t.pages.select("page_id", path.alias("path"))
-    return files.filter(clean.has_suffix(F.col("path")))
+    return t.pages.select("page_id", "url").filter(clean.has_suffix(F.col("url"), ("html", "htm")))
 
 
 @query("filter_threshold", """SELECT l_returnflag, l_quantity <= 24.5 AS below, count(*) AS n
@@ -136,7 +128,8 @@ def label_decode(t: Tables):
     return clean.label_decode(coded, dictionary, F.col("event_id"))
 
 
-@query("label_map_check", """SELECT count(DISTINCT event_type) AS labels, true AS one_to_one FROM events""")
+@query("label_map_check", with_(_DICT, "seen AS (SELECT DISTINCT label_index, event_type FROM events LEFT JOIN dict USING (event_type))") + """
+  SELECT count(DISTINCT label_index) AS labels, count(DISTINCT label_index) = count(*) AND count(DISTINCT event_type) = count(*) AS one_to_one FROM seen""")
 def label_map_check(t: Tables):
     indexed, _ = clean.label_index(t.events, "event_type", "event_id")
     return clean.label_map_check(indexed, "label_index", "event_type")
@@ -187,19 +180,9 @@ def lookup_join(t: Tables):
     return named.select("c_custkey", "n_name")
 
 
-def _keys(t: Tables, suffix: str):
-    name = F.concat(F.lit("img"), "page_id", F.lit(suffix))
-    return t.pages.select("page_id", name.alias("name"))
-
-
-@query("key_match_count", """SELECT CAST(count_if(replace(a, '.jpeg', '') = replace(b, '.png', '')) AS BIGINT) AS matches FROM
-  (SELECT concat('img', page_id, '.jpeg') AS a,
-    concat(CASE WHEN page_id % 7 = 0 THEN 'pic' ELSE 'img' END, page_id, '.png') AS b FROM pages)""")
+@query("key_match_count", """SELECT CAST(count_if(split_part(url, '.html', 1) = split_part(url, '#top', 1)) AS BIGINT) AS matches FROM pages""")
 def key_match_count(t: Tables):
-    a, b = _keys(t, ".jpeg"), _keys(t, ".png")
-    renamed = F.when(F.col("page_id") % 7 == 0, F.regexp_replace("name", "^img", "pic")).otherwise(F.col("name"))
-    b = b.withColumn("name", renamed)
-    return joins.key_match_count(a, b, "page_id", "name", ".jpeg", "name", ".png")
+    return joins.key_match_count(t.pages, t.pages, "page_id", "url", ".html", "url", "#top")
 
 
 @query("mapping_join", """SELECT doc_id, source, quality, toxic FROM labels JOIN documents USING (doc_id)""")

@@ -49,6 +49,18 @@ VEC4 = """vec4 AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS f1, CAST(embed
   CAST(embedding[3] AS DOUBLE) AS f3, CAST(embedding[4] AS DOUBLE) AS f4, label FROM embeddings)"""
 
 
+#: All numbers of a vector as columns.
+WIDTH = 64
+COLUMNS = [f"f{i + 1}" for i in range(WIDTH)]
+
+
+def wide(t: Tables) -> DataFrame:
+    return t.embeddings.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(COLUMNS)], "label")
+
+
+WIDE = f"wide AS (SELECT vec_id, {', '.join(f'CAST(embedding[{i + 1}] AS DOUBLE) AS {c}' for i, c in enumerate(COLUMNS))}, label FROM embeddings)"
+
+
 def texts(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", "text", "lang")
 

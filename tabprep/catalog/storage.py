@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabprep.catalog.fixtures import PRED3, PROBS_ALL, pred3, probs, vec4
+from tabprep.catalog.fixtures import COLUMNS, PRED3, PROBS_ALL, WIDE, pred3, probs, wide
 from tabprep.catalog.registry import Tables, query, with_
 from tabprep.functions.arrays import elements
 from tabprep.functions.text import words
@@ -31,9 +31,9 @@ def scan_csv_indexed(t: Tables):
 
 
 def _as_text(t: Tables, separator: str, head: str | None = None, tail: str | None = None):
-    """embeddings[0:4] and the label as lines of numbers, with optional bracket lines."""
-    df = vec4(t)
-    cells = [F.col(c).cast("string") for c in ("f1", "f2", "f3", "f4", "label")]
+    """Embeddings and their labels as lines of numbers, with optional bracket lines."""
+    df = wide(t)
+    cells = [F.col(c).cast("string") for c in (*COLUMNS, "label")]
     lines = df.select(F.concat(F.concat_ws(separator, *cells), F.lit(" ")).alias("value"))
     for extra in filter(None, (head, tail)):
         lines = lines.unionByName(t.spark.range(1).select(F.lit(extra).alias("value")))
@@ -44,11 +44,10 @@ def _as_text(t: Tables, separator: str, head: str | None = None, tail: str | Non
 
 def _matrix_columns(df):
     x = F.col("features")
-    return df.select(*[x[i].alias(f"f{i + 1}") for i in range(4)], "label")
+    return df.select(*[x[i].alias(c) for i, c in enumerate(COLUMNS)], "label")
 
 
-_MATRIX = """SELECT CAST(embedding[1] AS DOUBLE) AS f1, CAST(embedding[2] AS DOUBLE) AS f2,
-  CAST(embedding[3] AS DOUBLE) AS f3, CAST(embedding[4] AS DOUBLE) AS f4, label FROM embeddings"""
+_MATRIX = with_(WIDE) + f"SELECT {', '.join(COLUMNS)}, label FROM wide"
 
 
 @query("scan_bracketed_matrix", _MATRIX)

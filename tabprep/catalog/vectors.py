@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from tabprep.catalog.fixtures import (
-    COS, CVEC, FEAT4, FEATURES, PROBS_ALL, VEC, VEC4, VIEWS, VLONG, class_vec, feat4, probs, vec, vec4, views,
+    COLUMNS, COS, CVEC, FEAT4, FEATURES, PROBS_ALL, VEC, VIEWS, VLONG, WIDE, class_vec, feat4, probs, vec, views, wide,
 )
 from tabprep.catalog.registry import Tables, query, u_sql, with_
 from tabprep.functions import vectors as V
@@ -26,14 +26,15 @@ def long(df, array, value="value", places=6, keep=("vec_id",), pos="pos"):
 _HALF = u_sql(42, "vec_id", "'half'") + " < 0.5"
 
 
-@query("minmax_scale", with_(VEC4, f"""b AS (SELECT min(f1) l1, max(f1) h1, min(f2) l2, max(f2) h2, min(f3) l3, max(f3) h3,
-  min(f4) l4, max(f4) h4 FROM vec4 WHERE {_HALF})""") + """SELECT vec_id, round((f1 - l1) / (h1 - l1), 6) AS f1,
-  round((f2 - l2) / (h2 - l2), 6) AS f2, round((f3 - l3) / (h3 - l3), 6) AS f3,
-  round((f4 - l4) / (h4 - l4), 6) AS f4 FROM vec4, b""")
+_BOUNDS = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in COLUMNS)
+_SCALED = ", ".join(f"round(({c} - lo_{c}) / (hi_{c} - lo_{c}), 6) AS {c}" for c in COLUMNS)
+
+
+@query("minmax_scale", with_(WIDE, f"b AS (SELECT {_BOUNDS} FROM wide WHERE {_HALF})") + f"SELECT vec_id, {_SCALED} FROM wide, b")
 def minmax_scale(t: Tables):
-    df, cols = vec4(t), ["f1", "f2", "f3", "f4"]
-    scaled = vector_ops.minmax_scale(df, cols, fit=df.filter(u(42, F.col("vec_id"), "half") < 0.5))
-    return scaled.select("vec_id", *[F.round(c, 6).alias(c) for c in cols])
+    df = wide(t)
+    scaled = vector_ops.minmax_scale(df, COLUMNS, fit=df.filter(u(42, F.col("vec_id"), "half") < 0.5))
+    return scaled.select("vec_id", *[F.round(c, 6).alias(c) for c in COLUMNS])
 
 
 @query("one_hot", """SELECT vec_id, CAST(unnest(range(10)) AS INTEGER) AS pos,
@@ -108,8 +109,8 @@ def arc_margin_easy(t: Tables):
     return _margin(t, easy=True)
 
 
-# fixed small weights: 4 inputs, 3 hidden units, 2 outputs
-_W1 = [[0.5, -1.0, 0.25, 2.0], [-0.75, 0.5, 1.5, -0.25], [1.0, 1.0, -1.0, -1.0]]
+# fixed weights by a rule: all inputs, 3 hidden units, 2 outputs
+_W1 = [[((7 * i + 13 * j) % 17 - 8) / 8 for i in range(len(COLUMNS))] for j in range(3)]
 _B1 = [0.1, -0.2, 0.0]
 _W2 = [[1.5, -2.0, 0.5], [-1.0, 1.0, 2.0]]
 _B2 = [0.05, -0.3]
@@ -119,19 +120,18 @@ def _mlp_sql() -> str:
     def lin(w, b, names):
         return " + ".join(f"({x!r}) * {n}" for x, n in zip(w, names)) + f" + ({b!r})"
 
-    f = ["f1", "f2", "f3", "f4"]
-    hidden = ", ".join(f"1 / (1 + exp(-({lin(w, b, f)}))) AS h{i}" for i, (w, b) in enumerate(zip(_W1, _B1)))
+    hidden = ", ".join(f"1 / (1 + exp(-({lin(w, b, COLUMNS)}))) AS h{i}" for i, (w, b) in enumerate(zip(_W1, _B1)))
     out = ", ".join(f"{lin(w, b, ['h0', 'h1', 'h2'])} AS z{i}" for i, (w, b) in enumerate(zip(_W2, _B2)))
-    return with_(VEC4, f"h AS (SELECT vec_id, {hidden} FROM vec4)", f"z AS (SELECT vec_id, {out} FROM h)") + """
+    return with_(WIDE, f"h AS (SELECT vec_id, {hidden} FROM wide)", f"z AS (SELECT vec_id, {out} FROM h)") + """
       SELECT vec_id, round(1 / (1 + exp(z1 - z0)), 6) AS p0, round(1 / (1 + exp(z0 - z1)), 6) AS p1,
       CASE WHEN z0 >= z1 THEN 0 ELSE 1 END AS prediction FROM z"""
 
 
 @query("mlp_forward", _mlp_sql())
 def mlp_forward(t: Tables):
-    x = F.array("f1", "f2", "f3", "f4")
+    x = F.array(*COLUMNS)
     weights = (V.matrix(_W1), F.array(*map(F.lit, _B1)), V.matrix(_W2), F.array(*map(F.lit, _B2)))
-    out = vector_ops.mlp_forward(vec4(t), x, *weights)
+    out = vector_ops.mlp_forward(wide(t), x, *weights)
     p = F.col("probs")
     return out.select("vec_id", F.round(p[0], 6).alias("p0"), F.round(p[1], 6).alias("p1"), "prediction")
 

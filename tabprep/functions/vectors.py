@@ -6,6 +6,7 @@ expression once per element; ``let`` and ``array_repeat`` keep that to once per
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Sequence
 
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NORM_FLOOR = 1e-12
+MOST_WEIGHTS = 4_000_000
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -123,15 +125,17 @@ def affine(a: Column, weight_rows: Column, bias: Column) -> Column:
 
 
 def class_matrix(weights: DataFrame, cls: str = "class", pos: str = "pos", w: str = "w") -> Column:
-    """Unit class vectors as one ``ARRAY<ARRAY<DOUBLE>>`` value, in class order.
+    """Unit class vectors as one ``ARRAY<ARRAY<DOUBLE>>`` literal, in class order.
 
     ``weights`` is long ``(class, pos, w)``: the scoring head of a model, whose size is
-    classes x dimensions and does not grow with the rows it scores.
+    classes x dimensions and does not grow with the rows it scores. It passes the driver,
+    so more than ``MOST_WEIGHTS`` are refused. As a literal it is part of the plan and of no row.
     """
+    if weights.limit(MOST_WEIGHTS + 1).count() > MOST_WEIGHTS:
+        raise ValueError(f"a scoring head of more than {MOST_WEIGHTS} weights")
     rows = weights.groupBy(cls).agg(F.array_sort(F.collect_list(F.struct(pos, w))).alias("r"))
-    unit = rows.select(cls, l2_normalize(F.transform("r", lambda s: s[w])).alias("r"))
-    ordered = F.array_sort(F.collect_list(F.struct(cls, "r")))
-    return unit.agg(F.transform(ordered, lambda s: s["r"]).alias("m")).scalar()
+    found = rows.select(cls, l2_normalize(F.transform("r", lambda s: s[w])).alias("r")).orderBy(cls).collect()
+    return F.from_json(F.lit(json.dumps([r["r"] for r in found])), "array<array<double>>")
 
 
 def cosine_scores(a: Column, unit_rows: Column) -> Column:

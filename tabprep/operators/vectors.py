@@ -13,9 +13,7 @@ from tabprep.functions.arrays import elements
 
 def cosine_scores(df: DataFrame, vector: Column, unit_rows: Column, out: str = "cosines") -> DataFrame:
     """Add the cosine of each vector to every class; ``unit_rows`` as from ``class_matrix``."""
-    # a scalar subquery may not stand inside a higher-order function, so it becomes a column first
-    with_rows = df.withColumn("_rows", unit_rows)
-    return with_rows.withColumn(out, V.cosine_scores(vector, F.col("_rows"))).drop("_rows")
+    return df.withColumn(out, V.cosine_scores(vector, unit_rows))
 
 
 def class_probabilities(

@@ -1,4 +1,4 @@
-"""Every registered query against DuckDB on the same files."""
+"""Every query of the catalog against DuckDB on the same files."""
 
 import os
 
@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import compare, connect
+from tabprep.catalog.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,10 +19,10 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    sql = entry.oracle_sql().get(name)
-    status, note = compare(spark, con, name, entry.queries()[name], sql, SF_DIR)
+    sql = ORACLES.get(name)
+    status, note = compare(spark, con, name, QUERIES[name], sql, SF_DIR)
     assert status in ("ok", "rows"), f"{status} {note}"
 
 
