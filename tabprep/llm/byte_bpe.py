@@ -10,6 +10,7 @@ skipped when they come up.
 from __future__ import annotations
 
 import base64
+import gc
 import struct
 from collections.abc import Callable
 from functools import lru_cache
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from tabprep.llm.common import map_arrow, text_of
 
 #: Strings that a worker's memo holds in each generation, and the longest of them in characters.
-REMEMBERED, LONGEST = 200_000, 48
+REMEMBERED, LONGEST = 500_000, 48
 
 
 def default_path() -> str:
@@ -210,7 +211,11 @@ def by_pieces(text: str, first: Pieces, later: Pieces, whole: Callable[[str], by
 
 @lru_cache(maxsize=2)
 def encoder_of(content: bytes, pattern: str) -> Encoder:
-    """A Python worker's encoder, which outlives its tasks."""
+    """A Python worker's encoder, which outlives its tasks.
+
+    Encoding makes many small lists and no cycles, so the collector may come by less often.
+    """
+    gc.set_threshold(100_000, 20, 20)
     return Encoder(Vocabulary(content, pattern))
 
 
