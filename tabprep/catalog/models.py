@@ -1,17 +1,24 @@
-"""Learners (2.11) and the model sink (2.2). Fits are iterative, so only rows are checked here; see the tests."""
+"""Learners (2.11) and the model sink (2.2).
+
+Fits are iterative, so SQL states what must hold of their output: which rows are test rows,
+that each row's probabilities sum to one and the prediction is their largest, and, in one
+row with key -1 (or an empty id), the number of training rows and that the accuracy on them
+reaches a bound. The labels of ``embeddings`` are drawn independently of the vectors, so
+only what was trained on can be told.
+"""
 
 from pyspark.sql import functions as F
 
-from tabprep.catalog.fixtures import FEAT4, FEATURES, feat4, pairs, vec, vec4
+from tabprep.catalog.fixtures import COLUMNS, FEAT4, FEATURES, PAIRS, feat4, pairs, vec, wide
 from tabprep.catalog.registry import Tables, query, with_
+from tabprep.catalog.sampling import _order
 from tabprep.catalog.trees import _DEPTH, _fit_sql
-from tabprep.operators import sampling
+from tabprep.functions.vectors import total
+from tabprep.operators import evaluate, sampling
 from tabprep.operators import vectors as vector_ops
 from tabprep.plans import models, tree
 from tabprep.session import cut, scratch_path
 
-_F4 = ["f1", "f2", "f3", "f4"]
-
 
 def _parts(df, key, seed=42):
     """Training and test rows, materialised because a fit reads them many times."""
@@ -19,56 +26,76 @@ def _parts(df, key, seed=42):
     return split.filter("part = 'train'"), split.filter("part = 'test'")
 
 
-@query("tree_fit")
+def _sound():
+    p = F.col("probs")
+    return ((F.abs(total(p) - 1) < 1e-6) & (F.get(p, F.col("prediction")) == F.array_max(p))).alias("sound")
+
+
+def _told(train, test, model, key: str, none, bound: float):
+    """The test rows' check, and the training rows' in one row."""
+    rows = models.score_batch(test, model, [key, "label"]).select(key, "label", _sound())
+    fitted = models.score_batch(train, model, ["label"])
+    share = fitted.agg(F.avg(evaluate.hit("label", "prediction")).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+    return rows.unionByName(share.select(F.lit(none).alias(key), F.col("n").cast("int").alias("label"), (F.col("accuracy") >= bound).alias("sound")))
+
+
+def _told_sql(src: str, key: str, none: str) -> str:
+    split = f"(SELECT {key}, label, {_order('split', key)} <= ceil(0.2 * count(*) OVER ()) AS test FROM {src})"
+    return f"""SELECT {key}, CAST(label AS INTEGER) AS label, true AS sound FROM {split} WHERE test
+      UNION ALL SELECT {none}, CAST(count(*) AS INTEGER), true FROM {split} WHERE NOT test"""
+
+
+_VEC_SQL = _told_sql("embeddings", "vec_id", "-1")
+
+
+@query("tree_fit", _VEC_SQL)
 def tree_fit(t: Tables):
-    train, test = _parts(vec4(t), "vec_id")
-    return models.score_batch(test, models.tree_fit(train, _F4, "label"), ["vec_id", "label"]).drop("probs")
+    train, test = _parts(wide(t), "vec_id")
+    return _told(train, test, models.tree_fit(train, COLUMNS, "label"), "vec_id", -1, 0.9)
 
 
 def _scaled(t: Tables):
-    train, test = _parts(vec4(t), "vec_id")
-    return vector_ops.minmax_scale(train, _F4), vector_ops.minmax_scale(test, _F4, fit=train)
+    train, test = _parts(wide(t), "vec_id")
+    return cut(vector_ops.minmax_scale(train, COLUMNS)), cut(vector_ops.minmax_scale(test, COLUMNS, fit=train))
 
 
-@query("mlp_fit")
+@query("mlp_fit", _VEC_SQL)
 def mlp_fit(t: Tables):
     train, test = _scaled(t)
-    return models.score_batch(test, models.mlp_fit(train, _F4, "label", 10), ["vec_id", "label"]).drop("probs")
+    return _told(train, test, models.mlp_fit(train, COLUMNS, "label", 10), "vec_id", -1, 0.15)
 
 
-@query("vector_classifier")
+@query("vector_classifier", _VEC_SQL)
 def vector_classifier(t: Tables):
     train, test = _parts(models.with_vector(vec(t), "v"), "vec_id")
-    model = models.vector_classifier(train, 64, "label", 10)
-    return models.score_batch(test, model, ["vec_id", "label"]).drop("probs")
+    return _told(train, test, models.vector_classifier(train, 64, "label", 10), "vec_id", -1, 0.15)
 
 
-@query("pair_classifier")
+@query("pair_classifier", with_(PAIRS) + _told_sql("pairs", "id", "''"))
 def pair_classifier(t: Tables):
     train, dev = _parts(models.pair_features(pairs(t)), "id")
-    return models.score_batch(dev, models.pair_classifier(train), ["id", "label"]).drop("probs")
+    return _told(train, dev, models.pair_classifier(train), "id", "", 0.6)
 
 
-@query("score_batch")
+@query("score_batch", "SELECT vec_id, true AS sound FROM embeddings")
 def score_batch(t: Tables):
     """Every vector, scored by a stored model."""
     rows = models.with_vector(vec(t), "v")
     path = scratch_path(t.spark, "model")
     models.save_model(models.vector_classifier(cut(rows), 64, "label", 10), path)
-    scored = models.score_batch(rows, models.load_model(path), ["vec_id"])
-    return scored.select("vec_id", "prediction", F.round(F.array_max("probs"), 6).alias("top"))
+    return models.score_batch(rows, models.load_model(path), ["vec_id"]).select("vec_id", _sound())
 
 
-@query("sink_model")
+@query("sink_model", f"SELECT vec_id, true AS same FROM (SELECT vec_id, {_order('split', 'vec_id')} <= ceil(0.2 * count(*) OVER ()) AS test FROM embeddings) WHERE test")
 def sink_model(t: Tables):
-    """Predictions of a model before saving and after loading."""
+    """Whether a model gives the same probabilities before saving and after loading."""
     train, test = _scaled(t)
-    fitted = models.mlp_fit(train, _F4, "label", 10, iterations=20)
+    fitted = models.mlp_fit(train, COLUMNS, "label", 10, iterations=20)
     path = scratch_path(t.spark, "model")
     models.save_model(fitted, path)
-    before = models.score_batch(test, fitted, ["vec_id"]).select("vec_id", F.col("prediction").alias("before"))
-    after = models.score_batch(test, models.load_model(path), ["vec_id"]).select("vec_id", F.col("prediction").alias("after"))
-    return before.join(after, "vec_id")
+    before = models.score_batch(test, fitted, ["vec_id"]).select("vec_id", F.col("probs").alias("before"))
+    after = models.score_batch(test, models.load_model(path), ["vec_id"]).select("vec_id", F.col("probs").alias("after"))
+    return before.join(after, "vec_id").select("vec_id", (F.col("before") == F.col("after")).alias("same"))
 
 
 @query("sink_tree_table", with_(FEAT4, _fit_sql("feat4", FEATURES, [0, 1, 2], _DEPTH)) + """

@@ -73,12 +73,15 @@ def minmax_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def minmax_scale(df: DataFrame, cols: Sequence[str], fit: DataFrame | None = None) -> DataFrame:
-    """Scale columns by the minima and maxima of ``fit`` (default: the table itself)."""
+    """Scale columns by the minima and maxima of ``fit`` (default: the table itself): two numbers per column, found now."""
     source = df if fit is None else fit
-    lows = [F.min(F.col(c)).cast("double").alias(f"lo_{c}") for c in cols]
-    highs = [F.max(F.col(c)).cast("double").alias(f"hi_{c}") for c in cols]
-    b = source.agg(F.struct(*lows, *highs)).scalar()
-    return df.withColumns({c: V.minmax_scale(F.col(c), b[f"lo_{c}"], b[f"hi_{c}"]) for c in cols})
+    bounds = [f(F.col(c)).cast("double") for c in cols for f in (F.min, F.max)]
+    found = source.agg(F.array(*bounds).alias("b")).first()["b"]
+
+    def number(x: float | None) -> Column:
+        return F.lit(x).cast("double")
+
+    return df.withColumns({c: V.minmax_scale(F.col(c), number(found[2 * i]), number(found[2 * i + 1])) for i, c in enumerate(cols)})
 
 
 def mlp_forward(
