@@ -183,3 +183,13 @@ def test_pair_classifier_beats_chance(spark):
     data = models.pair_features(pairs(Tables(spark, "/root/testdata/sf0.01"))).cache()
     model = models.pair_classifier(data)
     assert accuracy(models.score_batch(data, model, ["id", "label"])).first()[0] > 0.6
+
+
+def test_matrix_keeps_every_row_and_refuses_bad_cells(spark, tmp_path):
+    (tmp_path / "m.txt").write_text("a = [\n1 nan 0\n -Inf\t2e3 1 \n\n+inf -.5 2\n];\n")
+    got = readers.read_matrix(spark, str(tmp_path / "m.txt"), row="row").orderBy("row").collect()
+    assert [r.label for r in got] == [0, 1, 2]
+    assert str([r.features for r in got]) == "[[1.0, nan], [-inf, 2000.0], [inf, -0.5]]"
+    (tmp_path / "bad.txt").write_text("1 2 0\n1 x 0\n")
+    with pytest.raises(Exception, match="not a number"):
+        readers.read_matrix(spark, str(tmp_path / "bad.txt")).collect()

@@ -200,3 +200,20 @@ def test_arc_margin_smoothing(spark):
         phi = math.cos(math.acos(x) + m) if x > math.cos(math.pi - m) else x - math.sin(math.pi - m) * m
         w = (1 - eps) * (i == 1) + eps / 2
         assert got[i] == pytest.approx(s * (w * phi + (1 - w) * x))
+
+
+def test_missing_predictions_are_no_hits(spark):
+    df = spark.createDataFrame([(1, 1, 1), (1, None, 1), (0, None, 1)], "label INT, prediction INT, run INT")
+    assert evaluate.accuracy(df).first()[0] == pytest.approx(1 / 3)
+    assert evaluate.repeat_run_stats(df, "run").first()[0] == pytest.approx(1 / 3)
+    pair = spark.createDataFrame([(1, 1), (1, None), (None, None), (1, 2)], "a INT, b INT")
+    assert tuple(evaluate.agreement_counts(pair, ["a", "b"]).first()) == (2, 2)
+
+
+def test_salts_follow_the_number_of_rows_of_a_key(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 100)
+    df = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") < 900, 0).otherwise(F.col("id")).alias("c"))
+    dim = spark.createDataFrame([(0, "hot"), (950, "x"), (5000, "y")], "c BIGINT, name STRING")
+    want = rows(joins.lookup_join(df, dim, "c"), "k", F.coalesce("name", F.lit("-")))
+    assert rows(joins.lookup_join(df, dim, "c", broadcast_rows=1), "k", F.coalesce("name", F.lit("-"))) == want
+    assert joins.fits(dim, 3) and not joins.fits(dim, 2) and not joins.fits(dim, 3, 10)

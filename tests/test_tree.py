@@ -4,6 +4,7 @@ import random
 from math import log2
 
 import pytest
+from pyspark.sql import functions as F
 
 from tabprep.functions.numbers import round2_exact  # noqa: F401
 from tabprep.operators import evaluate, splits
@@ -100,3 +101,20 @@ def test_text_reports(spark, tmp_path):
     writers.write_tree(nodes, str(tmp_path / "t"))
     lines = "".join(p.read_text() for p in sorted((tmp_path / "t").glob("part-*"))).splitlines()
     assert lines == ["a ≤ 0.50:", "  b ≤ 0.50:", "    Label: 0", "    Label: 1", "  b ≤ 0.50:", "    Label: 1", "    Label: 0"]
+
+
+def test_missing_features_and_labels(spark):
+    rows = [(1.0, 0), (2.0, 0), (None, 1), (float("nan"), 1), (9.0, 1), (3.0, None)]
+    df = spark.createDataFrame(rows, "x DOUBLE, y INT")
+    scan = splits.split_scan(df, ["x"], "y", splits.class_list(df, "y")).collect()
+    assert [(r.threshold, r.n, r.n_left) for r in sorted(scan, key=lambda r: r.threshold)] == [(1.5, 3, 1), (5.5, 3, 2)]
+    nodes = tree.id3_fit(df, ["x"], "y")
+    found = sorted((r.node_id, r.threshold, r.label, r.n) for r in nodes.select("node_id", F.coalesce("threshold", F.lit(-1.0)).alias("threshold"), "label", "n").collect())
+    assert found == [(1, 5.5, 1, 5), (2, -1.0, 0, 2), (3, -1.0, 1, 3)]  # missing values go right
+    got = [r.prediction for r in tree.id3_predict(df.withColumn("k", F.monotonically_increasing_id()), nodes, ["x"]).orderBy("k").collect()]
+    assert got == [0, 0, 1, 1, 1, 0]
+
+
+def test_a_table_without_labels_is_refused(spark):
+    with pytest.raises(ValueError):
+        tree.id3_fit(spark.createDataFrame([(1.0, None)], "x DOUBLE, y INT"), ["x"], "y")
