@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import gc
 import struct
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 
@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import map_arrow, text_of
+from tabprep.llm.common import slices, text_of
 
 #: Strings that a worker's memo holds in each generation, and the longest of them in characters.
-REMEMBERED, LONGEST = 500_000, 48
+REMEMBERED, LONGEST = 300_000, 48
 
 
 def default_path() -> str:
@@ -153,6 +153,11 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         return by_pieces(text, self.first, self.later, self.text)
 
+    def forget(self) -> None:
+        """Drop what was remembered, which the worker's next task may have no use for."""
+        for memo in (self.known, self.first, self.later):
+            memo.forget()
+
     def decode(self, ids: bytes) -> bytes:
         """The bytes that little-endian 32-bit ids stand for."""
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -173,10 +178,15 @@ class Memo(dict):
         if value is None:
             value = self.make(key)
         if len(key) <= LONGEST:
-            self.make_room(1)
+            if len(self) >= REMEMBERED:
+                self.make_room(1)
             self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
     def make_room(self, n: int) -> None:
         if len(self) + n > REMEMBERED and self:
             self.older = dict(self)
@@ -231,15 +241,20 @@ def encode(df: DataFrame, key: str, text: str, vocabulary: Vocabulary, decoded:
     """
     content, pattern = vocabulary.content, vocabulary.pattern
 
-    def run(batch: pa.RecordBatch) -> dict:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(content, pattern)
-        ids = list(map(encoder, batch.column(1).to_pylist()))
-        out = {"key": batch.column(0), "n_tokens": [len(x) // 4 for x in ids], "ids": ids}
-        return out | {"decoded": list(map(encoder.decode, ids))} if decoded else out
+        for part in slices(batches, 1):
+            ids = list(map(encoder, part.column(1).to_pylist()))
+            out = [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            names = ["key", "n_tokens", "ids"]
+            if decoded:
+                out, names = [*out, pa.array(map(encoder.decode, ids), pa.binary())], [*names, "decoded"]
+            yield pa.RecordBatch.from_arrays(out, names=names)
+        encoder.forget()
 
     kind = df.schema[key].dataType.simpleString()
     schema = f"key {kind}, n_tokens bigint, ids binary" + ", decoded binary" * decoded
-    return map_arrow(df.select(F.col(key).alias("key"), text_of(text).alias("text")), run, schema).withColumnRenamed("key", key)
+    return df.select(F.col(key).alias("key"), text_of(text).alias("text")).mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def decode(df: DataFrame, ids: str, vocabulary: Vocabulary, out: str = "decoded") -> DataFrame:

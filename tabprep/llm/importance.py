@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.llm.common import slices, stored, text_of
-from tabprep.llm.words import HASHED, SOLID, Words, mix
+from tabprep.llm.words import SOLID, Words, mix
 
+#: Bytes of text whose n-grams are held at once.
+HELD = 1 << 18
 #: Hash bits of an n-gram; the two last buckets are those of the word pairs.
 BITS = 20
 GRAM = 4
@@ -95,7 +97,7 @@ def fit(df: DataFrame, key: str, text: str, labels: DataFrame) -> Ratio:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
-        for part in slices(batches, 0, HASHED):
+        for part in slices(batches, 0, HELD):
             bucket, text = grams(part.column(0))
             raw += np.bincount(bucket, minlength=1 << BITS)
             chosen = part.column(1).to_numpy(zero_copy_only=False)[text]
@@ -117,7 +119,7 @@ def log_ratio(spark: SparkSession, model: Ratio, text: F.Column) -> F.Column:
 
     @F.pandas_udf("double")
     def mean(texts: pd.Series) -> pd.Series:
-        out = [shared.value.mean(part.column(0)) for part in slices([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])], 0, HASHED)]
+        out = [shared.value.mean(part.column(0)) for part in slices([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])], 0, HELD)]
         return pd.Series(np.concatenate(out) if out else [], dtype="float64")
 
     return mean(text)

@@ -1,7 +1,7 @@
 """Words of many texts at once, as numpy arrays over their bytes.
 
-A word's hash is a difference of running sums over the bytes, weighted by powers of an odd
-number, so no word is cut out to be hashed.
+A word's hash is a sum over its bytes, weighted by powers of an odd number, so no word is cut
+out to be hashed.
 """
 
 from __future__ import annotations
@@ -37,13 +37,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64, and of its inverse."""
-    base = 0x5851F42D4C957F2D
-    up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+_BASE = np.uint64(0x5851F42D4C957F2D)
+
+
+@lru_cache(maxsize=1)
+def _few_powers() -> np.ndarray:
+    return _powers(1 << 12)
+
+
+def _powers(n: int) -> np.ndarray:
+    """Powers of an odd number modulo 2**64."""
+    up = np.full(n, _BASE, np.uint64)
+    up[0] = 1
+    return np.multiply.accumulate(up)
 
 
 class Words:
@@ -68,10 +74,21 @@ class Words:
         after[cut] = False
         self.ends = np.flatnonzero(inside & ~after) + 1
         self.first = np.searchsorted(self.starts, borders)
-        up, down = _powers(1 << max(20, int(len(raw)).bit_length()))
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * up[: len(raw)], out=sums[1:])
-        self.hashes = mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        self.hashes = self._hashes(inside[:-1])
+
+    def _hashes(self, inside: np.ndarray) -> np.ndarray:
+        """Sums over each word's bytes, weighted by powers that begin anew with the word."""
+        if not len(self.starts):
+            return np.zeros(0, np.uint64)
+        begin = int(self.starts[0])
+        spans = np.diff(np.append(self.starts, len(self.data)))
+        place = np.arange(begin, len(self.data), dtype=np.int64) - np.repeat(self.starts, spans)
+        place[~inside[begin:]] = 0
+        longest = int(place.max()) + 1
+        up = _few_powers() if longest <= 1 << 12 else _powers(longest)
+        parts = _BYTE[self.data[begin:]] * up[place]
+        parts[~inside[begin:]] = 0
+        return mix(np.add.reduceat(parts, self.starts - begin))
 
     def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the runs of ``size`` words from each word on, and whether the run ends in its text."""
