@@ -7,6 +7,7 @@ from the positions i, i + 21 and i + 42 (mod 64). Image files are written from t
 import struct
 import zlib
 
+import numpy as np
 import pandas as pd
 from pyarrow import fs
 from pyspark import TaskContext
@@ -21,7 +22,7 @@ from tabprep.functions.seeded import u
 from tabprep.operators import profile
 from tabprep.operators.sampling import sample_n
 from tabprep.plans import images as jobs
-from tabprep.session import scratch_path
+from tabprep.session import address, scratch_path
 from tabprep.sources import images as scans
 
 
@@ -219,14 +220,15 @@ def _png(rgb: bytes, h: int, w: int) -> bytes:
 
 
 def _folder(path: str):
-    """The file system and the folder of a path, made if missing; runs in the tasks."""
-    system, root = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+    """The file system and the folder of an address, made if missing; runs in the tasks."""
+    system, root = fs.FileSystem.from_uri(path)
     system.create_dir(root, recursive=True)
     return system, root
 
 
 def _write_files(df, path: str, encode) -> None:
     """Write one file per row ``(name, ...)`` in the tasks; a retried task writes the same files again."""
+    path = address(df.sparkSession, path)
 
     def write(batches):
         system, root = _folder(path)
@@ -241,6 +243,7 @@ def _write_files(df, path: str, encode) -> None:
 
 def _write_records(df, path: str, encode) -> None:
     """Write one file of records per task."""
+    path = address(df.sparkSession, path)
 
     def write(batches):
         system, root = _folder(path)
@@ -265,7 +268,7 @@ def _image_files(t: Tables) -> str:
     )
 
     def encode(row) -> bytes:
-        data = bytes(int(x) for x in row.pixels) * 2
+        data = np.asarray(row.pixels, "uint8").tobytes() * 2
         return b"not an image" if row.broken else _png(data, int(row.rows), 8)
 
     _write_files(files, path, encode)
@@ -322,7 +325,7 @@ def class_image_sample(t: Tables):
 def scan_fixed_records(t: Tables):
     path = scratch_path(t.spark, "records")
     rows = color(t).select("label", "pixels")
-    _write_records(rows, path, lambda row: bytes([int(row.label), *(int(x) for x in row.pixels)]))
+    _write_records(rows, path, lambda row: bytes([int(row.label)]) + np.asarray(row.pixels, "uint8").tobytes())
     records = scans.read_fixed_records(t.spark, path, 192)
     total = F.aggregate("pixels", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return records.select("label", total.alias("total"), F.get("pixels", F.lit(0)).alias("first"), F.get("pixels", F.lit(191)).alias("last"))

@@ -49,6 +49,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tabprep-{uuid.uuid4().hex[:12]}/{name}"
 
 
+def address(spark: SparkSession, path: str) -> str:
+    """The full address of a path: one without a scheme lies on the cluster's default file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    scheme, _, rest = full.partition(":")
+    return full if rest.startswith("//") else f"{scheme}://{rest}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared folder and drop the lineage.
 

@@ -32,10 +32,10 @@ def write_tree(nodes: DataFrame, path: str) -> None:
 
 
 def write_pair_log(df: DataFrame, path: str, before: str, after: str) -> None:
-    """``before|||after`` per row, both stripped; line breaks inside a text become blanks."""
+    """``before|||after`` per row, both stripped; line breaks inside a text become blanks, a missing one is empty."""
 
     def flat(c: str):
-        return F.regexp_replace(F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""), r"[\r\n]+", " ")
+        return F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""), r"[\r\n]+", " ")
 
     df.select(F.concat_ws("|||", flat(before), flat(after)).alias("value")).write.mode("overwrite").text(path)
 
