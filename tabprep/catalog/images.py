@@ -172,24 +172,28 @@ def clahe_gray(t: Tables):
     return _long(jobs.equalize(color(t), 40, 2, 2))
 
 
-@query("clahe_value", with_(GRAY, COLOR, _RGB, "vp AS (SELECT image_id, 0 AS ch, pos // 8 AS y, pos % 8 AS x, v AS px FROM hsv)",
-                            _equalize_sql("vp", 40, "eq"),
-                            "even AS (SELECT hsv.image_id, pos, h, s, eq.px AS v FROM hsv JOIN eq ON eq.image_id = hsv.image_id AND pos = y * 8 + x)",
-                            _BACK.format(src="even")) + """
+_EVEN = with_(GRAY, COLOR, _RGB, "vp AS (SELECT image_id, 0 AS ch, pos // 8 AS y, pos % 8 AS x, v AS px FROM hsv)",
+              _equalize_sql("vp", 40, "eq"),
+              "even AS (SELECT hsv.image_id, pos, h, s, eq.px AS v FROM hsv JOIN eq ON eq.image_id = hsv.image_id AND pos = y * 8 + x)",
+              _BACK.format(src="even"))
+
+
+@query("clahe_value", _EVEN + """
   SELECT image_id, CAST(pos * 3 + ch AS INTEGER) AS pos, [r, g, b][ch + 1] AS px FROM back, (SELECT unnest(range(3)) AS ch)""")
 def clahe_value(t: Tables):
     return _long(jobs.equalize_value(color(t), 40, 2, 2))
 
 
-@query("image_prepare")
+@query("image_prepare", _EVEN + f"""
+  SELECT image_id, CAST(label AS INTEGER) AS label, CAST(ch * 144 + y * 12 + x AS INTEGER) AS pos,
+    round(([r, g, b][ch + 1] / 255.0 - {list(MEAN)}[ch + 1]) / {list(STD)}[ch + 1], 6) AS value
+  FROM back JOIN embeddings ON image_id = vec_id, (SELECT unnest(range(12)) AS y) a, (SELECT unnest(range(12)) AS x) b,
+    (SELECT unnest(range(3)) AS ch) c WHERE pos = ((y * 8) // 12) * 8 + (x * 8) // 12""")
 def image_prepare(t: Tables):
     path = scratch_path(t.spark, "prepared.parquet")
     jobs.image_prepare(color(t), (12, 12), MEAN, STD, tiles=(2, 2)).write.parquet(path)
-    values = F.col("values")
-    return t.spark.read.parquet(path).select(
-        "image_id", "label", F.size(values).alias("size"), F.round(F.array_min(values), 6).alias("lowest"),
-        F.round(F.array_max(values), 6).alias("highest"),
-    )
+    rows = elements(t.spark.read.parquet(path), ["image_id", "label"], "values", "value", "pos")
+    return rows.withColumn("value", F.round("value", 6))
 
 
 _VIEW = f"""v0 AS (SELECT image_id, view, pos, px FROM color, (SELECT unnest(range(4)) AS view)),
