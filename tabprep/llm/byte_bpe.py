@@ -151,7 +151,7 @@ class Encoder:
         return b"".join(map(self.known.__getitem__, self.split(text)))
 
     def __call__(self, text: str) -> bytes:
-        return by_pieces(text, self.first, self.later, self.text)
+        return by_pieces(text, text.split(" "), self.first, self.later, self.text)
 
     def forget(self) -> None:
         """Drop what was remembered, which the worker's next task may have no use for."""
@@ -169,16 +169,16 @@ class Memo(dict):
     When the younger is full it replaces the older, so what is met again and again stays.
     """
 
-    def __init__(self, make: Callable[[str], bytes | None]):
+    def __init__(self, make: Callable[[str], bytes | None], most: int | None = None):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.most, self.older = make, most or REMEMBERED, {}
 
     def __missing__(self, key: str) -> bytes | None:
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
         if len(key) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.make_room(1)
             self[key] = value
         return value
@@ -188,7 +188,7 @@ class Memo(dict):
         self.older = {}
 
     def make_room(self, n: int) -> None:
-        if len(self) + n > REMEMBERED and self:
+        if len(self) + n > self.most and self:
             self.older = dict(self)
             self.clear()
 
@@ -201,19 +201,18 @@ class Pieces(Memo):
     included. Any other piece has None.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], before: str, blank: Callable):
-        super().__init__(lambda piece: encode(before + piece) if piece and not blank(piece[0]) and not blank(piece[-1]) else None)
+    def __init__(self, encode: Callable[[str], bytes], before: str, blank: Callable, most: int | None = None):
+        super().__init__(lambda piece: encode(before + piece) if piece and not blank(piece[0]) and not blank(piece[-1]) else None, most)
 
 
-def by_pieces(text: str, first: Pieces, later: Pieces, whole: Callable[[str], bytes]) -> bytes:
+def by_pieces(text: str, pieces: list[str], first: Pieces, later: Pieces, whole: Callable[[str], bytes]) -> bytes:
     """A text's ids from those of its pieces; as a whole where blanks stand side by side or at its ends."""
     if not text:
         return b""
-    head, *rest = text.split(" ")
-    start = first[head]
+    start = first[pieces[0]]
     if start is not None:
         try:
-            return start + b"".join(map(later.__getitem__, rest))
+            return start + b"".join(map(later.__getitem__, pieces[1:]))
         except TypeError:  # a piece without ids of its own
             pass
     return whole(text)

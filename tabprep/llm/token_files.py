@@ -33,6 +33,10 @@ MAGIC, VERSION = b"TKEF", 1
 HEAD = struct.Struct("<4sBBBxQQ5Q")
 #: Ones between two samples.
 EVERY = 512
+#: Pieces that a worker's memo holds in each generation.
+REMEMBERED = 800_000
+#: Letters up to here are letters in any version of Unicode's tables.
+OLD_LETTERS = "\u024f"
 #: Bytes of ids after which a file is closed.
 FILE = 16 << 20
 
@@ -160,7 +164,8 @@ class _Worker:
         tokens = self.model.get_vocab(with_added_tokens=False)
         self.after_space = np.zeros(max(tokens.values()) + 1, bool)
         self.after_space[[i for token, i in tokens.items() if token.startswith("Ġ")]] = True  # how a space is written
-        self.first, self.later = Pieces(self.text, "", _blank), Pieces(self.text, " ", _blank)
+        self.first, self.later = Pieces(self.text, "", _blank), Pieces(self.text, " ", _blank, REMEMBERED)
+        self.marks = {mark: self.text(mark) for mark in ",."}
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
@@ -168,24 +173,35 @@ class _Worker:
     def text(self, text: str) -> bytes:
         return self.ids(text).tobytes()
 
-    def learn(self, texts: list[str]) -> None:
-        """Encode the unknown pieces of some texts in one go; a token that starts with a space starts a piece."""
+    def learn(self, texts: list[list[str]]) -> None:
+        """Encode the unknown pieces of some texts in one go; a token that starts with a space starts a piece.
+
+        A word with a comma or a full stop behind it is two pre-tokens, so its ids follow from the word's.
+        """
         new: set[str] = set()
-        for text in texts:
-            new.update(text.split(" ")[1:])
+        for pieces in texts:
+            new.update(pieces)
         later = self.later
         unknown = [p for p in new if p not in later and p not in later.older and 0 < len(p) <= LONGEST and not _blank(p[0]) and not _blank(p[-1])]
-        later.make_room(len(unknown))
+        marked = [p for p in unknown if p[-1] in self.marks and p[:-1].isalpha() and max(p) <= OLD_LETTERS]
+        alone = set(unknown).difference(marked)
+        stems = [p[:-1] for p in marked]
+        alone.update(p for p in stems if p not in later and p not in later.older)
+        later.make_room(len(alone) + len(marked))
+        unknown = list(alone)
         for at in range(0, len(unknown), 4096):
             part = unknown[at : at + 4096]
             ids = self.ids(" " + " ".join(part))
             raw, size = ids.tobytes(), ids.itemsize
             borders = [*(np.flatnonzero(self.after_space[ids]) * size).tolist(), len(raw)]
             later.update(zip(part, (raw[a:b] for a, b in zip(borders[:-1], borders[1:], strict=True)), strict=True))
+        for p, stem in zip(marked, stems, strict=True):
+            later[p] = (later.get(stem) or later.older[stem]) + self.marks[p[-1]]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        self.learn(texts)
-        return [by_pieces(t, self.first, self.later, self.text) for t in texts]
+        split = [t.split(" ") for t in texts]
+        self.learn(split)
+        return [by_pieces(t, pieces, self.first, self.later, self.text) for t, pieces in zip(texts, split, strict=True)]
 
 
 def _blank(character: str) -> bool:
