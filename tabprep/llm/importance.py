@@ -27,7 +27,7 @@ HELD = 1 << 18
 #: Hash bits of an n-gram; the two last buckets are those of the word pairs.
 BITS = 20
 GRAM = 4
-#: Target documents that the target model is fitted on, at most; those with the lowest hashes.
+#: Target documents that the target model is fitted on, at most; those with the highest hashes of their key.
 SAMPLE = 50_000
 #: Added to every count.
 PRIOR = 1.0
@@ -90,7 +90,9 @@ def fit(df: DataFrame, key: str, text: str, labels: DataFrame) -> Ratio:
     ``labels`` has ``key`` and ``clean``. One pass over the texts: a task adds up its texts'
     n-grams and gives its counts, which Spark sums by bucket; 2**BITS sums reach the driver.
     """
-    chosen = labels.filter("clean").select(key).orderBy(F.xxhash64(key), key).limit(SAMPLE)
+    chosen = labels.filter("clean").select(key, F.shiftright(F.xxhash64(key), 2).alias("h"))
+    cut = cut_off(chosen, "h", SAMPLE)
+    chosen = chosen if cut is None else chosen.filter(F.col("h") >= cut)
     docs = df.select(F.col(key), text_of(text).alias("text")).join(
         F.broadcast(chosen.select(F.col(key), F.lit(True).alias("target"))), key, "left"
     ).select("text", F.coalesce("target", F.lit(False)).alias("target"))

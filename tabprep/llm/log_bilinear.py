@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.llm.common import flat, slices, stored, text_of
+from tabprep.llm.importance import cut_off
 from tabprep.llm.words import HASHED, SOLID, Words
 
 #: Ids of the model: the end of a text, which also stands before its first word, and other words.
@@ -303,8 +304,10 @@ def score(df: DataFrame, key: str, text: str, held_out: F.Column) -> DataFrame:
     ends = training.count()
     words, types = table.agg(F.sum("n"), F.count("*")).first()
     total, distinct = (words or 0) + ends, types + (ends > 0)
-    head = table.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()  # at most HEAD rows
-    lexicon = Lexicon(head["word"].to_numpy(np.int64).view(np.uint64), head["n"].to_numpy(np.int64))
+    # fewer than HEAD words stand above the cut; those that tie with it are joined like rarer ones
+    cut = cut_off(table, "n", HEAD)
+    head = (table if cut is None else table.filter(F.col("n") > cut)).collect()
+    lexicon = Lexicon(np.array([r["word"] for r in head], np.int64).view(np.uint64), np.array([r["n"] for r in head], np.int64))
     rows = stored(encode(docs, lexicon).withColumn("row", F.monotonically_increasing_id()), "ids")
 
     n_of = np.zeros(VOCABULARY)
