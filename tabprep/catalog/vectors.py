@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from tabprep.catalog.fixtures import (
-    COLUMNS, COS, CVEC, FEAT4, FEATURES, PROBS_ALL, VEC, VIEWS, VLONG, WIDE, class_vec, feat4, probs, vec, views, wide,
+    COLUMNS, COS, CVEC, PROBS_ALL, VEC, VIEWS, VLONG, WIDE, class_vec, probs, vec, views, wide,
 )
 from tabprep.catalog.registry import Tables, query, u_sql, with_
 from tabprep.functions import vectors as V
