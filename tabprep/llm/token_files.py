@@ -182,12 +182,13 @@ class _Worker:
         for pieces in texts:
             new.update(pieces)
         later = self.later
-        unknown = [p for p in new if p not in later and p not in later.older and 0 < len(p) <= LONGEST and not _blank(p[0]) and not _blank(p[-1])]
+        absent = [p for p in new if p not in later]
+        later.make_room(len(absent))  # first, since it drops the older generation: nothing found below is lost again
+        unknown = [p for p in absent if p not in later.older and 0 < len(p) <= LONGEST and not _blank(p[0]) and not _blank(p[-1])]
         marked = [p for p in unknown if p[-1] in self.marks and p[:-1].isalpha() and max(p) <= OLD_LETTERS]
         alone = set(unknown).difference(marked)
         stems = [p[:-1] for p in marked]
         alone.update(p for p in stems if p not in later and p not in later.older)
-        later.make_room(len(alone) + len(marked))
         unknown = list(alone)
         for at in range(0, len(unknown), 4096):
             part = unknown[at : at + 4096]

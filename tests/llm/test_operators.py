@@ -130,6 +130,25 @@ def test_token_files(docs, none, monkeypatch):
     assert bag((r.doc_id, tuple(np.frombuffer(r.ids, "<u2").tolist())) for r in plain) == bag((r[0], tuple(ids(r[1]))) for r in rows())
 
 
+def test_token_memo_over_several_rollovers(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    model = Tokenizer.from_file(path)
+    monkeypatch.setattr(token_files, "REMEMBERED", 4)
+    worker = token_files._Worker(token_files.Tokenizer.of_file(path, 0))
+    # the stem stands in the generation that goes when the marked word comes
+    texts = ["a foo bar cat dog", "a one two three four", "a foo, bar. x1", "a foo cat, one. foo. foo", "a dog, two, b c d e f g h", "a foo, foo foo."]
+    for _ in range(3):
+        for t in texts:
+            assert np.frombuffer(worker([t])[0], "<u2").tolist() == model.encode(t, add_special_tokens=False).ids
+    r = random.Random(1)
+    for _ in range(200):
+        t = " ".join(r.choice(["foo", "bar", "cat", "zebra", "Zürich", "x1"]) + r.choice(["", "", ",", "."]) for _ in range(r.randint(1, 6)))
+        assert np.frombuffer(worker([t])[0], "<u2").tolist() == model.encode(t, add_special_tokens=False).ids
+
+
 def test_warc(spark, monkeypatch):
     long = "<p>é" + "y" * 120
     pages = [(5, "http://a/é b", long), (2, None, long), (9, "u\r\nX: y", long), (3, "u", "short"), (4, "u", "short"), (6, "u", None), (7, "u", ""), (None, "u", long),
