@@ -12,6 +12,7 @@ bits, samples, ids.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -142,25 +143,30 @@ class Tokenizer:
             model = f.read()
         if not splits_at_spaces(model):
             raise ValueError("only byte-level BPE without a normaliser is supported")
-        ids = max(tokenizers.Tokenizer.from_str(model).get_vocab_size(), end + 1)
-        return cls(model, end, 2 if ids <= 1 << 16 else 4)
+        most = max(end, *tokenizers.Tokenizer.from_str(model).get_vocab().values())
+        return cls(model, end, 2 if most < 1 << 16 else 4)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids and the end id, little endian. Special tokens' strings are ordinary text."""
+        """Each text's ids and the end id, little endian. The string of an added token is that token, as in the library's plain call."""
         last = self.end.to_bytes(self.width, "little")
         return [ids + last for ids in _worker(self)(texts)]
 
 
 class _Worker:
-    """A loaded tokenizer, with the ids of short pieces kept."""
+    """A loaded tokenizer, with the ids of short pieces kept.
+
+    Pieces are encoded without the added tokens; a text that holds an added token's string goes whole
+    through the full tokenizer, which is loaded when the first such text comes.
+    """
 
     def __init__(self, told: Tokenizer):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
         import tokenizers
 
-        self.kind = f"<u{told.width}"
-        self.model = tokenizers.Tokenizer.from_str(told.model)
-        self.model.encode_special_tokens = True
+        self.kind, self.told, self.full = f"<u{told.width}", told, None
+        model = json.loads(told.model)
+        self.added = [x["content"] for x in model.get("added_tokens") or [] if x["content"]]
+        self.model = tokenizers.Tokenizer.from_str(json.dumps(model | {"added_tokens": []}))
         tokens = self.model.get_vocab(with_added_tokens=False)
         self.after_space = np.zeros(max(tokens.values()) + 1, bool)
         self.after_space[[i for token, i in tokens.items() if token.startswith("Ġ")]] = True  # how a space is written
@@ -199,10 +205,21 @@ class _Worker:
         for p, stem in zip(marked, stems, strict=True):
             later[p] = (later.get(stem) or later.older[stem]) + self.marks[p[-1]]
 
+    def with_added(self, text: str) -> bytes:
+        """The ids of a text that holds an added token's string."""
+        if self.full is None:
+            import tokenizers
+
+            self.full = tokenizers.Tokenizer.from_str(self.told.model)
+        return np.array(self.full.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        self.learn(split)
-        return [by_pieces(t, pieces, self.first, self.later, self.text) for t, pieces in zip(texts, split, strict=True)]
+        # no pieces where the text goes whole through the full tokenizer
+        split = [None if any(x in t for x in self.added) else t.split(" ") for t in texts]
+        self.learn([pieces for pieces in split if pieces])
+        return [
+            by_pieces(t, pieces, self.first, self.later, self.text) if pieces else self.with_added(t) for t, pieces in zip(texts, split, strict=True)
+        ]
 
 
 def _blank(character: str) -> bool:
@@ -217,8 +234,6 @@ def _worker(told: Tokenizer) -> _Worker:
 
 def splits_at_spaces(model: str) -> bool:
     """Whether a tokenizer file is byte-level BPE without a normaliser, so that pieces between spaces encode alone."""
-    import json
-
     told = json.loads(model)
     before = told.get("pre_tokenizer") or {}
     return told.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")

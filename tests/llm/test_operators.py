@@ -149,6 +149,27 @@ def test_token_memo_over_several_rollovers(monkeypatch):
         assert np.frombuffer(worker([t])[0], "<u2").tolist() == model.encode(t, add_special_tokens=False).ids
 
 
+def test_token_files_with_added_tokens(spark, tmp_path):
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    told = json.loads(open(path, encoding="utf-8").read())
+    plain = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
+    more = [{"id": 70_000, "content": "foo bar", "special": False, **plain}, {"id": 70_001, "content": "<x>", "special": True, **plain, "lstrip": True}]
+    other = tmp_path / "more.json"
+    other.write_text(json.dumps(told | {"added_tokens": [*told["added_tokens"], *more]}), encoding="utf-8")
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>, <|endoftext|>. y", "a foo bar b", "foo, bar <x> b", "a  <x>", "foo", "bar a foo", "<|endoftext |>", "", "b a. a, b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for file in (path, str(other)):
+        model, tokenizer = Tokenizer.from_file(file), token_files.Tokenizer.of_file(file, 0)
+        found = token_files.tokenize(df, "doc_id", "text", tokenizer).collect()
+        want = {k: model.encode(t, add_special_tokens=False).ids + [0] for k, t in enumerate(texts)}
+        assert {r.doc_id: np.frombuffer(r.ids, f"<u{tokenizer.width}").tolist() for r in found} == want
+
+
 def test_warc(spark, monkeypatch):
     long = "<p>é" + "y" * 120
     pages = [(5, "http://a/é b", long), (2, None, long), (9, "u\r\nX: y", long), (3, "u", "short"), (4, "u", "short"), (6, "u", None), (7, "u", ""), (None, "u", long),
