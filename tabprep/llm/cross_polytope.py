@@ -43,8 +43,13 @@ class Scheme:
 
     @classmethod
     def of(cls, width: int, rows: int, cosine: float) -> Scheme:
-        """Hashes by the number of rows; tables by the rate at which simulated pairs at the threshold meet."""
+        """Hashes by the number of rows; tables by the rate at which simulated pairs at the threshold meet.
+
+        So few rows as one bucket may hold are not hashed: all of them meet.
+        """
         size = 1 << max(1, (width - 1).bit_length())
+        if rows <= LOAD:
+            return cls(size, 0, 1)
         hashes = max(1, math.ceil(math.log(max(2.0, rows / LOAD)) / math.log(2 * size)))
         r = np.random.default_rng(SEED)
         a, b = r.normal(size=(2, 4000, size))
@@ -86,6 +91,32 @@ class Scheme:
         return out
 
 
+class Schemes:
+    """The schemes of all lengths of vectors, each with a range of bucket keys of its own."""
+
+    def __init__(self, by_width: dict[int, Scheme]):
+        self.widths = sorted(by_width)
+        self.schemes = [by_width[w] for w in self.widths]
+        ends = [0]
+        for s in self.schemes:
+            ends.append(ends[-1] + s.tables * (2 * s.size) ** s.hashes)
+        self.starts = np.array(ends[:-1], np.int64)
+
+    def keys(self, vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """By length: places of its vectors, and their buckets, a row for each vector."""
+        width = np.diff(vectors.offsets.to_numpy())
+        for w in np.unique(width).tolist():
+            at = np.flatnonzero(width == w)
+            n = np.searchsorted(self.widths, w)
+            x = _matrix(vectors.take(pa.array(at)) if len(at) < len(vectors) else vectors)
+            yield at, self.starts[n] + self.schemes[n].keys(x).reshape(len(at), -1)
+
+    def of_key(self, key: int) -> tuple[Scheme, int]:
+        """The scheme that a bucket belongs to, and its key there."""
+        n = int(np.searchsorted(self.starts, key, side="right")) - 1
+        return self.schemes[n], key - int(self.starts[n])
+
+
 def _hadamard(x: np.ndarray) -> np.ndarray:
     """The Walsh-Hadamard transform of each row, unscaled."""
     n, d = x.shape
@@ -165,17 +196,10 @@ def neighbours(df: DataFrame, key: str, vector: str, cosine: float = 0.9) -> Dat
         "classes",
     )
     plain = rows.select("key", "digest")
-    widths = [r[0] for r in classes.select(F.size("vector")).distinct().limit(1001).collect()]
-    if len(widths) > 1000:
-        raise ValueError("vectors of more than 1000 different lengths")
-    found = None
-    for width in sorted(widths):
-        own = classes.filter(F.size("vector") == width)
-        part = _counted(own, Scheme.of(width, own.count(), cosine), cosine)
-        found = part if found is None else found.union(part)
-    if found is None:
+    schemes = _schemes(classes, cosine)
+    if not schemes.widths:
         return plain.select(F.col("key").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component"))
-    found = stored(found, "links")
+    found = stored(_counted(classes, schemes, cosine), "links")
     n = found.groupBy("node").agg(F.sum("n").alias("n"))
     tied = components(found.filter("node != root"), "node", "root")
     named = classes.select("node", "digest", "least", "size").join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -186,17 +210,39 @@ def neighbours(df: DataFrame, key: str, vector: str, cosine: float = 0.9) -> Dat
     )
 
 
-def _counted(classes: DataFrame, scheme: Scheme, cosine: float) -> DataFrame:
+def _schemes(classes: DataFrame, cosine: float) -> Schemes:
+    """The scheme of every length, simulated on the executors.
+
+    The driver and the tasks hold a few numbers per length. k different lengths make up a table of at
+    least k * (k + 1) / 2 numbers, so what they hold grows with the root of the input at most.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [(w, Scheme.of(w, n, cosine)) for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_pylist([{"width": w, "size": s.size, "hashes": s.hashes, "tables": s.tables} for w, s in made], schema=SCHEME)
+
+    lengths = classes.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"))
+    dealt = lengths.repartition(classes.sparkSession.sparkContext.defaultParallelism, "width")
+    found = dealt.mapInArrow(run, "width int, size bigint, hashes int, tables int").collect()
+    return Schemes({r["width"]: Scheme(r["size"], r["hashes"], r["tables"]) for r in found})
+
+
+SCHEME = pa.schema([("width", pa.int32()), ("size", pa.int64()), ("hashes", pa.int32()), ("tables", pa.int32())])
+
+
+def _counted(classes: DataFrame, schemes: Schemes, cosine: float) -> DataFrame:
     """``node, n, root``: counts and forests of the blocks; a node may stand in many rows."""
-    probes = 1 + scheme.hashes
+    shared = classes.sparkSession.sparkContext.broadcast(schemes)
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                keys = scheme.keys(_matrix(part.column(1))).reshape(part.num_rows, -1)
-                node = np.repeat(part.column(0).to_numpy(), scheme.tables * probes)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(node)], names=["key", "node"])
+                nodes = part.column(0).to_numpy()
+                for own, keys in shared.value.keys(part.column(1)):
+                    node = np.repeat(nodes[own], keys.shape[1])
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(node)], names=["key", "node"])
 
     filed = stored(classes.select("node", "vector").mapInArrow(file, "key bigint, node bigint"), "buckets")
     # buckets with one vector hold no pair
@@ -212,6 +258,7 @@ def _counted(classes: DataFrame, scheme: Scheme, cosine: float) -> DataFrame:
         for part in _runs(batches):
             key, i, j = (part.column(c)[0].as_py() for c in range(3))
             block = part.column(3).to_numpy()
+            scheme, key = shared.value.of_key(key)
             got = _links(
                 scheme, key, _matrix(part.column(6)), part.column(4).to_numpy(), part.column(5).to_numpy(), block == i, block == j, cosine
             )

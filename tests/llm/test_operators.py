@@ -234,6 +234,17 @@ def test_cross_polytope_blocks_count_each_pair_once(spark, monkeypatch):
     assert {(x.n_links, x.component) for x in got} == {(89, 0)} and len(got) == 90
 
 
+def test_cross_polytope_of_many_lengths(spark):
+    # of every length two near vectors and one far off; of length 40 so many that they are hashed
+    near = "transform(sequence(1, 1 + id div 3), x -> cast(CASE id % 3 WHEN 0 THEN x WHEN 1 THEN x + 0.01 ELSE IF(x % 2 = 0, x, -x) END AS double))"
+    df = spark.range(3 * 1100).selectExpr("id", f"{near} AS v")
+    more = spark.range(200).selectExpr("10000 + id AS id", "transform(sequence(1, 40), x -> IF(x = 1 + id div 5, 10D, IF(x = 41 - id % 5, 1D, 0D))) AS v")
+    got = {r.id: (r.n_links, r.component) for r in cross_polytope.neighbours(df.union(more), "id", "v").collect()}
+    assert len(got) == 3500
+    assert all(got[3 * n] == got[3 * n + 1] == (1, 3 * n) and got[3 * n + 2] == (0, 3 * n + 2) for n in range(1100))
+    assert all(got[10000 + n] == (4, 10000 + n - n % 5) for n in range(175))
+
+
 def test_jump_hash_and_shards(docs, none):
     def one(key, n):
         b, j = -1, 0
