@@ -204,3 +204,57 @@ least AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
 n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
 SELECT vec_id, coalesce(n.n, 0) AS n_links, c AS component_id, vec_id = c AS kept FROM v JOIN least ON vec_id = least.a LEFT JOIN n ON vec_id = n.a
 """
+
+
+@query
+def op11_pivot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabprep.llm import pivot_clusters
+
+    found, _ = pivot_clusters.cluster(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", width=64, scale=64, k=16, rounds=3, seed=1)
+    return found
+
+
+def _clusters_sql() -> str:
+    def dealt(round: int) -> str:
+        """Nearest centroid of every vector; all numbers are whole, and far below 2**53 on the test tables."""
+        return f"""a{round} AS (SELECT rid, any_value(vec_id) AS vec_id, any_value(x) AS x, min({{'d': d, 'k': k}}) AS m FROM (
+  SELECT v.*, c.k, list_inner_product(v.x, v.x) - 2 * list_inner_product(v.x, c.x) + list_inner_product(c.x, c.x) AS d FROM v, c{round} c) GROUP BY rid)"""
+
+    def moved(round: int) -> str:
+        return f"""s{round} AS (SELECT k, list(f ORDER BY i) AS x FROM (SELECT m.k AS k, i, floor(sum(x[i]) / count(*)) AS f FROM a{round}, range(1, 65) r(i) GROUP BY m.k, i) GROUP BY k),
+c{round + 1} AS (SELECT c.k, coalesce(s.x, c.x) AS x FROM c{round} c LEFT JOIN s{round} s USING (k))"""
+
+    rounds = ",\n".join(f"{dealt(r)},\n{moved(r)}" for r in range(3))
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY h, x) - 1 AS k, x FROM (SELECT sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, x FROM v ORDER BY h, x LIMIT 16)),
+{rounds},
+{dealt(3)},
+mark AS (SELECT k, sha256(array_to_string(list_transform(x, lambda e: CAST(CAST(e AS BIGINT) AS VARCHAR)), ',')) AS h FROM c3)
+SELECT vec_id, CAST(m.k AS INTEGER) AS cluster, CAST(m.d AS BIGINT) AS distance, CAST(sum(m.d) OVER (PARTITION BY m.k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(m.d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM a3 JOIN mark ON mark.k = a3.m.k
+"""
+
+
+ORACLES["op11_pivot_clusters"] = _clusters_sql()
+
+
+@query
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabprep.llm import piece_bpe
+
+    pieces = piece_bpe.Pieces.of_file(piece_bpe.default_path())
+    return piece_bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text", pieces, decoded=True).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation beyond the range of a long is null."""
+    from tabprep.llm import whitening
+
+    found, _ = whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", components=4, scale=256)
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))

@@ -15,7 +15,7 @@ pytest.importorskip("tabprep.llm")
 
 from pyspark.sql import functions as F
 
-from tabprep.llm import byte_bpe, common, components, cross_polytope, decontaminate, importance, log_bilinear, secrets, sharding, simhash, token_files, warc
+from tabprep.llm import byte_bpe, common, components, cross_polytope, decontaminate, importance, log_bilinear, piece_bpe, pivot_clusters, secrets, sharding, simhash, token_files, warc, whitening, whole_vectors
 
 #: Columns whose names the operators use inside.
 CLASHES = ("key", "row", "ids", "fp", "n", "size", "shard", "digest", "component", "score", "items", "window", "begin", "at", "spans", "vector", "kept")
@@ -509,3 +509,165 @@ def test_slices_and_flat():
     assert [x for p in parts for x in p] == batch.column(0).to_pylist() and len(parts) >= 3
     data, borders = common.flat(batch.column(0).slice(1, 4))
     assert bytes(data) == b"b" * 50 + b"cc" and borders.tolist() == [0, 0, 50, 50, 52]
+
+
+def test_piece_bpe(docs, none):
+    import sentencepiece
+
+    pieces = piece_bpe.Pieces.of_file(piece_bpe.default_path())
+    own = sentencepiece.SentencePieceProcessor(model_file=piece_bpe.default_path())
+    found = piece_bpe.decode(piece_bpe.encode(docs, "doc_id", "text", pieces, decoded=True), "ids", pieces, "again").collect()
+    want = [(r[0], tuple(own.encode(r[1] or "", add_bos=True, add_eos=True))) for r in rows()]
+    assert bag((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in found) == bag(want)
+    assert bag((r.doc_id, r.decoded) for r in found) == bag((i, own.decode(list(ids))) for i, ids in want)
+    assert all(r.again == r.decoded and r.n_tokens == len(r.ids) // 4 for r in found)
+    assert piece_bpe.encode(none, "doc_id", "text", pieces, decoded=True).count() == 0
+
+
+def test_piece_bpe_on_odd_texts_and_ids(monkeypatch):
+    import sentencepiece
+
+    monkeypatch.setattr(piece_bpe, "PAIRS", 500)
+    monkeypatch.setattr(piece_bpe, "TABLED", 300)
+    e = piece_bpe.Encoder(piece_bpe.Pieces.of_file(piece_bpe.default_path()))
+    e.memo.most = 50
+    own = sentencepiece.SentencePieceProcessor(model_file=piece_bpe.default_path())
+    r = random.Random(1)
+    parts = ["a", "b", " ", "  ", "▁", "\t", "\n", "é", "漢", "字", "ﬁ", "\x00", "\x01", "😀", "the", "ing", "e", "t", "of ", "x" * 60]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 40))) for _ in range(2000)]
+    texts += [" " * n + end for n in range(40) for end in ("", "x")] + ["a" * n for n in range(80)] + ["ab" * 40_000]
+    ids = e(texts)
+    assert [np.frombuffer(i, "<u4").tolist() for i in ids] == own.encode(texts, add_bos=True, add_eos=True)
+    assert [e.decode(i) for i in ids] == own.decode(own.encode(texts, add_bos=True, add_eos=True))
+    some = [0, 1, 2, 259, 260, 29871, 3 + 0xE4, 3 + 0xB8, 3 + 0xAD]
+    drawn = [[r.choice(some) if r.random() < 0.5 else r.randrange(32_000) for _ in range(r.randint(0, 12))] for _ in range(2000)]
+    assert [e.decode(np.array(i, "<u4").tobytes()) for i in drawn] == [own.decode(i) for i in drawn]
+
+
+def test_tokens_apart_as_merging_tells():
+    """Undoing merges and merging the joint text agree, also where scores tie or parts come later than the whole."""
+    r = random.Random(4)
+    for trial in range(30):
+        strings = {"a", "b", "c"} | {"".join(r.choice("abc") for _ in range(r.randint(2, 6))) for _ in range(40)}
+        scored = tuple((i, p, float(-r.randint(0, 20 if trial % 2 else 10_000)) if len(p) > 1 else -20_000.0) for i, p in enumerate(sorted(strings), 1))
+        m = piece_bpe.Merges(scored)
+        real = [i for i, _, _ in scored if m.rank[i] is not None]
+        for a, b in itertools.product(real, real):
+            assert m.apart(a, b) == (m.merge(m.text[a] + m.text[b])[0] == [m.text[a], m.text[b]])
+
+
+VECTOR_SCHEMA = "vec_id long, embedding array<float>, label int, x string, `key` string, width string, pivots string, `a.b` string"
+
+
+def vector_rows(width=6, n=150):
+    r = np.random.default_rng(5)
+    mid = r.normal(size=(7, width))
+    out = [(i, (mid[i % 7] + 0.3 * r.normal(size=width)).astype(np.float32).tolist()) for i in range(n)]
+    nan, inf = float("nan"), float("inf")
+    out += [(1000, None), (1001, []), (1002, [nan] * width), (1003, [1.0, None] + [0.0] * (width - 2)), (1004, [inf] + [0.0] * (width - 1))]
+    out += [(1005, [0.0] * width), (1006, [-0.0] * width), (1007, [1.0] * (width - 1)), (1008, [2.0] * (width + 1)), (None, out[4][1]), (None, out[5][1])]
+    out += [out[3], out[3], (-4, out[3][1]), (7, [5.0] * width)] + [(2000 + i, out[0][1]) for i in range(60)]
+    return out
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(*row, None, *"abcde") for row in rows], VECTOR_SCHEMA).repartition(5)
+
+
+def whole(rows, scale, width):
+    """The rows that are kept, with their integers."""
+    good = [(i, v) for i, v in rows if v is not None and len(v) == width and all(x is not None and math.isfinite(x) for x in v)]
+    return [(i, tuple(math.floor(scale * x) for x in v)) for i, v in good]
+
+
+def plain_clusters(kept, k, rounds):
+    def near(x, centroids):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), n) for n, c in enumerate(centroids))
+
+    mark = lambda r: (hashlib.sha256(f"1:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1])
+    centroids = [x for _, x in sorted(kept, key=mark)[:k]]
+    for _ in range(rounds):
+        own = collections.defaultdict(list)
+        for _, x in kept:
+            own[near(x, centroids)[1]].append(x)
+        centroids = [tuple(sum(c) // len(own[n]) for c in zip(*own[n], strict=True)) if n in own else c for n, c in enumerate(centroids)]
+    dealt = [(i, *near(x, centroids)) for i, x in kept]
+    inertia = collections.Counter()
+    for _, d, n in dealt:
+        inertia[n] += d
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return [(i, n, d, inertia[n], sum(inertia.values()), digest[n]) for i, d, n in dealt]
+
+
+@pytest.mark.parametrize(("k", "scale"), [(5, 64), (16, 64), (4, 1 << 40), (400, 2)])
+def test_pivot_clusters(spark, k, scale):
+    """Also with integers too large for 64-bit squares, and with fewer vectors than centroids."""
+    found, _ = pivot_clusters.cluster(vectors(spark, vector_rows()), "vec_id", "embedding", width=6, scale=scale, k=k, rounds=3, seed=1)
+    want = plain_clusters(whole(vector_rows(), scale, 6), k, 3)
+    long = lambda v: v if v < 1 << 63 else None
+    assert bag(map(tuple, found.collect())) == bag((i, n, long(d), long(c), long(t), h) for i, n, d, c, t, h in want)
+
+
+def test_pivots_rule_centroids_out():
+    r = np.random.default_rng(2)
+    x = np.concatenate([100 * r.integers(-9, 9, 8) + r.integers(-9, 9, (50, 8)) for _ in range(16)])
+    c = pivot_clusters.Centroids(x[::50].tolist(), (x[::50] + 1).tolist())
+    label, distance, taken = c.nearest(x, c.table(x))
+    every = ((x[:, None] - np.array(c.rows)[None]) ** 2).sum(axis=2)
+    assert (label == every.argmin(axis=1)).all() and (distance == every.min(axis=1)).all() and taken < 3 * len(x)
+
+
+def test_pivot_clusters_of_nothing(spark):
+    for rows in ([], [(1, None)], [(None, [1.0] * 6), (None, [1.0] * 6)]):
+        found, _ = pivot_clusters.cluster(vectors(spark, rows), "vec_id", "embedding", width=6)
+        assert bag(map(tuple, found.collect())) == bag(plain_clusters(whole(rows, 64, 6), 16, 3))
+        assert found.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+
+
+def plain_whitening(kept, components):
+    from fractions import Fraction
+
+    fit = sorted({x for _, x in kept})
+    n, d = len(fit), len(fit[0])
+    total = [sum(x[i] for x in fit) for i in range(d)]
+    cov = np.array([[float(sum((n * x[i] - total[i]) * (n * x[j] - total[j]) for x in fit) / Fraction(n) ** 3) for j in range(d)] for i in range(d)])
+    e, v = np.linalg.eigh(cov)
+    e, v = e[::-1][:components], v[:, ::-1][:, :components]
+    white = [(i, x, [float(a - Fraction(s, n)) for a, s in zip(x, total, strict=True)]) for i, x in kept]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return n, cov, e, [(i, sum((n * a - s) ** 2 for a, s in zip(x, total, strict=True)), np.array(z) @ v / np.sqrt(e)) for i, x, z in white]
+
+
+@pytest.mark.parametrize("scale", [256, 1 << 40])
+def test_whitening(spark, scale):
+    found, model = whitening.whiten(vectors(spark, vector_rows()), "vec_id", "embedding", components=4, scale=scale)
+    n, cov, e, want = plain_whitening(whole(vector_rows(), scale, 6), 4)
+    found = found.collect()
+    assert len(found) == 4 * len(want) and {r.n for r in found} == {n}
+    assert np.allclose(model.values[:4], e, rtol=1e-12)
+    assert all(math.isclose(r.explained, e[r.component - 1] / np.trace(cov), rel_tol=1e-12) and r.identity_error < 1e-9 for r in found)
+    kept = lambda v: v if v < 10**38 else None
+    assert bag((r.vec_id, r.component, r.deviation and int(r.deviation)) for r in found) == bag((i, c, kept(d)) for i, d, _ in want for c in (1, 2, 3, 4))
+    by_key = {(r.vec_id, r.component): r.whitened for r in found if r.vec_id not in (None, 7)}
+    sign = [np.sign(by_key[0, c] * want[0][2][c - 1]) for c in (1, 2, 3, 4)]
+    assert all(math.isclose(by_key[i, c], sign[c - 1] * w[c - 1], rel_tol=1e-8, abs_tol=1e-8) for i, _, w in want if i not in (None, 7) for c in (1, 2, 3, 4))
+
+
+def test_whitening_of_little(spark):
+    none, model = whitening.whiten(vectors(spark, [(1, None), (2, [])]), "vec_id", "embedding")
+    assert model is None and none.count() == 0
+    found, _ = whitening.whiten(vectors(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [1.0, 2.0, 3.0])]), "vec_id", "embedding")
+    assert sorted((r.vec_id, r.component, r.deviation, r.whitened, r.explained, r.identity_error) for r in found.collect()) == [
+        (i, c, 0, None, None, None) for i in (1, 2) for c in (1, 2)
+    ]
+    line, _ = whitening.whiten(vectors(spark, [(i, [float(i), 2.0 * i, -1.0 * i]) for i in range(9)]), "vec_id", "embedding")
+    assert all((r.whitened is None) == (r.component > 1) and r.identity_error < 1e-9 for r in line.collect())
+
+
+def test_packed_vectors():
+    for limit in (1 << 7, 1 << 15, 1 << 20, 1 << 31, 1 << 62):
+        x = np.random.default_rng(1).integers(-limit, limit, (50, 3))
+        x[0] = [limit - 1, -limit, 0]
+        raw = whole_vectors.packed(x)
+        assert (whole_vectors.unpacked(common.pa.array(raw, common.pa.binary()), 3) == x).all()
+    assert {len(v) for v in whole_vectors.packed(np.array([[-(1 << 15)], [1 << 15], [-(1 << 15) - 1], [1 << 31]]))} == {2, 4, 8}

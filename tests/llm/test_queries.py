@@ -26,13 +26,111 @@ def test_against_sql(spark, name):
     assert status == "ok", note
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES) - {"op13_whitening"}))
 def test_rows(spark, name):
     ids = [r.doc_id for r in entry.queries()[name](spark, SF_DIR).collect()]
     documents = {r.doc_id for r in table(spark, SF_DIR, "documents").collect()}
     assert len(ids) == len(set(ids)) and (set(ids) < documents if name == "op10_quality" else set(ids) == documents)
 
 
+def digest(ids):
+    import hashlib
+
+    return hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()
+
+
+def texts(spark):
+    return {r.doc_id: r.text or "" for r in table(spark, SF_DIR, "documents").collect()}
+
+
+def test_byte_bpe_digests(spark):
+    import hashlib
+
+    import public_tokenizers
+    import tiktoken
+
+    from tabprep.llm import byte_bpe
+
+    ranks = byte_bpe.Vocabulary.of_file(byte_bpe.default_path()).ranks()
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = {i: own.encode_ordinary(t) for i, t in texts(spark).items()}
+    found = {r.doc_id: tuple(r)[1:] for r in queries.op1_byte_bpe(spark, SF_DIR).collect()}
+    assert found == {i: (len(x), digest(x), hashlib.sha256(own.decode_bytes(x)).hexdigest()) for i, x in want.items()}
+
+
+def test_token_file_checksums(spark):
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want, start = {}, 0
+    for i, t in sorted(texts(spark).items()):
+        ids = [*own.encode(t, add_special_tokens=False).ids, 0]
+        want[i] = (start, len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
+        start += len(ids)
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op2_token_files(spark, SF_DIR).collect()} == want
+
+
+def test_shards(spark):
+    import zlib
+
+    found = queries.op5_sharding(spark, SF_DIR).collect()
+    own = {i: t.encode() for i, t in texts(spark).items()}
+    assert {r.doc_id: (r["size"], r.text_crc32, r.law) for r in found} == {i: (len(t) + 8, zlib.crc32(t), "key") for i, t in own.items()}
+    assert all(0 <= r.shard < 24 and r.grown_shard in (r.shard, 24) for r in found)
+    slots = collections.defaultdict(list)
+    for r in found:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_fingerprints(spark):
+    from test_operators import plain_fingerprint
+
+    own = {i: plain_fingerprint(t) for i, t in texts(spark).items()}
+    found = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op7_simhash(spark, SF_DIR).collect()}
+    assert {i: f for i, (f, _) in found.items()} == {i: f"{f:016x}" for i, f in own.items()}
+    reach = {i: i for i in own}
+    for i in sorted(own):  # each takes the least of what it links with, until nothing changes
+        todo = [i] if reach[i] == i else []
+        while todo:
+            a = todo.pop()
+            near = [b for b in own if reach[b] > i and (own[a] ^ own[b]).bit_count() <= 2]
+            reach.update(dict.fromkeys(near, i))
+            todo += near
+    assert {i: c for i, (_, c) in found.items()} == reach
+
+
+def test_piece_bpe_digests(spark):
+    import hashlib
+
+    import sentencepiece
+
+    from tabprep.llm import piece_bpe
+
+    own = sentencepiece.SentencePieceProcessor(model_file=piece_bpe.default_path())
+    want = {i: own.encode(t, add_bos=True, add_eos=True) for i, t in texts(spark).items()}
+    found = {r.doc_id: tuple(r)[1:] for r in queries.op12_piece_bpe(spark, SF_DIR).collect()}
+    assert found == {i: (len(x), digest(x), hashlib.sha256(own.decode(x).encode()).hexdigest()) for i, x in want.items()}
+
+
+def test_whitened_rows(spark):
+    from test_operators import plain_whitening, whole
+
+    rows = [(r.vec_id, r.embedding) for r in table(spark, SF_DIR, "embeddings").collect()]
+    n, _, _, want = plain_whitening(whole(rows, 256, 64), 4)
+    frame = queries.op13_whitening(spark, SF_DIR)
+    assert dict(frame.dtypes)["deviation"] == "bigint" and len(frame.columns) == 7
+    found = {(r.vec_id, r.component): r for r in frame.collect()}
+    assert len(found) == 4 * len(want)
+    for i, d, w in want:
+        for c in (1, 2, 3, 4):
+            r = found[i, c]
+            assert (r.n, r.deviation) == (n, d) and abs(abs(r.whitened) - abs(w[c - 1])) < 1e-6 and r.identity_error < 1e-4
+
+
 def test_pipeline(spark):
     """Each stage's decisions, taken from its operator or plain code over the stage's own input."""
     import corpus_pipeline
