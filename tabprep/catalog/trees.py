@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabprep.catalog.fixtures import FEAT4, FEATURES, VEC4, feat4, vec4
+from tabprep.catalog.fixtures import COLUMNS, FEAT4, FEATURES, WIDE, feat4, wide
 from tabprep.catalog.registry import Tables, query, with_
 from tabprep.catalog.splits import _h
 from tabprep.operators.prefix import with_ordinal
@@ -10,7 +10,7 @@ from tabprep.plans import tree
 from tabprep.session import scratch_path
 from tabprep.sources import writers
 
-_DEPTH = 2
+_DEPTH = 10
 
 
 def _fit_sql(src: str, features, classes, depth: int) -> str:
@@ -66,9 +66,8 @@ def _predict_sql(features, depth: int) -> str:
     return ",\n".join(ctes)
 
 
-_VF = ["f1", "f2", "f3", "f4"]
 _FIT_LINES = with_(FEAT4, _fit_sql("feat4", FEATURES, [0, 1, 2], _DEPTH))
-_FIT_VEC = with_(VEC4, _fit_sql("vec4", _VF, list(range(10)), 4), _predict_sql(_VF, 4))
+_FIT_VEC = with_(WIDE, _fit_sql("wide", COLUMNS, list(range(10)), _DEPTH), _predict_sql(COLUMNS, _DEPTH))
 
 
 @query("id3_fit", _FIT_LINES + """SELECT node_id, depth, feature, threshold, threshold_2dp, left_id, right_id, label, n FROM nodes""")
@@ -77,14 +76,14 @@ def id3_fit(t: Tables):
 
 
 def _vec_tree(t: Tables):
-    df = vec4(t)
-    return df, tree.id3_fit(df, _VF, "label", 4)
+    df = wide(t)
+    return df, tree.id3_fit(df, COLUMNS, "label", _DEPTH)
 
 
 @query("id3_predict", _FIT_VEC + "SELECT vec_id, label, prediction FROM predicted")
 def id3_predict(t: Tables):
     df, nodes = _vec_tree(t)
-    return tree.id3_predict(df, nodes, _VF).select("vec_id", "label", "prediction")
+    return tree.id3_predict(df, nodes, COLUMNS).select("vec_id", "label", "prediction")
 
 
 @query("sink_tree_text", _FIT_LINES + """SELECT concat(repeat('  ', depth), CASE WHEN feature IS NULL

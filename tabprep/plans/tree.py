@@ -1,23 +1,35 @@
-"""An exact information-gain tree, grown one level per round for all open nodes at once."""
+"""An exact information-gain tree: large nodes by distributed split searches, small ones each in a task.
+
+While a node is large, a level is one split search over the rows of all large nodes. The rows of
+a node that fits into a task move there once, and its whole subtree is grown from presorted attribute lists.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.functions.numbers import round2_exact
 from tabprep.operators.joins import lookup_join
 from tabprep.operators.splits import best_of, class_list, split_scan
+from tabprep.plans.subtree import grow
 from tabprep.session import cut
 
 _SPLIT = ["feature_no", "feature", "threshold"]
 REWRITE = 3
+#: Values (rows x features, or rows x classes if those are more) of a node that one task grows.
+TASK_CELLS = 1 << 22
+#: Nodes of a tree that prediction carries as a literal.
+LITERAL_NODES = 1 << 14
 
 
-def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 10) -> DataFrame:
+def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 10, task_cells: int = TASK_CELLS) -> DataFrame:
     """The tree as a node table.
 
     ``(node_id, depth, feature_no, feature, threshold, threshold_2dp, left_id, right_id, label, n)``;
@@ -25,8 +37,11 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
     the majority class of the node (the smallest one on ties). A node stays a leaf when it
     is pure, at ``max_depth``, or no column has two distinct values; a split without gain
     is taken. A missing (NULL or NaN) feature goes right, as in prediction; rows without a
-    label are left out. A level is one split search and one action that stores it; its rows
-    are relabelled in place, and written again only every ``REWRITE`` levels.
+    label are left out. Where the work is done does not change the tree.
+
+    A level of large nodes is one split search and one action that stores it; its rows are relabelled in
+    place, and written again only every ``REWRITE`` levels. Rows of nodes of at most ``task_cells``
+    values leave them and move once, to the task that grows the node's subtree.
     """
     classes = class_list(df, label)
     if not classes:
@@ -37,42 +52,34 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
         F.lit(1).cast("bigint").alias("node_id"),
     )
     rows = cut(rows)
-    most = rows.count()
-    levels = []
+    small = task_cells // max(len(features), len(classes))  # rows of a node that one task grows
+    names = F.array(*[F.lit(f) for f in features])
+    parts = []
     for depth in range(max_depth + 1):
-        per_class = [F.count_if(F.col("_y") == F.lit(c)) for c in classes]
-        majority = F.array_max(
-            F.array(*[F.struct(n.alias("n"), F.lit(-c).alias("c")) for n, c in zip(per_class, classes)])
-        )
-        counts = rows.groupBy("node_id").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max(F.col("_y")).alias("_top"),
-            F.min(F.col("_y")).alias("_low"),
-            (-majority["c"]).alias("label"),
-        )
-        if depth < max_depth:
-            scan = split_scan(rows, features, "_y", classes, by=["node_id"], rows=most)
-            found = best_of(scan, by=["node_id"])
-            level = counts.join(found.select("node_id", *_SPLIT), "node_id", "left")
-        else:
-            empty = [F.lit(None).cast("int"), F.lit(None).cast("string"), F.lit(None).cast("double")]
-            level = counts.withColumns(dict(zip(_SPLIT, empty)))
-        pure = F.col("_top") == F.col("_low")
-        level = cut(
-            level.withColumns({c: F.when(~pure, F.col(c)) for c in _SPLIT})
-            .withColumn("depth", F.lit(depth))
-            .drop("_top", "_low")
-        )
-        levels.append(level)
+        sizes = cut(rows.groupBy("node_id").agg(F.count(F.lit(1)).alias("n")))
+        is_small = F.col("n") <= small
+        found = sizes.agg(F.count_if(is_small), F.count_if(~is_small), F.sum(F.when(~is_small, F.col("n")))).first()
+        n_small, n_large, most = found[0], found[1], found[2] or 0
+        if n_small:
+            own = rows if not n_large else _of_nodes(rows, sizes.filter(is_small), features, n_small)
+            grown = own.groupBy("node_id").applyInArrow(
+                _grower(list(features), depth, max_depth), f"node_id bigint, depth int, feature_no int, threshold double, label {df.schema[label].dataType.simpleString()}, n bigint"
+            )
+            parts.append(cut(grown.withColumn("feature", F.get(names, "feature_no"))))
+        if not n_large:
+            break
+        if n_small:
+            rows = _of_nodes(rows, sizes.filter(~is_small), features, n_large)
+        level = _level(rows, features, classes, depth, max_depth, most)
+        parts.append(level)
         split = level.filter(F.col("feature").isNotNull()).select("node_id", "feature_no", "threshold")
-        found = level.agg(F.count("feature"), F.sum(F.when(F.col("feature").isNotNull(), F.col("n")))).first()
-        open_nodes, most = found[0], found[1] or 0
+        open_nodes = split.count()
         if depth == max_depth or open_nodes == 0:
             break
         rows = _descend(rows, split, features, "inner", open_nodes)
         if depth % REWRITE == REWRITE - 1:
             rows = cut(rows)
-    nodes = reduce(DataFrame.unionByName, levels)
+    nodes = reduce(DataFrame.unionByName, parts)
     inner = F.col("feature").isNotNull()
     return nodes.select(
         "node_id",
@@ -86,6 +93,45 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
     )
 
 
+def _of_nodes(rows: DataFrame, nodes: DataFrame, features: Sequence[str], n: int) -> DataFrame:
+    """The rows of some of the nodes."""
+    return lookup_join(rows, nodes.select("node_id"), "node_id", "inner", F.struct(*features), dim_rows=n)
+
+
+def _grower(features: list[str], depth: int, max_depth: int):
+    """The function from the rows of a node to the rows of its subtree."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        x = np.stack([table.column(f).to_numpy() for f in features]) if features else np.zeros((0, table.num_rows))
+        y = table.column("_y").to_numpy()
+        nodes = grow(x, y, key[0].as_py(), depth, max_depth)
+        names = ["node_id", "depth", "feature_no", "threshold", "label", "n"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.float64(), table.schema.field("_y").type, pa.int64()]
+        return pa.table({c: pa.array(v, k) for c, v, k in zip(names, zip(*nodes, strict=True), kinds, strict=True)})
+
+    return run
+
+
+def _level(rows: DataFrame, features: Sequence[str], classes: Sequence[int], depth: int, max_depth: int, most: int) -> DataFrame:
+    """All nodes that the rows stand in, with the best split of each; stored."""
+    per_class = [F.count_if(F.col("_y") == F.lit(c)) for c in classes]
+    majority = F.array_max(F.array(*[F.struct(n.alias("n"), F.lit(-c).alias("c")) for n, c in zip(per_class, classes)]))
+    counts = rows.groupBy("node_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.col("_y")).alias("_top"),
+        F.min(F.col("_y")).alias("_low"),
+        (-majority["c"]).alias("label"),
+    )
+    if depth < max_depth:
+        scan = split_scan(rows, features, "_y", classes, by=["node_id"], rows=most)
+        level = counts.join(best_of(scan, by=["node_id"]).select("node_id", *_SPLIT), "node_id", "left")
+    else:
+        empty = [F.lit(None).cast("int"), F.lit(None).cast("string"), F.lit(None).cast("double")]
+        level = counts.withColumns(dict(zip(_SPLIT, empty)))
+    pure = F.col("_top") == F.col("_low")
+    return cut(level.withColumns({c: F.when(~pure, F.col(c)) for c in _SPLIT}).withColumn("depth", F.lit(depth)).drop("_top", "_low"))
+
+
 def _descend(
     rows: DataFrame, split: DataFrame, features: Sequence[str], how: str, splits: int
 ) -> DataFrame:
@@ -97,23 +143,27 @@ def _descend(
     joined = lookup_join(rows, split, "node_id", how, F.struct(*features), dim_rows=splits)
     value = F.get(F.array(*features), F.col("feature_no"))
     # NaN is above any number; NULL goes the same way
-    right = F.coalesce(value > F.col("threshold"), F.col("threshold").isNotNull())
+    right = F.coalesce(value > F.col("threshold"), F.lit(True))
     child = F.col("node_id") * 2 + right.cast("int")
-    return joined.select(*columns, F.coalesce(child, F.col("node_id")).alias("node_id"))
+    return joined.select(*columns, F.when(F.col("feature_no").isNull(), F.col("node_id")).otherwise(child).alias("node_id"))
 
 
 def id3_predict(
-    df: DataFrame, nodes: DataFrame, features: Sequence[str], threshold_2dp: bool = True
+    df: DataFrame, nodes: DataFrame, features: Sequence[str], threshold_2dp: bool = True, literal_nodes: int = LITERAL_NODES
 ) -> DataFrame:
     """Add ``prediction``, the label of the leaf a row falls into.
 
     Thresholds are rounded to two decimals here by default, as they are printed in the tree.
+    A tree of at most ``literal_nodes`` nodes is part of the plan, and a row walks down in one
+    projection; a larger one is joined level by level.
     """
     nodes = cut(nodes)
     bound = F.col("threshold_2dp" if threshold_2dp else "threshold")
-    inner = nodes.filter(F.col("feature").isNotNull()).select(
-        "node_id", "depth", "feature_no", bound.alias("threshold")
-    )
+    table = nodes.select("node_id", "depth", "feature_no", bound.alias("threshold"), "label")
+    found = table.limit(literal_nodes + 1).collect()
+    if len(found) <= literal_nodes:
+        return df.withColumn("prediction", _walk(found, features, nodes.schema["label"].dataType.simpleString()))
+    inner = table.filter(F.col("feature_no").isNotNull()).drop("label")
     per_depth = inner.groupBy("depth").count().orderBy("depth").collect()  # one row per level
     rows = df.withColumn("node_id", F.lit(1).cast("bigint"))
     for d, n in per_depth:
@@ -122,6 +172,34 @@ def id3_predict(
     return lookup_join(rows, leaves, "node_id", "left", F.struct(*features)).drop("node_id")
 
 
+def _walk(nodes: list, features: Sequence[str], kind: str) -> Column:
+    """The label of a row's leaf: as many steps as the tree is deep, over arrays by place of a node."""
+    place = {r.node_id: i for i, r in enumerate(sorted(nodes, key=lambda r: r.node_id))}
+    rows = sorted(nodes, key=lambda r: r.node_id)
+
+    def literal(values: list, kind: str) -> Column:
+        return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+
+    inner = [r.feature_no is not None for r in rows]
+    feature = literal([r.feature_no if i else None for r, i in zip(rows, inner, strict=True)], "int")
+    threshold = literal([r.threshold if i else None for r, i in zip(rows, inner, strict=True)], "double")
+    left = literal([place[2 * r.node_id] if i else None for r, i in zip(rows, inner, strict=True)], "int")
+    right = literal([place[2 * r.node_id + 1] if i else None for r, i in zip(rows, inner, strict=True)], "int")
+    label = literal([r.label for r in rows], kind)
+    values = F.array(*[F.col(f).cast("double") for f in features]) if features else F.array().cast("array<double>")
+
+    def step(at: Column, row: Column) -> Column:
+        value, limit = F.get(row["v"], F.get(feature, at)), F.get(threshold, at)
+        # NaN is above any number; NULL goes the same way
+        down = F.when(F.coalesce(value > limit, F.lit(True)), F.get(right, at)).otherwise(F.get(left, at))
+        return F.when(F.get(feature, at).isNull(), at).otherwise(down)
+
+    deepest = max((r.depth for r in rows), default=0)
+    # the row's values stand in every step's element, so each is read once
+    steps = F.array_repeat(F.struct(values.alias("v")), deepest)
+    return F.get(label, F.aggregate(steps, F.lit(place.get(1, 0)), step))
+
+
 def tree_lines(nodes: DataFrame) -> DataFrame:
     """``(path, line)``: the tree as indented text; ordering by ``path`` gives the pre-order.
 

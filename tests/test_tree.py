@@ -3,7 +3,9 @@
 import random
 from math import log2
 
+import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tabprep.functions.numbers import round2_exact  # noqa: F401
@@ -44,20 +46,45 @@ def nested(nodes, i=1):
     return n.label if n.feature is None else (n.feature_no, n.threshold, nested(nodes, n.left_id), nested(nodes, n.right_id))
 
 
-def fit(spark, rows, depth):
+def fit(spark, rows, depth, task_cells=tree.TASK_CELLS):
     df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, c DOUBLE, label INT")
-    nodes = tree.id3_fit(df, NAMES, "label", depth)
+    nodes = tree.id3_fit(df, NAMES, "label", depth, task_cells)
     return df, nodes, {r.node_id: r for r in nodes.collect()}
 
 
-@pytest.mark.parametrize("seed,depth", [(1, 3), (2, 30)])
-def test_same_tree_as_brute_force(spark, seed, depth):
+@pytest.mark.parametrize("seed,depth,task_cells", [(1, 3, 0), (2, 30, 1 << 20), (2, 4, 45), (3, 10, 20)])
+def test_same_tree_as_brute_force(spark, seed, depth, task_cells):
+    """All levels distributed, none, and large nodes only."""
     rng = random.Random(seed)
     rows = [(rng.randrange(6) / 2, rng.randrange(4) * 1.0, rng.randrange(3) * 1.0, rng.randrange(3)) for _ in range(40)]
-    _, _, nodes = fit(spark, rows, depth)
+    _, _, nodes = fit(spark, rows, depth, task_cells)
     assert nested(nodes) == brute(rows, 0, depth)
 
 
+def test_ten_levels_over_many_columns():
+    """The presorted lists against brute force, whatever slices of boundaries are counted at once."""
+    from tabprep.plans import subtree
+
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(3, 300)), 2)
+    y = rng.integers(0, 4, 300)
+    rows = [(*v, c) for v, c in zip(x.T.tolist(), y.tolist(), strict=True)]
+    for counts in (1 << 21, 7):
+        subtree._COUNTS, kept = counts, subtree._COUNTS
+        found = {n[0]: Row(node_id=n[0], feature=n[2], feature_no=n[2], threshold=n[3], label=n[4], left_id=2 * n[0], right_id=2 * n[0] + 1) for n in subtree.grow(x, y, 1, 0, 10)}
+        subtree._COUNTS = kept
+        assert nested(found) == brute(rows, 0, 10)
+
+
+def test_a_large_tree_is_joined_level_by_level(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice([None, float("nan"), rng.random()]), rng.random(), rng.randrange(3) * 1.0, rng.randrange(3)) for _ in range(80)]
+    df, nodes, _ = fit(spark, rows, 6)
+    keyed = df.withColumn("k", F.monotonically_increasing_id())
+    literal = tree.id3_predict(keyed, nodes, NAMES, False).select("k", "prediction").collect()
+    assert sorted(literal) == sorted(tree.id3_predict(keyed, nodes, NAMES, False, literal_nodes=3).select("k", "prediction").collect())
+
+
 def test_zero_gain_split_is_taken(spark):
     rows = [(0.0, 0.0, 1.0, 0), (0.0, 1.0, 1.0, 1), (1.0, 0.0, 1.0, 1), (1.0, 1.0, 1.0, 0)]
     df, nodes, by_id = fit(spark, rows, 5)
@@ -103,12 +130,13 @@ def test_text_reports(spark, tmp_path):
     assert lines == ["a ≤ 0.50:", "  b ≤ 0.50:", "    Label: 0", "    Label: 1", "  b ≤ 0.50:", "    Label: 1", "    Label: 0"]
 
 
-def test_missing_features_and_labels(spark):
+@pytest.mark.parametrize("task_cells", [0, tree.TASK_CELLS])
+def test_missing_features_and_labels(spark, task_cells):
     rows = [(1.0, 0), (2.0, 0), (None, 1), (float("nan"), 1), (9.0, 1), (3.0, None)]
     df = spark.createDataFrame(rows, "x DOUBLE, y INT")
     scan = splits.split_scan(df, ["x"], "y", splits.class_list(df, "y")).collect()
     assert [(r.threshold, r.n, r.n_left) for r in sorted(scan, key=lambda r: r.threshold)] == [(1.5, 3, 1), (5.5, 3, 2)]
-    nodes = tree.id3_fit(df, ["x"], "y")
+    nodes = tree.id3_fit(df, ["x"], "y", task_cells=task_cells)
     found = sorted((r.node_id, r.threshold, r.label, r.n) for r in nodes.select("node_id", F.coalesce("threshold", F.lit(-1.0)).alias("threshold"), "label", "n").collect())
     assert found == [(1, 5.5, 1, 5), (2, -1.0, 0, 2), (3, -1.0, 1, 3)]  # missing values go right
     got = [r.prediction for r in tree.id3_predict(df.withColumn("k", F.monotonically_increasing_id()), nodes, ["x"]).orderBy("k").collect()]
