@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.operators.joins import lookup_join
-from tabprep.operators.prefix import exact_quantiles, with_ordinal
+from tabprep.operators.prefix import with_ordinal
+from tabprep.operators.quantiles import exact_quantiles
 
 # fixed values: image file suffixes
 IMAGE_SUFFIXES = ("png", "jpg", "jpeg", "bmp", "gif", "tiff")

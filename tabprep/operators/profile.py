@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.arrays import elements
 from tabprep.operators.joins import not_in
-from tabprep.operators.prefix import exact_quantiles, unpivot
+from tabprep.operators.prefix import unpivot
+from tabprep.operators.quantiles import exact_quantiles
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
