@@ -22,7 +22,7 @@ from tabprep.functions.seeded import u
 from tabprep.operators import profile
 from tabprep.operators.sampling import sample_n
 from tabprep.plans import images as jobs
-from tabprep.session import address, scratch_path
+from tabprep.session import address, scratch_path, stored
 from tabprep.sources import images as scans
 
 
@@ -260,30 +260,50 @@ def _write_records(df, path: str, encode) -> None:
     df.mapInPandas(write, "n BIGINT").agg(F.sum("n")).first()
 
 
+def _write_headered(df, images: str, labels: str, h: int, w: int) -> None:
+    """Write a file of pictures and one of labels per task, each with its header; sizes are put in at the end."""
+    images, labels = address(df.sparkSession, images), address(df.sparkSession, labels)
+
+    def write(batches):
+        part = f"part-{TaskContext.get().partitionId():05d}"
+        rows = pd.concat(list(batches), ignore_index=True)  # a small table, one file per task
+        for path, head, body in (
+            (images, struct.pack(">IIII", 0x0803, len(rows), h, w), b"".join(np.asarray(p, "uint8").tobytes() for p in rows.pixels)),
+            (labels, struct.pack(">II", 0x0801, len(rows)), bytes(map(int, rows.label))),
+        ):
+            system, root = _folder(path)
+            with system.open_output_stream(f"{root}/{part}") as out:
+                out.write(head + body)
+        yield pd.DataFrame({"n": [len(rows)]})
+
+    df.mapInPandas(write, "n BIGINT").agg(F.sum("n")).first()
+
+
 def _image_files(t: Tables) -> str:
-    """One PNG per embedding, image i being 8 + i % 5 wide rows of itself repeated; some broken, some other files."""
+    """One PNG per embedding, image i being 8 + i % 5 rows of 6 + i % 3 pixels of itself repeated; some broken, some other files."""
     path = scratch_path(t.spark, "images")
     ending = F.when(F.col("image_id") % 10 == 9, ".txt").otherwise(".png")
     files = color(t).select(
         F.concat(F.lit("img"), F.col("image_id"), ending).alias("name"),
         (F.col("image_id") % 20 == 3).alias("broken"),
         (8 + F.col("image_id") % 5).cast("int").alias("rows"),
+        (6 + F.col("image_id") % 3).cast("int").alias("wide"),
         "pixels",
     )
 
     def encode(row) -> bytes:
         data = np.asarray(row.pixels, "uint8").tobytes() * 2
-        return b"not an image" if row.broken else _png(data, int(row.rows), 8)
+        return b"not an image" if row.broken else _png(data, int(row.rows), int(row.wide))
 
     _write_files(files, path, encode)
     return path
 
 
-_FILES = """files AS (SELECT vec_id, label, concat('img', vec_id, '.png') AS image, CAST(8 + vec_id % 5 AS INTEGER) AS height
-  FROM embeddings WHERE vec_id % 10 <> 9 AND vec_id % 20 <> 3)"""
+_FILES = """files AS (SELECT vec_id, label, concat('img', vec_id, '.png') AS image, CAST(8 + vec_id % 5 AS INTEGER) AS height,
+  CAST(6 + vec_id % 3 AS INTEGER) AS width FROM embeddings WHERE vec_id % 10 <> 9 AND vec_id % 20 <> 3)"""
 
 
-@query("scan_image_dir", with_(_FILES) + "SELECT image, height, 8 AS width, 3 AS channels, height * 8 * 3 AS bytes FROM files")
+@query("scan_image_dir", with_(_FILES) + "SELECT image, height, width, 3 AS channels, height * width * 3 AS bytes FROM files")
 def scan_image_dir(t: Tables):
     images = scans.read_image_dir(t.spark, _image_files(t))
     return images.select("image", "height", "width", "channels", F.length("data").alias("bytes"))
@@ -294,42 +314,53 @@ def _mapping(t: Tables):
     return t.embeddings.select(name.alias("image"), "label")
 
 
-@query("scan_labelled_images", with_(_FILES, GRAY, COLOR) + """SELECT image, f.label, CAST(px AS INTEGER) AS first_red
-  FROM files f JOIN color ON image_id = vec_id AND pos = 0""")
+@query("scan_labelled_images", with_(_FILES, GRAY, COLOR) + """SELECT image, any_value(f.label) AS label,
+  md5(string_agg(CAST(px AS INTEGER), ',' ORDER BY i)) AS pixels
+  FROM (SELECT *, unnest(range(height * width * 3)) AS i FROM files) f
+  JOIN color c ON image_id = vec_id AND pos = (i - i % 3 + 2 - i % 3) % 192 GROUP BY image""")
 def scan_labelled_images(t: Tables):
     images = scans.with_pixels(scans.read_image_dir(t.spark, _image_files(t)))
     joined = scans.read_labelled_images(_mapping(t), images)
-    return joined.select("image", "label", F.get("pixels", F.lit(2)).alias("first_red"))  # B, G, R
+    return joined.select("image", "label", F.md5(F.array_join("pixels", ",")).alias("pixels"))  # B, G, R
 
 
-@query("image_sizes", with_(_FILES) + """
-  SELECT 'width' AS "column", count(*) AS count, CAST(8 AS DOUBLE) AS mean, CAST(0 AS DOUBLE) AS std, CAST(8 AS DOUBLE) AS min,
-    CAST(8 AS DOUBLE) AS p25, CAST(8 AS DOUBLE) AS p50, CAST(8 AS DOUBLE) AS p75, CAST(8 AS DOUBLE) AS max FROM files
-  UNION ALL SELECT 'height', count(*), round(avg(height), 4), round(stddev_samp(height), 4), CAST(min(height) AS DOUBLE),
-    CAST(quantile_cont(height, 0.25) AS DOUBLE), CAST(median(height) AS DOUBLE), CAST(quantile_cont(height, 0.75) AS DOUBLE),
-    CAST(max(height) AS DOUBLE) FROM files""")
+def _sizes_sql(c: str) -> str:
+    return f"""SELECT '{c}' AS "column", count(*) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min,
+    CAST(quantile_cont({c}, 0.25) AS DOUBLE) AS p25, CAST(median({c}) AS DOUBLE) AS p50, CAST(quantile_cont({c}, 0.75) AS DOUBLE) AS p75,
+    CAST(max({c}) AS DOUBLE) AS max FROM files"""
+
+
+@query("image_sizes", with_(_FILES) + _sizes_sql("width") + " UNION ALL " + _sizes_sql("height"))
 def image_sizes(t: Tables):
-    sizes = scans.read_image_dir(t.spark, _image_files(t)).select("width", "height")
+    sizes = stored(scans.read_image_sizes(t.spark, _image_files(t)).select("width", "height"), "sizes")
     d = profile.describe(sizes, ["width", "height"])
     return d.select("column", "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min", "p25", "p50", "p75", "max")
 
 
 @query("class_image_sample", with_(_FILES, """c AS (SELECT label, count(*) AS n FROM files GROUP BY label),
 ends AS ((SELECT label FROM c ORDER BY n DESC, label LIMIT 1) UNION (SELECT label FROM c ORDER BY n, label LIMIT 1))""") + f"""
-  SELECT image, label, 8 AS width, height FROM files WHERE label IN (SELECT label FROM ends)
+  SELECT image, label, width, height FROM files WHERE label IN (SELECT label FROM ends)
   QUALIFY row_number() OVER (PARTITION BY label ORDER BY {u_sql(42, 'image', repr('class'))}, image) <= 6""")
 def class_image_sample(t: Tables):
-    images = scans.read_image_dir(t.spark, _image_files(t)).drop("data", "path")
-    labelled = scans.read_labelled_images(_mapping(t), images)
+    sizes = scans.read_image_sizes(t.spark, _image_files(t)).drop("path")
+    labelled = stored(scans.read_labelled_images(_mapping(t), sizes), "sizes")
     return jobs.class_image_sample(labelled, "image", "label", 6, 42, ["width", "height"])
 
 
-@query("scan_fixed_records", with_(GRAY, COLOR) + """SELECT CAST(any_value(label) AS INTEGER) AS label, CAST(sum(px) AS BIGINT) AS total,
-  CAST(max(px) FILTER (pos = 0) AS INTEGER) AS first, CAST(max(px) FILTER (pos = 191) AS INTEGER) AS last FROM color GROUP BY image_id""")
+_RECORDS = with_(GRAY, COLOR) + """SELECT CAST(any_value(label) AS INTEGER) AS label, md5(string_agg(px, ',' ORDER BY pos)) AS pixels
+  FROM {} GROUP BY image_id"""
+
+
+@query("scan_fixed_records", _RECORDS.format("color"))
 def scan_fixed_records(t: Tables):
     path = scratch_path(t.spark, "records")
     rows = color(t).select("label", "pixels")
     _write_records(rows, path, lambda row: bytes([int(row.label)]) + np.asarray(row.pixels, "uint8").tobytes())
-    records = scans.read_fixed_records(t.spark, path, 192)
-    total = F.aggregate("pixels", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return records.select("label", total.alias("total"), F.get("pixels", F.lit(0)).alias("first"), F.get("pixels", F.lit(191)).alias("last"))
+    return scans.read_fixed_records(t.spark, path, 192).select("label", F.md5(F.array_join("pixels", ",")).alias("pixels"))
+
+
+@query("scan_headered_set", _RECORDS.format("gray"))
+def scan_headered_set(t: Tables):
+    images, labels = scratch_path(t.spark, "images"), scratch_path(t.spark, "labels")
+    _write_headered(gray(t).select("label", "pixels"), images, labels, 8, 8)
+    return scans.read_headered_set(t.spark, images, labels).select("label", F.md5(F.array_join("pixels", ",")).alias("pixels"))

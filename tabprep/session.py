@@ -52,7 +52,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def address(spark: SparkSession, path: str) -> str:
     """The full address of a path: one without a scheme lies on the cluster's default file system."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    full = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return with_authority(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString())
+
+
+def with_authority(full: str) -> str:
+    """An address as ``scheme://...``, also where Hadoop writes ``scheme:/...``."""
     scheme, _, rest = full.partition(":")
     return full if rest.startswith("//") else f"{scheme}://{rest}"
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.functions.arrays import elements
 from tabprep.functions.pixels import bytes_to_pixels
-from tabprep.functions.vectors import let
+from tabprep.session import address, with_authority
+from tabprep.sources.binary import Records, file_system
+from tabprep.sources.dimensions import dimensions
 
 # fixed values: suffixes of a folder listing, case-sensitive
 FOLDER_GLOB = "*.{png,jpg,jpeg,bmp}"
@@ -39,41 +43,55 @@ def read_labelled_images(mapping: DataFrame, images: DataFrame, on: str = "image
     return mapping.join(images, on)
 
 
-def read_fixed_records(spark: SparkSession, path: str, pixels: int) -> DataFrame:
-    """``(label, pixels ARRAY<INT>)`` from records of one label byte and ``pixels`` bytes.
+def read_image_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """``(image, path, width, height)`` of the folder's images, from their headers alone.
 
-    Large files are split at record borders.
+    A file whose header is broken is left out; what follows the header is not looked at. Files are
+    listed by Spark and each is opened once, in a task.
     """
-    records = spark.sparkContext.binaryRecords(path, 1 + pixels).map(lambda r: (r[0], bytes(r[1:])))
-    return spark.createDataFrame(records, "label INT, data BINARY").select(
-        "label", bytes_to_pixels("data").alias("pixels")
-    )
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", FOLDER_GLOB).load(path).select("path")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for at in batch.column(0).to_pylist():
+                system, name = file_system(with_authority(at))
+                with system.open_input_file(name) as f:
+
+                    def read(start: int, size: int) -> bytes:
+                        f.seek(start)
+                        return f.read(size)
+
+                    found = dimensions(read)
+                if found:
+                    rows.append((at.rpartition("/")[2], at, *found))
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            kinds = [pa.string(), pa.string(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["image", "path", "width", "height"])
 
+    return listed.mapInArrow(run, "image string, path string, width int, height int")
 
-# fixed values: header bytes before the first label and the first image
-_LABEL_HEADER, _IMAGE_HEADER = 8, 16
 
+def _records(spark: SparkSession, **options: str) -> DataFrame:
+    spark.dataSource.register(Records)
+    return spark.read.format(Records.name()).options(**options).load()
 
-def read_headered_set(spark: SparkSession, images: str, labels: str, pixels: int) -> DataFrame:
-    """``(position, label, pixels ARRAY<INT>)`` from an image file and a label file with headers.
 
-    Each file is one value, as the format has no split points; it may not exceed 2 GB.
+def read_fixed_records(spark: SparkSession, path: str, pixels: int) -> DataFrame:
+    """``(file, position, label, pixels ARRAY<INT>)`` from records of one label byte and ``pixels`` bytes.
+
+    ``path`` is a file or a folder of files. Tasks read byte ranges of whole records. A file that is
+    no whole number of records fails.
     """
+    found = _records(spark, path=address(spark, path), pixels=str(pixels))
+    return found.select("file", "position", "label", bytes_to_pixels("data").alias("pixels"))
+
 
-    def byte_at(c: str, at: Column) -> Column:
-        return F.conv(F.hex(F.substr(c, at, F.lit(1))), 16, 10).cast("int")
-
-    def parts(path: str, header: int, length: int) -> DataFrame:
-        file = spark.read.format("binaryFile").load(path).select("content")
-        n = F.conv(F.hex(F.substr("content", F.lit(5), F.lit(4))), 16, 10).cast("int")
-        at = F.sequence(F.lit(0), n - 1)
-        # `let` reads the bytes of the file once, not once per record
-        cut = let(
-            F.col("content"),
-            lambda all_: F.transform(at, lambda i: F.substr(all_, i * length + header + 1, F.lit(length))),
-        )
-        return elements(file, [], cut, "data", "position")
-
-    named = parts(labels, _LABEL_HEADER, 1).select("position", byte_at("data", F.lit(1)).alias("label"))
-    pictures = parts(images, _IMAGE_HEADER, pixels)
-    return named.join(pictures, "position").select("position", "label", bytes_to_pixels("data").alias("pixels"))
+def read_headered_set(spark: SparkSession, images: str, labels: str) -> DataFrame:
+    """``(file, position, label, pixels ARRAY<INT>)`` from an image file and a label file with headers.
+
+    Either two files or two folders, whose files are paired in the order of their names. Headers are
+    read once, tasks read byte ranges of whole records. Files that do not hold what their headers tell of fail.
+    """
+    found = _records(spark, path=address(spark, images), labels=address(spark, labels))
+    return found.select("file", "position", "label", bytes_to_pixels("data").alias("pixels"))

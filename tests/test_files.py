@@ -10,8 +10,9 @@ from tabprep.catalog.images import _png
 from tabprep.functions import pixels as P
 from tabprep.plans import images as jobs
 from tabprep.plans import models
+from tabprep.sources import binary, readers, writers
 from tabprep.sources import images as scans
-from tabprep.sources import readers, writers
+from tabprep.sources.dimensions import dimensions
 
 
 def test_csv_survives_quotes_and_line_breaks(spark, tmp_path):
@@ -53,14 +54,99 @@ def test_image_folder(spark, tmp_path):
 def test_binary_sets(spark, tmp_path):
     pixels = [bytes([i] * 6) for i in (9, 200, 255)]
     (tmp_path / "r.bin").write_bytes(b"".join(bytes([k]) + p for k, p in enumerate(pixels)))
-    got = sorted(map(tuple, scans.read_fixed_records(spark, str(tmp_path / "r.bin"), 6).collect()))
-    assert got == [(0, [9] * 6), (1, [200] * 6), (2, [255] * 6)]
+    got = scans.read_fixed_records(spark, str(tmp_path / "r.bin"), 6).orderBy("position").collect()
+    assert [tuple(r) for r in got] == [("r.bin", 0, 0, [9] * 6), ("r.bin", 1, 1, [200] * 6), ("r.bin", 2, 2, [255] * 6)]
     (tmp_path / "img").write_bytes(struct.pack(">IIII", 2051, 3, 2, 3) + b"".join(pixels))
     (tmp_path / "lab").write_bytes(struct.pack(">II", 2049, 3) + bytes([7, 0, 200]))
-    rows = scans.read_headered_set(spark, str(tmp_path / "img"), str(tmp_path / "lab"), 6).orderBy("position").collect()
+    rows = scans.read_headered_set(spark, str(tmp_path / "img"), str(tmp_path / "lab")).orderBy("position").collect()
     assert [(r.label, r.pixels) for r in rows] == [(7, [9] * 6), (0, [200] * 6), (200, [255] * 6)]
 
 
+def test_ranges_hold_whole_records_and_batches_are_cut(tmp_path, monkeypatch):
+    monkeypatch.setattr(binary, "BATCH_BYTES", 30)
+    rng = np.random.default_rng(1)
+    folder = tmp_path / "a set"
+    folder.mkdir()
+    sets = {name: rng.integers(0, 256, (n, 7), np.uint8) for name, n in (("b", 23), ("a", 1), ("empty", 0))}
+    for name, rows in sets.items():
+        (folder / name).write_bytes(rows.tobytes())
+    (folder / "_SUCCESS").write_bytes(b"")
+    reader = binary.RecordReader({"path": f"file://{folder}", "pixels": "6", "split": "70"})
+    parts = reader.partitions()
+    assert [(p.path[-1], p.first, p.records) for p in parts] == [("a", 0, 1), ("b", 0, 10), ("b", 10, 10), ("b", 20, 3)]
+    got = [r for p in parts for batch in reader.read(p) for r in batch.to_pylist()]
+    want = [(name, i, row[0], row[1:].tobytes()) for name in ("a", "b") for i, row in enumerate(sets[name])]
+    assert [(r["file"], r["position"], r["label"], r["data"]) for r in got] == want
+    assert max(b.num_rows for p in parts for b in reader.read(p)) == 4
+
+
+def test_a_large_headered_file_is_split(tmp_path):
+    n, size = 4_000_000, 28 * 28
+    for name, head, length in (("img", struct.pack(">IIII", 2051, n, 28, 28), n * size), ("lab", struct.pack(">II", 2049, n), n)):
+        with open(tmp_path / name, "wb") as f:  # three gigabytes of holes, which take no disk
+            f.write(head)
+            f.truncate(len(head) + length)
+    with open(tmp_path / "img", "r+b") as f:
+        f.seek(16 + (n - 1) * size)
+        f.write(bytes([5]) * size)
+    reader = binary.RecordReader({"path": f"file://{tmp_path}/img", "labels": f"file://{tmp_path}/lab"})
+    parts = reader.partitions()
+    assert len(parts) == -(-n // (binary.SPLIT_BYTES // size)) and sum(p.records for p in parts) == n
+    last = list(reader.read(parts[-1]))
+    assert sum(b.num_rows for b in last) == parts[-1].records and max(b.nbytes for b in last) < 2 * binary.BATCH_BYTES
+    assert last[-1].column(1)[-1].as_py() == n - 1 and last[-1].column(3)[-1].as_py() == bytes([5]) * size
+
+
+def test_files_that_do_not_fit_are_refused(tmp_path):
+    (tmp_path / "odd").write_bytes(b"12345")
+    with pytest.raises(ValueError):
+        binary.RecordReader({"path": f"file://{tmp_path}/odd", "pixels": "6"}).partitions()
+    (tmp_path / "img").write_bytes(struct.pack(">IIII", 2051, 3, 2, 3) + bytes(17))
+    (tmp_path / "lab").write_bytes(struct.pack(">II", 2049, 3) + bytes(3))
+    for images, labels in (("img", "lab"), ("lab", "img"), ("odd", "lab")):
+        with pytest.raises(ValueError):
+            binary.RecordReader({"path": f"file://{tmp_path}/{images}", "labels": f"file://{tmp_path}/{labels}"}).partitions()
+    with pytest.raises(FileNotFoundError):
+        binary.RecordReader({"path": f"file://{tmp_path}/gone", "pixels": "6"}).partitions()
+
+
+def jpeg(width, height, before=b"", marker=0xC0):
+    return b"\xff\xd8" + before + b"\xff" + bytes([marker]) + struct.pack(">HBHHB", 8, 8, height, width, 1) + b"\xff\xda"
+
+
+@pytest.mark.parametrize(
+    ("raw", "want"),
+    [
+        (_png(bytes(18), 2, 3), (3, 2)),
+        (b"GIF89a" + struct.pack("<HH", 40, 30) + b"rest", (40, 30)),
+        (b"BM" + bytes(12) + struct.pack("<Iii", 40, 31, -17), (31, 17)),
+        (b"BM" + bytes(12) + struct.pack("<IHH", 12, 9, 8), (9, 8)),
+        (jpeg(640, 480), (640, 480)),
+        (jpeg(64, 48, b"\xff\xe1" + struct.pack(">H", 60_002) + bytes(60_000), 0xC2), (64, 48)),  # beyond the first bytes read
+        (jpeg(5, 6, b"\xff\xff\xd0\xff\xc4" + struct.pack(">H", 4) + b"\xff\xc0"), (5, 6)),
+        (jpeg(5, 6, b"\xff\xda"), None),
+        (jpeg(0, 6), None),
+        (jpeg(5, 6)[:8], None),
+        (b"\xff\xd8" + b"\xff\xe1" + struct.pack(">H", 1), None),
+        (_png(bytes(18), 2, 3)[:20], None),
+        (b"BM" + bytes(5), None),
+        (b"", None),
+        (b"not an image", None),
+    ],
+)
+def test_sizes_from_headers(raw, want):
+    assert dimensions(lambda start, size: raw[start : start + size]) == want
+
+
+def test_image_sizes_of_a_folder(spark, tmp_path):
+    (tmp_path / "a b.png").write_bytes(_png(bytes(18), 2, 3))
+    (tmp_path / "c.jpg").write_bytes(jpeg(7, 8))
+    (tmp_path / "broken.bmp").write_bytes(b"x")
+    (tmp_path / "other.txt").write_bytes(_png(bytes(18), 2, 3))
+    got = scans.read_image_sizes(spark, str(tmp_path)).orderBy("width").collect()
+    assert [(r.image, r.width, r.height) for r in got] == [("a b.png", 3, 2), ("c.jpg", 7, 8)]
+
+
 @pytest.fixture(scope="module")
 def picture(spark):
     rng = np.random.default_rng(2)
