@@ -147,7 +147,10 @@ def channel_histogram(t: Tables):
 
 
 def _equalize_sql(src: str, clip: float, out: str) -> str:
-    """Adaptive equalisation with 2 x 2 tiles of 4 x 4 pixels; ``src(image_id, ch, y, x, px)``."""
+    """Adaptive equalisation with 2 x 2 tiles of 4 x 4 pixels; ``src(image_id, ch, y, x, px)``.
+
+    The tables of an image's four tiles are one list, which a pixel indexes.
+    """
     limit = max(1, int(clip * 16 / 256))
     return f"""hist AS (SELECT image_id, ch, y // 4 AS ty, x // 4 AS tx, px, count(*) AS n FROM {src} GROUP BY ALL),
     exc AS (SELECT image_id, ch, ty, tx, CAST(sum(greatest(n - {limit}, 0)) AS BIGINT) AS e FROM hist GROUP BY ALL),
@@ -156,11 +159,13 @@ def _equalize_sql(src: str, clip: float, out: str) -> str:
       FROM exc e CROSS JOIN (SELECT unnest(range(256)) AS val) LEFT JOIN hist h
       ON h.image_id = e.image_id AND h.ch = e.ch AND h.ty = e.ty AND h.tx = e.tx AND h.px = val),
     lut AS (SELECT image_id, ch, ty, tx, val, least(round_even(CAST(sum(n) OVER (PARTITION BY image_id, ch, ty, tx ORDER BY val) AS DOUBLE) * (CAST(255 AS DOUBLE) / 16), 0), 255) AS m FROM clipped),
+    luts AS (SELECT image_id, ch, list(m ORDER BY ty, tx, val) AS q FROM lut GROUP BY image_id, ch),
     near AS (SELECT image_id, ch, y, x, px, greatest(floor(y / 4 - 0.5), 0) AS y0, least(floor(y / 4 - 0.5) + 1, 1) AS y1, y / 4 - 0.5 - floor(y / 4 - 0.5) AS fy,
       greatest(floor(x / 4 - 0.5), 0) AS x0, least(floor(x / 4 - 0.5) + 1, 1) AS x1, x / 4 - 0.5 - floor(x / 4 - 0.5) AS fx FROM {src}),
-    {out} AS (SELECT s.image_id, s.ch, y, x, CAST(round_even((a.m * (1 - fx) + b.m * fx) * (1 - fy) + (c.m * (1 - fx) + d.m * fx) * fy, 0) AS INTEGER) AS px FROM near s
-      {' '.join(f"JOIN lut {n} ON {n}.image_id = s.image_id AND {n}.ch = s.ch AND {n}.val = s.px AND {n}.ty = {ty} AND {n}.tx = {tx}"
-                for n, ty, tx in (('a', 'y0', 'x0'), ('b', 'y0', 'x1'), ('c', 'y1', 'x0'), ('d', 'y1', 'x1')))})"""
+    {out} AS (SELECT image_id, ch, y, x, CAST(round_even((a * (1 - fx) + b * fx) * (1 - fy) + (c * (1 - fx) + d * fx) * fy, 0) AS INTEGER) AS px FROM
+      (SELECT near.*, {', '.join(f"q[CAST(({ty} * 2 + {tx}) * 256 + px + 1 AS INTEGER)] AS {n}"
+                                 for n, ty, tx in (('a', 'y0', 'x0'), ('b', 'y0', 'x1'), ('c', 'y1', 'x0'), ('d', 'y1', 'x1')))}
+       FROM near JOIN luts USING (image_id, ch)))"""
 
 
 _PLANES = "planes AS (SELECT image_id, pos % 3 AS ch, pos // 24 AS y, (pos // 3) % 8 AS x, px FROM color)"
