@@ -142,7 +142,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabprep.llm import warc
 
     index = warc.write_archives(table(spark, sf_dir, "pages"), "page_id", "url", "html")
-    page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).cast("long")
+    page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
     return warc.resolve(warc.read_archives(index)).select(
         page("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), page("refers_to").alias("refers_to")
     )

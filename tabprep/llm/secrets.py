@@ -140,12 +140,12 @@ def scan(df: DataFrame, key: str, text: str, repository: F.Column, owner: F.Colu
 def redact(df: DataFrame, text: str, repository: F.Column, owner: F.Column, mark: str = "[SECRET]") -> DataFrame:
     """The rows with every span but copied examples replaced by a mark; other rows and columns stay.
 
-    Spans that overlap are replaced as one. A null text stays null. Texts without spans do
+    Spans that overlap are replaced as one. A null text stays null. Names of other columns may clash or hold dots. Texts without spans do
     not move; a text with spans is cut in steps that each run over it.
     """
     columns = df.columns
     body = text_of(text)
-    whole = F.struct(*columns)
+    whole = F.struct(*(F.col(f"`{c}`") for c in columns))
     rows = stored(
         df.select(
             whole.alias("doc"), F.monotonically_increasing_id().alias("row"),

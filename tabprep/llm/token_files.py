@@ -292,6 +292,9 @@ def write_files(docs: DataFrame, key: str, text: str, tokenizer: Tokenizer) -> D
     return files.join(offsets, "part").select("file", "documents", (F.col("ahead") + F.coalesce(within, F.lit(0))).alias("start"))
 
 
+#: Tasks at most that read files.
+MOST_TASKS = 20_000
+
 MANIFEST = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("file", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())])
 
 
@@ -316,5 +319,6 @@ def read_files(manifest: DataFrame, key: str, kind: str) -> DataFrame:
                     )
                 file.close()
 
-    files = manifest.select("file", "start").repartition("file")
+    # one task a file: rows this small would be merged into one task otherwise
+    files = manifest.select("file", "start").repartition(min(MOST_TASKS, max(1, manifest.count())))
     return files.mapInArrow(run, f"key {kind}, start bigint, n_tokens bigint, ids_crc32 bigint").withColumnRenamed("key", key)

@@ -16,11 +16,13 @@ import re
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.llm.common import slices, stored, text_of
+from tabprep.llm.decontaminate import Bitmap
 from tabprep.llm.files import new_folder, new_name, reader, write
 
 #: Plain bytes after which a frame, and compressed bytes after which a file is closed.
@@ -31,6 +33,8 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads below this length are always stored.
 LEAST = 100
+#: Tasks at most that read files; as many as files up to here.
+MOST_TASKS = 20_000
 
 
 class Bundle:
@@ -143,22 +147,30 @@ def write_archives(pages: DataFrame, key: str, url: str, payload: str, date: str
     are equal, the row with the smallest key is the response; rows that repeat this key are
     responses too. A null key is never the smallest. An empty table gives an empty index.
 
-    Only payloads that occur more than once take part in the join for revisits, and rows are
-    archived where they are read. Without a key that names a response, a row is a response.
+    Rows whose payload occurs once are archived where they are read. Which payloads occur again, and which
+    rows are their responses, is told from keys and digests; revisits need no payload and are
+    archived from there. Only payloads of responses that have revisits move, and those that the
+    bitmaps of digests and of responses let through wrongly, about one in 32. Beyond half a million
+    repeated payloads the bitmaps (see ``decontaminate.Bitmap``) let more through; the result is the same.
     """
     where = new_folder(pages.sparkSession, "warc")
     rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), text_of(payload).alias("payload")).withColumn(
         "digest", F.sha2(F.col("payload").cast("binary"), 256)
     )
-    long = F.octet_length("payload") >= LEAST
-    first = (
-        rows.filter(long).select("key", "digest").groupBy("digest").agg(F.min("key").alias("least"), F.count("*").alias("n"))
-        .filter("n > 1").select("digest", "least")
+    rows = rows.select("*", F.octet_length("payload").alias("bytes"), F.xxhash64("digest").alias("mark"), F.xxhash64("digest", "key").alias("pair"))
+    first = stored(
+        rows.filter(F.col("bytes") >= LEAST).groupBy("digest").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1").select("digest", "least"), "repeated"
     )
+    repeated = Bitmap(first.select(F.xxhash64("digest").alias("mark")), "mark")
     again = F.col("least").isNotNull() & ~F.col("key").eqNullSafe(F.col("least"))
-    told = rows.join(first, "digest", "left").select(
-        "key", "payload", "url", "digest", F.when(again, F.col("least")).alias("refers")
-    )
+    narrow = _in(rows.select("key", "url", "digest", "bytes", "mark", "pair"), repeated=repeated)
+    fate = stored(narrow.join(first, "digest", "left").withColumn("again", again), "fate")
+    responses = Bitmap(fate.filter("NOT again").select("pair").distinct(), "pair")
+    columns = ["key", "payload", "url", "digest", "bytes", "refers"]
+    revisits = fate.filter("again").withColumns({"payload": F.lit(""), "refers": F.col("least")}).select(columns)
+    nobody = F.lit(None).cast(pages.schema[key].dataType)
+    moved = _in(rows, repeated=repeated, responses=responses).join(first, "digest", "left").filter(~again).withColumn("refers", nobody).select(columns)
+    alone = _in(rows, alone=repeated).withColumn("refers", nobody).select(columns)
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,9 +186,8 @@ def write_archives(pages: DataFrame, key: str, url: str, payload: str, date: str
 
         for part in slices(batches, 1):
             kinds = part.column(0).type
-            for k, body, address, digest, refers in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                plain = body.encode()
-                made = record(k, address, plain, len(plain), digest, "response" if refers is None else "revisit", refers, date)
+            for k, body, address, digest, length, refers in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                made = record(k, address, body.encode(), length, digest, "response" if refers is None else "revisit", refers, date)
                 index.append((k, *bundle.add(made), len(made)))
                 if bundle.size >= FILE:
                     yield close()
@@ -184,7 +195,27 @@ def write_archives(pages: DataFrame, key: str, url: str, payload: str, date: str
         if index:
             yield close()
 
-    return stored(told.mapInArrow(run, f"key {kind}, file string, frame int, offset bigint, length bigint"), "warc-index").withColumnRenamed("key", key)
+    schema = f"key {kind}, file string, frame int, offset bigint, length bigint"
+    told = alone.mapInArrow(run, schema).union(revisits.union(moved).mapInArrow(run, schema))
+    return stored(told, "warc-index").withColumnRenamed("key", key)
+
+
+def _in(rows: DataFrame, repeated: Bitmap | None = None, responses: Bitmap | None = None, alone: Bitmap | None = None) -> DataFrame:
+    """The rows whose digest, or digest and key, may be in a bitmap; or those whose digest is not in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mark = batch.column("mark").to_numpy().view(np.uint64)
+            kept = np.ones(len(mark), bool)
+            if alone is not None:
+                kept &= ~alone.has(mark)
+            if repeated is not None:
+                kept &= repeated.has(mark)
+            if responses is not None:
+                kept &= responses.has(batch.column("pair").to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(kept))
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 def read_archives(index: DataFrame) -> DataFrame:
@@ -209,7 +240,8 @@ def read_archives(index: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(out, schema=READ)
                 file.close()
 
-    files = index.select("file").distinct().repartition("file")
+    names = index.select("file").distinct()
+    files = names.repartition(min(MOST_TASKS, max(1, names.count())))
     return files.mapInArrow(run, "id string, type string, refers_to string, payload_bytes bigint, payload_digest string, told string")
 
 
@@ -219,12 +251,13 @@ READ = pa.schema([("id", pa.string()), ("type", pa.string()), ("refers_to", pa.s
 def resolve(records: DataFrame) -> DataFrame:
     """The records with each revisit's payload length and digest taken from the response it names.
 
-    A revisit whose response is missing, or whose own digest differs from it, fails the job.
+    Records may share an id, as pages may share a key; a revisit's response is the one that also has
+    its digest. A revisit without such a response fails the job.
     """
     own = records.filter("type != 'revisit'")
-    named = own.groupBy("id").agg(F.first("payload_bytes").alias("bytes"), F.first("payload_digest").alias("digest")).withColumnRenamed("id", "refers_to")
-    again = records.filter("type = 'revisit'").join(named, "refers_to", "left")
-    sound = F.when(F.col("digest") == F.col("told"), F.col("digest")).otherwise(F.raise_error(F.concat(F.lit("unresolved revisit "), "id")))
+    named = own.groupBy(F.col("id").alias("refers_to"), F.col("payload_digest").alias("told")).agg(F.first("payload_bytes").alias("bytes"))
+    again = records.filter("type = 'revisit'").join(named, ["refers_to", "told"], "left")
+    sound = F.when(F.col("bytes").isNotNull(), F.col("told")).otherwise(F.raise_error(F.concat(F.lit("unresolved revisit "), "id")))
     return own.select("id", "type", "refers_to", "payload_bytes", "payload_digest").union(
         again.select("id", "type", "refers_to", F.col("bytes").alias("payload_bytes"), sound.cast("string").alias("payload_digest"))
     )
@@ -249,5 +282,6 @@ def fetch(index: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
 
     kind = index.schema[key].dataType.simpleString()
     found = index.join(wanted.select(key).distinct(), key).select(F.col(key).alias("key"), "file", "frame", "offset", "length")
-    ordered = found.repartition("file", "frame").sortWithinPartitions("file", "frame", "offset")
+    tasks = min(MOST_TASKS, max(1, found.select("file").distinct().count()))
+    ordered = found.repartition(tasks, "file", "frame").sortWithinPartitions("file", "frame", "offset")
     return ordered.mapInArrow(run, f"key {kind}, record binary").withColumnRenamed("key", key)

@@ -185,3 +185,43 @@ def test_quality_on_held_out_labels(spark):
 def test_model_beats_counts_on_held_out_text(spark):
     found = queries.QUERIES["op9_log_bilinear"](spark, LARGER).filter("held_out").selectExpr("sum(score) AS s", "sum(base_score) AS b", "sum(n_tokens) AS n").first()
     assert found.s / found.n > found.b / found.n + 0.05
+
+
+@pytest.fixture(scope="module", params=["odd", "empty"])
+def awkward(request, spark, tmp_path_factory):
+    """Tables with null and repeated keys, extra columns whose names clash or hold dots, null and empty values; or no rows."""
+    from pyspark.sql import functions as F
+
+    where = tmp_path_factory.mktemp(request.param)
+    small = {"documents": "doc_id < 40", "embeddings": "vec_id < 60", "pages": "page_id < 60", "benchmark": "true", "labels": "doc_id < 40"}
+    for name, some in small.items():
+        rows = table(spark, SF_DIR, name).filter(some)
+        key = rows.columns[0]
+        value = {"documents": "text", "embeddings": "embedding", "pages": "html", "benchmark": "text", "labels": "quality"}[name]
+        odd = rows.filter(f"{key} IN (1, 2)" if name != "benchmark" else "true").limit(3)
+        rows = rows.union(odd).union(odd.withColumn(key, F.lit(None).cast(rows.schema[key].dataType)))
+        rows = rows.union(odd.withColumn(value, F.lit(None).cast(rows.schema[value].dataType)))
+        if name != "labels":
+            kind = rows.schema[value].dataType
+            rows = rows.union(odd.withColumn(value, F.lit("").cast(kind) if kind.typeName() == "string" else F.array().cast(kind)))
+        rows = rows.withColumns({f"`{c}`" if "." in c else c: F.lit("x") for c in ("row", "key", "mark", "n", "size")}).withColumn("dotted", F.lit(1)).withColumnRenamed("dotted", "a.b")
+        if request.param == "empty":
+            rows = rows.limit(0)
+        rows.coalesce(2).write.parquet(f"{where}/{name}.parquet")
+    return str(where)
+
+
+@pytest.mark.parametrize("name", [*sorted(queries.QUERIES), "pipeline"])
+def test_awkward_tables(spark, awkward, name):
+    """One row per row of the table, whatever its keys; none of no rows."""
+    found = entry.queries()[name](spark, awkward).collect()
+    source = {"op3_warc": "pages", "op4_cross_polytope": "embeddings", "op11_pivot_clusters": "embeddings", "op13_whitening": "embeddings"}.get(name, "documents")
+    rows = table(spark, awkward, source).collect()
+    if name in ("op11_pivot_clusters", "op13_whitening"):
+        rows = [r for r in rows if r.embedding]
+    if name in ("op10_quality", "pipeline"):
+        assert len(found) <= len(rows)
+    else:
+        each = 4 if name == "op13_whitening" else 1
+        keys = collections.Counter(r[0] for r in rows)
+        assert collections.Counter(r[found[0].__fields__[0]] for r in found) == collections.Counter({k: each * n for k, n in keys.items()}) if rows else not found
