@@ -24,8 +24,13 @@ from pyspark.sql import functions as F
 
 from tabprep.llm.common import slices, text_of
 
-#: Strings that a worker's memo holds in each generation, and the longest of them in characters.
-REMEMBERED, LONGEST = 300_000, 48
+#: Strings and bytes that a memo holds at most in each generation, and the longest of its strings in characters.
+REMEMBERED, HELD_BYTES, LONGEST = 300_000, 48 << 20, 48
+#: What an entry costs beside its string's and its value's own bytes: two object heads and a place in the table.
+ENTRY_BYTES = 170
+
+# fixed value: the pre-token pattern of GPT-2, for which a text may be cut at its spaces
+SPACE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def default_path() -> str:
@@ -64,7 +69,6 @@ class RankQueue:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.longest = max(map(len, ranks))
         most = max(ranks.values())
         self.shift = max(1, (most.bit_length() + 1) // 2)
         self.words = [0] * ((most >> self.shift) + 1)
@@ -72,51 +76,62 @@ class RankQueue:
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
-        get, longest = self.ranks.get, self.longest
-        words, buckets, shift, mask = self.words, self.buckets, self.shift, (1 << self.shift) - 1
+        get, words, buckets, shift, mask = self.ranks.get, self.words, self.buckets, self.shift, (1 << self.shift) - 1
         n, top = len(piece), 0
         # symbol i stands for piece[i:following[i]]; rank[i] is that of its merge with the next one
         following, preceding, rank = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
-        changed = [(i, i + 2) for i in range(n - 1)]
-        while True:
-            for i, end in changed:
-                r = get(piece[i:end], -1) if end - i <= longest else -1
+        for i in range(n - 1):
+            r = get(piece[i : i + 2])
+            if r is not None:
                 rank[i] = r
-                if r >= 0:
-                    if r in buckets:
-                        heappush(buckets[r], i)
-                    else:
-                        buckets[r] = [i]
-                        word = r >> shift
-                        if not words[word]:
-                            top |= 1 << word
-                        words[word] |= 1 << (r & mask)
-            while top:
-                word = (top & -top).bit_length() - 1
-                bits = words[word]
-                lowest = bits & -bits
-                r = (word << shift) + lowest.bit_length() - 1
-                bucket = buckets[r]
+                if r in buckets:
+                    buckets[r].append(i)  # positions come in order
+                else:
+                    buckets[r] = [i]
+                    word = r >> shift
+                    if not words[word]:
+                        top |= 1 << word
+                    words[word] |= 1 << (r & mask)
+        while top:
+            word = (top & -top).bit_length() - 1
+            bits = words[word]
+            lowest = bits & -bits
+            r = (word << shift) + lowest.bit_length() - 1
+            bucket = buckets[r]
+            if len(bucket) > 1:
                 i = heappop(bucket)
-                if not bucket:
-                    del buckets[r]
-                    words[word] = bits ^ lowest
-                    if bits == lowest:
-                        top &= top - 1
-                if rank[i] == r:
-                    break
             else:
-                break
+                i = bucket[0]
+                del buckets[r]
+                words[word] = bits ^ lowest
+                if bits == lowest:
+                    top &= top - 1
+            if rank[i] != r:  # stale: one of the two has merged otherwise
+                continue
             gone = following[i]
-            after = following[gone]
-            following[i] = after
+            after = following[i] = following[gone]
             rank[gone] = rank[i] = -1
-            changed = []
+            left = preceding[i]
             if after < n:
                 preceding[after] = i
-                changed.append((i, following[after]))
-            if preceding[i] >= 0:
-                changed.append((preceding[i], after))
+                changed = ((i, following[after]), (left, after))
+            else:
+                changed = ((left, after),)
+            for at, end in changed:
+                if at >= 0:
+                    r = get(piece[at:end])
+                    if r is None:
+                        rank[at] = -1
+                        continue
+                    rank[at] = r
+                    if r in buckets:
+                        heappush(buckets[r], at)
+                    else:
+                        buckets[r] = [at]
+                        word = r >> shift
+                        if not words[word]:
+                            top |= 1 << word
+                        words[word] |= 1 << (r & mask)
         out, i = [], 0
         while i < n:
             out.append(get(piece[i : following[i]]))
@@ -125,7 +140,12 @@ class RankQueue:
 
 
 class Encoder:
-    """Encodes texts; keeps the ids of short pieces it has met, up to a fixed number."""
+    """Encodes texts; keeps the ids of short strings it has met, up to a fixed number of bytes.
+
+    Under ``SPACE_PATTERN`` a text is cut at its spaces, and a piece with the space before it is
+    one string of the memo, as are its pre-tokens. Texts under another pattern, and texts with blanks side by
+    side or at their ends, are taken by pre-tokens.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         import regex
@@ -135,9 +155,8 @@ class Encoder:
         self.queue = RankQueue(self.ranks)
         self.split = regex.compile(vocabulary.pattern).findall
         self.blank = regex.compile(r"\s").match
-        self.known = Memo(self.pretoken)
-        self.first = Pieces(self.text, "", self.blank)
-        self.later = Pieces(self.text, " ", self.blank)
+        self.cuts = vocabulary.pattern == SPACE_PATTERN
+        self.memo = Memo(self.piece)
 
     def pretoken(self, piece: str) -> bytes:
         """The ids of one pre-token as little-endian 32-bit integers."""
@@ -146,17 +165,29 @@ class Encoder:
         ids = self.queue.merge(raw) if whole is None else (whole,)
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def text(self, text: str) -> bytes:
-        """The ids of a text as little-endian 32-bit integers."""
-        return b"".join(map(self.known.__getitem__, self.split(text)))
+    def piece(self, piece: str) -> bytes | None:
+        """The ids of a piece with the space before it, if any; None if it begins or ends with a blank otherwise."""
+        inner = piece[1:] if piece[:1] == " " else piece
+        if not inner or self.blank(inner[0]) or self.blank(inner[-1]):
+            return None
+        parts = self.split(piece)
+        return self.pretoken(piece) if len(parts) == 1 else self.by_pretokens(parts)
 
-    def __call__(self, text: str) -> bytes:
-        return by_pieces(text, text.split(" "), self.first, self.later, self.text)
+    def by_pretokens(self, parts: list[str]) -> bytes:
+        known, make = self.memo.__getitem__, self.pretoken
+        return b"".join([known(p) or make(p) for p in parts])
 
-    def forget(self) -> None:
-        """Drop what was remembered, which the worker's next task may have no use for."""
-        for memo in (self.known, self.first, self.later):
-            memo.forget()
+    def __call__(self, text: str) -> bytes:
+        """The ids of a text as little-endian 32-bit integers."""
+        if not text:
+            return b""
+        if self.cuts:
+            first, *later = text.split(" ")
+            try:
+                return b"".join(map(self.memo.__getitem__, [first, *[" " + p for p in later]]))
+            except TypeError:  # a piece without ids of its own
+                pass
+        return self.by_pretokens(self.split(text))
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that little-endian 32-bit ids stand for."""
@@ -166,31 +197,40 @@ class Encoder:
 class Memo(dict):
     """What a function gave for short strings, in two generations of bounded size.
 
-    When the younger is full it replaces the older, so what is met again and again stays.
+    When the younger is full, by entries or by bytes, it replaces the older, so what is met again
+    and again stays.
     """
 
     def __init__(self, make: Callable[[str], bytes | None], most: int | None = None):
         super().__init__()
-        self.make, self.most, self.older = make, most or REMEMBERED, {}
+        self.make, self.most, self.older, self.held = make, most or REMEMBERED, {}, 0
 
     def __missing__(self, key: str) -> bytes | None:
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
         if len(key) <= LONGEST:
-            if len(self) >= self.most:
-                self.make_room(1)
+            size = ENTRY_BYTES + len(key) + len(value or b"")
+            if len(self) >= self.most or self.held + size > HELD_BYTES:
+                self.age()
             self[key] = value
+            self.held += size
         return value
 
-    def forget(self) -> None:
+    def learn(self, keys: list[str], values: list[bytes]) -> None:
+        """Take in what was made elsewhere for some short strings."""
+        self.make_room(len(keys))
+        self.update(zip(keys, values, strict=True))
+        self.held += sum(map(len, keys)) + sum(map(len, values)) + ENTRY_BYTES * len(keys)
+
+    def age(self) -> None:
+        self.older = dict(self)
         self.clear()
-        self.older = {}
+        self.held = 0
 
     def make_room(self, n: int) -> None:
-        if len(self) + n > self.most and self:
-            self.older = dict(self)
-            self.clear()
+        if self and (len(self) + n > self.most or self.held + n * ENTRY_BYTES > HELD_BYTES):
+            self.age()
 
 
 class Pieces(Memo):
@@ -249,7 +289,6 @@ def encode(df: DataFrame, key: str, text: str, vocabulary: Vocabulary, decoded:
             if decoded:
                 out, names = [*out, pa.array(map(encoder.decode, ids), pa.binary())], [*names, "decoded"]
             yield pa.RecordBatch.from_arrays(out, names=names)
-        encoder.forget()
 
     kind = df.schema[key].dataType.simpleString()
     schema = f"key {kind}, n_tokens bigint, ids binary" + ", decoded binary" * decoded

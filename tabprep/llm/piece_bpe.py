@@ -169,7 +169,7 @@ class Merges:
 
 
 class Encoder:
-    """Encodes and decodes texts; keeps the ids of short segments it has met, up to a fixed number."""
+    """Encodes and decodes texts; keeps the ids of short segments it has met, up to a fixed number of bytes."""
 
     def __init__(self, pieces: Pieces):
         import ahocorasick
@@ -262,8 +262,7 @@ class Encoder:
             self._add(new)
 
     def _add(self, segments: list[str]) -> None:
-        self.memo.make_room(len(segments))
-        self.memo.update(zip(segments, self.table(segments), strict=True))
+        self.memo.learn(segments, self.table(segments))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of texts as little-endian 32-bit integers, begin and end included."""
@@ -301,9 +300,6 @@ class Encoder:
             out.append(raw.decode("utf-8", "each"))
         return "".join(out)
 
-    def forget(self) -> None:
-        self.memo.forget()
-
 
 def _each(error: UnicodeDecodeError) -> tuple[str, int]:
     return "�", error.start + 1

@@ -99,6 +99,24 @@ def test_rank_queue_on_long_and_odd_pretokens():
     assert not q.buckets and not any(q.words)
 
 
+def test_byte_bpe_under_another_pattern_and_a_full_memo(monkeypatch):
+    """A pre-token that reaches over single spaces is not cut there; the memo forgets and stays within its bytes."""
+    import tiktoken
+
+    v = byte_bpe.Vocabulary.of_file(byte_bpe.default_path(), pattern=r"\w+ \w+|\S+|\s")
+    own = tiktoken.Encoding("own", pat_str=v.pattern, mergeable_ranks=v.ranks(), special_tokens={})
+    told = byte_bpe.Vocabulary.of_file(byte_bpe.default_path())
+    same = tiktoken.Encoding("same", pat_str=told.pattern, mergeable_ranks=v.ranks(), special_tokens={})
+    monkeypatch.setattr(byte_bpe, "HELD_BYTES", 4000)
+    e, f = byte_bpe.Encoder(v), byte_bpe.Encoder(told)
+    for t in texts() * 2:
+        t = t or ""
+        assert np.frombuffer(e(t), "<u4").tolist() == own.encode_ordinary(t)
+        assert np.frombuffer(f(t), "<u4").tolist() == same.encode_ordinary(t)
+        assert f.memo.held <= 4000
+    assert f.memo.older and byte_bpe.SPACE_PATTERN == told.pattern
+
+
 def test_elias_fano():
     r = np.random.default_rng(0)
     for n, most in ((1, 0), (3, 0), (700, 3), (2000, 100_000)):
