@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.catalog.registry import Tables, u_sql
-from tabprep.functions.arrays import elements
 from tabprep.functions.seeded import u
+from tabprep.functions.text import words
 from tabprep.functions.vectors import argmax, class_matrix
-from tabprep.operators.vectors import class_probabilities
+from tabprep.operators.vectors import class_probabilities, summaries
 from tabprep.session import cut
 
 FEATURES = ["quantity", "extendedprice", "discount", "tax"]
@@ -132,6 +132,28 @@ def metric_log(t: Tables) -> DataFrame:
     )
 
 
+#: What a text looks like, as numbers; ``labels.quality`` can be told from them.
+SIGNALS = ["distinct_words", "letters_a_word", "capitals", "digits", "marks", "log_words"]
+
+
+def signals(t: Tables) -> DataFrame:
+    """``(doc_id, label, *SIGNALS)`` of the labelled documents."""
+    text = F.coalesce("text", F.lit(""))
+    n = F.greatest(F.length(text), F.lit(1))
+    listed = words(text)
+    many = F.greatest(F.size(listed), F.lit(1))
+
+    def share(others: str):
+        return F.length(F.regexp_replace(text, others, "")) / n
+
+    found = [
+        F.size(F.array_distinct(listed)) / many, F.length(F.array_join(listed, "")) / many,
+        share("[^A-Z]"), share("[^0-9]"), share(r"[\p{L}0-9 ]"), F.log1p(F.size(listed)),
+    ]
+    labels = t.labels.select("doc_id", F.col("quality").alias("label"))
+    return t.spread("documents", "doc_id").join(labels, "doc_id").select("doc_id", "label", *[c.alias(s) for c, s in zip(found, SIGNALS, strict=True)])
+
+
 METRIC_LOG = """metric_log AS (SELECT event_type AS run,
   CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS epoch,
   round(avg(value), 6) AS metric FROM events GROUP BY ALL)"""
@@ -139,8 +161,8 @@ METRIC_LOG = """metric_log AS (SELECT event_type AS run,
 
 def class_vec(t: Tables) -> DataFrame:
     """Mean vector per class, long ``(class, pos, w)``."""
-    long = elements(vec(t).withColumnRenamed("label", "class"), ["class"], "v", "x", "pos")
-    return long.groupBy("class", "pos").agg(F.round(F.avg("x"), 6).alias("w"))
+    means = summaries(vec(t), "label", "v", "mean")
+    return means.select(F.col("label").alias("class"), F.posexplode("mean").alias("pos", "w")).withColumn("w", F.round("w", 6))
 
 
 CVEC = "cvec AS (SELECT label AS class, pos, round(avg(x), 6) AS w FROM vlong GROUP BY ALL)"
@@ -164,7 +186,7 @@ VIEWS_AT = [(0, 0, 64), (1, 0, 32), (2, 32, 32)]
 
 def views(t: Tables) -> DataFrame:
     """``(vec_id, label, view, probs)`` from three parts of each vector."""
-    weights, out = class_vec(t), vec(t).select("vec_id", "label", "v")
+    weights, out = cut(class_vec(t)), vec(t).select("vec_id", "label", "v")
     for view, start, length in VIEWS_AT:
         part = weights.filter(F.col("pos").between(start, start + length - 1))
         out = class_probabilities(out, F.slice("v", start + 1, length), class_matrix(part), out=f"p{view}")

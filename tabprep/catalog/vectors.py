@@ -110,27 +110,27 @@ def arc_margin_easy(t: Tables):
 
 
 # fixed weights by a rule: all inputs, 3 hidden units, 2 outputs
-_W1 = [[((7 * i + 13 * j) % 17 - 8) / 8 for i in range(len(COLUMNS))] for j in range(3)]
-_B1 = [0.1, -0.2, 0.0]
-_W2 = [[1.5, -2.0, 0.5], [-1.0, 1.0, 2.0]]
-_B2 = [0.05, -0.3]
+W1 = [[((7 * i + 13 * j) % 17 - 8) / 8 for i in range(len(COLUMNS))] for j in range(3)]
+B1 = [0.1, -0.2, 0.0]
+W2 = [[1.5, -2.0, 0.5], [-1.0, 1.0, 2.0]]
+B2 = [0.05, -0.3]
 
 
-def _mlp_sql() -> str:
+def mlp_sql() -> str:
     def lin(w, b, names):
         return " + ".join(f"({x!r}) * {n}" for x, n in zip(w, names)) + f" + ({b!r})"
 
-    hidden = ", ".join(f"1 / (1 + exp(-({lin(w, b, COLUMNS)}))) AS h{i}" for i, (w, b) in enumerate(zip(_W1, _B1)))
-    out = ", ".join(f"{lin(w, b, ['h0', 'h1', 'h2'])} AS z{i}" for i, (w, b) in enumerate(zip(_W2, _B2)))
+    hidden = ", ".join(f"1 / (1 + exp(-({lin(w, b, COLUMNS)}))) AS h{i}" for i, (w, b) in enumerate(zip(W1, B1)))
+    out = ", ".join(f"{lin(w, b, ['h0', 'h1', 'h2'])} AS z{i}" for i, (w, b) in enumerate(zip(W2, B2)))
     return with_(WIDE, f"h AS (SELECT vec_id, {hidden} FROM wide)", f"z AS (SELECT vec_id, {out} FROM h)") + """
       SELECT vec_id, round(1 / (1 + exp(z1 - z0)), 6) AS p0, round(1 / (1 + exp(z0 - z1)), 6) AS p1,
       CASE WHEN z0 >= z1 THEN 0 ELSE 1 END AS prediction FROM z"""
 
 
-@query("mlp_forward", _mlp_sql())
+@query("mlp_forward", mlp_sql())
 def mlp_forward(t: Tables):
     x = F.array(*COLUMNS)
-    weights = (V.matrix(_W1), F.array(*map(F.lit, _B1)), V.matrix(_W2), F.array(*map(F.lit, _B2)))
+    weights = (V.matrix(W1), F.array(*map(F.lit, B1)), V.matrix(W2), F.array(*map(F.lit, B2)))
     out = vector_ops.mlp_forward(wide(t), x, *weights)
     p = F.col("probs")
     return out.select("vec_id", F.round(p[0], 6).alias("p0"), F.round(p[1], 6).alias("p1"), "prediction")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.functions import vectors as V
-from tabprep.functions.arrays import elements
 
 
 def cosine_scores(df: DataFrame, vector: Column, unit_rows: Column, out: str = "cosines") -> DataFrame:
@@ -25,38 +26,26 @@ def class_probabilities(
     return logits.withColumn(out, V.softmax(F.col("_logits"))).drop("_logits")
 
 
-def view_average(df: DataFrame, key: str, probs: str = "probs") -> DataFrame:
-    """``(key, probs, prediction)``: mean class probabilities over the views of a sample.
+def summaries(df: DataFrame, group: str, vector: str, *metrics: str) -> DataFrame:
+    """``(group, *metrics)``: statistics per position over the vectors of a group, as arrays.
 
-    The rows move once: both groupings keep to the partitioning by ``key``.
+    Vectors are added up on the map side, so a task sends one row per group and no vector is
+    taken apart. Missing vectors are left out; those of a group must have one length and no missing entry, or the job fails.
     """
-    mean = (
-        elements(df.select(key, probs).repartition(key), [key], probs, "p", "pos")
-        .groupBy(key, "pos")
-        .agg(F.avg("p").alias("p"))
-        .groupBy(key)
-        # one entry per class
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "p"))).alias("_a"))
-        .select(key, F.transform("_a", lambda s: s["p"]).alias(probs))
-    )
-    return mean.withColumn("prediction", V.argmax(F.col(probs)))
+    summary = Summarizer.metrics(*metrics).summary(array_to_vector(F.col(vector).cast("array<double>")))
+    found = df.filter(F.col(vector).isNotNull()).groupBy(group).agg(summary.alias("_s"))
+    return found.select(group, *[vector_to_array(f"_s.{m}").alias(m) for m in metrics])
 
 
-def pool_long(df: DataFrame, group: str, vector: str) -> DataFrame:
-    """``(group, pos, mean, max)`` over the vectors of a group, combined on the map side."""
-    return (
-        elements(df, [group], vector, "x", "pos")
-        .groupBy(group, "pos")
-        .agg(F.avg("x").alias("mean"), F.max("x").alias("max"))
-    )
+def view_average(df: DataFrame, key: str, probs: str = "probs") -> DataFrame:
+    """``(key, probs, prediction)``: mean class probabilities over the views of a sample."""
+    mean = summaries(df, key, probs, "mean").withColumnRenamed("mean", probs)
+    return mean.withColumn("prediction", V.argmax(F.col(probs)))
 
 
 def pool_vectors(df: DataFrame, group: str, vector: str) -> DataFrame:
     """``(group, pooled)``: mean pool and max pool, concatenated."""
-    rows = F.array_sort(F.collect_list(F.struct("pos", "mean", "max")))  # one entry per dimension
-    pooled = pool_long(df, group, vector).groupBy(group).agg(rows.alias("_r"))
-    mean, top = F.transform("_r", lambda s: s["mean"]), F.transform("_r", lambda s: s["max"])
-    return pooled.select(group, F.concat(mean, top).alias("pooled"))
+    return summaries(df, group, vector, "mean", "max").select(group, F.concat("mean", "max").alias("pooled"))
 
 
 def minmax_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -279,3 +279,31 @@ def test_matrix_keeps_every_row_and_refuses_bad_cells(spark, tmp_path):
     (tmp_path / "bad.txt").write_text("1 2 0\n1 x 0\n")
     with pytest.raises(Exception, match="not a number"):
         readers.read_matrix(spark, str(tmp_path / "bad.txt")).collect()
+
+
+def test_scoring_by_stored_weights_loads_once_per_worker(spark, tmp_path):
+    from tabprep.plans import external
+
+    rng = np.random.default_rng(1)
+    w1, b1, w2, b2 = rng.normal(size=(3, 4)), rng.normal(size=3), rng.normal(size=(2, 3)), rng.normal(size=2)
+    path = str(tmp_path / "deep" / "weights.npz")
+    external.save_weights(spark, path, w1=w1, b1=b1, w2=w2, b2=b2)
+    x = rng.normal(size=(50, 4))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "k INT, v ARRAY<DOUBLE>").repartition(3)
+    for batch in (7, 1024):
+        got = external.score(df, "v", external.perceptron(f"file://{path}"), 4, batch).orderBy("k").collect()
+        z = 1 / (1 + np.exp(-(x @ w1.T + b1))) @ w2.T + b2
+        want = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+        assert np.allclose([r.probs for r in got], want) and [r.prediction for r in got] == want.argmax(axis=1).tolist()
+
+
+def test_pooling_adds_up_whole_vectors(spark):
+    from tabprep.operators import vectors
+
+    rows = [("a", [1.0, -2.0]), ("a", [3.0, -4.0]), ("b", [5.0, 6.0]), (None, [7.0, 8.0]), ("a", None)]
+    df = spark.createDataFrame(rows, "g STRING, v ARRAY<FLOAT>").repartition(3)
+    assert {r.g: r.pooled for r in vectors.pool_vectors(df, "g", "v").collect()} == {"a": [2.0, -3.0, 3.0, -2.0], "b": [5.0, 6.0] * 2, None: [7.0, 8.0] * 2}
+    assert "Generate" not in vectors.pool_vectors(df, "g", "v")._jdf.queryExecution().executedPlan().toString()
+    views = vectors.view_average(df.withColumnRenamed("g", "k"), "k", "v").collect()
+    assert {r.k: (r.v, r.prediction) for r in views} == {"a": ([2.0, -3.0], 0), "b": ([5.0, 6.0], 1), None: ([7.0, 8.0], 1)}
+    assert vectors.pool_vectors(df.limit(0), "g", "v").count() == 0
