@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tabprep.llm.common import slices, text_of
 
 #: Strings and bytes that a memo holds at most in each generation, and the longest of its strings in characters.
-REMEMBERED, HELD_BYTES, LONGEST = 300_000, 48 << 20, 48
+REMEMBERED, HELD_BYTES, LONGEST = 600_000, 112 << 20, 48
 #: What an entry costs beside its string's and its value's own bytes: two object heads and a place in the table.
 ENTRY_BYTES = 170
 
@@ -73,25 +73,30 @@ class RankQueue:
         self.shift = max(1, (most.bit_length() + 1) // 2)
         self.words = [0] * ((most >> self.shift) + 1)
         self.buckets: dict[int, list[int]] = {}
+        self.mask = (1 << self.shift) - 1
+        self.bit = [1 << k for k in range(max(len(self.words), 1 << self.shift))]
+        #: The rank of the merge of every two bytes, or -1.
+        self.pairs = [ranks.get(bytes(divmod(p, 256)), -1) for p in range(1 << 16)]
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
-        get, words, buckets, shift, mask = self.ranks.get, self.words, self.buckets, self.shift, (1 << self.shift) - 1
+        get, words, buckets, shift, mask, bit = self.ranks.get, self.words, self.buckets, self.shift, self.mask, self.bit
         n, top = len(piece), 0
         # symbol i stands for piece[i:following[i]]; rank[i] is that of its merge with the next one
-        following, preceding, rank = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
-        for i in range(n - 1):
-            r = get(piece[i : i + 2])
-            if r is not None:
-                rank[i] = r
+        following, preceding = list(range(1, n + 1)), list(range(-1, n - 1))
+        pairs = self.pairs
+        rank = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        rank.append(-1)
+        for i, r in enumerate(rank):
+            if r >= 0:
                 if r in buckets:
                     buckets[r].append(i)  # positions come in order
                 else:
                     buckets[r] = [i]
                     word = r >> shift
                     if not words[word]:
-                        top |= 1 << word
-                    words[word] |= 1 << (r & mask)
+                        top |= bit[word]
+                    words[word] |= bit[r & mask]
         while top:
             word = (top & -top).bit_length() - 1
             bits = words[word]
@@ -110,28 +115,33 @@ class RankQueue:
                 continue
             gone = following[i]
             after = following[i] = following[gone]
-            rank[gone] = rank[i] = -1
-            left = preceding[i]
+            rank[gone] = -1
             if after < n:
                 preceding[after] = i
-                changed = ((i, following[after]), (left, after))
+                rank[i] = r = get(piece[i : following[after]], -1)
+                if r >= 0:
+                    if r in buckets:
+                        heappush(buckets[r], i)
+                    else:
+                        buckets[r] = [i]
+                        word = r >> shift
+                        if not words[word]:
+                            top |= bit[word]
+                        words[word] |= bit[r & mask]
             else:
-                changed = ((left, after),)
-            for at, end in changed:
-                if at >= 0:
-                    r = get(piece[at:end])
-                    if r is None:
-                        rank[at] = -1
-                        continue
-                    rank[at] = r
+                rank[i] = -1
+            i = preceding[i]
+            if i >= 0:
+                rank[i] = r = get(piece[i:after], -1)
+                if r >= 0:
                     if r in buckets:
-                        heappush(buckets[r], at)
+                        heappush(buckets[r], i)
                     else:
-                        buckets[r] = [at]
+                        buckets[r] = [i]
                         word = r >> shift
                         if not words[word]:
-                            top |= 1 << word
-                        words[word] |= 1 << (r & mask)
+                            top |= bit[word]
+                        words[word] |= bit[r & mask]
         out, i = [], 0
         while i < n:
             out.append(get(piece[i : following[i]]))
