@@ -60,6 +60,31 @@ def test_lookup_join_broadcast_and_salted_agree(spark, monkeypatch, hot_rows):
     assert salted.count() == 990
 
 
+@pytest.mark.parametrize("words", [1, 1 << 19])
+def test_a_bitmap_of_any_size_changes_no_result(spark, monkeypatch, words):
+    """With one word nearly every row passes the bitmap; the joins drop what does not match."""
+    monkeypatch.setattr(joins, "MOST_WORDS", words)
+    df = spark.range(500).select(F.col("id").alias("k"), F.when(F.col("id") % 50 != 7, F.col("id") % 300).alias("c"), (F.col("id") % 3).alias("d"))
+    dim = spark.range(0, 300, 2).select(F.col("id").alias("c"), (F.col("id") % 3).alias("d"), F.concat(F.lit("n"), "id").alias("name"))
+    columns = ["k", F.coalesce("c", F.lit(-1)), "d", F.coalesce("name", F.lit("-"))]
+    for how in ("left", "inner"):
+        want = rows(df.join(dim, ["c", "d"], how), *columns)
+        assert rows(joins.lookup_join(df, dim, ["c", "d"], how, broadcast_rows=1), *columns) == want
+    other = spark.range(0, 300, 3).select(F.col("id").alias("c"))
+    want = [r.k for r in df.collect() if r.c is None or r.c % 3]
+    assert sorted(r.k for r in joins.not_in(df, other, "c", "k").collect()) == want
+    monkeypatch.setattr(joins, "fits", lambda *_: False)
+    assert sorted(r.k for r in joins.not_in(df, other, "c", "k").collect()) == want
+
+
+def test_no_text_moves_to_find_new_rows(spark):
+    texts = spark.range(400).select(F.col("id").alias("k"), F.concat(F.lit("a long text "), "id").alias("t"))
+    plan = joins.not_in(texts, texts.filter("k % 2 = 0"), "t", "k")
+    assert plan.count() == 200
+    shown = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in shown and "SortMergeJoin" not in shown
+
+
 def test_not_in_keeps_null(spark):
     a = spark.createDataFrame([("x",), ("y",), (None,)], "t STRING")
     b = spark.createDataFrame([("x",), (None,)], "t STRING")
