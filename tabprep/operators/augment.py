@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabprep.functions import text as X
 from tabprep.functions.arrays import elements
 from tabprep.functions.seeded import u
-from tabprep.operators.joins import lookup_join
+from tabprep.operators.joins import BROADCAST_ROWS, fits, lookup_join
 from tabprep.session import cut
 
 def with_drawn(
@@ -151,6 +151,10 @@ def tta_long(wide: DataFrame, key: str, prefixes: Sequence[str], views: int) ->
     return wide.select(key, F.inline(F.array(*rows)))
 
 
+#: Languages at most; words whose scores are broadcast when not all are.
+MOST_LANGUAGES, HOT_WORDS = 500, 1 << 16
+
+
 def _trigrams(df: DataFrame, word: str) -> DataFrame:
     """One row per character trigram ``gram`` of each word with a blank on both sides."""
     at = df.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length(word))))
@@ -170,7 +174,9 @@ def language_profile(df: DataFrame, text: str, lang: str) -> tuple[DataFrame, li
         .agg(F.count(F.lit(1)).alias("n"))
     )
     counted = cut(_trigrams(words, "word").groupBy(lang, "gram").agg(F.sum("n").alias("n")))
-    totals = counted.groupBy(lang).agg(F.sum("n").alias("n")).orderBy(lang).collect()  # one row per language
+    totals = counted.groupBy(lang).agg(F.sum("n").alias("n")).orderBy(lang).limit(MOST_LANGUAGES + 1).collect()
+    if len(totals) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages, each of which is a column")
     grams = counted.agg(F.count_distinct("gram")).first()[0]
     langs = [r[0] for r in totals]
     room = [float(r["n"] + grams) for r in totals]
@@ -185,18 +191,29 @@ def language_profile(df: DataFrame, text: str, lang: str) -> tuple[DataFrame, li
 
 
 def detect_language(
-    df: DataFrame, key: str, text: str, profile: tuple[DataFrame, list[str], list[float]]
+    df: DataFrame, key: str, text: str, profile: tuple[DataFrame, list[str], list[float]], broadcast_words: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """``(key, language)``: the language that makes the trigrams most likely; no letters: ``unknown``."""
+    """``(key, language)``: the language that makes the trigrams most likely; no letters: ``unknown``.
+
+    A word's trigrams are scored once, however often and wherever it stands. The scores of up to
+    ``broadcast_words`` words are broadcast, and no word of a text moves: a text's words are added up where
+    they are read. Of more words, the ``HOT_WORDS`` most frequent are still broadcast and the others
+    joined, so that none that is joined holds more than one in ``HOT_WORDS`` of all.
+    """
     model, langs, unseen = profile
-    words = elements(df, [key], X.letter_words(F.col(text)), "word").groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
-    # a word's trigrams are scored once, however often and wherever it stands
-    each = _trigrams(words.select("word").distinct(), "word")
-    scored = lookup_join(each, model, "gram", "left", F.struct("word", "gram"))
-    score = [F.sum(F.coalesce(f"p{i}", F.lit(miss))).alias(f"p{i}") for i, miss in enumerate(unseen)]
-    of_word = scored.groupBy("word").agg(*score)
-    sums = words.join(of_word, "word").groupBy(key).agg(*[F.sum(F.col("n") * F.col(f"p{i}")).alias(f"s{i}") for i in range(len(langs))])
-    best = F.array_max(F.array(*[F.struct(F.col(f"s{i}").alias("s"), F.lit(-i).alias("i")) for i in range(len(langs))]))
+    words = elements(df, [key], X.letter_words(F.col(text)), "word")
+    counted = cut(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    scored = lookup_join(_trigrams(counted.select("word"), "word"), model, "gram", "left", F.struct("word", "gram"))
+    scores = [f"p{i}" for i in range(len(langs))]
+    of_word = cut(scored.groupBy("word").agg(*[F.sum(F.coalesce(p, F.lit(miss))).alias(p) for p, miss in zip(scores, unseen, strict=True)]))
+    if fits(of_word, broadcast_words):
+        told = words.join(F.broadcast(of_word), "word")
+    else:
+        hot = of_word.join(F.broadcast(counted.orderBy(F.desc("n"), "word").limit(HOT_WORDS).select("word")), "word", "left_semi")
+        others = words.join(F.broadcast(hot.select("word")), "word", "left_anti")
+        told = words.join(F.broadcast(hot), "word").unionByName(others.join(of_word, "word"))
+    sums = told.groupBy(key).agg(*[F.sum(p).alias(p) for p in scores])
+    best = F.array_max(F.array(*[F.struct(F.col(p).alias("s"), F.lit(-i).alias("i")) for i, p in enumerate(scores)]))
     names = F.array(*[F.lit(x) for x in langs])
     found = sums.select(key, F.get(names, -best["i"]).alias("language"))
     return df.select(key).join(found, key, "left").fillna("unknown", ["language"])

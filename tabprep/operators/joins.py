@@ -109,14 +109,16 @@ def align(tables: dict[str, DataFrame], key: str, value: str) -> DataFrame:
 def not_in(df: DataFrame, other: DataFrame, on: str, key: str | None = None) -> DataFrame:
     """Rows whose value does not occur in ``other``; a NULL value is kept.
 
-    Only digests (SHA-256) of values move. Rows whose digest is not in a bitmap of those of ``other`` are kept
-    where they are. The digests of the rest are looked up once each; those that are not in ``other``
+    Only digests (SHA-256) of values move. Those of ``other`` are broadcast if they fit. Otherwise rows whose
+    digest is not in a bitmap of them are kept where they are. The digests of the rest are looked up once each; those that are not in ``other``
     after all, one in thousands, are broadcast, and their rows kept too. If there are too
     many of these for that, their rows are joined by digest, spread by ``key``, a row key of ``df``.
     """
     digest = F.sha2(F.col(on).cast("string"), 256)
     seen = cut(other.filter(F.col(on).isNotNull()).select(digest.alias("_digest")).distinct())
     named = df.withColumn("_digest", digest)
+    if fits(seen):
+        return named.join(F.broadcast(seen), "_digest", "left_anti").drop("_digest")
     known = KeyBitmap(seen, ["_digest"])
     may = known.split(named.select("_digest").filter(F.col("_digest").isNotNull()), ["_digest"], "left_semi")
     wrong = cut(may.distinct().join(seen, "_digest", "left_anti"))

@@ -77,7 +77,10 @@ def test_a_bitmap_of_any_size_changes_no_result(spark, monkeypatch, words):
     assert sorted(r.k for r in joins.not_in(df, other, "c", "k").collect()) == want
 
 
-def test_no_text_moves_to_find_new_rows(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_no_text_moves_to_find_new_rows(spark, monkeypatch, small):
+    answers = iter([small, True])  # the digests, and those that the bitmap let through wrongly
+    monkeypatch.setattr(joins, "fits", lambda *_: next(answers))
     texts = spark.range(400).select(F.col("id").alias("k"), F.concat(F.lit("a long text "), "id").alias("t"))
     plan = joins.not_in(texts, texts.filter("k % 2 = 0"), "t", "k")
     assert plan.count() == 200

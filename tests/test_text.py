@@ -1,5 +1,7 @@
 """Words, edits, language, encoding."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,6 +120,18 @@ def test_language(spark):
     assert got == {1: "en", 2: "de", 3: "unknown", 4: "unknown"}
 
 
+def test_language_does_not_depend_on_the_route_of_a_word(spark, monkeypatch):
+    monkeypatch.setattr(augment, "HOT_WORDS", 2)
+    r = random.Random(3)
+    words = {"en": "the cat and dog this is house of".split(), "de": "der hund und die katze das ist haus".split()}
+    lines = [(i, " ".join(r.choice(words["en" if r.random() < p else "de"]) for _ in range(r.randint(0, 9)))) for i, p in enumerate([0.1, 0.9, 0.5] * 30)]
+    df = spark.createDataFrame([*lines, (None, "the dog"), (0, "das haus")], "k INT, text STRING")
+    train = spark.createDataFrame([(" ".join(w), k) for k, w in words.items()], "text STRING, lang STRING")
+    model = augment.language_profile(train, "text", "lang")
+    small = sorted(map(repr, augment.detect_language(df, "k", "text", model).collect()))
+    assert sorted(map(repr, augment.detect_language(df, "k", "text", model, broadcast_words=0).collect())) == small and len(small) == 92
+
+
 @pytest.mark.parametrize("na,nb,ka,kb", [(2, 3, 2, 3), (20, 2, 4, 2), (2, 20, 2, 4), (20, 20, 3, 3)])
 def test_encode_pair_truncates_the_longer_side(spark, na, nb, ka, kb):
     df = spark.createDataFrame([("i", " ".join(["a"] * na), " ".join(["b"] * nb))], "id STRING, p STRING, h STRING")
