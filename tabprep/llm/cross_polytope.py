@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -62,35 +63,52 @@ class Scheme:
         rate = min(max(rate, 1e-3), 0.999)
         return cls(size, hashes, max(4, math.ceil(math.log(1 - RECALL) / math.log(1 - rate))))
 
-    def keys(self, x: np.ndarray) -> np.ndarray:
-        """Buckets of each vector: rows x tables x (1 + hashes), the vector's own bucket first."""
-        n = len(x)
-        padded = np.zeros((n, self.size))
-        padded[:, : x.shape[1]] = x
-        out = np.empty((n, self.tables, 1 + self.hashes), np.int64)
-        for t in range(self.tables):
-            signs = np.random.default_rng((SEED, t)).choice([-1.0, 1.0], size=(self.hashes, 3, self.size))
-            best, next_ = [], []
-            for h in range(self.hashes):
-                y = padded
-                for s in signs[h]:
-                    y = _hadamard(y * s)
-                strength = np.abs(y)
-                two = np.argpartition(strength, -2, axis=1)[:, -2:]
-                order = np.take_along_axis(strength, two, axis=1)
-                first = np.where(order[:, 0] > order[:, 1], two[:, 0], two[:, 1])
-                second = two.sum(axis=1) - first
-                rows = np.arange(n)
-                best.append(2 * first + (y[rows, first] < 0))
-                next_.append(2 * second + (y[rows, second] < 0))
+    def keys(self, x: np.ndarray, tables: int | None = None) -> np.ndarray:
+        """Buckets of each vector: rows x tables x (1 + hashes), the vector's own bucket first.
+
+        On request those of the first tables alone. All rotations of some rows are one transform.
+        """
+        tables = tables or self.tables
+        out = np.empty((len(x), tables, 1 + self.hashes), np.int64)
+        out[:] = np.arange(tables)[None, :, None]
+        if not self.hashes:
+            return out
+        turns = tables * self.hashes
+        signs = _signs(self.size, self.hashes, self.tables)[:tables].reshape(turns, 3, self.size)
+        step = max(1, AT_ONCE // (turns * self.size))
+        for start in range(0, len(x), step):
+            own = x[start : start + step]
+            y = np.zeros((len(own), turns, self.size))
+            y[:, :, : x.shape[1]] = own[:, None, :]
+            for turn in range(3):
+                y = _hadamard((y * signs[None, :, turn]).reshape(-1, self.size)).reshape(y.shape)
+            y = y.reshape(-1, self.size)
+            rows = np.arange(len(y))
+            strength = np.abs(y)
+            two = np.argpartition(strength, -2, axis=1)[:, -2:]
+            order = np.take_along_axis(strength, two, axis=1)
+            first = np.where(order[:, 0] > order[:, 1], two[:, 0], two[:, 1])
+            second = two.sum(axis=1) - first
+            best = (2 * first + (y[rows, first] < 0)).reshape(len(own), tables, self.hashes)
+            next_ = (2 * second + (y[rows, second] < 0)).reshape(len(own), tables, self.hashes)
             for probe in range(1 + self.hashes):
-                key = np.full(n, t, np.int64)
+                key = out[start : start + step, :, probe]
                 for h in range(self.hashes):
-                    key = key * (2 * self.size) + (next_[h] if probe == h + 1 else best[h])
-                out[:, t, probe] = key
+                    key = key * (2 * self.size) + (next_ if probe == h + 1 else best)[:, :, h]
+                out[start : start + step, :, probe] = key
         return out
 
 
+#: Numbers that are rotated at once.
+AT_ONCE = 1 << 20
+
+
+@lru_cache(maxsize=8)
+def _signs(size: int, hashes: int, tables: int) -> np.ndarray:
+    """Random signs of every table and hash; a worker draws them once."""
+    return np.stack([np.random.default_rng((SEED, t)).choice([-1.0, 1.0], size=(hashes, 3, size)) for t in range(tables)])
+
+
 class Schemes:
     """The schemes of all lengths of vectors, each with a range of bucket keys of its own."""
 
@@ -149,8 +167,8 @@ def _links(scheme: Scheme, key: int, x: np.ndarray, node: np.ndarray, size: np.n
     used = np.unique(np.concatenate([a, b]))
     place = np.zeros(len(x), np.int64)
     place[used] = np.arange(len(used))
-    keys = scheme.keys(x[used])
     table = key // (2 * scheme.size) ** scheme.hashes
+    keys = scheme.keys(x[used], table + 1)
     n = np.zeros(len(used), np.int64)
     for at in range(0, len(a), 1 << 14):
         i, j = place[a[at : at + (1 << 14)]], place[b[at : at + (1 << 14)]]
