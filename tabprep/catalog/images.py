@@ -208,8 +208,10 @@ v2 AS (SELECT image_id, view, px, CASE WHEN view > 0 AND {u_sql(42, 'image_id',
   THEN (7 - pos // 24) * 24 + pos % 24 ELSE pos END AS pos FROM v1)"""
 
 
-@query("image_views", with_(GRAY, COLOR, _VIEW) + f"""SELECT image_id, CAST(view AS INTEGER) AS view, CAST(pos AS INTEGER) AS pos,
-  CASE WHEN view = 0 THEN px ELSE CAST(least(greatest(floor(px * (0.8 + 0.4 * {u_sql(42, 'image_id', 'view', repr('brightness'))})), 0), 255) AS INTEGER) END AS px FROM v2""")
+@query("image_views", with_(GRAY, COLOR, _VIEW, f"""v3 AS (SELECT image_id, view, pos,
+  CASE WHEN view = 0 THEN px ELSE least(greatest(floor(px * (0.8 + 0.4 * {u_sql(42, 'image_id', 'view', repr('brightness'))})), 0), 255) END AS px FROM v2)""",
+  "v4 AS (SELECT *, avg(px) OVER (PARTITION BY image_id, view) AS m FROM v3)") + f"""SELECT image_id, CAST(view AS INTEGER) AS view, CAST(pos AS INTEGER) AS pos,
+  CAST(CASE WHEN view = 0 THEN px ELSE least(greatest(floor(m + (px - m) * (0.8 + 0.4 * {u_sql(42, 'image_id', 'view', repr('contrast'))})), 0), 255) END AS INTEGER) AS px FROM v4""")
 def image_views(t: Tables):
     return _long(jobs.image_views(color(t), 4, 42), keep=("image_id", "view"))
 

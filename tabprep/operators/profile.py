@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -119,33 +120,57 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     )
 
 
+#: Terms of the expansion, and the reach of a box in units of sqrt(2) * bandwidth, beyond which a kernel is below 1e-18.
+TERMS, REACH = 16, 6.5
+
+
 def density(df: DataFrame, column: str, points: int = 200, reach: float = 0.0) -> DataFrame:
     """``(point, x, density)``: Gaussian kernel density on a grid, bandwidth n^(-1/5) * deviation.
 
-    Each distinct value adds to every grid point where it is stored; only one partial sum
-    per task and grid point is shuffled.
+    Fast Gauss transform (Greengard and Strain, "The fast Gauss transform", 1991): values fall into boxes of
+    width bandwidth / sqrt(2), a box keeps ``TERMS`` moments of its values about its middle, and a grid point adds the
+    Hermite series of the boxes near it. In units of sqrt(2) * bandwidth a value is at most 1/4 from
+    its middle, so by Cramer's inequality the terms left out are below 1e-13 of a kernel's height
+    per value, and the density's error is below 1e-9 of that height. One row per box and task is shuffled, however many values there are.
+
+    NULL and NaN are left out. Without a bandwidth (fewer than two values, or all equal) the density is NULL; without values there are no points.
     """
     x = F.col(column).cast("double")
-    counted = df.filter(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    n = F.count(x)
-    s = df.agg(
-        F.struct(
-            n.alias("n"),
-            (F.pow(n, F.lit(-0.2)) * F.stddev_samp(x)).alias("h"),
-            F.min(x).alias("lo"),
-            F.max(x).alias("hi"),
-        )
-    ).scalar()
-    start = s["lo"] - reach * s["h"]
-    step = (s["hi"] - s["lo"] + 2 * reach * s["h"]) / (points - 1)
-    spread = counted.select(
-        "v", "c", start.alias("start"), step.alias("step"), s["h"].alias("h"), s["n"].alias("n")
-    ).select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    z = (F.col("start") + F.col("point") * F.col("step") - F.col("v")) / F.col("h")
-    kernel = F.col("c") * F.exp(-z * z / 2) / (F.col("n") * F.col("h") * F.sqrt(2 * F.pi()))
-    return spread.groupBy("point").agg(
-        F.max(F.col("start") + F.col("point") * F.col("step")).alias("x"), F.sum(kernel).alias("density")
-    )
+    rows = df.select(x.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    n, deviation, low, high = rows.agg(F.count("v"), F.stddev_samp("v"), F.min("v"), F.max("v")).first()
+    grid = df.sparkSession.range(points if n else 0).select(F.col("id").cast("int").alias("point"))
+    h = n ** -0.2 * deviation if deviation else 0.0
+    start = (low or 0.0) - reach * h
+    step = ((high or 0.0) - (low or 0.0) + 2 * reach * h) / (points - 1)
+    at = (F.lit(start) + F.col("point") * F.lit(step)).alias("x")
+    if not h:
+        return grid.select("point", at, F.lit(None).cast("double").alias("density"))
+    unit, width = math.sqrt(2) * h, h / math.sqrt(2)
+    boxed = rows.withColumn("box", F.floor((F.col("v") - low) / width))
+    middle = low + (F.col("box") + 0.5) * width
+    t = (F.col("v") - middle) / unit
+    # expressions as text: one call to the JVM each
+    moments = boxed.withColumn("t", t).groupBy("box").agg(*[F.expr(f"sum(pow(t, {k})) / {math.factorial(k)}D").alias(f"m{k}") for k in range(TERMS)])
+
+    def near(side: int) -> Column:
+        return F.least(F.greatest(F.floor((middle + side * REACH * unit - start) / step), F.lit(-1)), F.lit(points - 1)).cast("int")
+
+    # the series as a polynomial per box: coefficients of the Hermite polynomials, by power
+    hermite = [[1], [0, 2]]
+    for k in range(1, TERMS - 1):
+        twice, before = [0, *(2 * c for c in hermite[k])], [2 * k * c for c in hermite[k - 1]] + [0, 0]
+        hermite.append([a - b for a, b in zip(twice, before, strict=True)])
+    powers = [F.expr(" + ".join(f"m{k} * ({hermite[k][j]}D)" for k in range(j, TERMS, 2))).alias(f"a{j}") for j in range(TERMS)]
+    near_points = F.sequence(F.greatest(near(-1), F.lit(0)), F.greatest(near(1), F.lit(0)))
+    met = moments.select("box", *powers, F.explode(near_points).alias("point"))
+    series = met.withColumn("z", (start + F.col("point") * step - middle) / unit)
+    nested = f"a{TERMS - 1}"
+    for j in range(TERMS - 2, -1, -1):
+        nested = f"({nested} * z + a{j})"
+    value = F.expr(f"{nested} * exp(-z * z)")
+    sums = series.groupBy("point").agg((F.sum(value) / (n * h * math.sqrt(2 * math.pi))).alias("density"))
+    # at most `points` rows
+    return grid.join(F.broadcast(sums), "point", "left").select("point", at, F.coalesce("density", F.lit(0.0)).alias("density"))
 
 
 def channel_counts(df: DataFrame, pixels: Column, channels: int) -> DataFrame:

@@ -14,12 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.functions.seeded import u32
+from tabprep.operators.joins import lookup_join
 from tabprep.operators.prefix import with_ordinal
+from tabprep.session import cut
 
 _HALF_BITS = 16
 # Samples up to this size are taken by a top-n, larger ones by a cut-off filter.
 TOP_N = 10_000
 SALTS = 32
+# Up to this n Spark keeps the first n rows of a window's group on the map side (its default).
+WINDOW_N = 1000
 
 
 def _bucket_of(df: DataFrame, bucket: Column, m: int) -> tuple[int, int]:
@@ -78,12 +82,15 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int, salt: str = "sample") -
 def sample_per_class(
     df: DataFrame, key: str, label: str, n: int, seed: int, salt: str = "sample"
 ) -> DataFrame:
-    """Exactly ``n`` rows of each class (all rows of smaller classes).
+    """Exactly ``n`` rows of each class (all rows of smaller classes): those with the smallest hashes, then keys.
 
-    A class is first thinned to its best ``n`` in each of ``SALTS`` slices, so the last
-    step sees at most n * SALTS rows of even the largest class.
+    Up to ``WINDOW_N`` rows a class is first thinned to its best ``n`` in each of ``SALTS`` slices, so the last
+    step sees at most n * SALTS rows of even the largest class. For more rows, counts of hash digits,
+    for all classes at once, give each class's n-th hash, and the sample is a filter.
     """
     drawn = df.withColumn("_h", u32(seed, F.col(key), salt))
+    if n > WINDOW_N:
+        return _below_cuts(drawn, key, label, n)
     slice_ = F.pmod(F.xxhash64(key), F.lit(SALTS))
     order = ["_h", key]
     thin = drawn.withColumn("_r", F.row_number().over(Window.partitionBy(label, slice_).orderBy(*order)))
@@ -93,6 +100,29 @@ def sample_per_class(
     return last.filter(F.col("_r") <= n).drop("_h", "_r")
 
 
+def _below_cuts(drawn: DataFrame, key: str, label: str, n: int) -> DataFrame:
+    """Rows of each class up to its n-th hash; only rows that share that hash are ordered."""
+    # a struct key also matches the class NULL
+    drawn = drawn.withColumn("_g", F.struct(F.col(label).alias("label")))
+    high, low = F.shiftright("_h", 16), F.col("_h").bitwiseAND(0xFFFF)
+
+    def reached(counts: DataFrame, wanted: Column | int) -> DataFrame:
+        """The digit of each class at which ``wanted`` rows are reached; a class has at most 2**16."""
+        run = F.sum("count").over(Window.partitionBy("_g").orderBy("_digit"))
+        ran = counts.withColumn("_before", run - F.col("count"))
+        return ran.filter((F.col("_before") < wanted) & (F.col("_before") + F.col("count") >= wanted)).drop("count")
+
+    first = cut(reached(drawn.groupBy("_g", high.alias("_digit")).count(), n).withColumnRenamed("_digit", "_high"))
+    own = lookup_join(drawn.select("_g", "_h", key), first, "_g", "inner", F.col(key)).filter(high == F.col("_high"))
+    digits = own.groupBy("_g", low.alias("_digit"), "_high", F.col("_before").alias("_ahead")).count()
+    second = reached(digits, n - F.col("_ahead"))
+    cuts = cut(second.select("_g", (F.shiftleft("_high", 16) + F.col("_digit")).alias("_cut"), (n - F.col("_ahead") - F.col("_before")).alias("_left")))
+    told = lookup_join(drawn, cuts, "_g", "left", F.col(key))
+    below = told.filter(F.col("_cut").isNull() | (F.col("_h") < F.col("_cut"))).drop("_g", "_h", "_cut", "_left")
+    ties = told.filter(F.col("_h") == F.col("_cut")).withColumn("_r", F.row_number().over(Window.partitionBy("_g").orderBy(key)))
+    return below.unionByName(ties.filter(F.col("_r") <= F.col("_left")).drop("_g", "_h", "_cut", "_left", "_r"))
+
+
 def mix_by_ratio(sources: Sequence[tuple[DataFrame, float]], key: str, seed: int) -> DataFrame:
     """Stack floor(n1 * ratio) random rows of each source; n1 is the size of the first.
 

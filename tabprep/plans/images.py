@@ -71,7 +71,7 @@ def image_prepare(
 
 
 def image_views(df: DataFrame, views: int, seed: int) -> DataFrame:
-    """``(image_id, view, pixels)``: view 0 is the image, the others are flipped and jittered by chance."""
+    """``(image_id, view, pixels)``: view 0 is the image, the others are flipped by chance, and jittered in brightness and contrast."""
     many = df.withColumn("view", F.explode(F.sequence(F.lit(0), F.lit(views - 1))))
 
     def draw(step: str):
@@ -85,6 +85,8 @@ def image_views(df: DataFrame, views: int, seed: int) -> DataFrame:
     many = gated(many, "flip_v", 0.5, P.flip_v(F.col("pixels"), *shape()))
     many = many.withColumn("_f", 0.8 + 0.4 * draw("brightness"))
     many = gated(many, "always", 1.0, P.brightness(F.col("pixels"), F.col("_f")))
+    many = many.withColumn("_f", 0.8 + 0.4 * draw("contrast"))
+    many = gated(many, "always", 1.0, P.contrast(F.col("pixels"), F.col("_f")))
     return many.select("image_id", "view", "pixels")
 
 

@@ -119,3 +119,24 @@ def test_shuffle_differs_per_epoch(spark):
     order = lambda e: [r.k for r in sampling.shuffle(df, "k", 1, e).orderBy("position").collect()]
     first, second = order(0), order(1)
     assert first != second and sorted(first) == sorted(second) == list(range(200))
+
+
+@pytest.mark.parametrize("hashes", [7, 1 << 20, 1 << 32])
+def test_class_samples_by_cuts_are_those_by_order(spark, monkeypatch, hashes):
+    """Also where rows share hashes, in the class NULL, and in classes of fewer rows."""
+    monkeypatch.setattr(sampling, "u32", lambda seed, key, salt: F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(hashes)))
+    c = F.when(F.col("k") % 10 < 6, "hot").when(F.col("k") % 10 == 6, F.lit(None)).otherwise((F.col("k") % 40).cast("string"))
+    df = spark.range(2000).select(F.col("id").alias("k"), c.alias("c"), F.lit("x").alias("_x"))
+    for n in (1, 60, 150, 5000):
+        monkeypatch.setattr(sampling, "WINDOW_N", 10_000)
+        want = sorted(map(repr, sampling.sample_per_class(df, "k", "c", n, 1).collect()))
+        monkeypatch.setattr(sampling, "WINDOW_N", 0)
+        assert sorted(map(repr, sampling.sample_per_class(df, "k", "c", n, 1).collect())) == want
+
+
+def test_large_class_samples_order_no_rows(spark):
+    df = spark.range(50_000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("c"))
+    found = sampling.sample_per_class(df, "k", "c", 10_000, 1)
+    assert [r["count"] for r in found.groupBy("c").count().collect()] == [10_000] * 3
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1  # rows that share the n-th hash

@@ -1,5 +1,6 @@
 """Cleaning, joins, profiles, evaluation, ranking."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,6 +160,23 @@ def test_box_whiskers_stop_at_points(spark):
     assert (b.q1, b.median, b.q3, b.whisker_low, b.whisker_high, b.outliers) == (2, 3, 4, 1, 4, 1)
 
 
+@pytest.mark.parametrize("values", [[0.0, 1.0, 1.5, 9.0, 9.0, -3.0], [float(i % 17) ** 2 for i in range(300)], [1e6, 1e6 + 1, -1e9], [5.0, 5.0], [2.0], []])
+def test_density_equals_the_sum_of_all_kernels(spark, values):
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x DOUBLE").repartition(3)
+    found = {r.point: r for r in profile.density(df, "x", 50, reach=2).collect()}
+    if not values:
+        assert not found
+        return
+    h = len(values) ** -0.2 * np.std(values, ddof=1) if len(set(values)) > 1 else 0
+    grid = np.linspace(min(values) - 2 * h, max(values) + 2 * h, 50)
+    assert np.allclose([found[i].x for i in range(50)], grid, rtol=1e-12)
+    if not h:
+        assert all(r.density is None for r in found.values())
+        return
+    want = np.exp(-(((grid[:, None] - np.array(values)) / h) ** 2) / 2).sum(axis=1) / (len(values) * h * np.sqrt(2 * np.pi))
+    assert np.abs(np.array([found[i].density for i in range(50)]) - want).max() < 1e-9 / h
+
+
 def test_density_integrates_to_one(spark):
     df = spark.createDataFrame([(float(x % 17),) for x in range(300)], "x DOUBLE")
     d = profile.density(df, "x", 400, reach=4).orderBy("x").collect()
