@@ -2,13 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from tabprep.catalog.fixtures import COLUMNS, FEAT4, FEATURES, WIDE, feat4, wide
-from tabprep.catalog.registry import Tables, query, with_
+from tabprep.catalog.fixtures import COLUMNS, FEAT4, FEATURES, NULLABLE, WIDE, feat4, nullable, wide
+from tabprep.catalog.registry import Tables, query, u_sql, with_
+from tabprep.catalog.sampling import _order
 from tabprep.catalog.splits import _h
+from tabprep.functions.seeded import u
+from tabprep.operators import evaluate
 from tabprep.operators.prefix import with_ordinal
-from tabprep.plans import tree
+from tabprep.plans import tables, tree
 from tabprep.session import scratch_path
-from tabprep.sources import writers
+from tabprep.sources import readers, writers
 
 _DEPTH = 10
 
@@ -55,12 +58,12 @@ def _fit_sql(src: str, features, classes, depth: int) -> str:
     return ",\n".join(ctes)
 
 
-def _predict_sql(features, depth: int) -> str:
-    """CTE ``predicted``: rows0 walked down ``nodes`` by the rounded thresholds."""
-    ctes = ["walk0 AS (SELECT * FROM rows0)"]
+def _predict_sql(features, depth: int, src: str = "rows0", bound: str = "threshold_2dp") -> str:
+    """CTE ``predicted``: the rows of ``src`` walked down ``nodes``, by the rounded thresholds or the exact ones."""
+    ctes = [f"walk0 AS (SELECT * FROM {src})"]
     for d in range(depth):
         ctes.append(f"""walk{d + 1} AS (SELECT w.* REPLACE (CASE WHEN feature IS NULL THEN w.node ELSE w.node * 2
-          + CASE WHEN [{', '.join('w.' + x for x in features)}][feature_no + 1] > threshold_2dp THEN 1 ELSE 0 END END AS node)
+          + CASE WHEN [{', '.join('w.' + x for x in features)}][feature_no + 1] > {bound} THEN 1 ELSE 0 END END AS node)
           FROM walk{d} w LEFT JOIN nodes n ON n.node_id = w.node)""")
     ctes.append(f"predicted AS (SELECT w.*, n.label AS prediction FROM walk{depth} w JOIN nodes n ON n.node_id = w.node)")
     return ",\n".join(ctes)
@@ -86,6 +89,54 @@ def id3_predict(t: Tables):
     return tree.id3_predict(df, nodes, COLUMNS).select("vec_id", "label", "prediction")
 
 
+_CODES = {"AUTOMOBILE": 0, "BUILDING": 1, "FURNITURE": 2, "HOUSEHOLD": 3, "MACHINERY": 4}
+_JOB = ["acctbal", "segment"]
+
+
+def _job_tables(t: Tables):
+    """Customers with gaps, dealt into a labelled and an unlabelled table; the label is of the values before the gaps."""
+    label = F.when((F.col("c_acctbal") >= 4500) != (F.col("c_mktsegment") == "MACHINERY"), 1).otherwise(0).alias("good")
+    rows = nullable(t).join(t.customer.select("c_custkey", label), "c_custkey")
+    asked = u(42, F.col("c_custkey"), "asked") < 0.25
+    return rows.filter(~asked), rows.filter(asked).drop("good")
+
+
+def _filled_sql(part: str, label: str) -> str:
+    codes = " ".join(f"WHEN '{name}' THEN {n}" for name, n in _CODES.items())
+    mode = f"(SELECT segment FROM {part} WHERE segment IS NOT NULL GROUP BY segment ORDER BY count(*) DESC, segment LIMIT 1)"
+    return f"""SELECT c_custkey, coalesce(acctbal, (SELECT median(acctbal) FROM {part})) AS acctbal,
+      CASE coalesce(segment, {mode}) {codes} END AS segment, {label} FROM {part}"""
+
+
+_JOB_SQL = with_(
+    NULLABLE,
+    f"""dealt AS (SELECT n.*, CASE WHEN (c_acctbal >= 4500) <> (c_mktsegment = 'MACHINERY') THEN 1 ELSE 0 END AS label,
+      {u_sql(42, 'c_custkey', repr('asked'))} < 0.25 AS asked FROM nullable n JOIN customer USING (c_custkey))""",
+    "known AS (SELECT * FROM dealt WHERE NOT asked)", "wanted AS (SELECT * FROM dealt WHERE asked)",
+    f"ready AS ({_filled_sql('known', 'label')})",
+    f"split AS (SELECT *, {_order('split', 'c_custkey')} <= ceil(0.2 * count(*) OVER ()) AS held FROM ready)",
+    "fit AS (SELECT * FROM split WHERE NOT held)",
+    _fit_sql("fit", _JOB, [0, 1], _DEPTH),
+    f"""every AS (SELECT c_custkey, CAST(acctbal AS DOUBLE) AS acctbal, CAST(segment AS DOUBLE) AS segment, label, true AS told, CAST(1 AS BIGINT) AS node FROM split WHERE held
+      UNION ALL SELECT c_custkey, acctbal, segment, label, false, 1 FROM ({_filled_sql('wanted', 'CAST(NULL AS INTEGER) AS label')}))""",
+    _predict_sql(_JOB, _DEPTH, "every", "threshold"),
+)
+
+
+@query("table_job", _JOB_SQL + """SELECT c_custkey, CAST(prediction AS INTEGER) AS good FROM predicted WHERE NOT told
+  UNION ALL SELECT -1, CAST(count_if(label = prediction) AS INTEGER) FROM predicted WHERE told""")
+def table_job(t: Tables):
+    """The submission, written and read back as CSV; under key -1 how many held-out rows were told rightly."""
+    known, wanted = _job_tables(t)
+    prepare = tables.Preparation(medians=["acctbal"], modes=["segment"], codes={"segment": _CODES}, drop=["nationkey"])
+    found = tables.table_job(known, wanted, "c_custkey", "good", _JOB, prepare, _DEPTH)
+    path = scratch_path(t.spark, "submission.csv")
+    writers.write_csv_keyed(found.submission, path, "c_custkey")
+    rows = readers.read_csv(t.spark, path, "c_custkey BIGINT, good INT")
+    hits = found.held_out.agg(F.sum(evaluate.hit("good", "prediction")).cast("int").alias("good"))
+    return rows.unionByName(hits.select(F.lit(-1).cast("bigint").alias("c_custkey"), "good"))
+
+
 @query("sink_tree_text", _FIT_LINES + """SELECT concat(repeat('  ', depth), CASE WHEN feature IS NULL
   THEN concat('Label: ', label) ELSE printf('%s ≤ %.2f:', feature, threshold_2dp) END) AS value FROM nodes""")
 def sink_tree_text(t: Tables):

@@ -146,3 +146,20 @@ def test_missing_features_and_labels(spark, task_cells):
 def test_a_table_without_labels_is_refused(spark):
     with pytest.raises(ValueError):
         tree.id3_fit(spark.createDataFrame([(1.0, None)], "x DOUBLE, y INT"), ["x"], "y")
+
+
+def test_table_job_fills_each_table_by_itself_and_tells_held_out_rows(spark):
+    from tabprep.plans import tables
+
+    rng = random.Random(8)
+    rows = [(i, rng.choice([None, rng.randrange(100) * 1.0]), rng.choice(["m", "f"]), "junk") for i in range(300)]
+    train = [(*r, 1 if (r[1] or 0) > 50 and r[2] == "f" else 0) for r in rows]
+    df = spark.createDataFrame(train, "k INT, age DOUBLE, sex STRING, cabin STRING, alive INT")
+    test = spark.createDataFrame([(900, 70.0, "f", "x"), (901, None, None, "x"), (902, 70.0, "m", "x"), (903, 20.0, "x", "x")], "k INT, age DOUBLE, sex STRING, cabin STRING")
+    prepare = tables.Preparation(["age"], ["sex"], {"sex": {"m": 0, "f": 1}}, ["cabin"])
+    found = tables.table_job(df, test, "k", "alive", ["age", "sex"], prepare)
+    assert found.held_out.count() == 60 and found.accuracy("alive").first()[0] > 0.75
+    told = {r.k: r.alive for r in found.submission.collect()}
+    assert set(told) == {900, 901, 902, 903} and told[900] == 1 and told[902] == 0
+    filled = {r.k: (r.age, r.sex) for r in prepare(test).collect()}
+    assert filled[901] == (70.0, 1) and filled[903] == (20.0, None) and "cabin" not in prepare(test).columns
