@@ -689,3 +689,39 @@ def test_packed_vectors():
         raw = whole_vectors.packed(x)
         assert (whole_vectors.unpacked(common.pa.array(raw, common.pa.binary()), 3) == x).all()
     assert {len(v) for v in whole_vectors.packed(np.array([[-(1 << 15)], [1 << 15], [-(1 << 15) - 1], [1 << 31]]))} == {2, 4, 8}
+
+
+def test_importance_against_plain_counts(spark, docs):
+    """Counts, mean log ratio and noise by plain code."""
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 7 == 0)) for i in range(50)], "doc_id long, quality int, toxic int")
+    found = importance.resample(docs, "doc_id", "text", labels)[0].collect()
+    whole = (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & whole
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & whole
+        return x ^ (x >> 31)
+
+    def grams(text):
+        raw = (text or "").encode()
+        out = [mixed(int.from_bytes(raw[i : i + 4], "big") + 1) >> (64 - importance.BITS) for i in range(len(raw) - 3)]
+        last = (1 << importance.BITS) - 2
+        words = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+        return [b if b < last else 0 for b in out] + [last + (a == b) for a, b in itertools.pairwise(words)]
+
+    raw, target = collections.Counter(), collections.Counter()
+    for r in rows():
+        raw.update(grams(r[1]))
+        if r[0] is not None and 0 <= r[0] < 50 and r[0] % 3 and r[0] % 7:
+            target.update(grams(r[1]))
+    share = sum(target.values()) / sum(raw.values())
+    hashes = {r[0]: r[1] for r in docs.select("doc_id", F.xxhash64(F.lit(42), "doc_id")).collect()}
+    want = collections.defaultdict(list)
+    for r in rows():
+        own = grams(r[1])
+        ratio = sum(math.log((target[b] + 1) / (raw[b] * share + 1)) for b in own) / max(1, len(own))
+        u = ((hashes[r[0]] & ((1 << 52) - 1)) + 0.5) / (1 << 52)
+        want[r[0]].append((ratio, (1000 * ratio - math.log(-math.log(u))) * 1e6))
+    assert len(found) == len(rows())
+    for r in found:
+        assert any(abs(r.log_ratio - a) < 1e-5 and abs(r.score - b) < 2e4 for a, b in want[r.doc_id])
