@@ -52,9 +52,9 @@ class KeyBitmap:
 
     def split(self, df: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
         """Rows that may be members (``left_semi``), or those that are not (``left_anti``)."""
-        place = _place([f"_rows.{c}" for c in columns], self.bits)
-        there = (F.shiftright(place, 6) == F.col("_word")) & (F.getbit("_set", place.bitwiseAND(63).cast("int")) == 1)
-        return df.alias("_rows").join(F.broadcast(self.words), there, how).select("_rows.*")
+        place = _place([f"_rows.`{c}`" for c in columns], self.bits)
+        there = (F.shiftright(place, 6) == F.col("_map._word")) & (F.getbit("_map._set", place.bitwiseAND(63).cast("int")) == 1)
+        return df.alias("_rows").join(F.broadcast(self.words).alias("_map"), there, how).select("_rows.*")
 
 
 def lookup_join(
