@@ -15,10 +15,11 @@ from tabprep.operators.splits import GAIN_PLACES
 _COUNTS = 1 << 21
 
 
-def grow(x: np.ndarray, y: np.ndarray, node: int, depth: int, most: int) -> list[tuple]:
+def grow(x: np.ndarray, y: np.ndarray, node: int, depth: int, most: int, times: np.ndarray | None = None) -> list[tuple]:
     """``(node_id, depth, feature_no, threshold, label, n)`` of the node and all below it.
 
-    ``x`` is features x rows with nan for missing values, ``y`` holds the labels. Rules are those of ``id3_fit``.
+    ``x`` is features x rows with nan for missing values, ``y`` holds the labels; a row counts ``times``, or once.
+    Rules are those of ``id3_fit``.
     """
     classes, codes = np.unique(y, return_inverse=True)
     # nan sorts last; the valid part of a list ends before it
@@ -28,11 +29,11 @@ def grow(x: np.ndarray, y: np.ndarray, node: int, depth: int, most: int) -> list
     side = np.zeros(len(y), bool)
     while todo:
         node, depth, rows, lists = todo.pop()
-        counts = np.bincount(codes[rows], minlength=len(classes))
-        label, n = classes[counts.argmax()].item(), len(rows)
+        counts = np.bincount(codes[rows], weights=None if times is None else times[rows], minlength=len(classes)).astype(np.int64)
+        label, n = classes[counts.argmax()].item(), int(counts.sum())
         best = None
         if depth < most and counts.max() < n:
-            best = _best(x, codes, lists, counts > 0)
+            best = _best(x, codes, times, lists, counts > 0)
         if best is None:
             out.append((node, depth, None, None, label, n))
             continue
@@ -46,7 +47,7 @@ def grow(x: np.ndarray, y: np.ndarray, node: int, depth: int, most: int) -> list
     return out
 
 
-def _best(x: np.ndarray, codes: np.ndarray, lists: list[np.ndarray], present: np.ndarray) -> tuple[int, float] | None:
+def _best(x: np.ndarray, codes: np.ndarray, times: np.ndarray | None, lists: list[np.ndarray], present: np.ndarray) -> tuple[int, float] | None:
     """The split with the largest rounded gain; the first feature and smallest threshold on ties."""
     best = None
     classes = int(present.sum())
@@ -56,19 +57,18 @@ def _best(x: np.ndarray, codes: np.ndarray, lists: list[np.ndarray], present: np
         ends = np.flatnonzero(value[1:] > value[:-1])
         if not len(ends):
             continue
-        own = place[codes[order]]
-        total = np.bincount(own, minlength=classes)
+        own, w = place[codes[order]], None if times is None else times[order]
+        total = np.bincount(own, weights=w, minlength=classes).astype(np.int64)
         gain = np.empty(len(ends))
-        whole = _entropy(total[None])[0]
+        whole = entropies(total[None])[0]
         step = max(1, _COUNTS // classes)
         left, seen = np.zeros(classes, np.int64), 0
         for start in range(0, len(ends), step):  # a few boundaries at a time, however many classes
             part = ends[start : start + step]
-            left_of = _running(own[seen : part[-1] + 1], part - seen, classes) + left
+            left_of = _running(own[seen : part[-1] + 1], w if w is None else w[seen : part[-1] + 1], part - seen, classes) + left
             left, seen = left_of[-1], int(part[-1]) + 1
-            n_left = part + 1
-            n = len(own)
-            after = (n_left / n) * _entropy(left_of) + ((n - n_left) / n) * _entropy(total - left_of)
+            n_left, n = left_of.sum(axis=1), total.sum()
+            after = (n_left / n) * entropies(left_of) + ((n - n_left) / n) * entropies(total - left_of)
             gain[start : start + step] = np.round(whole - after, GAIN_PLACES) + 0.0
         at = int(gain.argmax())
         if best is None or gain[at] > best[0]:
@@ -76,15 +76,15 @@ def _best(x: np.ndarray, codes: np.ndarray, lists: list[np.ndarray], present: np
     return None if best is None else best[1:]
 
 
-def _running(codes: np.ndarray, ends: np.ndarray, classes: int) -> np.ndarray:
+def _running(codes: np.ndarray, times: np.ndarray | None, ends: np.ndarray, classes: int) -> np.ndarray:
     """Counts of each class up to each of some places, both ends included."""
     out = np.empty((len(ends), classes), np.int64)
     for c in range(classes):
-        out[:, c] = np.cumsum(codes == c)[ends]
+        out[:, c] = np.cumsum(codes == c if times is None else np.where(codes == c, times, 0))[ends]
     return out
 
 
-def _entropy(counts: np.ndarray) -> np.ndarray:
+def entropies(counts: np.ndarray) -> np.ndarray:
     """-sum p log2 p of each row of class counts, added in class order."""
     total = counts.sum(axis=1)
     out = np.zeros(len(counts))

@@ -1,7 +1,8 @@
 """An exact information-gain tree: large nodes by distributed split searches, small ones each in a task.
 
-While a node is large, a level is one split search over the rows of all large nodes. The rows of
-a node that fits into a task move there once, and its whole subtree is grown from presorted attribute lists.
+While a node is large, a level is one split search over the rows of all large nodes, most of it over class counts
+per range of values (``plans.level``). The rows of a node that fits into a task move there once, and its whole
+subtree is grown from presorted attribute lists.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.numbers import round2_exact
 from tabprep.operators.joins import lookup_join
-from tabprep.operators.splits import best_of, class_list, split_scan
+from tabprep.operators.splits import class_list
+from tabprep.plans.level import best_splits, ranges
 from tabprep.plans.subtree import grow
 from tabprep.session import cut
 
@@ -39,38 +41,42 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
     is taken. A missing (NULL or NaN) feature goes right, as in prediction; rows without a
     label are left out. Where the work is done does not change the tree.
 
-    A level of large nodes is one split search and one action that stores it; its rows are relabelled in
+    A table too large for one task is first reduced to its distinct rows, each with its number. A level of large
+    nodes reads its rows twice, for counts per range and for the values of some ranges; they are relabelled in
     place, and written again only every ``REWRITE`` levels. Rows of nodes of at most ``task_cells``
-    values leave them and move once, to the task that grows the node's subtree.
+    values leave them and move once, at the end, to the task that grows the node's subtree.
     """
     classes = class_list(df, label)
     if not classes:
         raise ValueError(f"no row has a {label}")
-    rows = df.filter(F.col(label).isNotNull()).select(
-        *[F.col(f).cast("double").alias(f) for f in features],
-        F.col(label).alias("_y"),
-        F.lit(1).cast("bigint").alias("node_id"),
-    )
-    rows = cut(rows)
+    rows = df.filter(F.col(label).isNotNull()).select(*[F.col(f).cast("double").alias(f) for f in features], F.col(label).alias("_y"))
     small = task_cells // max(len(features), len(classes))  # rows of a node that one task grows
+    if rows.count() > small:
+        rows = rows.groupBy(*features, "_y").agg(F.count(F.lit(1)).alias("_w"))
+    else:
+        rows = rows.withColumn("_w", F.lit(1).cast("bigint"))
+    rows = cut(rows.withColumn("node_id", F.lit(1).cast("bigint")))
     names = F.array(*[F.lit(f) for f in features])
-    parts = []
+    parts, waiting, ends = [], [], None
     for depth in range(max_depth + 1):
-        sizes = cut(rows.groupBy("node_id").agg(F.count(F.lit(1)).alias("n")))
-        is_small = F.col("n") <= small
-        found = sizes.agg(F.count_if(is_small), F.count_if(~is_small), F.sum(F.when(~is_small, F.col("n")))).first()
-        n_small, n_large, most = found[0], found[1], found[2] or 0
+        sizes = cut(_sizes(rows, classes))
+        is_small = F.col("_rows") <= small
+        found = sizes.agg(F.count_if(is_small), F.count_if(~is_small)).first()
+        n_small, n_large = found
         if n_small:
-            own = rows if not n_large else _of_nodes(rows, sizes.filter(is_small), features, n_small)
-            grown = own.groupBy("node_id").applyInArrow(
-                _grower(list(features), depth, max_depth), f"node_id bigint, depth int, feature_no int, threshold double, label {df.schema[label].dataType.simpleString()}, n bigint"
-            )
-            parts.append(cut(grown.withColumn("feature", F.get(names, "feature_no"))))
+            waiting.append(rows if not n_large else _of_nodes(rows, sizes.filter(is_small), features, n_small))
         if not n_large:
             break
         if n_small:
             rows = _of_nodes(rows, sizes.filter(~is_small), features, n_large)
-        level = _level(rows, features, classes, depth, max_depth, most)
+        level = sizes.filter(~is_small).select("node_id", F.lit(depth).alias("depth"), "label", "n")
+        mixed = [r[0] for r in sizes.filter(~is_small & ~F.col("_pure")).select("node_id").collect()] if depth < max_depth and features else []
+        if mixed:
+            ends = ends or ranges(rows, features, len(classes))
+            level = level.join(best_splits(rows, features, classes, ends, mixed), "node_id", "left")
+        else:
+            level = level.withColumns({"feature_no": F.lit(None).cast("int"), "threshold": F.lit(None).cast("double")})
+        level = cut(level.withColumn("feature", F.get(names, "feature_no")))
         parts.append(level)
         split = level.filter(F.col("feature").isNotNull()).select("node_id", "feature_no", "threshold")
         open_nodes = split.count()
@@ -79,6 +85,11 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
         rows = _descend(rows, split, features, "inner", open_nodes)
         if depth % REWRITE == REWRITE - 1:
             rows = cut(rows)
+    if waiting:  # all at once, so that one node's task does not hold up a level
+        grown = reduce(DataFrame.unionByName, waiting).groupBy("node_id").applyInArrow(
+            _grower(list(features), max_depth), f"node_id bigint, depth int, feature_no int, threshold double, label {df.schema[label].dataType.simpleString()}, n bigint"
+        )
+        parts.append(cut(grown.withColumn("feature", F.get(names, "feature_no"))))
     nodes = reduce(DataFrame.unionByName, parts)
     inner = F.col("feature").isNotNull()
     return nodes.select(
@@ -98,13 +109,14 @@ def _of_nodes(rows: DataFrame, nodes: DataFrame, features: Sequence[str], n: int
     return lookup_join(rows, nodes.select("node_id"), "node_id", "inner", F.struct(*features), dim_rows=n)
 
 
-def _grower(features: list[str], depth: int, max_depth: int):
-    """The function from the rows of a node to the rows of its subtree."""
+def _grower(features: list[str], max_depth: int):
+    """The function from the rows of a node to the rows of its subtree. A heap id tells the depth."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         x = np.stack([table.column(f).to_numpy() for f in features]) if features else np.zeros((0, table.num_rows))
         y = table.column("_y").to_numpy()
-        nodes = grow(x, y, key[0].as_py(), depth, max_depth)
+        node, times = key[0].as_py(), table.column("_w").to_numpy()
+        nodes = grow(x, y, node, node.bit_length() - 1, max_depth, times if (times > 1).any() else None)
         names = ["node_id", "depth", "feature_no", "threshold", "label", "n"]
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.float64(), table.schema.field("_y").type, pa.int64()]
         return pa.table({c: pa.array(v, k) for c, v, k in zip(names, zip(*nodes, strict=True), kinds, strict=True)})
@@ -112,24 +124,13 @@ def _grower(features: list[str], depth: int, max_depth: int):
     return run
 
 
-def _level(rows: DataFrame, features: Sequence[str], classes: Sequence[int], depth: int, max_depth: int, most: int) -> DataFrame:
-    """All nodes that the rows stand in, with the best split of each; stored."""
-    per_class = [F.count_if(F.col("_y") == F.lit(c)) for c in classes]
+def _sizes(rows: DataFrame, classes: Sequence[int]) -> DataFrame:
+    """Every node's distinct rows, all its rows, its majority class, and whether it has one class only."""
+    per_class = [F.sum(F.when(F.col("_y") == F.lit(c), F.col("_w")).otherwise(0)) for c in classes]
     majority = F.array_max(F.array(*[F.struct(n.alias("n"), F.lit(-c).alias("c")) for n, c in zip(per_class, classes)]))
-    counts = rows.groupBy("node_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.col("_y")).alias("_top"),
-        F.min(F.col("_y")).alias("_low"),
-        (-majority["c"]).alias("label"),
+    return rows.groupBy("node_id").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum("_w").alias("n"), (F.max("_y") == F.min("_y")).alias("_pure"), (-majority["c"]).alias("label")
     )
-    if depth < max_depth:
-        scan = split_scan(rows, features, "_y", classes, by=["node_id"], rows=most)
-        level = counts.join(best_of(scan, by=["node_id"]).select("node_id", *_SPLIT), "node_id", "left")
-    else:
-        empty = [F.lit(None).cast("int"), F.lit(None).cast("string"), F.lit(None).cast("double")]
-        level = counts.withColumns(dict(zip(_SPLIT, empty)))
-    pure = F.col("_top") == F.col("_low")
-    return cut(level.withColumns({c: F.when(~pure, F.col(c)) for c in _SPLIT}).withColumn("depth", F.lit(depth)).drop("_top", "_low"))
 
 
 def _descend(

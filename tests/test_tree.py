@@ -163,3 +163,37 @@ def test_table_job_fills_each_table_by_itself_and_tells_held_out_rows(spark):
     assert set(told) == {900, 901, 902, 903} and told[900] == 1 and told[902] == 0
     filled = {r.k: (r.age, r.sex) for r in prepare(test).collect()}
     assert filled[901] == (70.0, 1) and filled[903] == (20.0, None) and "cabin" not in prepare(test).columns
+
+
+def spread_rows(n, features, classes, seed, places=None):
+    """Rows of some features that tell the label, whole numbers if ``places`` is 0."""
+    rng = np.random.default_rng(seed)
+    y = rng.integers(0, classes, n)
+    x = rng.normal(size=(n, features)) + 0.8 * rng.normal(size=(classes, features))[y]
+    return (x if places is None else np.round(x, places)) + 0.0, y
+
+
+@pytest.mark.parametrize("places,missing", [(None, 0), (1, 0.2)])
+def test_large_nodes_are_split_as_small_ones(spark, monkeypatch, places, missing):
+    """Ten classes and few ranges: borders, values inside ranges, repeated rows and missing values give one tree."""
+    from tabprep.plans import level
+
+    monkeypatch.setattr(level, "RANGES", 8)
+    x, y = spread_rows(700, 3, 10, 5, places)
+    gone = np.random.default_rng(6).random(x.shape) < missing
+    rows = [(*[None if g else v for v, g in zip(xs, gs)], c) for xs, gs, c in zip(x.tolist(), gone.tolist(), y.tolist(), strict=True)]
+    trees = []
+    for cells in (0, 1500, tree.TASK_CELLS):
+        _, _, nodes = fit(spark, rows * 2, 3, cells)
+        trees.append({i: (n.feature, n.threshold, n.label, n.n) for i, n in nodes.items()})
+    assert trees[0] == trees[1] == trees[2] and trees[0][1][3] == 1400
+
+
+def test_a_large_table_is_reduced_to_its_distinct_rows(spark, monkeypatch):
+    """Copies of rows do not move: what is grown in a task are distinct rows with their numbers."""
+    x, y = spread_rows(60, 3, 3, 7, 1)
+    seen = []
+    monkeypatch.setattr(tree, "cut", lambda df: seen.append(df) or df.localCheckpoint())
+    fit(spark, [(*v, c) for v, c in zip(x.tolist(), y.tolist(), strict=True)] * 30, 3, 300)
+    first = seen[0]
+    assert first.agg(F.count("*"), F.sum("_w")).first()[1] == 1800 and first.count() <= 60
