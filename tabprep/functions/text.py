@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tabprep.functions.seeded import pick, u
+from tabprep.functions.seeded import below, pick, u
 from tabprep.functions.vectors import let
 
 # Unicode white space plus the four separator controls, as str.split() sees it
@@ -48,7 +48,7 @@ def replace_one(
 
 def is_drawn(key: Column, at: Column, seed: int, salt: str, p: float) -> Column:
     """Whether ``replace_each`` may replace the word at a position."""
-    return u(seed, key, salt, "word", at) < p
+    return below(p, seed, key, salt, "word", at)
 
 
 def other_synonym(word: Column, synonyms: Column, key: Column, at: Column, seed: int, salt: str) -> Column:

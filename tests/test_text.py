@@ -140,3 +140,16 @@ def test_encode_pair_truncates_the_longer_side(spark, na, nb, ka, kb):
     real = [0] + [4] * ka + [2, 2] + [3] * kb + [2]
     assert r.input_ids == real + [1] * (10 - len(real))
     assert r.attention_mask == [1] * len(real) + [0] * (10 - len(real))
+
+
+def test_a_draw_is_compared_by_its_digits(spark):
+    """``below`` is ``u < p``, also at bounds that a draw meets, and needs no number made of the digits."""
+    from tabprep.functions.seeded import below, u, u32
+
+    rows = spark.range(300)
+    met = rows.select(u32(1, F.col("id")).alias("n")).filter("id = 7").first()["n"] / 2**32
+    for p in (0.0, 0.18, 0.3, met, 0.9999999, 1.0):
+        found = rows.select((u(1, F.col("id")) < p).alias("a"), below(p, 1, F.col("id")).alias("b")).collect()
+        assert all(r.a == r.b for r in found)
+    plan = rows.select(X.is_drawn(F.col("id"), F.col("id"), 1, "s", 0.18))._jdf.queryExecution().optimizedPlan().toString()
+    assert "conv(" not in plan
