@@ -48,10 +48,14 @@ def credentials(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
 
 
+#: Bytes of each generation of the encoder's memo: workers of the stages before still stand, and their heap is grown.
+MEMO_BYTES = 24 << 20
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's token ids, and digests of them and of what they decode to; a null text is empty. One row per row."""
     vocabulary = byte_bpe.Vocabulary.of_file(byte_bpe.default_path())
-    return byte_bpe.encode(docs, "doc_id", "text", vocabulary, decoded=True).select(
+    return byte_bpe.encode(docs, "doc_id", "text", vocabulary, decoded=True, held_bytes=MEMO_BYTES).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

@@ -157,7 +157,7 @@ class Encoder:
     side or at their ends, are taken by pre-tokens.
     """
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, held_bytes: int | None = None):
         import regex
 
         self.ranks = vocabulary.ranks()
@@ -166,7 +166,7 @@ class Encoder:
         self.split = regex.compile(vocabulary.pattern).findall
         self.blank = regex.compile(r"\s").match
         self.cuts = vocabulary.pattern == SPACE_PATTERN
-        self.memo = Memo(self.piece)
+        self.memo = Memo(self.piece, most_bytes=held_bytes)
 
     def pretoken(self, piece: str) -> bytes:
         """The ids of one pre-token as little-endian 32-bit integers."""
@@ -211,9 +211,10 @@ class Memo(dict):
     and again stays.
     """
 
-    def __init__(self, make: Callable[[str], bytes | None], most: int | None = None):
+    def __init__(self, make: Callable[[str], bytes | None], most: int | None = None, most_bytes: int | None = None):
         super().__init__()
         self.make, self.most, self.older, self.held = make, most or REMEMBERED, {}, 0
+        self.most_bytes = most_bytes or HELD_BYTES
 
     def __missing__(self, key: str) -> bytes | None:
         value = self.older.get(key)
@@ -221,7 +222,7 @@ class Memo(dict):
             value = self.make(key)
         if len(key) <= LONGEST:
             size = ENTRY_BYTES + len(key) + len(value or b"")
-            if len(self) >= self.most or self.held + size > HELD_BYTES:
+            if len(self) >= self.most or self.held + size > self.most_bytes:
                 self.age()
             self[key] = value
             self.held += size
@@ -239,7 +240,7 @@ class Memo(dict):
         self.held = 0
 
     def make_room(self, n: int) -> None:
-        if self and (len(self) + n > self.most or self.held + n * ENTRY_BYTES > HELD_BYTES):
+        if self and (len(self) + n > self.most or self.held + n * ENTRY_BYTES > self.most_bytes):
             self.age()
 
 
@@ -269,16 +270,16 @@ def by_pieces(text: str, pieces: list[str], first: Pieces, later: Pieces, whole:
 
 
 @lru_cache(maxsize=2)
-def encoder_of(content: bytes, pattern: str) -> Encoder:
+def encoder_of(content: bytes, pattern: str, held_bytes: int | None = None) -> Encoder:
     """A Python worker's encoder, which outlives its tasks.
 
     Encoding makes many small lists and no cycles, so the collector may come by less often.
     """
     gc.set_threshold(100_000, 20, 20)
-    return Encoder(Vocabulary(content, pattern))
+    return Encoder(Vocabulary(content, pattern), held_bytes)
 
 
-def encode(df: DataFrame, key: str, text: str, vocabulary: Vocabulary, decoded: bool = False) -> DataFrame:
+def encode(df: DataFrame, key: str, text: str, vocabulary: Vocabulary, decoded: bool = False, held_bytes: int | None = None) -> DataFrame:
     """The token ids of every whole text: ``key, n_tokens, ids``, and on request ``decoded``.
 
     ``ids`` are little-endian unsigned 32-bit integers in one binary value; ``decoded`` are the
@@ -286,12 +287,13 @@ def encode(df: DataFrame, key: str, text: str, vocabulary: Vocabulary, decoded:
     keys may be null or repeat, each row stands for itself; an empty table gives an empty
     result; other columns are not read. Special tokens are not looked for.
 
-    A map over Arrow batches: rows do not move, and a task holds one slice of texts.
+    A map over Arrow batches: rows do not move, and a task holds one slice of texts. A worker's memo holds
+    ``held_bytes`` in each of two generations, or ``HELD_BYTES``.
     """
     content, pattern = vocabulary.content, vocabulary.pattern
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(content, pattern)
+        encoder = encoder_of(content, pattern, held_bytes)
         for part in slices(batches, 1):
             ids = list(map(encoder, part.column(1).to_pylist()))
             out = [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]

@@ -725,3 +725,39 @@ def test_importance_against_plain_counts(spark, docs):
     assert len(found) == len(rows())
     for r in found:
         assert any(abs(r.log_ratio - a) < 1e-5 and abs(r.score - b) < 2e4 for a, b in want[r.doc_id])
+
+
+def test_memo_of_stated_bytes(monkeypatch):
+    """A memo's generations stay below the bytes that its caller names, and the pipeline names fewer than the default."""
+    import corpus_pipeline
+    from tabprep.llm import byte_bpe
+
+    memo = byte_bpe.Memo(lambda s: b"1234", most_bytes=2000)
+    for i in range(200):
+        memo[str(i)]
+        assert memo.held <= 2000 and len(memo) + len(memo.older) <= 2 * 2000 // byte_bpe.ENTRY_BYTES
+    named = []
+    monkeypatch.setattr(byte_bpe, "encode", lambda *a, held_bytes=None, **k: named.append(held_bytes) or a[0])
+    with pytest.raises(Exception):
+        corpus_pipeline.tokens(None, None, "")  # the stub has no columns to select
+    assert named == [corpus_pipeline.MEMO_BYTES] and 2 * corpus_pipeline.MEMO_BYTES < byte_bpe.HELD_BYTES
+
+
+def test_sums_by_id_keep_the_order_of_rows():
+    """Ids are sorted by radix: 16 bits, which hold the whole vocabulary, and equal ones in their order."""
+    from tabprep.llm import log_bilinear
+
+    assert log_bilinear.VOCABULARY <= 1 << 16
+    kinds = []
+    r = np.random.default_rng(1)
+    ids, rows = r.integers(0, log_bilinear.VOCABULARY, 5000), r.normal(size=(5000, 3)).astype(np.float32)
+
+    class Watched(np.ndarray):
+        def argsort(self, *a, **k):
+            kinds.append(self.dtype)
+            return np.asarray(self).argsort(*a, **k)
+
+    found = log_bilinear._summed(ids.view(Watched), rows)
+    want = np.zeros((log_bilinear.VOCABULARY, 3))
+    np.add.at(want, ids, rows)
+    assert np.allclose(found, want, atol=1e-4) and kinds == [np.dtype(np.uint16)]
