@@ -178,7 +178,7 @@ class Model:
 
 def _summed(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Sums of rows by id."""
-    order = np.argsort(ids, kind="stable")
+    order = np.argsort(ids.astype(np.uint16), kind="stable")  # sorted by radix, as wider integers are not
     ordered = ids[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     out = np.zeros((VOCABULARY, rows.shape[1]), np.float32)
