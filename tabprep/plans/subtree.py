@@ -13,6 +13,8 @@ from tabprep.operators.splits import GAIN_PLACES
 
 #: Numbers of running counts held at once.
 _COUNTS = 1 << 21
+#: Counts up to which those of all classes are run up in one call.
+_FEW = 1 << 16
 
 
 def grow(x: np.ndarray, y: np.ndarray, node: int, depth: int, most: int, times: np.ndarray | None = None) -> list[tuple]:
@@ -78,6 +80,10 @@ def _best(x: np.ndarray, codes: np.ndarray, times: np.ndarray | None, lists: lis
 
 def _running(codes: np.ndarray, times: np.ndarray | None, ends: np.ndarray, classes: int) -> np.ndarray:
     """Counts of each class up to each of some places, both ends included."""
+    if len(codes) * classes <= _FEW:  # a call per class would cost more than the counting
+        each = np.zeros((len(codes), classes), np.int64)
+        each[np.arange(len(codes)), codes] = 1 if times is None else times
+        return np.cumsum(each, axis=0)[ends]
     out = np.empty((len(ends), classes), np.int64)
     for c in range(classes):
         out[:, c] = np.cumsum(codes == c if times is None else np.where(codes == c, times, 0))[ends]
@@ -86,10 +92,7 @@ def _running(codes: np.ndarray, times: np.ndarray | None, ends: np.ndarray, clas
 
 def entropies(counts: np.ndarray) -> np.ndarray:
     """-sum p log2 p of each row of class counts, added in class order."""
-    total = counts.sum(axis=1)
-    out = np.zeros(len(counts))
+    by_class = np.ascontiguousarray(counts.T)  # a sum over the outer axis adds one class after the other
     with np.errstate(divide="ignore", invalid="ignore"):
-        for c in range(counts.shape[1]):
-            p = counts[:, c] / total
-            out += np.where(counts[:, c] > 0, p * np.log2(p), 0.0)
-    return -out
+        p = by_class / by_class.sum(axis=0)
+        return -np.where(by_class > 0, p * np.log2(p), 0.0).sum(axis=0)
