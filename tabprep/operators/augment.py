@@ -11,6 +11,7 @@ from tabprep.functions import text as X
 from tabprep.functions.arrays import elements
 from tabprep.functions.seeded import u
 from tabprep.operators.joins import BROADCAST_ROWS, fits, lookup_join
+from tabprep.operators.trigrams import count_trigrams, sum_trigrams
 from tabprep.session import cut
 
 def with_drawn(
@@ -151,7 +152,7 @@ def tta_long(wide: DataFrame, key: str, prefixes: Sequence[str], views: int) ->
     return wide.select(key, F.inline(F.array(*rows)))
 
 
-#: Languages at most; words whose scores are broadcast when not all are.
+#: Languages at most; words whose scores are broadcast when not all trigrams' are.
 MOST_LANGUAGES, HOT_WORDS = 500, 1 << 16
 
 
@@ -166,14 +167,9 @@ def language_profile(df: DataFrame, text: str, lang: str) -> tuple[DataFrame, li
     """Trigram log-probabilities per language with add-one smoothing.
 
     Returns ``(gram, p0..pk)``, the languages in order, and the log-probability of a trigram
-    never seen in a language. Words are counted before they are cut into trigrams.
+    never seen in a language. Trigrams are counted where the texts are read; no word moves.
     """
-    words = (
-        elements(df, [lang], X.letter_words(F.col(text)), "word")
-        .groupBy(lang, "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    counted = cut(_trigrams(words, "word").groupBy(lang, "gram").agg(F.sum("n").alias("n")))
+    counted = cut(count_trigrams(df, text, lang))
     totals = counted.groupBy(lang).agg(F.sum("n").alias("n")).orderBy(lang).limit(MOST_LANGUAGES + 1).collect()
     if len(totals) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages, each of which is a column")
@@ -195,20 +191,20 @@ def detect_language(
 ) -> DataFrame:
     """``(key, language)``: the language that makes the trigrams most likely; no letters: ``unknown``.
 
-    A word's trigrams are scored once, however often and wherever it stands. The scores of up to
-    ``broadcast_words`` words are broadcast, and no word of a text moves: a text's words are added up where
-    they are read. Of more words, the ``HOT_WORDS`` most frequent are still broadcast and the others
-    joined, so that none that is joined holds more than one in ``HOT_WORDS`` of all.
+    The scores of up to ``broadcast_words`` trigrams are broadcast, and a text's are added up where it is read.
+    Of more trigrams, a word's are looked up once, however often and wherever it stands; the scores of the ``HOT_WORDS``
+    most frequent words are broadcast and the others joined, so that none that is joined holds more than one in
+    ``HOT_WORDS`` of all.
     """
     model, langs, unseen = profile
-    words = elements(df, [key], X.letter_words(F.col(text)), "word")
-    counted = cut(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
-    scored = lookup_join(_trigrams(counted.select("word"), "word"), model, "gram", "left", F.struct("word", "gram"))
     scores = [f"p{i}" for i in range(len(langs))]
-    of_word = cut(scored.groupBy("word").agg(*[F.sum(F.coalesce(p, F.lit(miss))).alias(p) for p, miss in zip(scores, unseen, strict=True)]))
-    if fits(of_word, broadcast_words):
-        told = words.join(F.broadcast(of_word), "word")
+    if fits(model, broadcast_words):
+        told = sum_trigrams(df, key, text, model, scores, unseen)
     else:
+        words = elements(df, [key], X.letter_words(F.col(text)), "word")
+        counted = cut(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+        scored = lookup_join(_trigrams(counted.select("word"), "word"), model, "gram", "left", F.struct("word", "gram"))
+        of_word = cut(scored.groupBy("word").agg(*[F.sum(F.coalesce(p, F.lit(miss))).alias(p) for p, miss in zip(scores, unseen, strict=True)]))
         hot = of_word.join(F.broadcast(counted.orderBy(F.desc("n"), "word").limit(HOT_WORDS).select("word")), "word", "left_semi")
         others = words.join(F.broadcast(hot.select("word")), "word", "left_anti")
         told = words.join(F.broadcast(hot), "word").unionByName(others.join(of_word, "word"))

@@ -1,6 +1,7 @@
 """Words, edits, language, encoding."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,6 +133,46 @@ def test_language_does_not_depend_on_the_route_of_a_word(spark, monkeypatch):
     assert sorted(map(repr, augment.detect_language(df, "k", "text", model, broadcast_words=0).collect())) == small and len(small) == 92
 
 
+GRAM_TEXTS = ["the Cat", "", None, " 12 the-the\n", "ÄÖ\U00010400b dé", "x", "東京都 the", "!?"]
+
+
+def grams_of(text):
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    return [f" {w} "[i : i + 3] for w in words for i in range(len(w))]
+
+
+@pytest.mark.parametrize("cells", [0, 1 << 22])
+def test_trigrams_as_python_counts_them(spark, monkeypatch, cells):
+    from tabprep.operators import trigrams
+
+    monkeypatch.setattr(trigrams, "CELLS", cells)
+    monkeypatch.setattr(trigrams, "SLICE", 9)
+    rows = [(i, t, [None, "a", "b"][i % 3]) for i, t in enumerate(GRAM_TEXTS * 2)]
+    df = spark.createDataFrame(rows, "k INT, text STRING, g STRING").coalesce(1)
+    want = Counter((g, gram) for _, t, g in rows for gram in grams_of(t))
+    got = {(r.g, r.gram): r.n for r in trigrams.count_trigrams(df, "text", "g").collect()}
+    assert got == want
+    known = sorted({gram for _, gram in want})[::2]
+    model = spark.createDataFrame([(g, float(i + 1), -1.0) for i, g in enumerate(known)], "gram STRING, p0 DOUBLE, p1 DOUBLE")
+    sums = {r.k: (r.p0, r.p1) for r in trigrams.sum_trigrams(df, "k", "text", model, ["p0", "p1"], [0.5, 0.25]).collect()}
+    score = {g: (i + 1.0, -1.0) for i, g in enumerate(known)}
+    each = {k: [score.get(g, (0.5, 0.25)) for g in grams_of(t)] for k, t, _ in rows}
+    assert sums == {k: tuple(map(sum, zip(*x))) for k, x in each.items() if x}
+
+
+def test_language_of_a_small_model_moves_no_word(spark, monkeypatch):
+    def moved(*_, **__):
+        raise AssertionError("a word or trigram of a text is a row")
+
+    monkeypatch.setattr(augment, "elements", moved)
+    monkeypatch.setattr(augment, "lookup_join", moved)
+    train = spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de"), (None, "de"), ("x", None)], "text STRING, lang STRING")
+    model = augment.language_profile(train, "text", "lang")
+    new = spark.createDataFrame([(1, "the dog"), (2, "die katze"), (3, None), (4, "der"), (4, "hund"), (None, "dog")], "k INT, text STRING")
+    got = sorted((r.k or 0, r.language) for r in augment.detect_language(new, "k", "text", model).collect())
+    assert got == [(0, "unknown"), (1, "en"), (2, "de"), (3, "unknown"), (4, "de"), (4, "de")]
+
+
 @pytest.mark.parametrize("na,nb,ka,kb", [(2, 3, 2, 3), (20, 2, 4, 2), (2, 20, 2, 4), (20, 20, 3, 3)])
 def test_encode_pair_truncates_the_longer_side(spark, na, nb, ka, kb):
     df = spark.createDataFrame([("i", " ".join(["a"] * na), " ".join(["b"] * nb))], "id STRING, p STRING, h STRING")
