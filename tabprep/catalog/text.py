@@ -27,12 +27,16 @@ syn AS (SELECT a.w AS word, [b.w, concat(b.w, '_', c.w)] AS synonyms FROM rk a J
   JOIN rk c ON c.r = a.r + 2)"""
 
 
-def rewrites(t: Tables):
+def _rewrites(t: Tables):
     """English texts of documents and conversations with their words in reverse order."""
     english = t.documents.filter("lang = 'en'").select("text").unionByName(t.conversations.select("text"))
     reverse = F.array_join(F.reverse(X.words(F.col("text"))), " ")
-    # read by the size check and by a join per side
-    return cut(english.distinct().select(F.md5("text").alias("text_md5"), reverse.alias("rewritten")))
+    return english.distinct().select(F.md5("text").alias("text_md5"), reverse.alias("rewritten"))
+
+
+def rewrites(t: Tables):
+    """The rewrites for more than one read."""
+    return cut(_rewrites(t))
 
 
 REWRITES = f"""rw AS (SELECT md5(text) AS text_md5, array_to_string(list_reverse({_WS.format('text')}), ' ') AS rewritten
@@ -242,7 +246,7 @@ _S0 = f"""s0 AS (SELECT id, CASE WHEN g THEN coalesce(a.rewritten, premise) ELSE
     + " SELECT id, premise, hypothesis, label FROM s4")
 def augment_pairs(t: Tables):
     df = _with_english(t, pairs(t))
-    out = augment.augment_pairs(df, synonyms(t), rewrites(t), F.col("english"), SEED)
+    out = augment.augment_pairs(df, cut(synonyms(t)), _rewrites(t), F.col("english"), SEED)
     return out.select("id", "premise", "hypothesis", "label")
 
 

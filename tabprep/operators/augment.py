@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabprep.functions import text as X
 from tabprep.functions.arrays import elements
 from tabprep.functions.seeded import u
-from tabprep.operators.joins import BROADCAST_ROWS, fits, lookup_join
+from tabprep.operators.joins import BROADCAST_ROWS, KeyBitmap, fits, lookup_join
 from tabprep.operators.trigrams import count_trigrams, sum_trigrams
 from tabprep.session import cut
 
@@ -82,6 +82,23 @@ def rewrite_lookup(
     return joined.withColumn(out or text, new).drop("text_md5", "rewritten")
 
 
+def rewrite_sides(df: DataFrame, rewrites: DataFrame, sides: Sequence[str], gate: Column) -> DataFrame:
+    """As ``rewrite_lookup`` of each side in turn, with one join for all of them.
+
+    Only texts of rows that pass the gate are looked up, and only their rewrites move: a bitmap of their digests
+    goes over ``rewrites``, which is read once. The rows are stored under a number of their own, so keys may repeat.
+    """
+    rows = cut(df.withColumns({"_row": F.monotonically_increasing_id(), "_gate": gate}))
+    texts = F.array(*[F.struct(F.lit(n).alias("side"), F.md5(s).alias("text_md5")) for n, s in enumerate(sides)])
+    each = rows.filter("_gate").select("_row", F.inline(texts)).filter("text_md5 is not null")
+    known = KeyBitmap(cut(each.select("text_md5").distinct()), ["text_md5"])
+    used = cut(known.split(rewrites.select("text_md5", "rewritten"), ["text_md5"], "left_semi"))
+    found = lookup_join(each, used, "text_md5", "inner", F.struct("_row", "side"))
+    new = found.groupBy("_row").agg(*[F.max(F.when(F.col("side") == n, F.col("rewritten"))).alias(f"_new{n}") for n in range(len(sides))])
+    out = rows.join(new, "_row", "left").withColumns({s: F.coalesce(f"_new{n}", F.col(s)) for n, s in enumerate(sides)})
+    return out.drop("_row", "_gate", *[f"_new{n}" for n in range(len(sides))])
+
+
 # fixed value: chance of a word to be replaced in a view
 VIEW_CHANCE = 0.18
 # fixed values: chance of each step, in order
@@ -106,9 +123,7 @@ def augment_pairs(
     def gate(step: str, chance: float) -> Column:
         return u(seed, k, step) < chance
 
-    out = df
-    for side in sides:
-        out = rewrite_lookup(out, rewrites, key, side, english & gate("rewrite", REWRITE))
+    out = rewrite_sides(df, rewrites, sides, english & gate("rewrite", REWRITE))
     word, found = F.col("_word"), F.col("_synonyms")
     steps = [
         ("synonym", SYNONYM, True, lambda c, salt: X.replace_one(c, k, word, found, seed, salt)),

@@ -133,6 +133,34 @@ def test_language_does_not_depend_on_the_route_of_a_word(spark, monkeypatch):
     assert sorted(map(repr, augment.detect_language(df, "k", "text", model, broadcast_words=0).collect())) == small and len(small) == 92
 
 
+@pytest.mark.parametrize("broadcast_rows", [1, 1000])
+def test_both_sides_are_rewritten_in_one_join_of_used_rewrites(spark, monkeypatch, broadcast_rows):
+    rows = [(1, "t1", "t2", True), (1, "t3", "t1", True), (2, "t1", None, True), (None, "new", "t4", True), (3, "t1", "t2", False), (4, "t5", "t5", None)]
+    df = spark.createDataFrame(rows, "id INT, premise STRING, hypothesis STRING, english BOOLEAN")
+    table = spark.createDataFrame([(f"t{i}", f"r{i}") for i in range(1000)] + [(None, None)], "t STRING, rewritten STRING")
+    looked = []
+    original = augment.lookup_join
+
+    def spy(df, dim, *a, **kw):
+        looked.append(dim.count())
+        return original(df, dim, *a, **{**kw, "broadcast_rows": broadcast_rows})
+
+    monkeypatch.setattr(augment, "lookup_join", spy)
+    rewrites = table.select(F.md5("t").alias("text_md5"), "rewritten")
+    got = augment.rewrite_sides(df, rewrites, ["premise", "hypothesis"], F.col("english"))
+    assert got.columns == df.columns
+    want = [(1, "r1", "r2", True), (1, "r3", "r1", True), (2, "r1", None, True), (None, "new", "r4", True), (3, "t1", "t2", False), (4, "t5", "t5", None)]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    assert len(looked) == 1 and looked[0] < 100
+
+
+def test_the_size_of_a_table_is_told_from_widths(spark):
+    from tabprep.operators import joins
+
+    df = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "k INT, text STRING")
+    assert joins.fits(df, 50) and not joins.fits(df, 49) and not joins.fits(df, 50, 5000) and joins.fits(df.filter("k < 0"), 0)
+
+
 GRAM_TEXTS = ["the Cat", "", None, " 12 the-the\n", "ÄÖ\U00010400b dé", "x", "東京都 the", "!?"]
 
 
