@@ -12,8 +12,10 @@ bits, samples, ids.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -26,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.byte_bpe import LONGEST, Pieces, by_pieces
+from tabprep.llm.byte_bpe import LONGEST, Memo, Pieces, by_pieces
 from tabprep.llm.common import map_arrow, slices, stored, text_of
 from tabprep.llm.files import new_folder, new_name, reader, write
 
@@ -34,8 +36,10 @@ MAGIC, VERSION = b"TKEF", 1
 HEAD = struct.Struct("<4sBBBxQQ5Q")
 #: Ones between two samples.
 EVERY = 512
-#: Pieces that a worker's memo holds in each generation.
-REMEMBERED = 800_000
+#: Pieces that a worker's memos hold in each generation: behind a space, and at the start of a text or line.
+REMEMBERED, REMEMBERED_FIRST = 800_000, 100_000
+#: What may stand behind a word as one pre-token. An apostrophe may not: it takes letters along.
+MARKS = "".join(c for c in string.punctuation if c != "'")
 #: Letters up to here are letters in any version of Unicode's tables.
 OLD_LETTERS = "\u024f"
 #: Bytes of ids after which a file is closed.
@@ -170,8 +174,8 @@ class _Worker:
         tokens = self.model.get_vocab(with_added_tokens=False)
         self.after_space = np.zeros(max(tokens.values()) + 1, bool)
         self.after_space[[i for token, i in tokens.items() if token.startswith("Ġ")]] = True  # how a space is written
-        self.first, self.later = Pieces(self.text, "", _blank), Pieces(self.text, " ", _blank, REMEMBERED)
-        self.marks = {mark: self.text(mark) for mark in ",."}
+        self.first, self.later = Pieces(self.text, "", _blank, REMEMBERED_FIRST), Pieces(self.text, " ", _blank, REMEMBERED)
+        self.marks, self.line = Memo(self.text, REMEMBERED_FIRST), self.text("\n")
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
@@ -182,7 +186,8 @@ class _Worker:
     def learn(self, texts: list[list[str]]) -> None:
         """Encode the unknown pieces of some texts in one go; a token that starts with a space starts a piece.
 
-        A word with a comma or a full stop behind it is two pre-tokens, so its ids follow from the word's.
+        A word with marks behind it is two pre-tokens, and a single line break between two that are not blank is one
+        of its own, so the ids of such pieces follow from those of their parts.
         """
         new: set[str] = set()
         for pieces in texts:
@@ -190,20 +195,36 @@ class _Worker:
         later = self.later
         absent = [p for p in new if p not in later]
         later.make_room(len(absent))  # first, since it drops the older generation: nothing found below is lost again
-        unknown = [p for p in absent if p not in later.older and 0 < len(p) <= LONGEST and not _blank(p[0]) and not _blank(p[-1])]
-        marked = [p for p in unknown if p[-1] in self.marks and p[:-1].isalpha() and max(p) <= OLD_LETTERS]
-        alone = set(unknown).difference(marked)
-        stems = [p[:-1] for p in marked]
-        alone.update(p for p in stems if p not in later and p not in later.older)
-        unknown = list(alone)
-        for at in range(0, len(unknown), 4096):
-            part = unknown[at : at + 4096]
-            ids = self.ids(" " + " ".join(part))
+        older = later.older
+        later.update([(p, older[p]) for p in absent if p in older])
+        unknown = [p for p in absent if p not in older and 0 < len(p) <= LONGEST and p.strip() == p]
+        lines = {p: x for p in unknown if "\n" in p and all(x := p.split("\n")) and all(y.strip() == y for y in x)}
+        words = {p for p in unknown if p not in lines}
+        words.update(x[0] for x in lines.values() if x[0] not in later and x[0] not in older)
+        stems = {p: stem for p in words if (stem := p.rstrip(MARKS)) != p and stem.isalpha() and max(stem) <= OLD_LETTERS}
+        alone = words.difference(stems)
+        alone.update(stem for stem in stems.values() if stem not in later and stem not in older)
+        later.update(self.each(list(alone), " "))
+        later.update([(p, (later.get(stem) or older[stem]) + self.marks[p[len(stem) :]]) for p, stem in stems.items()])
+        starts = {y for x in lines.values() for y in x[1:] if y not in self.first}
+        self.first.make_room(len(starts))
+        self.first.update(self.each([y for y in starts if y not in self.first.older], "\n"))
+        for p, x in lines.items():
+            later[p] = self.line.join([later.get(x[0]) or older[x[0]], *[self.first[y] for y in x[1:]]])
+
+    def each(self, pieces: list[str], before: str) -> Iterator[tuple[str, bytes]]:
+        """Pieces and their ids, encoded many at once: behind a space, which their first token takes in, or on a line each."""
+        for at in range(0, len(pieces), 4096):
+            part = pieces[at : at + 4096]
+            ids = self.ids(before + before.join(part))
             raw, size = ids.tobytes(), ids.itemsize
-            borders = [*(np.flatnonzero(self.after_space[ids]) * size).tolist(), len(raw)]
-            later.update(zip(part, (raw[a:b] for a, b in zip(borders[:-1], borders[1:], strict=True)), strict=True))
-        for p, stem in zip(marked, stems, strict=True):
-            later[p] = (later.get(stem) or later.older[stem]) + self.marks[p[-1]]
+            if before == " ":
+                starts = np.flatnonzero(self.after_space[ids]) * size
+                ends = starts[1:]
+            else:
+                line = np.flatnonzero(ids == np.frombuffer(self.line, self.kind)[0]) * size
+                starts, ends = line + size, line[1:]
+            yield from zip(part, (raw[a:b] for a, b in zip(starts.tolist(), [*ends.tolist(), len(raw)], strict=True)), strict=True)
 
     def with_added(self, text: str) -> bytes:
         """The ids of a text that holds an added token's string."""
@@ -228,7 +249,11 @@ def _blank(character: str) -> bool:
 
 @lru_cache(maxsize=1)
 def _worker(told: Tokenizer) -> _Worker:
-    """A Python worker's tokenizer, which outlives its tasks."""
+    """A Python worker's tokenizer, which outlives its tasks.
+
+    Its memos hold many objects and no cycles, so the collector may come by less often.
+    """
+    gc.set_threshold(100_000, 20, 20)
     return _Worker(told)
 
 

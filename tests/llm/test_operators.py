@@ -761,3 +761,34 @@ def test_sums_by_id_keep_the_order_of_rows():
     want = np.zeros((log_bilinear.VOCABULARY, 3))
     np.add.at(want, ids, rows)
     assert np.allclose(found, want, atol=1e-4) and kinds == [np.dtype(np.uint16)]
+
+
+def test_pieces_follow_from_their_parts(monkeypatch):
+    import public_tokenizers
+    import tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    told = token_files.Tokenizer.of_file(path, end=0)
+    worker = token_files._Worker(told)
+    given = []
+    ids = worker.ids
+    monkeypatch.setattr(worker, "ids", lambda text: given.append(text) or ids(text))
+    worker(["a Vvorrd Lliine Ssttart wword"])
+    assert len(given) == 2  # the first word, and the others in one go
+    given.clear()
+    texts = ["a Vvorrd### wword.\nSsttart Lliine,***", "a wword&&&\nSsttart!!\nSsttart", "a Lliine###\nSsttart"]
+    got = worker(texts)
+    # only marks and what starts a line were new: no word behind a space
+    assert not any(x in " ".join(given) for x in (" Vvorrd", " wword", " Lliine"))
+    plain = lambda t: np.array(library.encode(t, add_special_tokens=False).ids, worker.kind).tobytes()
+    assert got == [plain(t) for t in texts]
+    r = random.Random(5)
+    bits = ["the", "Zürich", "naïve", "'s", "'", "don't", "\n", "\n\n", "\r", "\t", "###", ".", ",\n", "12", "東京", "ſ", "͸", "\x1c", "\x85", " ", "_", "`", "é", "x" * 130, " ", " ", " "]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 25))) for _ in range(3000)]
+    monkeypatch.setattr(worker.later, "most", 500)
+    monkeypatch.setattr(worker.first, "most", 50)
+    for at in range(0, len(texts), 200):
+        part = texts[at : at + 200]
+        for t, x in zip(part, worker(part), strict=True):
+            assert x == plain(t), t
