@@ -256,19 +256,6 @@ class Pieces(Memo):
         super().__init__(lambda piece: encode(before + piece) if piece and not blank(piece[0]) and not blank(piece[-1]) else None, most)
 
 
-def by_pieces(text: str, pieces: list[str], first: Pieces, later: Pieces, whole: Callable[[str], bytes]) -> bytes:
-    """A text's ids from those of its pieces; as a whole where blanks stand side by side or at its ends."""
-    if not text:
-        return b""
-    start = first[pieces[0]]
-    if start is not None:
-        try:
-            return start + b"".join(map(later.__getitem__, pieces[1:]))
-        except TypeError:  # a piece without ids of its own
-            pass
-    return whole(text)
-
-
 @lru_cache(maxsize=2)
 def encoder_of(content: bytes, pattern: str, held_bytes: int | None = None) -> Encoder:
     """A Python worker's encoder, which outlives its tasks.

@@ -15,12 +15,15 @@ from __future__ import annotations
 import gc
 import json
 import os
+import re
 import string
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import compress, count
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.byte_bpe import LONGEST, Memo, Pieces, by_pieces
+from tabprep.llm.byte_bpe import LONGEST, Memo, Pieces
 from tabprep.llm.common import map_arrow, slices, stored, text_of
 from tabprep.llm.files import new_folder, new_name, reader, write
 
@@ -42,6 +45,10 @@ REMEMBERED, REMEMBERED_FIRST = 800_000, 100_000
 MARKS = "".join(c for c in string.punctuation if c != "'")
 #: Letters up to here are letters in any version of Unicode's tables.
 OLD_LETTERS = "\u024f"
+#: Whether a text is words of such letters, each behind one space.
+plain_words = re.compile("(?: [A-Za-zªµºÀ-ÖØ-öø-\u024f]++)++").fullmatch
+#: Bytes of text encoded at once for a file: few enough that its pieces stay in a core's cache.
+SLICE = 512 << 10
 #: Bytes of ids after which a file is closed.
 FILE = 16 << 20
 
@@ -172,45 +179,62 @@ class _Worker:
         self.added = [x["content"] for x in model.get("added_tokens") or [] if x["content"]]
         self.model = tokenizers.Tokenizer.from_str(json.dumps(model | {"added_tokens": []}))
         tokens = self.model.get_vocab(with_added_tokens=False)
+        # how a space and the letters beyond ASCII are written in tokens
+        written = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.space = written(" ")[0][0]
+        self.letters = {i: written(chr(i))[0][0] for i in range(0x80, ord(OLD_LETTERS) + 1)}
         self.after_space = np.zeros(max(tokens.values()) + 1, bool)
-        self.after_space[[i for token, i in tokens.items() if token.startswith("Ġ")]] = True  # how a space is written
+        self.after_space[[i for token, i in tokens.items() if token.startswith(self.space)]] = True
         self.first, self.later = Pieces(self.text, "", _blank, REMEMBERED_FIRST), Pieces(self.text, " ", _blank, REMEMBERED)
         self.marks, self.line = Memo(self.text, REMEMBERED_FIRST), self.text("\n")
 
     def ids(self, text: str) -> np.ndarray:
+        if plain_words(text):  # each is one pre-token with the space before it, so the model takes it without the splitter
+            tokenize, space = self.model.model.tokenize, self.space
+            words = (text if text.isascii() else text.translate(self.letters)).split(" ")
+            return np.array([token.id for word in words[1:] for token in tokenize(space + word)], self.kind)
         return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
     def text(self, text: str) -> bytes:
         return self.ids(text).tobytes()
 
-    def learn(self, texts: list[list[str]]) -> None:
-        """Encode the unknown pieces of some texts in one go; a token that starts with a space starts a piece.
+    def learn(self, new: set[str]) -> None:
+        """Encode unknown pieces in one go; a token that starts with a space starts a piece.
 
         A word with marks behind it is two pre-tokens, and a single line break between two that are not blank is one
         of its own, so the ids of such pieces follow from those of their parts.
         """
-        new: set[str] = set()
-        for pieces in texts:
-            new.update(pieces)
         later = self.later
-        absent = [p for p in new if p not in later]
-        later.make_room(len(absent))  # first, since it drops the older generation: nothing found below is lost again
+        later.make_room(len(new))  # first, since it drops the older generation: nothing found below is lost again
         older = later.older
-        later.update([(p, older[p]) for p in absent if p in older])
-        unknown = [p for p in absent if p not in older and 0 < len(p) <= LONGEST and p.strip() == p]
-        lines = {p: x for p in unknown if "\n" in p and all(x := p.split("\n")) and all(y.strip() == y for y in x)}
-        words = {p for p in unknown if p not in lines}
-        words.update(x[0] for x in lines.values() if x[0] not in later and x[0] not in older)
-        stems = {p: stem for p in words if (stem := p.rstrip(MARKS)) != p and stem.isalpha() and max(stem) <= OLD_LETTERS}
-        alone = words.difference(stems)
-        alone.update(stem for stem in stems.values() if stem not in later and stem not in older)
-        later.update(self.each(list(alone), " "))
-        later.update([(p, (later.get(stem) or older[stem]) + self.marks[p[len(stem) :]]) for p, stem in stems.items()])
+        words, lines, stems, alone, others = [], {}, {}, set(), set()
+        for p, ids in zip(new, map(older.get, new), strict=True):
+            if ids:
+                later[p] = ids
+            elif len(p) <= LONGEST:
+                if "\n" in p and all(x := p.split("\n")) and all([y.strip() == y for y in x]):
+                    lines[p] = x
+                else:
+                    words.append(p)
+        words += [x[0] for x in lines.values() if x[0] not in later and x[0] not in older]
+        for p in words:
+            stem = p if p.isalpha() else p.rstrip(MARKS)
+            if not stem.isalpha() or not stem.isascii() and max(stem) > OLD_LETTERS:
+                others.add(p)
+                continue
+            if stem != p:
+                stems[p] = stem
+                if stem in later or stem in older:
+                    continue
+            alone.add(stem)
+        for part in (alone, others):
+            later.update(self.each(list(part), " "))
+        later.update([(p, later[stem] + self.marks[p[len(stem) :]]) for p, stem in stems.items()])
         starts = {y for x in lines.values() for y in x[1:] if y not in self.first}
         self.first.make_room(len(starts))
         self.first.update(self.each([y for y in starts if y not in self.first.older], "\n"))
         for p, x in lines.items():
-            later[p] = self.line.join([later.get(x[0]) or older[x[0]], *[self.first[y] for y in x[1:]]])
+            later[p] = self.line.join([later[x[0]], *[self.first[y] for y in x[1:]]])
 
     def each(self, pieces: list[str], before: str) -> Iterator[tuple[str, bytes]]:
         """Pieces and their ids, encoded many at once: behind a space, which their first token takes in, or on a line each."""
@@ -235,12 +259,37 @@ class _Worker:
         return np.array(self.full.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        # no pieces where the text goes whole through the full tokenizer
-        split = [None if any(x in t for x in self.added) else t.split(" ") for t in texts]
-        self.learn([pieces for pieces in split if pieces])
-        return [
-            by_pieces(t, pieces, self.first, self.later, self.text) if pieces else self.with_added(t) for t, pieces in zip(texts, split, strict=True)
-        ]
+        """Each text's ids. Its pieces are looked up once, and only unknown ones are kept until all texts have been read."""
+        first, get = self.first, self.later.get
+        out, gaps, new = [], [], set()
+        for text in texts:
+            if not text:
+                out.append(b"")
+                continue
+            if any([x in text for x in self.added]):
+                out.append(self.with_added(text))
+                continue
+            pieces = text.split(" ")
+            ids = list(map(get, pieces))
+            ids[0] = first[pieces[0]]
+            if all(ids):
+                out.append(b"".join(ids))
+                continue
+            at = list(compress(count(), map(not_, ids)))
+            absent = [pieces[i] for i in at]
+            if ids[0] is None or not all(absent) or any([p.strip() != p for p in absent]):  # blanks side by side or at an end
+                out.append(self.text(text))
+                continue
+            gaps.append((len(out), ids, at, absent))
+            new.update(absent)
+            out.append(b"")
+        self.learn(new)
+        later = self.later
+        for place, ids, at, absent in gaps:
+            for i, p in zip(at, absent, strict=True):
+                ids[i] = later[p]
+            out[place] = b"".join(ids)
+        return out
 
 
 def _blank(character: str) -> bool:
@@ -296,7 +345,7 @@ def write_files(docs: DataFrame, key: str, text: str, tokenizer: Tokenizer) -> D
             row = {"part": part, "seq": seq, "file": address, "documents": len(held), "ids": size // width}
             return pa.RecordBatch.from_pylist([row], schema=MANIFEST)
 
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE):
             more = tokenizer(batch.column(1).to_pylist())
             if held and size + sum(map(len, more)) > FILE:
                 yield close()

@@ -763,6 +763,34 @@ def test_sums_by_id_keep_the_order_of_rows():
     assert np.allclose(found, want, atol=1e-4) and kinds == [np.dtype(np.uint16)]
 
 
+def test_plain_words_need_no_splitter():
+    import public_tokenizers
+    import tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    worker = token_files._Worker(token_files.Tokenizer.of_file(path, end=0))
+
+    class Watched:
+        def __init__(self, model):
+            self.whole, self.model, self.given = model, model.model, []
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            self.given += texts
+            return self.whole.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    worker.model = Watched(worker.model)
+    plain = lambda t: np.array(library.encode(t, add_special_tokens=False).ids, worker.kind).tobytes()
+    texts = ["a Vvorrd, Zürichh ñandúes Vvorrd###", "a łódź Vvorrd"]
+    assert worker(texts) == [plain(t) for t in texts]
+    assert sorted(worker.model.given) == ["###", ",", "a"]
+    # every character up to the last old letter and some beyond, inside, before and behind a word
+    texts = [f"a {c}xy xy{c} x{c}y{c} {c}" for c in map(chr, range(0x300))]
+    assert worker(texts) == [plain(t) for t in texts]
+    for part in (" " + "ab cd", " ab  cd", " ab ", "ab", " ", "", " a×b", " a\u0250", " don't", " ab\n"):
+        assert worker.ids(part).tobytes() == plain(part), part
+
+
 def test_pieces_follow_from_their_parts(monkeypatch):
     import public_tokenizers
     import tokenizers
