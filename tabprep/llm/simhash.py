@@ -133,13 +133,17 @@ def _file(prints: DataFrame, probes: bool) -> DataFrame:
 
 
 def links(prints: DataFrame, bits: int) -> DataFrame:
-    """``a, b``: pairs of distinct fingerprints (column ``fp``) that differ in at most ``bits`` bits."""
+    """``a, b``: pairs of distinct fingerprints (column ``fp``) that differ in at most ``bits`` bits.
+
+    Spark sizes both sides by the fingerprints they are made of, of which each is filed six times and looked up about
+    forty times, so the join is told not to broadcast either.
+    """
     if not 0 <= bits <= MOST_BITS:
         raise ValueError(f"three Golay segments cover at most {MOST_BITS} differing bits")
     filed = _file(prints, False).withColumnRenamed("fp", "a")
     sought = _file(prints, True).withColumnRenamed("fp", "b")
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits)
-    return filed.join(sought, "place").filter(near).select("a", "b").distinct()
+    return filed.join(sought.hint("merge"), "place").filter(near).select("a", "b").distinct()
 
 
 def groups(df: DataFrame, key: str, text: str, length: int = 3, bits: int = 2) -> DataFrame:
@@ -156,10 +160,11 @@ def groups(df: DataFrame, key: str, text: str, length: int = 3, bits: int = 2) -
     rows = stored(fingerprints(df.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", "text", length), "fingerprints")
     prints = rows.groupBy("fp").agg(F.min("key").alias("least"))
     tied = components(links(prints, bits), "a", "b").withColumnRenamed("node", "fp")
-    classes = prints.join(tied, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    # a row per document or fingerprint: as packed files these look small enough to broadcast long after they are not
+    classes = prints.join(tied.hint("merge"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     named = classes.groupBy("component").agg(F.min("least").alias("name"))
-    found = classes.join(named, "component").select("fp", F.col("name").alias("component"))
-    return rows.join(found, "fp").select(F.col("key").alias(key), "fp", "component")
+    found = classes.join(named.hint("merge"), "component").select("fp", F.col("name").alias("component"))
+    return rows.join(found.hint("merge"), "fp").select(F.col("key").alias(key), "fp", "component")
 
 
 def keep_one(df: DataFrame, key: str, text: str, length: int = 3, bits: int = 2) -> DataFrame:

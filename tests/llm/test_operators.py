@@ -362,6 +362,15 @@ def test_simhash_links_all_near_prints(spark):
     assert got == {(a, b) for a, b in itertools.combinations(signed, 2) if bin((a ^ b) & (1 << 64) - 1).count("1") <= 2}
 
 
+def test_simhash_broadcasts_no_filed_prints(spark):
+    """Both sides are many times their fingerprints, which Spark does not see; nor does a row per document go to the driver."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    prints = spark.createDataFrame([(1,), (2,), (1 << 60,)], "fp long")
+    assert "BroadcastHashJoin" not in plan(simhash.links(prints, 2))
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a b c d"), (3, "")], "doc_id long, text string")
+    assert "BroadcastHashJoin" not in plan(simhash.groups(docs, "doc_id", "text"))
+
+
 def test_simhash(docs, none):
     data = rows()
     fp = [plain_fingerprint(r[1]) for r in data]
