@@ -8,25 +8,27 @@ subtree is grown from presorted attribute lists.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tabprep.functions.numbers import round2_exact
 from tabprep.operators.joins import lookup_join
 from tabprep.operators.splits import class_list
-from tabprep.plans.level import best_splits, ranges
+from tabprep.plans.level import Best, best_splits, dealt, packed, ranges, totals
 from tabprep.plans.subtree import grow
 from tabprep.session import cut
 
 _SPLIT = ["feature_no", "feature", "threshold"]
-REWRITE = 3
 #: Values (rows x features, or rows x classes if those are more) of a node that one task grows.
 TASK_CELLS = 1 << 22
+#: Tasks per core that read large nodes, each of which sends its counts.
+SCANS = 4
 #: Nodes of a tree that prediction carries as a literal.
 LITERAL_NODES = 1 << 14
 
@@ -41,10 +43,10 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
     is taken. A missing (NULL or NaN) feature goes right, as in prediction; rows without a
     label are left out. Where the work is done does not change the tree.
 
-    A table too large for one task is first reduced to its distinct rows, each with its number. A level of large
-    nodes reads its rows twice, for counts per range and for the values of some ranges; they are relabelled in
-    place, and written again only every ``REWRITE`` levels. Rows of nodes of at most ``task_cells``
-    values leave them and move once, at the end, to the task that grows the node's subtree.
+    A table too large for one task is first reduced to its distinct rows, each with its number, and those are packed
+    into chunks. A level of large nodes reads the chunks twice, for counts per range and for the values of some ranges;
+    a row's node follows from the splits so far, so chunks are never written again. Rows of nodes of at most ``task_cells``
+    values move once, at the end, to the task that grows the node's subtree. The driver holds the large nodes.
     """
     classes = class_list(df, label)
     if not classes:
@@ -55,42 +57,39 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
         rows = rows.groupBy(*features, "_y").agg(F.count(F.lit(1)).alias("_w"))
     else:
         rows = rows.withColumn("_w", F.lit(1).cast("bigint"))
-    rows = cut(rows.withColumn("node_id", F.lit(1).cast("bigint")))
-    names = F.array(*[F.lit(f) for f in features])
-    parts, waiting, ends = [], [], None
+    rows = cut(rows).coalesce(SCANS * df.sparkSession.sparkContext.defaultParallelism)
+    chunks = cut(packed(rows, features, classes))
+    k, width = len(classes), len(features)
+    splits: dict[int, tuple[int, float]] = {}
+    large, waiting, ends = [], [], None
+    level = totals(chunks, width, k, splits, [1])
     for depth in range(max_depth + 1):
-        sizes = cut(_sizes(rows, classes))
-        is_small = F.col("_rows") <= small
-        found = sizes.agg(F.count_if(is_small), F.count_if(~is_small)).first()
-        n_small, n_large = found
-        if n_small:
-            waiting.append(rows if not n_large else _of_nodes(rows, sizes.filter(is_small), features, n_small))
-        if not n_large:
-            break
-        if n_small:
-            rows = _of_nodes(rows, sizes.filter(~is_small), features, n_large)
-        level = sizes.filter(~is_small).select("node_id", F.lit(depth).alias("depth"), "label", "n")
-        mixed = [r[0] for r in sizes.filter(~is_small & ~F.col("_pure")).select("node_id").collect()] if depth < max_depth and features else []
+        waiting += [node for node, n in level.items() if n[k] <= small]
+        level = {node: n for node, n in level.items() if n[k] > small}
+        mixed = [node for node, n in level.items() if np.count_nonzero(n[:k]) > 1] if depth < max_depth and features else []
+        best: dict[int, Best] = {}
         if mixed:
-            ends = ends or ranges(rows, features, len(classes))
-            level = level.join(best_splits(rows, features, classes, ends, mixed), "node_id", "left")
-        else:
-            level = level.withColumns({"feature_no": F.lit(None).cast("int"), "threshold": F.lit(None).cast("double")})
-        level = cut(level.withColumn("feature", F.get(names, "feature_no")))
-        parts.append(level)
-        split = level.filter(F.col("feature").isNotNull()).select("node_id", "feature_no", "threshold")
-        open_nodes = split.count()
-        if depth == max_depth or open_nodes == 0:
+            ends = ends or ranges(chunks, width, k, int(level[mixed[0]][k]))
+            best = best_splits(chunks, width, k, ends, splits, mixed)
+        for node, n in level.items():
+            feature, threshold, _ = best.get(node, (None, None, None))
+            large.append((node, depth, feature, threshold, classes[int(n[:k].argmax())], int(n[:k].sum())))
+        if not best:
             break
-        rows = _descend(rows, split, features, "inner", open_nodes)
-        if depth % REWRITE == REWRITE - 1:
-            rows = cut(rows)
+        splits |= {node: (b.feature, b.threshold) for node, b in best.items()}
+        below = {}
+        for node, b in best.items():
+            if b.left is not None:
+                below |= {2 * node: b.left, 2 * node + 1: level[node] - b.left}
+        if unknown := [child for node, b in best.items() if b.left is None for child in (2 * node, 2 * node + 1)]:
+            below |= totals(chunks, width, k, splits, unknown)
+        level = below
+    names = F.array(*[F.lit(f) for f in features])
+    schema = f"node_id bigint, depth int, feature_no int, threshold double, label {df.schema[label].dataType.simpleString()}, n bigint"
+    nodes = df.sparkSession.createDataFrame(large, schema)
     if waiting:  # all at once, so that one node's task does not hold up a level
-        grown = reduce(DataFrame.unionByName, waiting).groupBy("node_id").applyInArrow(
-            _grower(list(features), max_depth), f"node_id bigint, depth int, feature_no int, threshold double, label {df.schema[label].dataType.simpleString()}, n bigint"
-        )
-        parts.append(cut(grown.withColumn("feature", F.get(names, "feature_no"))))
-    nodes = reduce(DataFrame.unionByName, parts)
+        nodes = nodes.unionByName(dealt(chunks, width, splits, waiting, _grower(classes, max_depth, schema), schema))
+    nodes = cut(nodes.withColumn("feature", F.get(names, "feature_no")))
     inner = F.col("feature").isNotNull()
     return nodes.select(
         "node_id",
@@ -104,35 +103,17 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, max_depth: int =
     )
 
 
-def _of_nodes(rows: DataFrame, nodes: DataFrame, features: Sequence[str], n: int) -> DataFrame:
-    """The rows of some of the nodes."""
-    return lookup_join(rows, nodes.select("node_id"), "node_id", "inner", F.struct(*features), dim_rows=n)
-
+def _grower(classes: Sequence[int], max_depth: int, schema: str) -> Callable[[int, np.ndarray, np.ndarray, np.ndarray], pa.Table]:
+    """The function from the rows of a node to the nodes of its subtree. A heap id tells the depth."""
+    labels, kinds = np.array(classes), to_arrow_schema(StructType.fromDDL(schema))
 
-def _grower(features: list[str], max_depth: int):
-    """The function from the rows of a node to the rows of its subtree. A heap id tells the depth."""
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        x = np.stack([table.column(f).to_numpy() for f in features]) if features else np.zeros((0, table.num_rows))
-        y = table.column("_y").to_numpy()
-        node, times = key[0].as_py(), table.column("_w").to_numpy()
-        nodes = grow(x, y, node, node.bit_length() - 1, max_depth, times if (times > 1).any() else None)
-        names = ["node_id", "depth", "feature_no", "threshold", "label", "n"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.float64(), table.schema.field("_y").type, pa.int64()]
-        return pa.table({c: pa.array(v, k) for c, v, k in zip(names, zip(*nodes, strict=True), kinds, strict=True)})
+    def run(node: int, x: np.ndarray, y: np.ndarray, times: np.ndarray) -> pa.Table:
+        nodes = grow(x, labels[y], node, node.bit_length() - 1, max_depth, times if (times > 1).any() else None)
+        return pa.table([pa.array(v, f.type) for v, f in zip(zip(*nodes, strict=True), kinds, strict=True)], schema=kinds)
 
     return run
 
 
-def _sizes(rows: DataFrame, classes: Sequence[int]) -> DataFrame:
-    """Every node's distinct rows, all its rows, its majority class, and whether it has one class only."""
-    per_class = [F.sum(F.when(F.col("_y") == F.lit(c), F.col("_w")).otherwise(0)) for c in classes]
-    majority = F.array_max(F.array(*[F.struct(n.alias("n"), F.lit(-c).alias("c")) for n, c in zip(per_class, classes)]))
-    return rows.groupBy("node_id").agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum("_w").alias("n"), (F.max("_y") == F.min("_y")).alias("_pure"), (-majority["c"]).alias("label")
-    )
-
-
 def _descend(
     rows: DataFrame, split: DataFrame, features: Sequence[str], how: str, splits: int
 ) -> DataFrame:

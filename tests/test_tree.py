@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabprep.functions.numbers import round2_exact  # noqa: F401
 from tabprep.operators import evaluate, splits
 from tabprep.plans import tree
+from tabprep.session import shared_dir
 
 NAMES = ["a", "b", "c"]
 
@@ -197,3 +198,46 @@ def test_a_large_table_is_reduced_to_its_distinct_rows(spark, monkeypatch):
     fit(spark, [(*v, c) for v, c in zip(x.tolist(), y.tolist(), strict=True)] * 30, 3, 300)
     first = seen[0]
     assert first.agg(F.count("*"), F.sum("_w")).first()[1] == 1800 and first.count() <= 60
+
+
+def test_many_levels_of_large_nodes_are_planned_like_one(spark, monkeypatch):
+    """A plan holds one level's steps; those of a chain of levels once took minutes to plan at depth 10."""
+    from tabprep.plans import level
+
+    known = []
+
+    def kept(df):
+        known.append(len(df._jdf.queryExecution().optimizedPlan().toString()))
+        return df.checkpoint()
+
+    shared_dir(spark)
+    for module in (tree, level):
+        monkeypatch.setattr(module, "cut", kept)
+    x, y = spread_rows(400, 3, 2, 11)
+    _, _, nodes = fit(spark, [(*v, c) for v, c in zip(x.tolist(), y.tolist(), strict=True)], 6, 90)
+    assert max(n.depth for n in nodes.values()) == 6 and max(known) < 2000
+
+
+def test_a_threshold_that_is_rounded_up_parts_nothing(spark):
+    """Between the second and third of these values there is no number; the mean of the two is the third."""
+    a = [1.0, float(np.nextafter(1.0, 2.0)), float(np.nextafter(np.nextafter(1.0, 2.0), 2.0))]
+    assert (a[1] + a[2]) / 2 == a[2]
+    rows = [(v, 0.0, 0.0, c) for v, c in [(a[1], 0), (a[1], 0), (a[2], 1), (3.0, 1), (3.0, 0)]] * 3
+    trees = []
+    for cells in (0, tree.TASK_CELLS):
+        _, _, nodes = fit(spark, rows, 4, cells)
+        trees.append({i: (n.feature, n.threshold, n.label, n.n) for i, n in nodes.items()})
+    assert trees[0] == trees[1] and trees[0][1][1] == a[2]
+
+
+def test_counts_of_many_tasks_and_large_ranges_are_added_in_steps(spark, monkeypatch):
+    from tabprep.plans import level
+
+    x, y = spread_rows(500, 3, 4, 12)
+    df = spark.createDataFrame([(*v, c) for v, c in zip(x.tolist(), y.tolist(), strict=True)], "a DOUBLE, b DOUBLE, c DOUBLE, label INT").repartition(9)
+    want = sorted(tree.id3_fit(df, NAMES, "label", 3).select("node_id", "label", "n").collect())
+    for name, value in (("TASKS", 2), ("RANGES", 4), ("SEARCHED", 60), ("COUNTS", 35), ("VALUES", 30), ("HELD", 100), ("CHUNK", 60), ("SENT", 40), ("FEWEST", 2)):
+        monkeypatch.setattr(level, name, value)
+    monkeypatch.setattr(tree, "SCANS", 1)
+    assert sorted(tree.id3_fit(df, NAMES, "label", 3, 0).select("node_id", "label", "n").collect()) == want
+
